@@ -1,74 +1,537 @@
 """Query name -> plan. Each plan takes (spark, sf_dir) and reads whole driver tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators import indicators
+from .. import schemas as S
+from .. import values as V
+from ..functions import (
+    classify_sentiment,
+    from_epoch_millis,
+    from_epoch_seconds,
+    round_to,
+    ticker_topic,
+)
+from ..operators import alerts, enrich, indicators, metrics, normalize, parse, publish, series
+from ..session import work_folder
+from ..sources import read_history, table_stream
+from ..streaming import sinks
+from ..streaming.alerts import start_alerts
 from . import feeds
 
 WIDE = dict(size="1 hour", slide="12 minutes")
+HOURLY = dict(window="3 hours", step="1 hour")
 
+QUERIES = {}
 
+
+def query(plan):
+    QUERIES[plan.__name__] = plan
+    return plan
+
+
+def naive(df: DataFrame) -> DataFrame:
+    """Timestamps without a zone, as the driver tables have them."""
+    instants = [name for name, kind in df.dtypes if kind == "timestamp"]
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in instants})
+
+
+def label(name: str):
+    return F.col("labels")[name].alias(name)
+
+
+# --- windowed indicators ---------------------------------------------------------------
+
+
+@query
 def sma_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.moving_average(feeds.ticks(feeds.events(spark, sf_dir)))
 
 
+@query
 def sma_volatility_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.moving_average(feeds.ticks(feeds.events(spark, sf_dir)), **WIDE)
 
 
+@query
 def sma_volatility_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.moving_average(
         feeds.lineitem_ticks(spark, sf_dir), size="7 days", slide="1 day"
     )
 
 
+@query
 def pump_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.pump_dump(feeds.ticks(feeds.events(spark, sf_dir)))
 
 
+@query
 def pump_dump_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.pump_dump(feeds.ticks(feeds.events(spark, sf_dir)), **WIDE)
 
 
+@query
 def pump_dump_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.pump_dump(
         feeds.ticks(feeds.events(spark, sf_dir)), basis="window_range", **WIDE
     )
 
 
+@query
 def local_minute_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.local_price(feeds.local_feed(feeds.events(spark, sf_dir)))
 
 
+@query
 def global_minute_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.global_price(feeds.global_feed(feeds.events(spark, sf_dir)))
 
 
+@query
 def price_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tumbling six-hour windows: the minutes of this table rarely hold both feeds."""
+    """Six-hour windows: the minutes of this table rarely hold both feeds."""
     rows = feeds.events(spark, sf_dir)
     return indicators.price_deviation(
         feeds.local_feed(rows), feeds.global_feed(rows), size="6 hours"
     )
 
 
+@query
 def price_deviation_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.events(spark, sf_dir)
     return indicators.price_deviation(feeds.local_feed(rows), feeds.global_feed(rows))
 
 
-QUERIES = {
-    query.__name__: query
-    for query in (
-        sma_volatility,
-        sma_volatility_wide,
-        sma_volatility_lineitem,
-        pump_dump,
-        pump_dump_wide,
-        pump_dump_range,
-        local_minute_price,
-        global_minute_price,
-        price_deviation,
-        price_deviation_minute,
-    )
-}
+# --- parsing, normalization, enrichment ------------------------------------------------
+
+
+@query
+def change_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return feeds.ticks(feeds.events(spark, sf_dir)).select("event_id", "symbol", "change_pct")
+
+
+@query
+def parse_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = feeds.tick_records(feeds.events(spark, sf_dir))
+    valid, _ = parse.read_feed(records, S.TICK, S.REQUIRED["tick"])
+    stamped = valid.withColumn("event_time", from_epoch_millis(F.col("timestamp")))
+    return naive(stamped.select("symbol", "price", "volume_24h", "timestamp", "event_time"))
+
+
+@query
+def parse_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = feeds.tick_records(feeds.events(spark, sf_dir))
+    _, rejects = parse.read_feed(records, S.TICK, S.REQUIRED["tick"])
+    return rejects
+
+
+def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.events(spark, sf_dir)
+    return normalize.route(feeds.exchange_messages(rows).union(feeds.kline_messages(rows)))
+
+
+@query
+def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tickers, _ = normalize.tickers(_routed(spark, sf_dir))
+    return tickers
+
+
+@query
+def route_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = _routed(spark, sf_dir)
+    rejects = normalize.tickers(routed)[1].union(normalize.klines(routed)[1])
+    return (
+        rejects.union(normalize.unreadable(routed))
+        .groupBy("missing")
+        .agg(F.count("*").alias("messages"))
+    )
+
+
+@query
+def normalize_kline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    candles, _ = normalize.klines(_routed(spark, sf_dir))
+    return naive(candles.withColumn("event_time", from_epoch_millis(F.col("timestamp"))))
+
+
+@query
+def closed_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    candles, _ = normalize.klines(_routed(spark, sf_dir))
+    return normalize.closed_only(candles).select("symbol", "close", "volume", "timestamp")
+
+
+@query
+def explode_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    polls = feeds.snapshots(feeds.events(spark, sf_dir))
+    valid, _ = normalize.market(polls, spark, feeds.COINS, F.col("polled"))
+    return valid
+
+
+@query
+def sentiment_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = feeds.sentiment_documents(feeds.events(spark, sf_dir))
+    valid, _ = normalize.sentiment(documents, F.col("polled"))
+    return naive(valid.withColumn("event_time", from_epoch_seconds(F.col("timestamp"))))
+
+
+@query
+def sentiment_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = feeds.sentiment_documents(feeds.events(spark, sf_dir))
+    _, rejects = normalize.sentiment(documents, F.col("polled"))
+    return rejects.groupBy("json", "missing").agg(F.count("*").alias("documents"))
+
+
+@query
+def classify_sentiment_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.events(spark, sf_dir).withColumn("value", feeds.lot())
+    return rows.select("event_id", "value", classify_sentiment(F.col("value")).alias("band"))
+
+
+@query
+def topic_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    topic = ticker_topic(F.upper("event_type"))
+    return feeds.events(spark, sf_dir).select("event_id", topic.alias("topic"))
+
+
+@query
+def encode_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.ticks(feeds.events(spark, sf_dir)).withColumn(
+        "topic", ticker_topic(F.col("symbol"))
+    )
+    messages = publish.encode(rows, ["symbol", "event_id", "user_id"], key=F.col("symbol"))
+    return messages.select(
+        "topic", F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+    )
+
+
+@query
+def enrich_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.events(spark, sf_dir).withColumnRenamed("event_type", "symbol")
+    stamped = enrich.stamp(rows.select("event_id", "symbol", "ts"), F.col("ts"))
+    return stamped.drop("ts")
+
+
+# --- history ---------------------------------------------------------------------------
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.ticks(feeds.events(spark, sf_dir))
+    path = work_folder(spark, "history")
+    sinks.write_history(enrich.stamp(rows, F.col("event_time")), path, V.HISTORY["tickers"])
+    return read_history(spark, path)
+
+
+@query
+def history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, sf_dir).groupBy("par", "fecha").agg(
+        F.count("*").alias("ticks"), round_to(F.avg("price"), 2).alias("price_avg")
+    )
+
+
+@query
+def history_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One symbol's second week: two partition filters and one pushed value filter."""
+    week = F.col("fecha").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"))
+    return (
+        _history(spark, sf_dir)
+        .where((F.col("par") == "purchase") & week & (F.col("price") > 20))
+        .select("event_id", "par", "fecha", "price")
+    )
+
+
+# --- counters, gauges, series ----------------------------------------------------------
+
+
+@query
+def message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = _routed(spark, sf_dir)
+    sent = normalize.tickers(routed)[0].select("topic").union(
+        normalize.klines(routed)[0].select("topic")
+    )
+    return metrics.message_counts(sent)
+
+
+@query
+def ok_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.outcome_counts(feeds.events(spark, sf_dir), F.col("event_type") != "error")
+
+
+@query
+def last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.last_value(
+        feeds.ticks(feeds.events(spark, sf_dir)),
+        ["price", "change_pct", "volume_24h"],
+        keys=["symbol"],
+        tiebreak="event_id",
+    )
+
+
+@query
+def message_counter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = feeds.counter(feeds.events(spark, sf_dir))
+    return samples.select("metric", label("topic"), "ts", "value")
+
+
+@query
+def message_counter_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Never restarted, scraped at the usual interval."""
+    ticks = feeds.ticks(feeds.events(spark, sf_dir)).withColumn(
+        "topic", ticker_topic(F.col("symbol"))
+    )
+    return metrics.message_counter(ticks).select(label("topic"), "ts", "value")
+
+
+@query
+def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = feeds.samples(feeds.events(spark, sf_dir))
+    return samples.select("metric", label("par"), "ts", "value")
+
+
+@query
+def metric_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = feeds.samples(feeds.events(spark, sf_dir))
+    kept = metrics.select(samples, V.PRICE_NOW, equal={"par": "purchase"})
+    return kept.select("metric", label("par"), "ts", "value")
+
+
+@query
+def metric_select_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = metrics.select(feeds.samples(feeds.events(spark, sf_dir)), V.CHANGE_24H)
+    return kept.select(label("par"), "ts", "value")
+
+
+@query
+def metric_select_unequal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = feeds.container_memory(feeds.events(spark, sf_dir))
+    kept = metrics.select(samples, V.CONTAINER_MEMORY, unequal={"name": ""})
+    return kept.select(label("name"), "ts", "value")
+
+
+@query
+def metric_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    samples = metrics.select(feeds.samples(feeds.events(spark, sf_dir)), V.PRICE_NOW)
+    return series.on_grid(samples).select(label("par"), "eval_ts", "value")
+
+
+@query
+def metric_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = metrics.message_rate(feeds.counter(feeds.events(spark, sf_dir)), **HOURLY)
+    return rates.select(
+        label("topic"), "eval_ts", round_to(F.col("rate"), 8).alias("rate")
+    )
+
+
+@query
+def metric_rate_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = metrics.message_rate(
+        feeds.counter(feeds.events(spark, sf_dir)), extrapolate=False, **HOURLY
+    )
+    return rates.select(
+        label("topic"), "eval_ts", round_to(F.col("rate"), 8).alias("rate")
+    )
+
+
+@query
+def metric_rate_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel's own window and step; most minutes hold too few messages to have a rate."""
+    rates = metrics.message_rate(feeds.counter(feeds.events(spark, sf_dir), V.EVALUATE_EVERY))
+    return rates.select(
+        label("topic"), "eval_ts", round_to(F.col("rate"), 8).alias("rate")
+    )
+
+
+@query
+def metric_rate_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    idle = feeds.idle_counter(feeds.events(spark, sf_dir))
+    return metrics.host_cpu(idle, **HOURLY).select(
+        "eval_ts", round_to(F.col("value"), 6).alias("value")
+    )
+
+
+@query
+def metric_container_cpu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    busy = feeds.busy_counter(feeds.events(spark, sf_dir))
+    return metrics.cpu_by_container(busy, **HOURLY).select(
+        label("name"), "eval_ts", round_to(F.col("value"), 6).alias("value")
+    )
+
+
+@query
+def metric_container_memory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = metrics.memory_by_container(
+        feeds.container_memory(feeds.events(spark, sf_dir)), step="5 minutes", lookback="1 hour"
+    )
+    return used.select(label("name"), "eval_ts", round_to(F.col("value"), 9).alias("value"))
+
+
+@query
+def metric_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    used = metrics.host_memory(
+        feeds.host_memory(feeds.events(spark, sf_dir)), step="15 minutes", lookback="1 hour"
+    )
+    scaled = F.col("value") * 1024 * 1024 * 1024
+    return used.select(label("par"), "eval_ts", round_to(scaled, 4).alias("value"))
+
+
+# --- alerts ----------------------------------------------------------------------------
+
+
+@query
+def threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = alerts.threshold(feeds.samples(feeds.events(spark, sf_dir)), feeds.RULES)
+    return hits.select("rule", "severity", "metric", label("par"), "ts", "value")
+
+
+@query
+def sustained_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alerts.sustained(feeds.samples(feeds.events(spark, sf_dir)), feeds.RULES)
+    return found.select(
+        "rule", "severity", label("par"), "pending_at", "firing_at", "resolved_at"
+    )
+
+
+@query
+def sustained_alerts_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alerts.sustained(
+        feeds.samples(feeds.events(spark, sf_dir)),
+        feeds.RULES,
+        step="1 minute",
+        lookback="3 hours",
+        slice_length="6 hours",
+    )
+    return found.select(
+        "rule", "severity", label("par"), "pending_at", "firing_at", "resolved_at"
+    )
+
+
+@query
+def feed_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alerts.silences(feeds.ticks(feeds.events(spark, sf_dir)), limit="1 hour")
+
+
+@query
+def feed_silence_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usual limit of half a minute."""
+    return alerts.silences(feeds.ticks(feeds.events(spark, sf_dir)))
+
+
+# --- streams: the table is read as a stream, results are read back from the sink --------
+
+
+def _finished(spark: SparkSession, stream: DataFrame, purpose: str, partition_by=()) -> DataFrame:
+    folder = work_folder(spark, purpose)
+    out = f"{folder}/out"
+    sinks.to_history(
+        stream, out, f"{folder}/checkpoint", partition_by, sinks.ONCE
+    ).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query
+def stream_sma_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = indicators.moving_average(feeds.ticks(feeds.event_stream(spark, sf_dir)), **WIDE)
+    return naive(_finished(spark, stream, "sma"))
+
+
+@query
+def stream_sma_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = indicators.moving_average(feeds.ticks(feeds.event_stream(spark, sf_dir)), **WIDE)
+    folder = work_folder(spark, "sma-complete")
+    sinks.to_table(
+        stream, f"{folder}/out", f"{folder}/checkpoint", sinks.ONCE
+    ).awaitTermination()
+    return naive(spark.read.schema(stream.schema).parquet(f"{folder}/out"))
+
+
+@query
+def stream_pump_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = indicators.pump_dump(feeds.ticks(feeds.event_stream(spark, sf_dir)))
+    return naive(_finished(spark, stream, "pump-dump"))
+
+
+@query
+def stream_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.event_stream(spark, sf_dir)
+    stream = indicators.price_deviation(
+        feeds.local_feed(rows), feeds.global_feed(rows), size="6 hours"
+    )
+    return naive(_finished(spark, stream, "deviation"))
+
+
+@query
+def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The odd users' ticks arrive after the even users': most find their window closed.
+
+    Two runs of one query over one checkpoint, so this is a restart as well.
+    """
+    rows = feeds.events(spark, sf_dir)
+    folder = work_folder(spark, "late")
+    late = F.col("user_id") % 2 == 1
+    for wave in (rows.where(~late), rows.where(late)):
+        wave.write.mode("append").parquet(f"{folder}/in")
+        stream = indicators.moving_average(
+            feeds.ticks(table_stream(spark, f"{folder}/in", rows.schema)), delay="10 days", **WIDE
+        )
+        sinks.to_history(
+            stream, f"{folder}/out", f"{folder}/checkpoint", (), sinks.ONCE
+        ).awaitTermination()
+    return naive(spark.read.schema(stream.schema).parquet(f"{folder}/out"))
+
+
+@query
+def stream_message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ticks = feeds.ticks(feeds.event_stream(spark, sf_dir)).withColumn(
+        "topic", ticker_topic(F.col("symbol"))
+    )
+    folder = work_folder(spark, "counts")
+    stream = metrics.message_counts(ticks)
+    sinks.to_table(
+        stream, f"{folder}/out", f"{folder}/checkpoint", sinks.ONCE
+    ).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "alerts")
+    start_alerts(
+        spark,
+        feeds.samples(feeds.event_stream(spark, sf_dir)),
+        folder,
+        feeds.RULES,
+        step="1 minute",
+        lookback="3 hours",
+        trigger=sinks.ONCE,
+        wait=True,
+    )
+    changes = spark.read.parquet(f"{folder}/changes")
+    return naive(changes.select("rule", "severity", label("par"), "state", "at", "pending_at"))
+
+
+@query
+def stream_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = alerts.silences_stream(
+        feeds.ticks(feeds.event_stream(spark, sf_dir)), limit="1 hour"
+    )
+    return naive(_finished(spark, stream, "silence"))
+
+
+@query
+def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.ticks(feeds.event_stream(spark, sf_dir))
+    stamped = enrich.stamp(rows, F.col("event_time"))
+    written = _finished(spark, stamped, "sink", V.HISTORY["tickers"])
+    return written.select("event_id", "par", "fecha", "price", "change_pct")
+
+
+@query
+def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages in, keyed messages out to one directory per topic."""
+    raw = feeds.exchange_messages(feeds.event_stream(spark, sf_dir))
+    tickers, _ = normalize.tickers(normalize.route(raw))
+    messages = publish.encode(tickers, ["symbol", "timestamp"], key=F.col("symbol"))
+    written = _finished(spark, messages, "publish", ("topic",))
+    return written.select(
+        "topic", F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+    )

@@ -8,13 +8,22 @@ Everything is derived from the whole table by column expressions.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import percent_change
+from .. import values as V
+from ..functions import percent_change, ticker_topic
+from ..operators import metrics
+from ..operators.alerts import Rule
+from ..sources import table_stream
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as a stream; the pattern lets it be a single file as well as a folder."""
+    return table_stream(spark, f"{sf_dir}/events.parque[t]", events(spark, sf_dir).schema)
+
+
 def lot() -> Column:
     """The ``k`` number (0 to 99) inside the ``props`` JSON."""
     return F.get_json_object("props", "$.k").cast("bigint")
@@ -59,3 +68,178 @@ def lineitem_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_discount").alias("change_pct"),
         F.col("l_shipdate").alias("event_time"),
     )
+
+
+# Raw messages. Numbers go out as text, as the exchange sends them. Two defects are built in:
+# a ``k`` below 10 makes the price unreadable, one from 90 up cuts the message short.
+
+
+def _defective(whole: Column) -> Column:
+    return F.when(F.col("k") >= 90, F.left(whole, F.lit(30))).otherwise(whole)
+
+
+def _price_text() -> Column:
+    return F.when(F.col("k") < 10, "n/a").otherwise(F.col("value").cast("string"))
+
+
+def _millis() -> Column:
+    return F.unix_millis(F.col("ts").cast("timestamp"))
+
+
+def exchange_messages(rows: DataFrame) -> DataFrame:
+    """One raw mini ticker per event; sign-ups become a stream kind nobody reads."""
+    stream = F.concat(
+        F.lower("event_type"),
+        F.when(F.col("event_type") == "signup", "@depth").otherwise("@miniTicker"),
+    )
+    data = F.struct(
+        F.col("event_type").alias("s"),
+        _price_text().alias("c"),
+        open_price().cast("string").alias("o"),
+        F.col("user_id").cast("string").alias("v"),
+        _millis().alias("E"),
+    )
+    with_k = rows.withColumn("k", lot())
+    return with_k.select(
+        _defective(F.to_json(F.struct(stream.alias("stream"), data.alias("data")))).alias("json")
+    )
+
+
+def candles(rows: DataFrame) -> DataFrame:
+    """Hourly candles of the events; an hour with two or more events is closed."""
+    order = F.struct("ts", "event_id")
+    return rows.groupBy(
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"), "event_type"
+    ).agg(
+        F.min_by("value", order).alias("open"),
+        F.max("value").alias("high"),
+        F.min("value").alias("low"),
+        F.max_by("value", order).alias("close"),
+        F.sum("user_id").cast("double").alias("volume"),
+        (F.count("*") >= 2).alias("closed"),
+    )
+
+
+def kline_messages(rows: DataFrame) -> DataFrame:
+    """One raw candle message per hour and event type."""
+    text = {f: F.col(f).cast("string") for f in ("open", "high", "low", "close", "volume")}
+    k = F.struct(
+        F.col("event_type").alias("s"),
+        text["open"].alias("o"),
+        text["high"].alias("h"),
+        text["low"].alias("l"),
+        text["close"].alias("c"),
+        text["volume"].alias("v"),
+        F.col("closed").alias("x"),
+        F.unix_millis("hour").alias("t"),
+    )
+    stream = F.concat(F.lower("event_type"), F.lit("@kline_1m"))
+    message = F.struct(stream.alias("stream"), F.struct(k.alias("k")).alias("data"))
+    return candles(rows).select(F.to_json(message).alias("json"))
+
+
+def tick_records(rows: DataFrame) -> DataFrame:
+    """Normalized ticks as message-bus rows, with the defects above."""
+    message = F.concat(
+        F.lit('{"symbol":"'), F.col("event_type"),
+        F.lit('","price":'), F.when(F.col("k") < 10, '"n/a"').otherwise(F.col("value").cast("string")),
+        F.lit(',"volume_24h":'), F.col("user_id").cast("string"),
+        F.lit(',"extra":true,"timestamp":'), _millis().cast("string"), F.lit("}"),
+    )
+    return rows.withColumn("k", lot()).select(
+        F.col("event_type").cast("binary").alias("key"),
+        _defective(message).cast("binary").alias("value"),
+        F.concat(F.lower("event_type"), F.lit("-ticker")).alias("topic"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+    )
+
+
+# Two of the five event types play the coins of the global feed.
+COINS = {"view": "VIEWUSD", "purchase": "PURCHASEUSD"}
+
+
+def snapshots(rows: DataFrame) -> DataFrame:
+    """One snapshot per hour: every event type's last event, fields missing where k < 50."""
+    latest = rows.withColumn("k", lot()).groupBy(
+        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"), "event_type"
+    ).agg(F.max_by(F.struct("value", "k"), F.struct("ts", "event_id")).alias("last"))
+    full = F.col("last.k") >= 50
+    quote = F.struct(
+        F.col("last.value").alias("usd"),
+        F.when(full, F.col("last.value") * 1e6).alias("usd_market_cap"),
+        F.when(full, F.col("last.k")).alias("usd_24h_vol"),
+    )
+    # At most one entry per event type, and there are five of those.
+    by_type = F.map_from_entries(F.collect_list(F.struct("event_type", quote)))
+    return latest.groupBy("hour").agg(by_type.alias("quotes")).select(
+        F.to_json("quotes").alias("json"), F.unix_millis("hour").alias("polled")
+    )
+
+
+def sentiment_documents(rows: DataFrame) -> DataFrame:
+    """One document per event; those with an odd user carry no entry at all."""
+    entry = F.concat(
+        F.lit('{"value":"'), lot().cast("string"),
+        F.lit('","value_classification":"'), F.col("event_type"),
+        F.lit('","timestamp":"'), F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
+        F.lit('"}'),
+    )
+    body = F.when(F.col("user_id") % 2 == 0, entry).otherwise("")
+    return rows.select(
+        F.concat(F.lit('{"data":['), body, F.lit("]}")).alias("json"), _millis().alias("polled")
+    )
+
+
+# Metric samples: gauges of the ticks, and the message counter as scraped every few minutes
+# by a producer that restarts daily.
+
+
+def samples(rows: DataFrame) -> DataFrame:
+    return metrics.tick_gauges(ticks(rows))
+
+
+def container_memory(rows: DataFrame) -> DataFrame:
+    """A gauge whose label is absent for the sign-ups."""
+    named = ticks(rows).withColumn("name", F.nullif(F.col("symbol"), F.lit("signup")))
+    return metrics.gauges(named, {V.CONTAINER_MEMORY: "price"}, label="name", of="name")
+
+
+def host_memory(rows: DataFrame) -> DataFrame:
+    """Even users report the total, odd ones what is available."""
+    metric = F.when(F.col("user_id") % 2 == 0, V.NODE_MEMORY_TOTAL).otherwise(
+        V.NODE_MEMORY_AVAILABLE
+    )
+    return rows.select(
+        metric.alias("metric"),
+        F.create_map(F.lit("par"), F.col("event_type")).alias("labels"),
+        "ts",
+        "value",
+    )
+
+
+def counter(rows: DataFrame, every: str = "10 minutes") -> DataFrame:
+    named = ticks(rows).withColumn("topic", ticker_topic(F.col("symbol")))
+    return metrics.message_counter(named, every=every, restart="1 day")
+
+
+def idle_counter(rows: DataFrame) -> DataFrame:
+    """The counter again, as the idle time of one processor per topic."""
+    labels = F.create_map(F.lit("mode"), F.lit("idle"), F.lit("cpu"), F.col("labels")["topic"])
+    return counter(rows).select(
+        F.lit(V.NODE_CPU).alias("metric"), labels.alias("labels"), "ts", "value"
+    )
+
+
+def busy_counter(rows: DataFrame) -> DataFrame:
+    """The counter again, as processor time of one container per topic."""
+    labels = F.create_map(F.lit("name"), F.col("labels")["topic"])
+    return counter(rows).select(
+        F.lit(V.CONTAINER_CPU).alias("metric"), labels.alias("labels"), "ts", "value"
+    )
+
+
+RULES = (
+    Rule("Dump", V.CHANGE_24H, "<", -3.0, "1 minute", "critical", {"par": "view"}),
+    Rule("Pump", V.CHANGE_24H, ">", 3.0, "6 minutes", "warning", {"par": "purchase"}),
+    Rule("Cheap", V.PRICE_NOW, "<", 10.0, "2 hours", "info"),
+)
