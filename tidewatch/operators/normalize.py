@@ -100,27 +100,25 @@ def market(
 
     lookup = spark.createDataFrame(list(symbols.items()), "coin string, symbol string")
     known = F.map_filter("d", lambda coin, _: coin.isin(list(symbols)))
-    quotes = (
-        parsed.select("timestamp", F.explode(known).alias("coin", text))
-        .join(lookup, "coin", "inner")
-        .withColumn("quote", F.from_json(text, S.TEXT_MAP))
+    quotes = parsed.select("timestamp", F.explode(known).alias("coin", text)).join(
+        lookup, "coin", "inner"
     )
+    quote = F.col("d")
     fields = {
-        "price_usd": F.col("quote")["usd"],
-        "market_cap": F.col("quote")["usd_market_cap"],
-        "volume_24h": F.col("quote")["usd_24h_vol"],
-        "change_24h": F.col("quote")["usd_24h_change"],
+        "price_usd": quote["usd"],
+        "market_cap": quote["usd_market_cap"],
+        "volume_24h": quote["usd_24h_vol"],
+        "change_24h": quote["usd_24h_change"],
     }
-    typed = quotes.select(
-        text,
-        F.col("quote").isNotNull().alias("object"),
-        "symbol",
-        "coin",
-        *[to_double(F.coalesce(v, F.lit("0"))).alias(name) for name, v in fields.items()],
-        "timestamp",
+    # A quote that is no object has no numbers, not even missing ones.
+    numbers = {
+        name: F.when(quote.isNotNull(), to_double(F.coalesce(v, F.lit("0"))))
+        for name, v in fields.items()
+    }
+    typed = parse_json(quotes, S.TEXT_MAP, text).select(
+        text, "symbol", "coin", *[v.alias(name) for name, v in numbers.items()], "timestamp"
     )
-    typed = typed.withColumn("price_usd", F.when(F.col("object"), F.col("price_usd")))
-    valid, bad = split(typed.drop("object"), tuple(fields), text)
+    valid, bad = split(typed, tuple(fields), text)
     return valid.withColumn("topic", F.lit(V.MARKET_TOPIC)), no_object.unionByName(bad)
 
 

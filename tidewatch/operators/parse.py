@@ -17,10 +17,12 @@ def parse_json(records: DataFrame, schema: T.DataType, text: str = "json") -> Da
     """Parse ``text`` into the struct (or map) column ``d``.
 
     Text that is no JSON object gives NULL fields, and so does a single field of the wrong
-    type. Names are case-sensitive, unknown ones are ignored, and only the fields used
-    further down are parsed at all.
+    type. Names are case-sensitive, unknown ones are ignored.
+
+    The one-element ``explode`` keeps every row and has each text parsed exactly once: a plain
+    projection would be copied into each later filter, one parse per field tested.
     """
-    return records.withColumn("d", F.from_json(text, schema))
+    return records.withColumn("d", F.explode(F.array(F.from_json(text, schema))))
 
 
 def flatten(parsed: DataFrame) -> DataFrame:

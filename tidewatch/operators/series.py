@@ -105,13 +105,15 @@ def rate(
     window: str = V.RATE_WINDOW,
     step: str = V.EVALUATE_EVERY,
     extrapolate: bool = True,
+    unique: bool = False,
     slice_length: str = SLICE,
 ) -> DataFrame:
     """``(metric, labels, eval_ts, rate)``: per-second increase of counters at each step.
 
     The samples in ``(t - window, t]`` count; fewer than two give no row. A value below its
     predecessor is a reset, and the predecessor is added back. ``extrapolate`` stretches the
-    increase to the window's edges, but at the start never to below zero.
+    increase to the window's edges, but at the start never to below zero. ``unique`` says that
+    no series repeats a time, as in a scraped counter, and saves the pass that makes it so.
     """
     window, step = micros(window), micros(step)
     length = max(micros(slice_length), window)
@@ -121,8 +123,8 @@ def rate(
     first_step = ceil_to(ceil_to(F.col("us"), cell), step)
     last_step = floor_to(ceil_to(F.col("us"), cell) - cell + window, step)
     slices = F.sequence(floor_to(first_step, length), floor_to(last_step, length), F.lit(length))
-    seen = _distinct(keyed(samples)).where(first_step <= last_step)
-    spread = seen.withColumn("slice", F.explode(slices))
+    settled = keyed(samples) if unique else _distinct(keyed(samples))
+    spread = settled.where(first_step <= last_step).withColumn("slice", F.explode(slices))
 
     # From here on everything is partitioned by (series, slice): one shuffle.
     in_slice = Window.partitionBy(*SERIES, "slice").orderBy("us")
@@ -139,23 +141,14 @@ def rate(
         F.sum("drop").alias("drops"),
         F.min_by("drop", "us").alias("first_drop"),
     )
-    steps = F.sequence(
-        F.greatest(ceil_to(F.col("cell"), step), ceil_to(F.col("slice"), step)),
-        F.least(
-            floor_to(F.col("cell") - cell + window, step),
-            floor_to(F.col("slice") + length - 1, step),
-        ),
-        F.lit(step),
-    )
-    has_steps = F.greatest(
-        ceil_to(F.col("cell"), step), ceil_to(F.col("slice"), step)
-    ) <= F.least(
+    since = F.greatest(ceil_to(F.col("cell"), step), ceil_to(F.col("slice"), step))
+    till = F.least(
         floor_to(F.col("cell") - cell + window, step),
         floor_to(F.col("slice") + length - 1, step),
     )
     seen_at = (
-        cells.where(has_steps)
-        .withColumn("at", F.explode(steps))
+        cells.where(since <= till)
+        .withColumn("at", F.explode(F.sequence(since, till, F.lit(step))))
         .groupBy(*SERIES, "slice", "at")
         .agg(
             F.sum("n").alias("n"),

@@ -20,7 +20,7 @@ from ..streaming.alerts import start_alerts
 from . import feeds
 
 WIDE = dict(size="1 hour", slide="12 minutes")
-HOURLY = dict(window="3 hours", step="1 hour")
+HOURLY = dict(window="3 hours", step="1 hour", unique=True)
 
 QUERIES = {}
 
@@ -334,7 +334,8 @@ def metric_rate_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def metric_rate_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel's own window and step; most minutes hold too few messages to have a rate."""
-    rates = metrics.message_rate(feeds.counter(feeds.events(spark, sf_dir), V.EVALUATE_EVERY))
+    counter = feeds.counter(feeds.events(spark, sf_dir), V.EVALUATE_EVERY)
+    rates = metrics.message_rate(counter, unique=True)
     return rates.select(
         label("topic"), "eval_ts", round_to(F.col("rate"), 8).alias("rate")
     )

@@ -137,8 +137,3 @@ def write_history(rows: DataFrame, path: str, partition_by: Sequence[str], mode:
     much of the data over several tasks, and joins small ones (adaptive execution).
     """
     rows.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
-
-
-def compact_history(history: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Rewrite a history of many small files into a new place."""
-    write_history(history, path, partition_by, mode="errorifexists")
