@@ -7,6 +7,7 @@ Everything is derived from the whole table by column expressions.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import values as V
 from ..functions import percent_change, ticker_topic
@@ -15,13 +16,25 @@ from ..operators.alerts import Rule
 from ..sources import table_stream
 
 
+EVENTS = T.StructType(
+    [
+        T.StructField("event_id", T.LongType()),
+        T.StructField("ts", T.TimestampNTZType()),
+        T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()),
+        T.StructField("value", T.DoubleType()),
+        T.StructField("props", T.StringType()),
+    ]
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table as a stream; the pattern lets it be a single file as well as a folder."""
-    return table_stream(spark, f"{sf_dir}/events.parque[t]", events(spark, sf_dir).schema)
+    return table_stream(spark, f"{sf_dir}/events.parque[t]", EVENTS)
 
 
 def lot() -> Column:
