@@ -30,7 +30,8 @@ class Rule:
     description: str = ""
 
     def holds(self, value: Column) -> Column:
-        return _COMPARE[self.op](value, F.lit(self.threshold))
+        """The comparison; Spark would take NaN for the largest number."""
+        return _COMPARE[self.op](value, F.lit(self.threshold)) & ~F.isnan(value)
 
 
 # --- fixed values: the alert rules in production -----------------------------

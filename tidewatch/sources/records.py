@@ -81,4 +81,4 @@ def text_messages(spark: SparkSession, path: str, *, streaming: bool = False) ->
 def whole_documents(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFrame:
     """One raw JSON document per file, as polled, in column ``json``."""
     reader = spark.readStream if streaming else spark.read
-    return reader.option("wholetext", True).text(path).withColumnRenamed("value", "json")
+    return reader.text(path, wholetext=True).withColumnRenamed("value", "json")
