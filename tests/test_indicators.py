@@ -163,7 +163,8 @@ def test_invariants(spark):
     assert windows == expected
 
 
-def test_size_must_be_a_multiple_of_the_slide(spark):
-    with pytest.raises(ValueError):
-        indicators.moving_average(ticks(spark, ("A", 1.0, 1.0, 0)), size="5 minutes",
-                                  slide="2 minutes")
+def test_size_that_is_no_multiple_of_the_slide(spark):
+    rows = ticks(spark, ("A", 1.0, 1.0, 0), ("A", 3.0, 1.0, 119))
+    out = indicators.moving_average(rows, size="3 minutes", slide="2 minutes")
+    assert {(r.window_start, r.sma_5min) for r in out.collect()} == {(at(-120), 1.0), (at(0), 2.0)}
+    assert dict(out.dtypes)["window_start"] == "timestamp_ntz"

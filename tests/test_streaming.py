@@ -237,6 +237,52 @@ def test_whole_job(spark, complete):
             F.col("window_end") <= F.lit(at(1195 - 120))).count()
 
 
+def test_raw_messages_travel_to_the_feeds(spark):
+    """Raw text through both halves: publish as files by topic, then read as feeds."""
+    folder = work_folder(spark, "raw")
+
+    def raw(name, *texts):
+        spark.createDataFrame([(t,) for t in texts], "json string").write.parquet(
+            f"{folder}/{name}"
+        )
+        return table_stream(spark, f"{folder}/{name}", spark.read.parquet(f"{folder}/{name}").schema)
+
+    exchange = raw(
+        "exchange",
+        '{"stream":"btcusdt@miniTicker","data":{"s":"BTCUSDT","c":"103.00","o":"100.00",'
+        '"v":"12.5","E":1700000000000}}',
+        '{"stream":"ethusdt@kline_1m","data":{"k":{"s":"ETHUSDT","o":"1","h":"4","l":"1","c":"3",'
+        '"v":"2.5","x":true,"t":1699999980000}}}',
+        '{"stream":"ethusdt@miniTicker","data":{"s":"ETHUSDT"}}',
+        "junk",
+    )
+    snapshots = raw("snapshots", '{"bitcoin":{"usd":100.5},"ethereum":{"usd":"x"}}')
+    documents = raw(
+        "documents",
+        '{"data":[{"value":"24","value_classification":"Extreme Fear","timestamp":"1700000000"}]}',
+    )
+    messages, rejects = jobs.publish_feeds(spark, exchange, snapshots, documents)
+    sinks.to_topic_files(messages, f"{folder}/bus", f"{folder}/c1", sinks.ONCE).awaitTermination()
+    sinks.to_history(rejects, f"{folder}/rejects", f"{folder}/c2", (), sinks.ONCE
+                     ).awaitTermination()
+    assert sorted(r.missing for r in spark.read.parquet(f"{folder}/rejects").collect()) == [
+        "price,volume_24h,timestamp,open", "price_usd", "stream"
+    ]
+    bus = spark.read.parquet(f"{folder}/bus")
+    assert sorted((r.topic, bytes(r.key).decode()) for r in bus.collect()) == [
+        ("btcusdt-ticker", "BTCUSDT"), ("coingecko-market", "BTCUSDT"),
+        ("crypto-klines", "ETHUSDT"), ("feargreed-index", "FNG"),
+    ]
+    feeds = jobs.open_feeds(lambda topics: bus.where(F.col("topic").isin(list(topics))))
+    assert feeds.rejects.count() == 0
+    tick = feeds.tickers.first()
+    assert (tick.par, tick.price, tick.change_pct) == ("BTCUSDT", 103.0, 3.0)
+    assert tick.event_time == dt.datetime(2023, 11, 14, 22, 13, 20)
+    assert feeds.klines.first().close == 3.0
+    assert feeds.market.first().price_usd == 100.5
+    assert feeds.sentiment.first().value == 24
+
+
 def test_arrival_time_stamps_rows_when_read(spark):
     folder = work_folder(spark, "job")
     bus(spark, folder)

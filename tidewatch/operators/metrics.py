@@ -83,10 +83,13 @@ def message_counter(
     width, period = micros(every), micros(restart or "1 day")
     # A restart belongs to the scrape after it: the slices are (start, end] like the scrapes.
     cells = (
-        messages.where(F.col(ts).isNotNull())
+        messages.where(F.col(ts).isNotNull() & F.col(topic).isNotNull())
         .groupBy(topic, ceil_to(epoch_micros(F.col(ts)), width).alias("cell"))
         .agg(F.count("*").alias("n"))
         .withColumn("slice", floor_to(F.col("cell") - 1, period))
+        # Said here, or the join below adds it to one of its sides only and the messages
+        # are counted twice.
+        .where(F.col("slice").isNotNull())
     )
     in_slice = Window.partitionBy(topic, "slice").orderBy("cell")
     counted = cells.withColumn("value", F.sum("n").over(in_slice))
@@ -141,7 +144,7 @@ def combine(
     both = samples.where(F.col("metric").isin(left, right))
     wide = (
         on_grid(both, **grid)
-        .groupBy(F.array_sort(F.map_entries("labels")).alias("labels"), "eval_ts")
+        .groupBy(F.sort_array(F.map_entries("labels")).alias("labels"), "eval_ts")
         .agg(
             F.max(F.when(F.col("metric") == left, F.col("value"))).alias("a"),
             F.max(F.when(F.col("metric") == right, F.col("value"))).alias("b"),

@@ -25,7 +25,7 @@ def keyed(samples: DataFrame) -> DataFrame:
     """Labels as sorted entries, which group, join and hash; time as microseconds."""
     return samples.where(F.col("ts").isNotNull() & F.col("value").isNotNull()).select(
         "metric",
-        F.array_sort(F.map_entries("labels")).alias("labels"),
+        F.sort_array(F.map_entries("labels")).alias("labels"),
         epoch_micros(F.col("ts")).alias("us"),
         "value",
     )
@@ -128,10 +128,8 @@ def rate(
 
     # From here on everything is partitioned by (series, slice): one shuffle.
     in_slice = Window.partitionBy(*SERIES, "slice").orderBy("us")
-    before = F.lag("value").over(in_slice)
-    drops = spread.withColumn(
-        "drop", F.when(F.col("value") < before, before).otherwise(F.lit(0.0))
-    )
+    dropped = F.when(F.col("value") < F.col("before"), F.col("before")).otherwise(F.lit(0.0))
+    drops = spread.withColumn("before", F.lag("value").over(in_slice)).withColumn("drop", dropped)
     cells = drops.groupBy(*SERIES, "slice", ceil_to(F.col("us"), cell).alias("cell")).agg(
         F.count("*").alias("n"),
         F.min("us").alias("first_us"),

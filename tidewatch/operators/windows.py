@@ -38,7 +38,7 @@ def windowed(
     delay: str | None = None,
 ) -> DataFrame:
     """``(window_start, window_end, key, *stats)``; NULL times belong to no window."""
-    if df.isStreaming:
+    if df.isStreaming or micros(size) % micros(slide or size):
         return flatten(windowed_stream(df, stats, time=time, key=key, size=size, slide=slide,
                                        delay=delay))
     table = windowed_table(df, stats, time=time, key=key, size=size, slide=slide)
@@ -46,13 +46,16 @@ def windowed(
 
 
 def windowed_stream(df, stats, *, time, key, size, slide=None, delay=None) -> DataFrame:
-    """The same with the ``window`` struct kept, as stream joins need it.
+    """The same by plain window grouping, with the ``window`` struct kept as stream joins need it.
 
-    Watermarks want a TIMESTAMP, so a TIMESTAMP_NTZ time column is cast.
+    Watermarks want a TIMESTAMP, so a stream's TIMESTAMP_NTZ time column is cast. Tables come
+    here only if their window has no panes, its size being no multiple of the slide.
     """
-    timed = df.withColumn(time, F.col(time).cast("timestamp"))
-    if delay:
-        timed = timed.withWatermark(time, delay)
+    timed = df
+    if df.isStreaming:
+        timed = df.withColumn(time, F.col(time).cast("timestamp"))
+        if delay:
+            timed = timed.withWatermark(time, delay)
     window = F.window(time, size, slide or size)
     return timed.groupBy(window.alias("window"), key).agg(*[s.direct() for s in stats])
 
@@ -81,8 +84,6 @@ def windowed_table(df, stats, *, time, key, size, slide=None) -> DataFrame:
     Results stay partitioned by (start, key), so a join on those moves nothing.
     """
     size, slide = micros(size), micros(slide or size)
-    if size % slide:
-        raise ValueError("the window size must be a multiple of its slide")
     panes = (
         df.where(F.col(time).isNotNull())
         .groupBy(floor_to(epoch_micros(F.col(time)), slide).alias("start"), key)

@@ -16,7 +16,7 @@ from ..operators import alerts, enrich, indicators, metrics, normalize, parse, p
 from ..session import work_folder
 from ..sources import read_history, table_stream
 from ..streaming import sinks
-from ..streaming.alerts import start_alerts
+from ..streaming.alerts import CHANGES, start_alerts
 from . import feeds
 
 WIDE = dict(size="1 hour", slide="12 minutes")
@@ -505,7 +505,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         trigger=sinks.ONCE,
         wait=True,
     )
-    changes = spark.read.parquet(f"{folder}/changes")
+    changes = spark.read.schema(CHANGES).parquet(f"{folder}/changes")
     return naive(changes.select("rule", "severity", label("par"), "state", "at", "pending_at"))
 
 

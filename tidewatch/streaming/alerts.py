@@ -32,6 +32,16 @@ STEPS = T.StructType(
         T.StructField("value", T.DoubleType()),
     ]
 )
+CHANGES = T.StructType(
+    [
+        T.StructField("rule", T.StringType()),
+        T.StructField("severity", T.StringType()),
+        T.StructField("labels", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("state", T.StringType()),
+        T.StructField("at", T.TimestampType()),
+        T.StructField("pending_at", T.TimestampType()),
+    ]
+)
 _STATE = "run_start long, run_end long, open_until long, holds boolean, fired boolean"
 _OUTPUT = (
     "rule string, severity string, series string, state string, at_us long, pending_us long"
@@ -50,7 +60,7 @@ def step_values(
     timed = timed.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
     # Steps are (start, end] while windows are [start, end): shift by the clock's resolution.
     window = F.window("ts", step, step, "1 microsecond")
-    series = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("labels"))))
+    series = F.to_json(F.map_from_entries(F.sort_array(F.map_entries("labels"))))
     last = timed.groupBy(window.alias("window"), "metric", series.alias("series")).agg(
         F.max("ts").alias("last"), F.max_by("value", "ts").alias("value")
     )

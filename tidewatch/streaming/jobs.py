@@ -2,17 +2,18 @@
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
 from .. import values as V
 from ..functions import from_epoch_millis
-from ..operators import indicators
+from ..operators import indicators, normalize, publish
 from ..operators.enrich import stamp
-from ..operators.normalize import closed_only
 from ..operators.parse import read_feed
 from ..session import prepare
 from . import sinks
@@ -27,6 +28,8 @@ class Job:
     ``arrival_time=True`` stamps rows when they are read; by default the messages' own time
     counts, so that a replay gives the same result. ``complete=True`` reports the first two
     indicators whole at every trigger, at the price of state that never shrinks.
+    ``watermark_policy="max"`` lets the deviation go on while one of its feeds is silent, but
+    then drops what that feed delivers late; ``min`` waits for it.
     """
 
     history: str
@@ -34,6 +37,7 @@ class Job:
     results: str | None = None
     arrival_time: bool = False
     complete: bool = False
+    watermark_policy: str = "min"
     trigger: dict | None = None
 
     def path(self, name: str) -> str:
@@ -72,6 +76,36 @@ def open_feeds(source: Source, arrival_time: bool = False) -> Feeds:
     return Feeds(tickers, klines, market, sentiment, rejects)
 
 
+def publish_feeds(
+    spark: SparkSession,
+    exchange: DataFrame | None = None,
+    snapshots: DataFrame | None = None,
+    documents: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """Raw messages (column ``json``) to keyed messages and rejects, the other end of the bus.
+
+    The messages ``(topic, key, value)`` go to ``sinks.to_topics``, each to its own topic.
+    """
+    sent, rejected = [], []
+
+    def add(feed: tuple[DataFrame, DataFrame], schema: T.StructType, key: Column) -> None:
+        valid, rejects = feed
+        sent.append(publish.encode(valid, schema.names, key=key))
+        rejected.append(rejects)
+
+    symbol = F.col("symbol")
+    if exchange is not None:
+        routed = normalize.route(exchange)
+        add(normalize.tickers(routed), S.TICK, symbol)
+        add(normalize.klines(routed), S.KLINE, symbol)
+        rejected.append(normalize.unreadable(routed))
+    if snapshots is not None:
+        add(normalize.market(snapshots, spark), S.MARKET, symbol)
+    if documents is not None:
+        add(normalize.sentiment(documents), S.SENTIMENT, F.lit(V.SENTIMENT_KEY))
+    return reduce(DataFrame.union, sent), reduce(DataFrame.union, rejected)
+
+
 def indicator_streams(feeds: Feeds) -> dict[str, DataFrame]:
     return {
         "sma": indicators.moving_average(feeds.tickers),
@@ -84,11 +118,13 @@ def indicator_streams(feeds: Feeds) -> dict[str, DataFrame]:
 
 def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQuery]:
     """Start every query; the names are those of the histories and indicators."""
-    prepare(spark)
+    prepare(spark).conf.set(
+        "spark.sql.streaming.multipleWatermarkPolicy", job.watermark_policy
+    )
     feeds = open_feeds(source, job.arrival_time)
     rows = {
         "tickers": feeds.tickers,
-        "klines": closed_only(feeds.klines),
+        "klines": normalize.closed_only(feeds.klines),
         "coingecko": feeds.market,
         "feargreed": feeds.sentiment,
     }

@@ -118,13 +118,14 @@ def fan_out(
 def batch_writer(
     path: str, partition_by: Sequence[str], select: Callable[[DataFrame], DataFrame] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """A branch for ``fan_out``: each batch replaces its own directory, so a rerun is safe."""
+    """A branch for ``fan_out``: each batch replaces its own directory, so a rerun is safe.
+
+    Unlike the plain file sink it joins small files and splits hot directories.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if select is None else select(batch)
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(
-            f"{path}/batch={batch_id}"
-        )
+        write_history(rows, f"{path}/batch={batch_id}", partition_by, mode="overwrite")
 
     return write
 
@@ -136,4 +137,5 @@ def write_history(rows: DataFrame, path: str, partition_by: Sequence[str], mode:
     The rebalance hint groups rows by partition before writing, splits a directory that holds
     much of the data over several tasks, and joins small ones (adaptive execution).
     """
-    rows.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    evened = rows.hint("rebalance", *partition_by)
+    evened.write.mode(mode).partitionBy(*partition_by).parquet(path)
