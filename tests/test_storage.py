@@ -59,7 +59,8 @@ def test_kafka_options():
     assert kafka_options("h:1", ["a", "b"]) == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "a,b", "startingOffsets": "latest"
     }
-    assert kafka_options("h:1", ["a"], starting="earliest", max_per_trigger=5, min_partitions=64) == {
+    more = dict(starting="earliest", max_per_trigger=5, min_partitions=64)
+    assert kafka_options("h:1", ["a"], **more) == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "a", "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "5", "minPartitions": "64",
     }

@@ -237,15 +237,36 @@ def test_whole_job(spark, complete):
             F.col("window_end") <= F.lit(at(1195 - 120))).count()
 
 
+def test_alerting_beside_the_job(spark):
+    folder = work_folder(spark, "job")
+    rows = [message("btcusdt-ticker", 5 * i, symbol="BTCUSDT", price=1.0, change_pct=change)
+            for i, change in enumerate([0.0] * 10 + [4.0] * 30 + [0.0] * 40)]
+    rows += [message("btcusdt-ticker", 1000 + 5 * i, symbol="BTCUSDT", price=1.0, change_pct=0.0)
+             for i in range(60)]
+    spark.createDataFrame(rows, S.RECORD).coalesce(1).write.parquet(f"{folder}/bus")
+    job = jobs.Job(f"{folder}/h", f"{folder}/c", f"{folder}/r", trigger=sinks.ONCE)
+    started = jobs.start_alerting(
+        spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics, streaming=True),
+        job,
+    )
+    started["silences"].awaitTermination()
+    changes = spark.read.parquet(f"{folder}/r/alerts/changes").collect()
+    assert {(r.rule, r.state, r.at) for r in changes} == {
+        ("BTCPumpDetectado", "pending", at(60)), ("BTCPumpDetectado", "firing", at(120)),
+        ("BTCPumpDetectado", "resolved", at(210)),
+    }
+    silences = spark.read.parquet(f"{folder}/r/silences").collect()
+    assert [(r.symbol, r.silent_from) for r in silences] == [("BTCUSDT", at(395))]
+
+
 def test_raw_messages_travel_to_the_feeds(spark):
     """Raw text through both halves: publish as files by topic, then read as feeds."""
     folder = work_folder(spark, "raw")
 
     def raw(name, *texts):
-        spark.createDataFrame([(t,) for t in texts], "json string").write.parquet(
-            f"{folder}/{name}"
-        )
-        return table_stream(spark, f"{folder}/{name}", spark.read.parquet(f"{folder}/{name}").schema)
+        frame = spark.createDataFrame([(t,) for t in texts], "json string")
+        frame.write.parquet(f"{folder}/{name}")
+        return table_stream(spark, f"{folder}/{name}", frame.schema)
 
     exchange = raw(
         "exchange",
@@ -289,6 +310,45 @@ def test_arrival_time_stamps_rows_when_read(spark):
     feeds = jobs.open_feeds(lambda topics: record_files(spark, f"{folder}/bus", topics=topics),
                             arrival_time=True)
     assert feeds.tickers.where(F.year("event_time") < 2025).count() == 0
+    started = jobs.start(
+        spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics, streaming=True),
+        jobs.Job(f"{folder}/h", f"{folder}/c", f"{folder}/r", arrival_time=True,
+                 trigger=sinks.ONCE),
+    )
+    for query in started.values():
+        query.awaitTermination()
+    # No window is over yet, but the history is there.
+    assert spark.read.parquet(f"{folder}/h/tickers").count() == 480
+    assert started["sma"].recentProgress[-1]["stateOperators"][0]["numRowsTotal"] > 0
+
+
+def test_messages_without_a_time(spark):
+    sent = spark.createDataFrame(
+        [(None, b'{"symbol":"A","price":1}', "btcusdt-ticker", at(0))], S.RECORD
+    )
+
+    def source(topics):
+        return sent.where(F.col("topic").isin(list(topics)))
+
+    strict = jobs.open_feeds(source)
+    assert strict.tickers.count() == 0
+    assert [(r.missing, r.feed) for r in strict.rejects.collect()] == [("timestamp", "tick")]
+    assert jobs.open_feeds(source, arrival_time=True).tickers.count() == 1
+
+
+def test_gauges_and_outcomes_on_a_stream(spark):
+    folder = work_folder(spark, "test")
+    schema = put(spark, folder, [("A", 1.0, 0.0, at(1)), ("A", 2.0, 0.0, at(9)),
+                                 ("B", 3.0, 0.0, at(5))])
+    stream = table_stream(spark, f"{folder}/in", schema)
+    latest = metrics.last_value(stream, ["price"], keys=["symbol"])
+    sinks.to_table(latest, f"{folder}/latest", f"{folder}/c1", sinks.ONCE).awaitTermination()
+    assert {tuple(r) for r in spark.read.parquet(f"{folder}/latest").collect()} == {
+        ("A", 2.0), ("B", 3.0)
+    }
+    polls = metrics.outcome_counts(stream, F.col("price") > 1)
+    sinks.to_table(polls, f"{folder}/polls", f"{folder}/c2", sinks.ONCE).awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(f"{folder}/polls").collect()] == [(2, 1)]
 
 
 def test_text_sources(spark, tmp_path):

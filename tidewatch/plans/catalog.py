@@ -1,21 +1,18 @@
 """Query name -> plan. Each plan takes (spark, sf_dir) and reads whole driver tables."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import functions as X
 from .. import schemas as S
 from .. import values as V
-from ..functions import (
-    classify_sentiment,
-    from_epoch_millis,
-    from_epoch_seconds,
-    round_to,
-    ticker_topic,
-)
+from ..functions import from_epoch_millis, from_epoch_seconds, round_to, ticker_topic
 from ..operators import alerts, enrich, indicators, metrics, normalize, parse, publish, series
 from ..session import work_folder
-from ..sources import read_history, table_stream
-from ..streaming import sinks
+from ..sources import read_history, record_files, table_stream
+from ..streaming import jobs, sinks
 from ..streaming.alerts import CHANGES, start_alerts
 from . import feeds
 
@@ -181,9 +178,9 @@ def sentiment_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def classify_sentiment_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+def classify_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.events(spark, sf_dir).withColumn("value", feeds.lot())
-    return rows.select("event_id", "value", classify_sentiment(F.col("value")).alias("band"))
+    return rows.select("event_id", "value", X.classify_sentiment(F.col("value")).alias("band"))
 
 
 @query
@@ -231,7 +228,8 @@ def history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def history_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One symbol's second week: two partition filters and one pushed value filter."""
-    week = F.col("fecha").between(F.lit("2024-01-08").cast("date"), F.lit("2024-01-14").cast("date"))
+    first, last = (F.lit(day).cast("date") for day in ("2024-01-08", "2024-01-14"))
+    week = F.col("fecha").between(first, last)
     return (
         _history(spark, sf_dir)
         .where((F.col("par") == "purchase") & week & (F.col("price") > 20))
@@ -536,3 +534,42 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
         "topic", F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
     )
+
+
+@query
+def stream_job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job: raw documents to bus files, and from there every feed to its history."""
+    rows = feeds.events(spark, sf_dir)
+    folder = work_folder(spark, "job")
+    messages, _ = jobs.publish_feeds(
+        spark,
+        feeds.exchange_messages(rows).union(feeds.kline_messages(rows)),
+        feeds.snapshots(rows),
+        feeds.sentiment_documents(rows),
+        symbols=feeds.COINS,
+        polled=F.col("polled"),
+    )
+    messages.withColumn("timestamp", F.current_timestamp()).write.parquet(f"{folder}/bus")
+
+    def source(topics):
+        stream = record_files(spark, f"{folder}/bus", streaming=True)
+        if topics == V.TICKER_TOPICS:
+            return stream.where(F.col("topic").endswith("-ticker"))
+        return stream.where(F.col("topic").isin(list(topics)))
+
+    job = jobs.Job(f"{folder}/history", f"{folder}/checkpoints", f"{folder}/results",
+                   trigger=sinks.ONCE)
+    for running in jobs.start(spark, source, job).values():
+        running.awaitTermination()
+    counts = [
+        spark.read.parquet(job.path(name))
+        .groupBy(F.lit(name).alias("feed"), *_pair(partition), "fecha")
+        .agg(F.count("*").alias("messages"))
+        for name, partition in V.HISTORY.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _pair(partition):
+    known = "par" in partition
+    return [F.col("par") if known else F.lit(None).cast("string").alias("par")]

@@ -153,9 +153,10 @@ def kline_messages(rows: DataFrame) -> DataFrame:
 
 def tick_records(rows: DataFrame) -> DataFrame:
     """Normalized ticks as message-bus rows, with the defects above."""
+    price = F.when(F.col("k") < 10, '"n/a"').otherwise(F.col("value").cast("string"))
     message = F.concat(
         F.lit('{"symbol":"'), F.col("event_type"),
-        F.lit('","price":'), F.when(F.col("k") < 10, '"n/a"').otherwise(F.col("value").cast("string")),
+        F.lit('","price":'), price,
         F.lit(',"volume_24h":'), F.col("user_id").cast("string"),
         F.lit(',"extra":true,"timestamp":'), _millis().cast("string"), F.lit("}"),
     )

@@ -60,7 +60,8 @@ FROM windows {where} GROUP BY window_start, symbol"""
 
 
 def _labelled(change: str) -> str:
-    return f"CASE WHEN {change} > 2 THEN '🚀 PUMP' WHEN {change} < -2 THEN '💥 DUMP' ELSE 'normal' END"
+    return f"""CASE WHEN {change} > 2 THEN '🚀 PUMP' WHEN {change} < -2 THEN '💥 DUMP'
+                ELSE 'normal' END"""
 
 
 def _pump_dump(size: str, slide: str, copies: int, judged: str = "change_avg") -> str:
@@ -179,7 +180,7 @@ ORACLES["sentiment_rejects"] = """
 SELECT '{"data":[]}' AS json, 'value,classification,timestamp' AS missing,
        count(*) AS documents
 FROM events WHERE user_id % 2 = 1"""
-ORACLES["classify_sentiment_bands"] = f"""WITH {_EVENTS}
+ORACLES["classify_sentiment"] = f"""WITH {_EVENTS}
 SELECT event_id, k AS value,
        CASE WHEN k <= 24 THEN 'Extreme Fear' WHEN k <= 49 THEN 'Fear'
             WHEN k <= 74 THEN 'Greed' ELSE 'Extreme Greed' END AS band
@@ -491,3 +492,15 @@ ORACLES["stream_publish"] = f"""WITH {_EVENTS}
 SELECT lower(event_type) || '-ticker' AS topic, event_type AS key,
        '{{"symbol":"' || event_type || '","timestamp":' || {_MILLIS} || '}}' AS value
 FROM rows WHERE {_GOOD_TICKER}"""
+ORACLES["stream_job_history"] = f"""WITH {_CANDLES},
+quotes AS (
+  SELECT DISTINCT date_trunc('hour', ts) AS hour, upper(event_type) || 'USD' AS par
+  FROM rows WHERE event_type IN ('view', 'purchase')
+)
+SELECT 'tickers' AS feed, event_type AS par, CAST(ts AS DATE) AS fecha, count(*) AS messages
+FROM rows WHERE {_GOOD_TICKER} GROUP BY ALL
+UNION ALL SELECT 'klines', symbol, CAST(hour AS DATE), count(*)
+          FROM candles WHERE closed GROUP BY ALL
+UNION ALL SELECT 'coingecko', par, CAST(hour AS DATE), count(*) FROM quotes GROUP BY ALL
+UNION ALL SELECT 'feargreed', NULL, CAST(ts AS DATE), count(*)
+          FROM rows WHERE user_id % 2 = 0 GROUP BY ALL"""

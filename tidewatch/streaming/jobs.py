@@ -12,11 +12,12 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas as S
 from .. import values as V
 from ..functions import from_epoch_millis
-from ..operators import indicators, normalize, publish
+from ..operators import alerts, indicators, metrics, normalize, publish
 from ..operators.enrich import stamp
 from ..operators.parse import read_feed
 from ..session import prepare
 from . import sinks
+from .alerts import start_alerts
 
 Source = Callable[[Sequence[str]], DataFrame]
 
@@ -59,10 +60,14 @@ class Feeds:
 
 
 def open_feeds(source: Source, arrival_time: bool = False) -> Feeds:
-    """Read the topics through ``source(topics)``, be it a bus or files."""
+    """Read the topics through ``source(topics)``, be it a bus or files.
+
+    Where the messages' own time counts, one without it is rejected.
+    """
 
     def feed(topics, schema, kind, time="timestamp", symbol="symbol"):
-        valid, rejects = read_feed(source(topics), schema, S.REQUIRED[kind])
+        required = S.REQUIRED[kind] + (() if arrival_time else (time,))
+        valid, rejects = read_feed(source(topics), schema, required)
         at = None if arrival_time else from_epoch_millis(F.col(time))
         return stamp(valid, at, symbol), rejects.withColumn("feed", F.lit(kind))
 
@@ -81,10 +86,14 @@ def publish_feeds(
     exchange: DataFrame | None = None,
     snapshots: DataFrame | None = None,
     documents: DataFrame | None = None,
+    *,
+    symbols: dict[str, str] = V.COIN_SYMBOLS,
+    polled: Column | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Raw messages (column ``json``) to keyed messages and rejects, the other end of the bus.
 
     The messages ``(topic, key, value)`` go to ``sinks.to_topics``, each to its own topic.
+    ``polled`` is the time of a snapshot or document in milliseconds, now unless given.
     """
     sent, rejected = [], []
 
@@ -100,9 +109,9 @@ def publish_feeds(
         add(normalize.klines(routed), S.KLINE, symbol)
         rejected.append(normalize.unreadable(routed))
     if snapshots is not None:
-        add(normalize.market(snapshots, spark), S.MARKET, symbol)
+        add(normalize.market(snapshots, spark, symbols, polled), S.MARKET, symbol)
     if documents is not None:
-        add(normalize.sentiment(documents), S.SENTIMENT, F.lit(V.SENTIMENT_KEY))
+        add(normalize.sentiment(documents, polled), S.SENTIMENT, F.lit(V.SENTIMENT_KEY))
     return reduce(DataFrame.union, sent), reduce(DataFrame.union, rejected)
 
 
@@ -149,6 +158,28 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
     return queries
 
 
+def start_alerting(
+    spark: SparkSession, source: Source, job: Job, rules: Sequence[alerts.Rule] = alerts.RULES
+) -> dict[str, StreamingQuery]:
+    """Start the rules over the tickers' gauges, and the watch for silent feeds.
+
+    Changes of alert state land in ``<results>/alerts/changes``, silences in
+    ``<results>/silences``; a silence of its feed is what takes a producer down.
+    """
+    prepare(spark)
+    tickers = open_feeds(source, job.arrival_time).tickers
+    folder = f"{(job.results or job.history).rstrip('/')}"
+    steps, changes = start_alerts(
+        spark, metrics.tick_gauges(tickers), f"{folder}/alerts", rules,
+        trigger=job.trigger or sinks.every(V.EVALUATE_EVERY), wait=job.trigger == sinks.ONCE,
+    )
+    silences = sinks.to_history(
+        alerts.silences_stream(tickers), f"{folder}/silences", job.checkpoint("silences"), (),
+        job.trigger or sinks.every(V.EVALUATE_EVERY), "silences",
+    )
+    return {"steps": steps, "changes": changes, "silences": silences}
+
+
 def _report(stream: DataFrame, name: str, job: Job, complete: bool) -> StreamingQuery:
     checkpoint = job.checkpoint(name)
     trigger = job.trigger or sinks.every("60 seconds" if name == "deviation" else "30 seconds")
