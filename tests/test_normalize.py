@@ -133,3 +133,24 @@ def test_sentiment_bands(spark):
 def test_topic(spark):
     rows = spark.createDataFrame([("BTCUSDT",)], "s string")
     assert rows.select(ticker_topic(F.col("s")).alias("t")).first().t == "btcusdt-ticker"
+
+
+def test_one_pass_gives_the_same_as_the_single_functions(spark):
+    rows = texts(spark, ticker(), ticker(o="0"), ticker(c="x"), ticker(v="absent", s=None),
+                 kline(), kline(x=None), '{"stream":"a@depth"}', "junk", "{}", None)
+    routed = normalize.route(rows)
+    out = normalize.exchange_outcomes(routed).collect()
+    sent = [r for r in out if r.missing == ""]
+    assert sorted((r.topic, bytes(r.key).decode()) for r in sent) == [
+        ("btcusdt-ticker", "BTCUSDT"), ("btcusdt-ticker", "BTCUSDT"), ("crypto-klines", "BTCUSDT")
+    ]
+    valid = [json.loads(v) for v in normalize.tickers(routed)[0].drop("topic").toJSON().collect()]
+    valid += [json.loads(v) for v in normalize.klines(routed)[0].drop("topic").toJSON().collect()]
+    bodies = [{k: v for k, v in json.loads(bytes(r.value)).items() if v is not None} for r in sent]
+    assert sorted(map(str, bodies)) == sorted(map(str, valid))
+    rejects = normalize.tickers(routed)[1].union(normalize.klines(routed)[1]).union(
+        normalize.unreadable(routed))
+    assert sorted((str(r.json), r.missing) for r in out if r.missing != "") == sorted(
+        (str(r.json), r.missing) for r in rejects.collect())
+    plan = normalize.exchange_outcomes(routed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(StructField(stream") == 1

@@ -282,10 +282,14 @@ def test_raw_messages_travel_to_the_feeds(spark):
         "documents",
         '{"data":[{"value":"24","value_classification":"Extreme Fear","timestamp":"1700000000"}]}',
     )
-    messages, rejects = jobs.publish_feeds(spark, exchange, snapshots, documents)
-    sinks.to_topic_files(messages, f"{folder}/bus", f"{folder}/c1", sinks.ONCE).awaitTermination()
-    sinks.to_history(rejects, f"{folder}/rejects", f"{folder}/c2", (), sinks.ONCE
-                     ).awaitTermination()
+    outcomes = jobs.publish_feeds(spark, exchange, snapshots, documents)
+    jobs.start_publishing(
+        outcomes, sinks.batch_writer(f"{folder}/bus", ("topic",)), f"{folder}/rejects",
+        f"{folder}/c1", sinks.ONCE,
+    ).awaitTermination()
+    sinks.to_topic_files(jobs.messages(outcomes), f"{folder}/plain", f"{folder}/c2", sinks.ONCE
+                         ).awaitTermination()
+    assert spark.read.parquet(f"{folder}/plain").count() == 4
     assert sorted(r.missing for r in spark.read.parquet(f"{folder}/rejects").collect()) == [
         "price,volume_24h,timestamp,open", "price_usd", "stream"
     ]

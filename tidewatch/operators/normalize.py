@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from .. import values as V
 from ..functions import now_millis, percent_change, ticker_topic, to_bigint, to_double
-from .parse import parse_json, split
+from .parse import missing_fields, parse_json, split
+from .publish import json_text
 
 
 def route(messages: DataFrame, text: str = "json") -> DataFrame:
@@ -37,42 +38,83 @@ def unreadable(routed: DataFrame, text: str = "json") -> DataFrame:
     )
 
 
-def tickers(routed: DataFrame, text: str = "json") -> tuple[DataFrame, DataFrame]:
-    """Mini tickers: price, volume and the change between the message's open and close."""
+def _ticker() -> dict[str, Column]:
     m = F.col("d.data")
     close, opened = to_double(m["c"]), to_double(m["o"])
+    return {
+        "symbol": m["s"],
+        "price": close,
+        "volume_24h": to_double(m["v"]),
+        "change_pct": percent_change(close, opened),
+        "timestamp": m["E"],
+        "open": opened,
+    }
+
+
+def _kline() -> dict[str, Column]:
+    k = F.col("d.data.k")
+    return {
+        "symbol": k["s"],
+        "open": to_double(k["o"]),
+        "high": to_double(k["h"]),
+        "low": to_double(k["l"]),
+        "close": to_double(k["c"]),
+        "volume": to_double(k["v"]),
+        "closed": k["x"],
+        "timestamp": k["t"],
+    }
+
+
+# A ticker without percentage is one whose open is zero; it needs the open itself.
+_TICKER_NEEDS = ("symbol", "price", "volume_24h", "timestamp", "open")
+_KLINE_NEEDS = tuple(S.KLINE.names)
+
+
+def tickers(routed: DataFrame, text: str = "json") -> tuple[DataFrame, DataFrame]:
+    """Mini tickers: price, volume and the change between the message's open and close."""
     typed = routed.where(F.col("kind") == "ticker").select(
-        text,
-        m["s"].alias("symbol"),
-        close.alias("price"),
-        to_double(m["v"]).alias("volume_24h"),
-        percent_change(close, opened).alias("change_pct"),
-        m["E"].alias("timestamp"),
-        opened.alias("open"),
+        text, *[v.alias(name) for name, v in _ticker().items()]
     )
-    valid, rejects = split(typed, ("symbol", "price", "volume_24h", "timestamp", "open"), text)
-    topic = ticker_topic(F.col("symbol"))
-    return valid.drop("open").withColumn("topic", topic), rejects
+    valid, rejects = split(typed, _TICKER_NEEDS, text)
+    return valid.drop("open").withColumn("topic", ticker_topic(F.col("symbol"))), rejects
 
 
 def klines(routed: DataFrame, text: str = "json") -> tuple[DataFrame, DataFrame]:
     """Candles, open and closed ones alike."""
-    k = F.col("d.data.k")
     typed = routed.where(F.col("kind") == "kline").select(
-        text,
-        k["s"].alias("symbol"),
-        to_double(k["o"]).alias("open"),
-        to_double(k["h"]).alias("high"),
-        to_double(k["l"]).alias("low"),
-        to_double(k["c"]).alias("close"),
-        to_double(k["v"]).alias("volume"),
-        k["x"].alias("closed"),
-        k["t"].alias("timestamp"),
+        text, *[v.alias(name) for name, v in _kline().items()]
     )
-    valid, rejects = split(typed, tuple(S.KLINE.names), text)
+    valid, rejects = split(typed, _KLINE_NEEDS, text)
     return valid.withColumn("topic", F.lit(V.KLINE_TOPIC)), rejects
 
 
+def exchange_outcomes(routed: DataFrame, text: str = "json") -> DataFrame:
+    """``(topic, key, value, json, missing)`` of every message that is not ignored, in one pass.
+
+    ``missing`` is empty for a message that can be sent and names the fields at fault otherwise.
+    The rows are those of ``tickers``, ``klines`` and ``unreadable``, encoded.
+    """
+    ticker, kline = _ticker(), _kline()
+    is_ticker, is_kline = F.col("kind") == "ticker", F.col("kind") == "kline"
+    missing = (
+        F.when(is_ticker, missing_fields({c: ticker[c] for c in _TICKER_NEEDS}))
+        .when(is_kline, missing_fields({c: kline[c] for c in _KLINE_NEEDS}))
+        .otherwise("stream")
+    )
+    symbol = F.when(is_ticker, ticker["symbol"]).otherwise(kline["symbol"])
+    topic = F.when(is_ticker, ticker_topic(symbol)).otherwise(V.KLINE_TOPIC)
+    body = F.when(
+        is_ticker, json_text([ticker[c].alias(c) for c in S.TICK.names])
+    ).otherwise(json_text([kline[c].alias(c) for c in S.KLINE.names]))
+    return routed.where(F.col("kind").isNotNull()).select(
+        topic.alias("topic"),
+        symbol.cast("binary").alias("key"),
+        body.cast("binary").alias("value"),
+        F.col(text).alias("json"),
+        missing.alias("missing"),
+    )
+
+
 def closed_only(candles: DataFrame) -> DataFrame:
     """Closed candles; open ones and those of unknown state are dropped."""
     return candles.where(F.col("closed"))

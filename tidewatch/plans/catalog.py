@@ -525,15 +525,26 @@ def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw messages in, keyed messages out to one directory per topic."""
+    """Raw messages in, keyed messages out to one directory per topic, rejects beside them."""
     raw = feeds.exchange_messages(feeds.event_stream(spark, sf_dir))
-    tickers, _ = normalize.tickers(normalize.route(raw))
-    messages = publish.encode(tickers, ["symbol", "timestamp"], key=F.col("symbol"))
-    written = _finished(spark, messages, "publish", ("topic",))
-    return written.select(
-        "topic", F.col("key").cast("string").alias("key"),
-        F.col("value").cast("string").alias("value"),
+    folder = work_folder(spark, "publish")
+    jobs.start_publishing(
+        jobs.publish_feeds(spark, raw),
+        sinks.batch_writer(f"{folder}/bus", ("topic",)),
+        f"{folder}/rejects",
+        f"{folder}/checkpoint",
+        sinks.ONCE,
+    ).awaitTermination()
+    bus = spark.read.schema("topic string, key binary, value binary").parquet(f"{folder}/bus")
+    sent = parse.parse_json(parse.as_text(bus), S.TICK).select(
+        "topic",
+        F.col("key").cast("string").alias("key"),
+        "d.timestamp",
+        "d.price",
+        F.lit("").alias("missing"),
     )
+    kept = spark.read.schema("json string, missing string").parquet(f"{folder}/rejects")
+    return sent.unionByName(kept.select("missing"), allowMissingColumns=True)
 
 
 @query
@@ -541,7 +552,7 @@ def stream_job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: raw documents to bus files, and from there every feed to its history."""
     rows = feeds.events(spark, sf_dir)
     folder = work_folder(spark, "job")
-    messages, _ = jobs.publish_feeds(
+    outcomes = jobs.publish_feeds(
         spark,
         feeds.exchange_messages(rows).union(feeds.kline_messages(rows)),
         feeds.snapshots(rows),
@@ -549,7 +560,8 @@ def stream_job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
         symbols=feeds.COINS,
         polled=F.col("polled"),
     )
-    messages.withColumn("timestamp", F.current_timestamp()).write.parquet(f"{folder}/bus")
+    messages = jobs.messages(outcomes).withColumn("timestamp", F.current_timestamp())
+    messages.write.parquet(f"{folder}/bus")
 
     def source(topics):
         stream = record_files(spark, f"{folder}/bus", streaming=True)

@@ -489,9 +489,12 @@ ORACLES["stream_parquet_sink"] = f"""WITH {_TICKS}
 SELECT event_id, symbol AS par, CAST(event_time AS DATE) AS fecha, price, change_pct
 FROM ticks"""
 ORACLES["stream_publish"] = f"""WITH {_EVENTS}
-SELECT lower(event_type) || '-ticker' AS topic, event_type AS key,
-       '{{"symbol":"' || event_type || '","timestamp":' || {_MILLIS} || '}}' AS value
-FROM rows WHERE {_GOOD_TICKER}"""
+SELECT lower(event_type) || '-ticker' AS topic, event_type AS key, {_MILLIS} AS timestamp,
+       value AS price, '' AS missing
+FROM rows WHERE {_GOOD_TICKER}
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, CASE WHEN k >= 90 THEN 'stream' ELSE 'price' END
+FROM rows WHERE k >= 90 OR (k < 10 AND event_type <> 'signup')"""
 ORACLES["stream_job_history"] = f"""WITH {_CANDLES},
 quotes AS (
   SELECT DISTINCT date_trunc('hour', ts) AS hour, upper(event_type) || 'USD' AS par

@@ -89,30 +89,64 @@ def publish_feeds(
     *,
     symbols: dict[str, str] = V.COIN_SYMBOLS,
     polled: Column | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Raw messages (column ``json``) to keyed messages and rejects, the other end of the bus.
+) -> DataFrame:
+    """Raw messages (column ``json``) to ``(topic, key, value, json, missing)``.
 
-    The messages ``(topic, key, value)`` go to ``sinks.to_topics``, each to its own topic.
-    ``polled`` is the time of a snapshot or document in milliseconds, now unless given.
+    Rows with an empty ``missing`` are messages for the bus, each for its own topic; the others
+    are rejects. ``polled`` is the time of a snapshot or document in milliseconds, now unless
+    given. The exchange feed, by far the largest, is read and parsed once.
     """
-    sent, rejected = [], []
+    parts = []
 
     def add(feed: tuple[DataFrame, DataFrame], schema: T.StructType, key: Column) -> None:
         valid, rejects = feed
-        sent.append(publish.encode(valid, schema.names, key=key))
-        rejected.append(rejects)
+        no_text, nothing = F.lit(None).cast("string"), F.lit(None).cast("binary")
+        parts.append(
+            publish.encode(valid, schema.names, key=key).select(
+                "*", no_text.alias("json"), F.lit("").alias("missing")
+            )
+        )
+        parts.append(
+            rejects.select(
+                no_text.alias("topic"), nothing.alias("key"), nothing.alias("value"), "json",
+                "missing",
+            )
+        )
 
-    symbol = F.col("symbol")
     if exchange is not None:
-        routed = normalize.route(exchange)
-        add(normalize.tickers(routed), S.TICK, symbol)
-        add(normalize.klines(routed), S.KLINE, symbol)
-        rejected.append(normalize.unreadable(routed))
+        parts.append(normalize.exchange_outcomes(normalize.route(exchange)))
     if snapshots is not None:
-        add(normalize.market(snapshots, spark, symbols, polled), S.MARKET, symbol)
+        add(normalize.market(snapshots, spark, symbols, polled), S.MARKET, F.col("symbol"))
     if documents is not None:
         add(normalize.sentiment(documents, polled), S.SENTIMENT, F.lit(V.SENTIMENT_KEY))
-    return reduce(DataFrame.union, sent), reduce(DataFrame.union, rejected)
+    return reduce(DataFrame.union, parts)
+
+
+def messages(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where(F.col("missing") == "").select("topic", "key", "value")
+
+
+def rejects(outcomes: DataFrame) -> DataFrame:
+    return outcomes.where(F.col("missing") != "").select("json", "missing")
+
+
+def start_publishing(
+    outcomes: DataFrame,
+    send: Callable[[DataFrame, int], None],
+    rejects_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Send the messages and keep the rejects, both from one reading of the sources.
+
+    ``send`` is ``sinks.topic_sender(servers)`` or a ``sinks.batch_writer``. A batch that failed
+    is sent again, so the bus gets every message at least once.
+    """
+    branches = {
+        "messages": lambda batch, batch_id: send(messages(batch), batch_id),
+        "rejects": sinks.batch_writer(rejects_path, (), rejects),
+    }
+    return sinks.fan_out(outcomes, branches, checkpoint, trigger, "publish")
 
 
 def indicator_streams(feeds: Feeds) -> dict[str, DataFrame]:

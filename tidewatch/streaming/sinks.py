@@ -79,6 +79,15 @@ def to_topics(
     return writer.format("kafka").option("kafka.bootstrap.servers", servers).start()
 
 
+def topic_sender(servers: str) -> Callable[[DataFrame, int], None]:
+    """A branch for ``fan_out`` that sends ``(topic, key, value)`` rows. Needs the connector."""
+
+    def send(batch: DataFrame, _: int) -> None:
+        batch.write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+
+    return send
+
+
 def to_topic_files(
     messages: DataFrame,
     path: str,
