@@ -29,6 +29,11 @@ class Rule:
     summary: str = ""
     description: str = ""
 
+    def applies(self, labels: Column) -> Column:
+        """Whether a sample is of this rule's series; expects the column ``metric``."""
+        same = [F.coalesce(labels[k], F.lit("")) == v for k, v in self.labels.items()]
+        return reduce(operator.and_, same, F.col("metric") == self.metric)
+
     def holds(self, value: Column) -> Column:
         """The comparison; Spark would take NaN for the largest number."""
         return _COMPARE[self.op](value, F.lit(self.threshold)) & ~F.isnan(value)
@@ -55,21 +60,20 @@ def matching(rules: Sequence[Rule], labels: Column) -> Column:
     """
     entries = []
     for rule in rules:
-        same = [F.coalesce(labels[k], F.lit("")) == v for k, v in rule.labels.items()]
-        applies = reduce(operator.and_, same, F.col("metric") == rule.metric)
         entry = F.struct(
             F.lit(rule.name).alias("rule"),
             F.lit(rule.severity).alias("severity"),
             F.lit(micros(rule.hold)).cast("bigint").alias("hold"),
             rule.holds(F.col("value")).alias("holds"),
         )
-        entries.append(F.when(applies, entry))
+        entries.append(F.when(rule.applies(labels), entry))
     return F.filter(F.array(*entries), lambda e: e.isNotNull())
 
 
 def under_rules(samples: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Only the metrics some rule looks at; the filter reaches the scan."""
-    return samples.where(F.col("metric").isin(sorted({r.metric for r in rules})))
+    """Only the series some rule looks at; the filter on the metric reaches the scan."""
+    looked_at = reduce(operator.or_, [r.applies(F.col("labels")) for r in rules])
+    return samples.where(F.col("metric").isin(sorted({r.metric for r in rules})) & looked_at)
 
 
 def threshold(samples: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -163,7 +167,7 @@ def silences(
     key: str = "symbol",
     ts: str = "event_time",
     limit: str = V.SILENCE_LIMIT,
-    slice_length: str = "1 day",
+    slice_length: str = SLICE,
 ) -> DataFrame:
     """``(key, silent_from, silent_until)``: pauses of a feed longer than ``limit``.
 
@@ -173,7 +177,7 @@ def silences(
     of every slice are ordered over the whole key, the others within their slice.
     """
     width = micros(limit)
-    length = max(micros(slice_length), width)
+    length = max(micros(slice_length), 60 * width)
     us = epoch_micros(F.col(ts))
     stretches = (
         rows.where(F.col(ts).isNotNull())

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import values as V
 from ..functions import at_micros, ceil_to, epoch_micros, floor_to, micros
-from .series import on_grid, rate
+from .series import SLICE, on_grid, rate
 
 
 def gauges(
@@ -78,9 +78,9 @@ def message_counter(
 
     Sampled every ``every`` where messages came in. ``restart`` sets the counter back to zero
     at multiples of that period. Messages are counted per scrape first; the running sums then
-    go over scrapes within a day (or period) and over days, never over messages.
+    go over the scrapes of an hour (or period) and over hours, never over messages.
     """
-    width, period = micros(every), micros(restart or "1 day")
+    width, period = micros(every), micros(restart or SLICE)
     # A restart belongs to the scrape after it: the slices are (start, end] like the scrapes.
     cells = (
         messages.where(F.col(ts).isNotNull() & F.col(topic).isNotNull())
@@ -94,9 +94,9 @@ def message_counter(
     in_slice = Window.partitionBy(topic, "slice").orderBy("cell")
     counted = cells.withColumn("value", F.sum("n").over(in_slice))
     if restart is None:
-        days = Window.partitionBy(topic).orderBy("slice")
+        hours = Window.partitionBy(topic).orderBy("slice")
         earlier = cells.groupBy(topic, "slice").agg(F.sum("n").alias("n")).select(
-            topic, "slice", (F.sum("n").over(days) - F.col("n")).alias("earlier")
+            topic, "slice", (F.sum("n").over(hours) - F.col("n")).alias("earlier")
         )
         counted = counted.join(earlier, [topic, "slice"]).withColumn(
             "value", F.col("value") + F.col("earlier")
