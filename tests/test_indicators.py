@@ -118,7 +118,7 @@ STATS = [Stat("m", "avg", "price"), Stat("hi", "max", "price"), Stat("lo", "min"
 
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("size,slide", [("5 minutes", "1 minute"), ("2 minutes", "30 seconds"),
-                                        ("1 minute", None)])
+                                        ("1 minute", None), ("30 minutes", "1 minute")])
 def test_panes_equal_plain_window_grouping(spark, seed, size, slide):
     rnd = random.Random(seed)
     rows = ticks(spark, *[

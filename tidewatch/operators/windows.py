@@ -38,18 +38,24 @@ def windowed(
     delay: str | None = None,
 ) -> DataFrame:
     """``(window_start, window_end, key, *stats)``; NULL times belong to no window."""
-    if df.isStreaming or micros(size) % micros(slide or size):
+    if df.isStreaming or not _has_panes(stats, micros(size), micros(slide or size)):
         return flatten(windowed_stream(df, stats, time=time, key=key, size=size, slide=slide,
                                        delay=delay))
     table = windowed_table(df, stats, time=time, key=key, size=size, slide=slide)
     return stamped(table, df.schema[time].dataType, size)
 
 
+def _has_panes(stats: list[Stat], size: int, slide: int) -> bool:
+    """Whether panes pay: each pane's part of a deviation takes columns of its own."""
+    deviates = any(s.kind == "stddev" for s in stats)
+    return size % slide == 0 and (not deviates or size // slide <= 24)
+
+
 def windowed_stream(df, stats, *, time, key, size, slide=None, delay=None) -> DataFrame:
     """The same by plain window grouping, with the ``window`` struct kept as stream joins need it.
 
     Watermarks want a TIMESTAMP, so a stream's TIMESTAMP_NTZ time column is cast. Tables come
-    here only if their window has no panes, its size being no multiple of the slide.
+    here only if their size is no multiple of the slide, or a deviation has too many panes.
     """
     timed = df
     if df.isStreaming:
