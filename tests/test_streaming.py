@@ -144,6 +144,24 @@ def test_complete_mode_rewrites_the_result(spark):
         assert [tuple(r) for r in spark.read.parquet(f"{folder}/out").collect()] == [("A", n)]
 
 
+@pytest.mark.parametrize("chosen,width", [(None, 8), ("3", 3)])
+def test_state_is_as_wide_as_the_cores_unless_told(spark, chosen, width):
+    folder = work_folder(spark, "test")
+    schema = put(spark, folder, [("A", 1.0, 0.0, at(1)), ("A", 1.0, 0.0, at(1000))])
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "200")
+    if chosen:
+        spark.conf.set("spark.tidewatch.statePartitions", chosen)
+    try:
+        query = finish(indicators.local_price(table_stream(spark, f"{folder}/in", schema)), folder)
+        assert spark.conf.get(name) == "200"
+    finally:
+        spark.conf.set(name, before)
+        spark.conf.unset("spark.tidewatch.statePartitions")
+    assert query.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == width
+
+
 def test_fan_out_reads_once_and_writes_all(spark):
     folder = work_folder(spark, "test")
     schema = put(spark, folder, [("A", 1.0, 0.0, at(1)), ("B", 2.0, 0.0, at(2))])

@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +52,23 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tidewatch-")
     return f"{shared.rstrip('/')}/tidewatch/{purpose}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession) -> Iterator[None]:
+    """Shuffle width of the streams started inside.
+
+    Stateful queries cannot adapt their width while running and keep one state store per
+    partition and operator, so they get no more partitions than there are cores.
+    ``spark.tidewatch.statePartitions`` sets another number, for room to grow. A query that
+    restarts keeps the width in its checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    cores = spark.sparkContext.defaultParallelism
+    width = spark.conf.get("spark.tidewatch.statePartitions", str(min(int(before), cores)))
+    spark.conf.set(name, width)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

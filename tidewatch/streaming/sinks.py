@@ -5,6 +5,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from ..session import state_partitions
+
 ONCE = {"availableNow": True}
 
 
@@ -20,6 +22,11 @@ def _writer(stream: DataFrame, checkpoint: str, mode: str, trigger: dict, name:
     return writer.trigger(**trigger)
 
 
+def _start(writer: DataStreamWriter, stream: DataFrame) -> StreamingQuery:
+    with state_partitions(stream.sparkSession):
+        return writer.start()
+
+
 def to_history(
     stream: DataFrame,
     path: str,
@@ -30,7 +37,9 @@ def to_history(
 ) -> StreamingQuery:
     """Append to a partitioned Parquet history, exactly once."""
     writer = _writer(stream, checkpoint, "append", trigger or every("1 minute"), name)
-    return writer.format("parquet").option("path", path).partitionBy(*partition_by).start()
+    return _start(
+        writer.format("parquet").option("path", path).partitionBy(*partition_by), stream
+    )
 
 
 def to_console(
@@ -42,13 +51,14 @@ def to_console(
 ) -> StreamingQuery:
     """Print whole rows, untruncated."""
     writer = _writer(stream, checkpoint, mode, trigger or every("30 seconds"), name)
-    return writer.format("console").option("truncate", False).start()
+    return _start(writer.format("console").option("truncate", False), stream)
 
 
 def to_memory(stream: DataFrame, name: str, checkpoint: str, mode: str = "append",
               trigger: dict | None = None) -> StreamingQuery:
     """An in-memory table on the driver: for small results and tests only."""
-    return _writer(stream, checkpoint, mode, trigger or ONCE, name).format("memory").start()
+    writer = _writer(stream, checkpoint, mode, trigger or ONCE, name)
+    return _start(writer.format("memory"), stream)
 
 
 def to_table(
@@ -64,7 +74,7 @@ def to_table(
         batch.write.mode("overwrite").parquet(path)
 
     writer = _writer(stream, checkpoint, "complete", trigger or every("30 seconds"), name)
-    return writer.foreachBatch(replace).start()
+    return _start(writer.foreachBatch(replace), stream)
 
 
 def to_topics(
@@ -76,7 +86,9 @@ def to_topics(
 ) -> StreamingQuery:
     """Publish ``(topic, key, value)`` rows, each to the topic it names. Needs the connector."""
     writer = _writer(messages, checkpoint, "append", trigger or every("1 second"), name)
-    return writer.format("kafka").option("kafka.bootstrap.servers", servers).start()
+    return _start(
+        writer.format("kafka").option("kafka.bootstrap.servers", servers), messages
+    )
 
 
 def topic_sender(servers: str) -> Callable[[DataFrame, int], None]:
@@ -121,7 +133,7 @@ def fan_out(
             kept.unpersist()
 
     writer = _writer(stream, checkpoint, "append", trigger or every("1 minute"), name)
-    return writer.foreachBatch(write_all).start()
+    return _start(writer.foreachBatch(write_all), stream)
 
 
 def batch_writer(
