@@ -20,6 +20,8 @@ def main() -> None:
     args.add_argument("--checkpoints", required=True)
     args.add_argument("--results")
     args.add_argument("--starting", default="latest", help="first offsets: latest or earliest")
+    args.add_argument("--max-per-trigger", type=int, help="messages, or files, per trigger")
+    args.add_argument("--min-partitions", type=int, help="tasks to spread hot topics over")
     args.add_argument("--arrival-time", action="store_true")
     args.add_argument("--complete", action="store_true")
     args.add_argument("--alerts", action="store_true", help="also run the alert rules")
@@ -30,8 +32,14 @@ def main() -> None:
 
     def source(topics):
         if given.files:
-            return record_files(spark, given.files, topics=topics, streaming=True)
-        return kafka_records(spark, given.servers, topics, starting=given.starting)
+            return record_files(
+                spark, given.files, topics=topics, streaming=True,
+                files_per_trigger=given.max_per_trigger,
+            )
+        return kafka_records(
+            spark, given.servers, topics, starting=given.starting,
+            max_per_trigger=given.max_per_trigger, min_partitions=given.min_partitions,
+        )
 
     job = jobs.Job(
         given.history,

@@ -1,7 +1,7 @@
 """The driver tables seen as market feeds.
 
-``events`` becomes ticks (symbol = event_type, price = value), a local and a global feed
-(even and odd users), raw JSON messages, snapshots, sentiment documents, metric samples.
+``events`` becomes ticks (symbol = event_type, price = value), a global feed (the opening
+prices, an hour later), raw JSON messages, snapshots, sentiment documents, metric samples.
 Everything is derived from the whole table by column expressions.
 """
 
@@ -60,16 +60,15 @@ def ticks(rows: DataFrame) -> DataFrame:
     )
 
 
-def local_feed(rows: DataFrame) -> DataFrame:
-    return ticks(rows).where(F.col("user_id") % 2 == 0)
-
-
 def global_feed(rows: DataFrame) -> DataFrame:
-    return rows.where(F.col("user_id") % 2 == 1).select(
+    """The opening prices, quoted an hour later: many minutes have one of the two feeds only."""
+    quoted = rows.select("ts", "event_type", "value", lot().alias("k"))
+    return quoted.select(
         F.col("event_type").alias("symbol"),
-        F.col("value").alias("price_usd"),
-        (F.col("value") * 1e6).alias("market_cap"),
-        F.col("ts").alias("event_time"),
+        open_price().alias("price_usd"),
+        # A power of two: the product is exact, and no mean of it ends in one half.
+        (F.col("value") * 2.0**20).alias("market_cap"),
+        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("event_time"),
     )
 
 
@@ -191,14 +190,14 @@ def snapshots(rows: DataFrame) -> DataFrame:
 
 
 def sentiment_documents(rows: DataFrame) -> DataFrame:
-    """One document per event; those with an odd user carry no entry at all."""
+    """One document per event; where ``k`` is 90 or more it carries no entry at all."""
     entry = F.concat(
         F.lit('{"value":"'), lot().cast("string"),
         F.lit('","value_classification":"'), F.col("event_type"),
         F.lit('","timestamp":"'), F.unix_seconds(F.col("ts").cast("timestamp")).cast("string"),
         F.lit('"}'),
     )
-    body = F.when(F.col("user_id") % 2 == 0, entry).otherwise("")
+    body = F.when(lot() < 90, entry).otherwise("")
     return rows.select(
         F.concat(F.lit('{"data":['), body, F.lit("]}")).alias("json"), _millis().alias("polled")
     )
@@ -219,10 +218,8 @@ def container_memory(rows: DataFrame) -> DataFrame:
 
 
 def host_memory(rows: DataFrame) -> DataFrame:
-    """Even users report the total, odd ones what is available."""
-    metric = F.when(F.col("user_id") % 2 == 0, V.NODE_MEMORY_TOTAL).otherwise(
-        V.NODE_MEMORY_AVAILABLE
-    )
+    """A ``k`` of 50 or more reports the total, a smaller one what is available."""
+    metric = F.when(lot() >= 50, V.NODE_MEMORY_TOTAL).otherwise(V.NODE_MEMORY_AVAILABLE)
     return rows.select(
         metric.alias("metric"),
         F.create_map(F.lit("par"), F.col("event_type")).alias("labels"),

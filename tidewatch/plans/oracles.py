@@ -79,16 +79,21 @@ def _local(size: str) -> str:
     return f"""local_side AS (
   SELECT time_bucket(INTERVAL '{size}', event_time, TIMESTAMP '1970-01-01') AS window_start,
          symbol, {rounded('avg(price)', 2)} AS local_price
-  FROM ticks WHERE user_id % 2 = 0 GROUP BY 1, 2
+  FROM ticks GROUP BY 1, 2
 )"""
 
 
 def _global(size: str) -> str:
-    return f"""global_side AS (
+    return f"""quotes AS (
+  SELECT event_type AS symbol, {_OPEN} AS price_usd, value * 1048576 AS market_cap,
+         ts + INTERVAL '1 hour' AS event_time
+  FROM rows
+),
+global_side AS (
   SELECT time_bucket(INTERVAL '{size}', event_time, TIMESTAMP '1970-01-01') AS window_start,
-         symbol, {rounded('avg(price)', 2)} AS global_price,
-         {rounded('avg(price * 1e6)', 0)} AS market_cap
-  FROM ticks WHERE user_id % 2 = 1 GROUP BY 1, 2
+         symbol, {rounded('avg(price_usd)', 2)} AS global_price,
+         {rounded('avg(market_cap)', 0)} AS market_cap
+  FROM quotes GROUP BY 1, 2
 )"""
 
 
@@ -175,11 +180,11 @@ ORACLES["sentiment_document"] = f"""WITH {_EVENTS}
 SELECT k AS value, event_type AS classification,
        CAST(floor(epoch(ts)) AS BIGINT) AS timestamp, {_MILLIS} AS timestamp_ms,
        'feargreed-index' AS topic, CAST(date_trunc('second', ts) AS TIMESTAMP) AS event_time
-FROM rows WHERE user_id % 2 = 0"""
-ORACLES["sentiment_rejects"] = """
-SELECT '{"data":[]}' AS json, 'value,classification,timestamp' AS missing,
+FROM rows WHERE k < 90"""
+ORACLES["sentiment_rejects"] = f"""WITH {_EVENTS}
+SELECT '{{"data":[]}}' AS json, 'value,classification,timestamp' AS missing,
        count(*) AS documents
-FROM events WHERE user_id % 2 = 1"""
+FROM rows WHERE k >= 90"""
 ORACLES["classify_sentiment"] = f"""WITH {_EVENTS}
 SELECT event_id, k AS value,
        CASE WHEN k <= 24 THEN 'Extreme Fear' WHEN k <= 49 THEN 'Fear'
@@ -344,8 +349,8 @@ ORACLES["metric_container_memory"] = f"""WITH {_held('events', 'event_type', 300
 SELECT event_type AS name, make_timestamp({_gridded(300)}) AS eval_ts,
        {rounded('value / 1024 / 1024', 9)} AS value
 FROM held WHERE event_type <> 'signup'"""
-ORACLES["metric_diff"] = f"""WITH
-sides AS (SELECT *, user_id % 2 = 0 AS total FROM events),
+ORACLES["metric_diff"] = f"""WITH {_EVENTS},
+sides AS (SELECT *, k >= 50 AS total FROM rows),
 {_held('sides', 'event_type, total', 900, 3600)},
 grid AS (SELECT event_type AS par, total, {_gridded(900)} AS step_us, value FROM held)
 SELECT par, make_timestamp(step_us) AS eval_ts, {rounded('a.value - b.value', 4)} AS value
@@ -425,15 +430,12 @@ def _emitted(full: str, watermark: str) -> str:
 ORACLES["stream_sma_append"] = _emitted(ORACLES["sma_volatility_wide"], _behind("2 minutes"))
 ORACLES["stream_sma_complete"] = ORACLES["sma_volatility_wide"]
 ORACLES["stream_pump_dump"] = _emitted(ORACLES["pump_dump"], _behind("1 minute"))
-ORACLES["stream_deviation"] = _emitted(
-    ORACLES["price_deviation"],
-    f"least({_behind('2 minutes', 'user_id % 2 = 0')}, {_behind('2 minutes', 'user_id % 2 = 1')})",
-)
-_FIRST_WAVE = _behind("10 days", "user_id % 2 = 0")
+ORACLES["stream_deviation"] = _emitted(ORACLES["price_deviation"], _behind("2 minutes"))
+_FIRST_WAVE = _behind("10 days", "value >= 10")
 ORACLES["stream_late_data"] = _emitted(
     _moving_average(
         _TICKS, "1 hour", "12 minutes", 5,
-        f"WHERE user_id % 2 = 0 OR window_start + INTERVAL '1 hour' > {_FIRST_WAVE}",
+        f"WHERE price >= 10 OR window_start + INTERVAL '1 hour' > {_FIRST_WAVE}",
     ),
     f"greatest({_FIRST_WAVE}, {_behind('10 days')})",
 )
@@ -506,4 +508,4 @@ UNION ALL SELECT 'klines', symbol, CAST(hour AS DATE), count(*)
           FROM candles WHERE closed GROUP BY ALL
 UNION ALL SELECT 'coingecko', par, CAST(hour AS DATE), count(*) FROM quotes GROUP BY ALL
 UNION ALL SELECT 'feargreed', NULL, CAST(ts AS DATE), count(*)
-          FROM rows WHERE user_id % 2 = 0 GROUP BY ALL"""
+          FROM rows WHERE k < 90 GROUP BY ALL"""
