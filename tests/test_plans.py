@@ -23,7 +23,7 @@ def test_no_python_cross_join_or_global_window(spark, sf_dir, name):
 
 def test_scan_reads_only_what_is_used(spark, sf_dir):
     text = plan(entry.queries()["local_minute_price"](spark, sf_dir))
-    columns = "struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>"
+    columns = "struct<ts:timestamp_ntz,event_type:string,value:double>"
     assert f"ReadSchema: {columns}" in text
 
 
