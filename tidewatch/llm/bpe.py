@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from .common import batches, own_names
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Pieces whose ids a task remembers between blocks; beyond it the memory starts afresh.
-REMEMBERED = 300_000
+#: Words, and pieces, whose ids a worker remembers between blocks. Beyond it, only those of the
+#: last block stay.
+REMEMBERED = 500_000
 _SHIFT = 32
 
 
@@ -44,6 +45,7 @@ class Vocabulary:
             and (right := self.rank.get(token[at:])) is not None
         ]
         pairs.sort()
+        self.merges = dict(pairs)
         self.keys = np.array([k for k, _ in pairs] + [np.iinfo(np.int64).max], np.int64)
         self.becomes = np.array([r for _, r in pairs] + [-1], np.int64)
         self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
@@ -71,101 +73,197 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def replay(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
-    """Ids of each piece (not empty), as little-endian unsigned 32-bit integers."""
-    if not pieces:
-        return []
-    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    first = np.cumsum(size) - size
-    token = vocab.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
-    n = len(token)
-    before, after = np.arange(-1, n - 1), np.arange(1, n + 1)
-    before[first] = -1
-    after[first + size - 1] = -1
-    owner = np.repeat(np.arange(len(pieces)), size)
-    odd = np.zeros(len(pieces), bool)  # pieces in which a merge enables one of lower rank
-
-    index: dict[int, list[np.ndarray]] = {}
-    due: list[int] = []
-
-    def enter(left: np.ndarray, rank: np.ndarray) -> None:
+#: Up to so many positions, a merge is applied one by one; vectors pay off beyond.
+_FEW = 24
+
+
+class _Replay:
+    """All merges of a corpus of pieces that stand in one array of tokens."""
+
+    def __init__(self, pieces: list[bytes], vocab: Vocabulary):
+        self.vocab, self.pieces = vocab, pieces
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        first = np.cumsum(size) - size
+        self.token = vocab.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        n = len(self.token)
+        self.before, self.after = np.arange(-1, n - 1), np.arange(1, n + 1)
+        self.before[first] = -1
+        self.after[first + size - 1] = -1
+        self.owner = np.repeat(np.arange(len(pieces)), size)
+        self.pair = np.full(n, -1)  # what the pair that begins here merges to
+        self.odd: set[int] = set()  # pieces in which a merge enables one of lower rank
+        # The inverted index: rank to positions, single ones and arrays of them.
+        self.single: dict[int, list[int]] = {}
+        self.many: dict[int, list[np.ndarray]] = {}
+        self.due: list[int] = []
+        pairs = np.flatnonzero(self.after >= 0)
+        self.pair[pairs] = vocab.merged(self.token[pairs], self.token[pairs + 1])
+        self._enter(pairs, self.pair[pairs])
+
+    def _enter(self, left: np.ndarray, rank: np.ndarray) -> None:
         fits = rank >= 0
         left, rank = left[fits], rank[fits]
         if not len(left):
             return
         order = np.argsort(rank, kind="stable")
         left, rank = left[order], rank[order]
-        cuts = np.flatnonzero(rank[1:] != rank[:-1]) + 1
-        for r, at in zip(rank[np.append(0, cuts)].tolist(), np.split(left, cuts)):
-            if r in index:
-                index[r].append(at)
-            else:
-                index[r] = [at]
-                heapq.heappush(due, r)
-
-    pairs = np.flatnonzero(after >= 0)
-    enter(pairs, vocab.merged(token[pairs], token[pairs + 1]))
-    while due:
-        rank = heapq.heappop(due)
-        left = np.unique(np.concatenate(index.pop(rank)))
-        right = after[left]
-        live = (token[left] >= 0) & (right >= 0)
-        left, right = left[live], right[live]
-        left = left[vocab.merged(token[left], token[right]) == rank]
-        right = after[left]
+        cuts = np.append(np.flatnonzero(rank[1:] != rank[:-1]) + 1, len(rank)).tolist()
+        start = 0
+        for end in cuts:
+            r = int(rank[start])
+            if r not in self.many:
+                self.many[r] = []
+                heapq.heappush(self.due, r)
+            self.many[r].append(left[start:end])
+            start = end
+
+    def run(self) -> None:
+        while self.due:
+            rank = heapq.heappop(self.due)
+            single, many = self.single.pop(rank, []), self.many.pop(rank, [])
+            if len(single) + sum(map(len, many)) <= _FEW:
+                for some in many:
+                    single += some.tolist()
+                self._few(rank, sorted(single))
+            elif single or many:
+                many.append(np.array(single, np.int64))
+                self._vector(rank, np.concatenate(many))
+
+    def _few(self, rank: int, positions: list[int]) -> None:
+        token, before, after, pair = self.views
+        merges, single = self.vocab.merges, self.single
+        for i in positions:
+            if pair[i] != rank:
+                continue
+            j = after[i]
+            h, k = before[i], after[j]
+            token[i], token[j], pair[j], after[i] = rank, -1, -1, k
+            new = -1
+            if k >= 0:
+                before[k] = i
+                new = merges.get(rank << _SHIFT | token[k], -1)
+            pair[i] = new
+            for at, r in ((i, new), (h, merges.get(token[h] << _SHIFT | rank, -1) if h >= 0 else -1)):
+                if at == h and h >= 0:
+                    pair[h] = r
+                if r >= 0:
+                    if r < rank:
+                        self.odd.add(int(self.owner[at]))
+                    if r in single:
+                        single[r].append(at)
+                    else:
+                        single[r] = [at]
+                        heapq.heappush(self.due, r)
+
+    def _vector(self, rank: int, left: np.ndarray) -> None:
+        token, before, after, pair = self.token, self.before, self.after, self.pair
+        left = left[pair[left] == rank]
         if not len(left):
-            continue
+            return
+        left.sort()
+        fresh = np.ones(len(left), bool)
+        np.not_equal(left[1:], left[:-1], out=fresh[1:])
+        left = left[fresh]
+        right = after[left]
         chained = np.flatnonzero(right[:-1] == left[1:])
         if len(chained):  # in a run of overlapping pairs, every other one merges
-            linked = np.zeros(len(left), bool)
-            linked[chained + 1] = True
-            start = np.maximum.accumulate(np.where(linked, 0, np.arange(len(left))))
-            taken = (np.arange(len(left)) - start) % 2 == 0
+            place = np.arange(len(left))
+            start = place.copy()
+            start[chained + 1] = 0
+            taken = (place - np.maximum.accumulate(start)) % 2 == 0
             left, right = left[taken], right[taken]
         beyond = after[right]
-        token[left], token[right] = rank, -1
+        token[left], token[right], pair[right], pair[left] = rank, -1, -1, -1
         after[left] = beyond
         inner = beyond >= 0
         before[beyond[inner]] = left[inner]
-        new = np.concatenate((before[left][before[left] >= 0], left[inner]))
-        new = np.unique(new)
-        becomes = vocab.merged(token[new], token[after[new]])
-        odd[owner[new[(becomes >= 0) & (becomes < rank)]]] = True
-        enter(new, becomes)
+        ahead = before[left]
+        changed = np.concatenate((left[inner], ahead[ahead >= 0]))
+        changed = changed[token[changed] >= 0]
+        becomes = self.vocab.merged(token[changed], token[after[changed]])
+        pair[changed] = becomes
+        lower = changed[(becomes >= 0) & (becomes < rank)]
+        if len(lower):
+            self.odd.update(self.owner[lower].tolist())
+        self._enter(changed, becomes)
+
+    def encoded(self) -> list[bytes]:
+        self.views = tuple(map(memoryview, (self.token, self.before, self.after, self.pair)))
+        self.run()
+        stays = self.token >= 0
+        ids = self.token[stays].astype("<u4").tobytes()
+        sizes = np.bincount(self.owner[stays], minlength=len(self.pieces))
+        ends = (4 * np.cumsum(sizes)).tolist()
+        encoded = [ids[a:b] for a, b in zip([0, *ends], ends)]
+        for i in self.odd:
+            encoded[i] = np.array(self.vocab.plain(self.pieces[i]), "<u4").tobytes()
+        return encoded
 
-    stays = token >= 0
-    ids = token[stays].astype("<u4").tobytes()
-    ends = (4 * np.cumsum(np.bincount(owner[stays], minlength=len(pieces)))).tolist()
-    encoded = [ids[a:b] for a, b in zip([0, *ends], ends)]
-    for i in np.flatnonzero(odd).tolist():
-        encoded[i] = np.array(vocab.plain(pieces[i]), "<u4").tobytes()
-    return encoded
+
+def replay(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
+    """Ids of each piece (not empty), as little-endian unsigned 32-bit integers."""
+    return _Replay(pieces, vocab).encoded() if pieces else []
 
 
 class Encoder:
-    """Encodes blocks of texts; remembers pieces it has met."""
+    """Encodes blocks of texts; remembers the pieces and words it has met.
+
+    The pattern never joins what a single white space parts: if no two stand together in a
+    text, its lines and their words can be encoded one by one. Other texts are cut as a whole.
+    """
 
     def __init__(self, path: str, pattern: str):
         self.vocab, self.find = vocabulary(path), regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-
-    def pieces(self, texts: Iterable[str]) -> list[list[str]]:
-        """Pieces of each text, all of them known afterwards."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        split = [self.find(text) for text in texts]
-        fresh = list({piece for found in split for piece in found}.difference(self.known))
-        self.known.update(zip(fresh, replay([p.encode() for p in fresh], self.vocab)))
-        return split
+        self.joined = regex.compile(r"\s\s").search
+        self.pieces: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}  # words at the beginning of a line
+        self.later: dict[str, bytes] = {}  # words after a space
+
+    def _learn(self, found: Iterable[list[str]]) -> None:
+        """Encode the pieces that are new."""
+        needed = {piece for some in found for piece in some}
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {p: i for p in needed if (i := self.pieces.get(p)) is not None}
+        fresh = list(needed.difference(self.pieces))
+        self.pieces.update(zip(fresh, replay([p.encode() for p in fresh], self.vocab)))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        split, ids = self.pieces(texts), self.known
-        return [b"".join([ids[p] for p in found]) for found in split]
-
-    def lengths(self, texts: Iterable[str]) -> list[int]:
-        split = self.pieces(texts)
-        size = {p: len(i) >> 2 for p, i in self.known.items()}
-        return [sum([size[p] for p in found]) for found in split]
+        cut: list[list[list[str]] | None] = []  # words by line, None for texts cut as a whole
+        whole: dict[int, list[str]] = {}
+        heads, tails = set(), set()
+        for i, text in enumerate(texts):
+            if self.joined(text):
+                whole[i] = self.find(text)
+                cut.append(None)
+                continue
+            lines = [line.split(" ") for line in text.split("\n")]
+            cut.append(lines)
+            for words in lines:
+                heads.add(words[0])
+                tails.update(words[1:])
+        if len(self.first) + len(self.later) > REMEMBERED:
+            self.first = {w: i for w in heads if (i := self.first.get(w)) is not None}
+            self.later = {w: i for w in tails if (i := self.later.get(w)) is not None}
+        new_heads = [w for w in heads if w not in self.first]
+        new_tails = [w for w in tails if w not in self.later]
+        head_pieces, tail_pieces = [self.find(w) for w in new_heads], [self.find(" " + w) for w in new_tails]
+        self._learn([*whole.values(), *head_pieces, *tail_pieces, ["\n"]])
+        ids = self.pieces
+        self.first.update(zip(new_heads, [b"".join([ids[p] for p in f]) for f in head_pieces]))
+        self.later.update(zip(new_tails, [b"".join([ids[p] for p in f]) for f in tail_pieces]))
+        first, later, newline = self.first, self.later, ids["\n"]
+        out = []
+        for i, lines in enumerate(cut):
+            if lines is None:
+                out.append(b"".join([ids[p] for p in whole[i]]))
+                continue
+            parts = []
+            for words in lines:
+                encoded = [later[w] for w in words[1:]]
+                encoded.insert(0, first[words[0]])
+                parts.append(b"".join(encoded))
+            out.append(newline.join(parts))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -197,7 +295,8 @@ def length_column(text: Column, path: str = RANKS, pattern: str = public_tokeniz
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(encoder(path, pattern).lengths(map(_text, texts)), dtype="int64")
+        ids = encoder(path, pattern).encode(map(_text, texts))
+        return pd.Series([len(i) >> 2 for i in ids], dtype="int64")
 
     return of(text)
 

@@ -28,11 +28,11 @@ WITH base AS (
   SELECT doc_id,
          count(*) - count(DISTINCT l) AS n_dup_lines,
          sum(CASE WHEN
-           length(regexp_replace(solid, '[^#*$%&|<>]', '', 'g')) > 0.1 * length(solid)
-           OR (length(regexp_replace(solid, '[^!]', '', 'g')) > 0.1 * length(solid)
-               AND length(regexp_replace(solid, '[^!]', '', 'g')) > 2)
-           OR (length(regexp_replace(solid, '[^|»›•·]', '', 'g')) >= 2
-               AND length(regexp_replace(solid, '[^|»›•·]', '', 'g')) * 25 >= length(solid))
+           length(regexp_replace(l, '[^#*$%&|<>]', '', 'g')) > 0.08 * length(l)
+           OR (length(regexp_replace(l, '[^!]', '', 'g')) > 0.08 * length(l)
+               AND length(regexp_replace(l, '[^!]', '', 'g')) > 2)
+           OR (length(regexp_replace(l, '[^|»›•·]', '', 'g')) >= 2
+               AND length(regexp_replace(l, '[^|»›•·]', '', 'g')) * 25 >= length(l))
            OR plain IN ('home', 'menu', 'next', 'previous', 'back to top', 'read more',
                         'log in', 'sign up', 'skip to content', 'share this', 'search')
            OR contains(plain, 'all rights reserved') OR contains(plain, 'terms of use')

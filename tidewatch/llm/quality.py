@@ -9,11 +9,13 @@ no group that could grow.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BREAKS, own_names, without, words
+from .common import own_names, shielded, with_text, words
 
 #: The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
 SEPARATORS = "|»›•·"
+#: A character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 NAVIGATION = (
     "home", "menu", "next", "previous", "back to top", "read more", "log in", "sign up",
     "skip to content", "share this", "search",
@@ -25,31 +27,76 @@ BOILERPLATE = (
 )
 
 
+def _any(characters: str) -> str:
+    return "[" + "".join("\\" + c if c.isascii() else c for c in characters) + "]"
+
+
 def line_fails(
-    line: Column, max_symbols: float = 0.1, max_shouts: float = 0.1, min_separators: int = 2
+    line: Column, max_symbols: float = 0.08, max_shouts: float = 0.08, min_separators: int = 2
 ) -> Column:
     """Whether a line breaks a rule; a line without words breaks none.
 
-    Punctuation: symbols, or exclamation marks, make up more than their share of the line's
-    characters. Navigation: the line is a menu entry, or separators chop it up (at least
+    Punctuation: symbols, or exclamation marks (three or more), make up more than their share of
+    the line. Navigation: the line is a menu entry, or separators chop it up (at least
     ``min_separators``, one for every 25 characters). Boilerplate: a known phrase occurs.
     """
-    solid = without(line, BREAKS)
-    size = F.length(solid)
+    size = F.length(line)
 
     def count(characters: str) -> Column:
-        return size - F.length(without(solid, characters))
+        return F.regexp_count(line, F.lit(_any(characters)))
 
-    plain = F.lower(F.trim(line))
-    return (size > 0) & (
+    return line.rlike(WORD) & (
         (count(SYMBOLS) > max_symbols * size)
-        | ((count("!") > max_shouts * size) & (count("!") > 2))
-        | ((count(SEPARATORS) >= min_separators) & (count(SEPARATORS) * 25 >= size))
-        | plain.isin(*NAVIGATION)
-        | F.greatest(*[F.contains(plain, F.lit(p)).cast("int") for p in BOILERPLATE]).eqNullSafe(1)
+        | (count("!") > F.greatest(max_shouts * size, F.lit(2)))
+        | (count(SEPARATORS) >= F.greatest(size / 25, F.lit(min_separators)))
+        | _is_menu(line)
+        | _is_boilerplate(line)
     )
 
 
+def _is_menu(line: Column) -> Column:
+    longest = max(map(len, NAVIGATION))
+    # Cheap first: no long line is a menu entry.
+    return (F.length(line) <= longest + 8) & F.lower(F.trim(line)).isin(*NAVIGATION)
+
+
+def _is_boilerplate(text: Column) -> Column:
+    """Whether a phrase occurs, in any case."""
+    return F.exists(
+        F.transform(F.array(F.lower(text)), lambda low: F.forall(
+            F.array(*map(F.lit, BOILERPLATE)), lambda phrase: ~F.contains(low, phrase)
+        )),
+        lambda clear: ~clear,
+    )
+
+
+def _repeat_words(words_: Column) -> Column:
+    """Words inside a 3-word window that occurs twice or more."""
+
+    def windows(of) -> Column:
+        return F.transform(
+            F.slice(words_, F.lit(1), F.greatest(F.size(words_) - 2, F.lit(0))),
+            lambda word, at: of(word, F.get(words_, at + 1), F.get(words_, at + 2), at),
+        )
+
+    hashes = windows(lambda a, b, c, _: F.xxhash64(a, b, c))
+    spelled = windows(lambda a, b, c, at: F.struct(F.concat_ws(" ", a, b, c).alias("w"), at.alias("at")))
+
+    def covered(ordered: Column) -> Column:
+        twice = F.filter(
+            ordered,
+            lambda x, at: x["w"].eqNullSafe(F.get(ordered, at + 1)["w"])
+            | x["w"].eqNullSafe(F.get(ordered, at - 1)["w"]),
+        )
+        places = F.transform(twice, lambda x: F.array(x["at"], x["at"] + 1, x["at"] + 2))
+        return F.size(F.array_distinct(F.flatten(places)))
+
+    # Equal windows have equal hashes: where all hashes differ, nothing is spelled out.
+    differ = F.exists(F.array(hashes), lambda h: F.size(F.array_distinct(h)) == F.size(h))
+    exact = F.get(F.transform(F.array(F.sort_array(spelled)), covered), F.lit(0))
+    return F.when(differ, 0).otherwise(exact)
+
+
 def assess(
     docs: DataFrame,
     *,
@@ -70,54 +117,39 @@ def assess(
     """
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lined = own_names(docs, _text=body, _words=words(body), _lines=F.split(body, "\n", -1))
-    n = F.size("_words")
-    windows = F.transform(
-        F.slice(F.col("_words"), F.lit(1), F.greatest(n - 2, F.lit(0))),
-        lambda word, at: F.struct(
-            F.concat_ws(" ", word, F.get("_words", at + 1), F.get("_words", at + 2)).alias("w"),
-            at.alias("at"),
-        ),
-    )
-    judged = lined.select(
-        "*",
-        F.sort_array(windows).alias("_windows"),
-        F.filter("_lines", lambda line: without(line, BREAKS) != "").alias("_worded"),
-        F.filter("_lines", lambda line: ~line_fails(line)).alias("_good"),
-    )
-    twice = F.filter(
-        "_windows",
-        lambda x, at: x["w"].eqNullSafe(F.get("_windows", at + 1)["w"])
-        | F.coalesce(x["w"] == F.get("_windows", at - 1)["w"], F.lit(False)),
-    )
-    covered = F.array_distinct(
-        F.flatten(F.transform(twice, lambda x: F.array(x["at"], x["at"] + 1, x["at"] + 2)))
+    # Only texts with a trace of a rule have their lines judged one by one.
+    traces = (
+        F.col("_text").rlike(_any(SYMBOLS + SEPARATORS + "!"))
+        | _is_boilerplate(F.col("_text"))
+        | F.exists("_lines", _is_menu)
     )
-    solid = without(F.col("_text"), BREAKS)
+    good = F.when(traces, F.filter("_lines", lambda line: ~line_fails(line)))
+    worded = F.filter("_lines", lambda line: line.rlike(WORD))
     counted = own_names(
-        judged,
-        n_words=n.cast("long"),
-        word_chars=F.length(solid).cast("long"),
-        n_symbols=(F.length("_text") - F.length(without(F.col("_text"), SYMBOLS))).cast("long"),
+        lined.withColumns({"_good": F.coalesce(good, F.col("_lines")), "_worded": worded}),
+        n_words=F.size("_words").cast("long"),
+        word_chars=F.length(F.array_join("_words", "")).cast("long"),
+        n_symbols=F.regexp_count("_text", F.lit(_any(SYMBOLS))).cast("long"),
         n_dup_lines=(F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long"),
-        n_repeat_words=F.size(covered).cast("long"),
+        n_repeat_words=_repeat_words(F.col("_words")).cast("long"),
         cleaned=F.array_join("_good", "\n"),
     )
-    left = F.length(without(F.col("cleaned"), BREAKS))
+    left = F.length(F.array_join(words(F.col("cleaned")), ""))
     whole = F.greatest(F.col("word_chars"), F.lit(1))
     marked = own_names(
         counted,
-        lost=F.when(F.col("word_chars") == 0, 0.0).otherwise(1 - left / whole),
+        lost=F.when(F.size("_good") == F.size("_lines"), 0.0).otherwise(1 - left / whole),
         base_failed=(F.col("n_words") < min_words)
         | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")),
-    ).drop("_text", "_words", "_lines", "_windows", "_worded", "_good")
+    ).drop("_text", "_words", "_lines", "_worded", "_good")
     return own_names(marked, kept=~F.col("base_failed") & (F.col("lost") <= max_loss))
 
 
-def clean(docs: DataFrame, **parameters) -> DataFrame:
+def clean(docs: DataFrame, *, text: str = "text", **parameters) -> DataFrame:
     """The kept documents with their cleaned text, in the columns they came with.
 
     ``n_chars``, where there is one, follows the text.
     """
-    judged = assess(docs, **parameters).filter("kept")
-    fresh = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
-    return judged.select(*[fresh[c].alias(c) if c in fresh else F.col(f"`{c}`") for c in docs.columns])
+    inner, name = shielded(docs)
+    judged = assess(inner, text=name[text], **parameters).filter("kept")
+    return with_text(judged, name, text, F.col("cleaned"))

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality, simhash
+from . import bpe, lengths, lm, mixing, pii, quality, simhash, topk, toxicity, urls
 from .common import table
 
 QUERIES = {}
@@ -14,6 +14,61 @@ def query(plan):
     return plan
 
 
+@query
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2("base", 256).alias("base_sha256"), "spans",
+    )
+
+
+@query
+def op3_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.suffix_sums(lengths.histogram(table(spark, sf_dir, "documents")))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    held = lm.held_out(F.col("doc_id"), 4, 2)
+    network = toxicity.fit(docs.filter(~held), labels.filter(~held))
+    return toxicity.score(docs, network).select(
+        "doc_id",
+        held.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        "flagged",
+    )
+
+
+@query
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+@query
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = lm.held_out(F.col("doc_id"), 5, 1)
+    scored = lm.score(docs, held)
+    return scored.select("*", held.alias("held_out"))
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.allot(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import batches, cut, own_names
+from .common import batches, cut, restored, shielded
 from .components import components
 
 _FANOUT = 8
@@ -306,6 +306,10 @@ def near_duplicates(
     )
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b"")))
+
+
 def keep_first(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -315,11 +319,10 @@ def keep_first(
     a key if its component has no key at all.
     """
     batches(docs.sparkSession, 1024)
-    of_text = F.xxhash64(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")))
     prints = cut(
         docs.select(
             F.col(f"`{key}`").alias("doc_id"),
-            of_text.alias("text_hash"),
+            _text_hash(F.col(f"`{text}`")).alias("text_hash"),
             fingerprint_column(F.col(f"`{text}`"), shingle).alias("fp"),
         )
     )
@@ -330,7 +333,10 @@ def keep_first(
         .agg(F.min("text_hash").alias("text_hash"))
         .select(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"))
     )
-    tagged = own_names(docs, _hash=of_text, _key=F.col(f"`{key}`"))
-    same = tagged["_key"].eqNullSafe(first["_key"]) & (tagged["_hash"] == first["_hash"])
-    kept = tagged.join(first, same, "left_semi").dropDuplicates(["_key", "_hash"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    inner, name = shielded(docs)
+    tagged = inner.select(
+        "*", F.col(name[key]).alias("_doc"), _text_hash(F.col(name[text])).alias("_text")
+    )
+    same = tagged["_doc"].eqNullSafe(first["_key"]) & (tagged["_text"] == first["_hash"])
+    kept = tagged.join(first, same, "left_semi").dropDuplicates(["_doc", "_text"])
+    return restored(kept, name)
