@@ -1,13 +1,178 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from .urls import DEPTH, RULES
+
 ORACLES = {}
 
+ORACLES["op1_topk"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), c AS (
+  SELECT vec_id, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS w FROM v
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+  FROM c AS q JOIN c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0
+  GROUP BY q.vec_id, c.vec_id
+), r AS (
+  SELECT query_id, vec_id, score,
+         row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+ORACLES["op7_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                              lambda x: x <> '')) AS BIGINT) AS size,
+         (CAST(('0x' || substr(md5('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)) AS BIGINT)
+          + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT source, source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn,
+         CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+           WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight,
+         CAST(2 * source_size AS DOUBLE) AS cap
+  FROM s
+), l AS (
+  SELECT *, row_number() OVER o AS place,
+         (1.5::DOUBLE * CAST(sum(source_size) OVER () AS DOUBLE)
+          - CAST(coalesce(sum(2 * source_size) OVER (ORDER BY cap / weight, turn
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+         / CAST(sum(weight) OVER (ORDER BY cap / weight, turn
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS level
+  FROM w WINDOW o AS (ORDER BY cap / weight, turn)
+), m AS (
+  SELECT (SELECT level FROM l WHERE cap / weight > level ORDER BY place LIMIT 1) AS common
+), t AS (
+  SELECT source, source_size, coalesce(least(cap, weight * common), cap) AS target FROM l, m
+), h AS (
+  SELECT source, size, CAST(count(*) AS BIGINT) AS n,
+         CAST(floor(1024 * sqrt(CAST(size AS DOUBLE))) AS BIGINT) AS pull
+  FROM d GROUP BY source, size
+), f AS (
+  SELECT h.source, size, pull,
+         (target - 2 * CAST(coalesce(sum(size * n) OVER (PARTITION BY h.source ORDER BY size DESC
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE))
+         / nullif(CAST(sum(size * n * pull) OVER (PARTITION BY h.source ORDER BY size DESC
+              ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE), 0) AS tried
+  FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source
+), g AS (
+  SELECT source, arg_max(tried, size) FILTER (WHERE tried * pull < 2) AS factor
+  FROM f GROUP BY source
+), e AS (
+  SELECT d.*, t.source_size, t.target,
+         CASE WHEN size = 0 THEN 0.0::DOUBLE WHEN factor IS NULL THEN 2.0::DOUBLE
+              ELSE least(2.0::DOUBLE, factor * CAST(floor(1024 * sqrt(CAST(size AS DOUBLE))) AS BIGINT))
+         END AS copies
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+         JOIN g ON d.source IS NOT DISTINCT FROM g.source
+), p AS (
+  SELECT *, CAST(floor(copies) AS BIGINT) AS certain, copies - floor(copies) AS p,
+         target - CAST(sum(CAST(floor(copies) AS BIGINT) * size) OVER (PARTITION BY source) AS DOUBLE) AS rest
+  FROM e
+), k AS (
+  SELECT *, (u / (1 - u)) / (p / (1 - p)) AS rank FROM p WHERE p > 0
+), x AS (
+  SELECT doc_id, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size / 2.0 <= rest AS extra
+  FROM k
+)
+SELECT p.doc_id, p.size, p.source_size, p.target,
+       CAST((p.certain + CASE WHEN coalesce(x.extra, false) THEN 1 ELSE 0 END) * p.size AS BIGINT) AS taken
+FROM p LEFT JOIN x ON p.doc_id = x.doc_id
+"""
+
+
+def _urls() -> str:
+    """The tree of op5, level by level."""
+
+    def fits(rule) -> str:
+        return (
+            f"(host = '{rule.host}' OR ends_with(host, '.{rule.host}'))"
+            f" AND starts_with(path, '{rule.path}')"
+        )
+
+    ordered = sorted(RULES, key=lambda r: -len(r.name))
+    named = " ".join(f"WHEN {fits(r)} THEN '{r.name}'" for r in ordered)
+    judged = " ".join(f"WHEN {fits(r)} THEN '{r.verdict}'" for r in ordered)
+    plain = "translate(seg, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    levels = [f"s{i}" for i in range(DEPTH + 1)]
+    keys = ", ".join(levels)
+    found = ", ".join(f"coalesce(segs[{i + 1}], '') AS s{i}" for i in range(DEPTH))
+    sql = f"""
+WITH u AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
+              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages
+), r AS (
+  SELECT *, CASE {named} END AS rule, CASE {judged} END AS by_rule,
+    list_transform(list_filter(string_split(path, '/'), lambda seg: seg <> ''), lambda seg:
+      CASE WHEN regexp_matches({plain}, '^[0-9a-f-]{{8,}}$') AND regexp_matches({plain}, '[0-9]')
+           THEN '<id>' ELSE regexp_replace({plain}, '[0-9]+', '<n>', 'g') END) AS segs
+  FROM u
+), p AS (
+  SELECT *, {found}, CASE WHEN len(segs) > {DEPTH} THEN '<more>' ELSE '' END AS s{DEPTH} FROM r
+), shapes AS (
+  SELECT host, {keys}, CAST(count(by_rule) AS DOUBLE) AS labelled,
+         CAST(count(*) FILTER (WHERE by_rule = 'block') AS DOUBLE) AS blocked
+  FROM p GROUP BY host, {keys}
+), roots AS (
+  SELECT host, (sum(blocked) + 2.0::DOUBLE * (0.2::DOUBLE + 0.2::DOUBLE) / 2)
+               / (sum(labelled) + 2.0::DOUBLE) AS purity
+  FROM shapes GROUP BY host
+), t0 AS (
+  SELECT shapes.*, '' AS prefix, purity FROM shapes JOIN roots USING (host)
+)"""
+    for i, s in enumerate(levels):
+        sql += f""", c{i} AS (
+  SELECT host, prefix, {s}, sum(blocked) AS cb, sum(labelled) AS cl FROM t{i} GROUP BY ALL
+), k{i} AS (
+  SELECT *, sum(cb) OVER g AS pb, sum(cl) OVER g AS pl, count(*) OVER g AS kids
+  FROM c{i} WINDOW g AS (PARTITION BY host, prefix)
+), m{i} AS (
+  SELECT host, prefix, {s}, cb, cl,
+    CASE WHEN {s} = '' THEN '$' WHEN kids > 32 THEN '<*>'
+         WHEN cl > 0 AND pb > 0 AND pb < pl
+              AND abs(cb / cl - pb / pl) > 1.96::DOUBLE * sqrt(pb / pl * (1 - pb / pl) / cl) THEN {s}
+         WHEN cl > 0 THEN '<~>' ELSE '<?>' END AS node
+  FROM k{i}
+), n{i} AS (
+  SELECT *, sum(cb) OVER g AS nb, sum(cl) OVER g AS nl
+  FROM m{i} WINDOW g AS (PARTITION BY host, prefix, node)
+), t{i + 1} AS (
+  SELECT host, {keys}, labelled, blocked,
+    CASE WHEN ends_with(prefix, '$') THEN prefix ELSE prefix || '/' || node END AS prefix,
+    CASE WHEN ends_with(prefix, '$') THEN purity
+         ELSE (nb + 2.0::DOUBLE * (0.2::DOUBLE + purity) / 2) / (nl + 2.0::DOUBLE) END AS purity
+  FROM t{i} JOIN n{i} USING (host, prefix, {s})
+)"""
+    return sql + f"""
+SELECT page_id, host, path, rule, prefix AS template, purity,
+       coalesce(by_rule, CASE WHEN purity > 0.75 THEN 'block' ELSE 'allow' END) AS verdict
+FROM p JOIN t{DEPTH + 1} USING (host, {keys})
+"""
+
+
+ORACLES["op5_urls"] = _urls()
+
 ORACLES["op10_quality"] = r"""
 WITH base AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
 ), split AS (
   SELECT doc_id, text,
-         list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), x -> x <> '') AS w,
+         list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
          string_split(text, chr(10)) AS lines
   FROM base
 ), gram AS (

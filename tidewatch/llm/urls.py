@@ -67,13 +67,10 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 def segments(path: Column, depth: int = DEPTH) -> list[Column]:
     """The first segments, generalised; those beyond the depth count as one more wildcard."""
     parts = F.array_remove(F.split(path, "/", -1), "")
-    hexadecimal = r"(?i)^(?=.*[0-9])[0-9a-f-]{8,}$"
-
     def shape(part: Column) -> Column:
         plain = lower_ascii(part)
-        return F.when(plain.rlike(hexadecimal), "<id>").otherwise(
-            F.regexp_replace(plain, "[0-9]+", "<n>")
-        )
+        hexadecimal = plain.rlike("^[0-9a-f-]{8,}$") & plain.rlike("[0-9]")
+        return F.when(hexadecimal, "<id>").otherwise(F.regexp_replace(plain, "[0-9]+", "<n>"))
 
     found = [F.coalesce(shape(F.get(parts, i)), F.lit(_END)) for i in range(depth)]
     return [*found, F.when(F.size(parts) > depth, "<more>").otherwise(_END)]
