@@ -1,0 +1,152 @@
+import hashlib
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidewatch.llm import pii
+
+from .helpers import ODD_TEXTS, documents, table_rows
+
+
+def plain_spans(text):
+    """The patterns of the contract, as they stand."""
+
+    def luhn(digits):
+        total = 0
+        for i, d in enumerate(map(int, reversed(digits))):
+            d = d * 2 if i % 2 else d
+            total += d - 9 if d > 9 else d
+        return total % 10 == 0
+
+    def digits(x):
+        return re.sub("[^0-9]", "", x)
+
+    rules = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda x: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda x: all(int(p) <= 255 for p in x.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda x: 13 <= len(digits(x)) <= 19 and luhn(digits(x))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda x: 9 <= len(digits(x)) <= 15),
+    }
+    return [(k, *m.span()) for k, (p, ok) in rules.items() for m in re.finditer(p, text) if ok(m.group())]
+
+
+PARTS = st.sampled_from([
+    "a@b.c", "a@b", "@", ".", "x_y%z", "d@e.f.g", "1.2.3.4", "256.1.1.1", "007.1.2.3", "4111 1111 1111 1111",
+    "4111-1111-1111-1112", "4467920212765298", "+1 (614) 555-8001", "+", "12", "-", " ", "é", "\n", "+49 30 1234567",
+])
+
+
+@settings(max_examples=400, deadline=None)
+@given(parts=st.lists(PARTS, max_size=14))
+def test_base_spans_are_the_plain_patterns(parts):
+    text = "".join(parts)
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+@settings(max_examples=200, deadline=None)
+@given(text=st.text(st.sampled_from("ab@.1290-+ ()_%é"), max_size=60))
+def test_base_spans_of_noise(text):
+    assert pii.base_spans(text) == plain_spans(text)
+
+
+@pytest.mark.parametrize("text", ["a" * 200_000, "a@" * 60_000, "1" * 200_000, "1." * 60_000, "+1 " * 50_000, "a.b-" * 40_000])
+def test_long_runs_take_linear_time(text):
+    pii.spans_of(text)
+
+
+def test_base_spans_of_the_table(spark, sf_dir):
+    from tidewatch.llm.queries import QUERIES
+
+    texts = {r["doc_id"]: r["text"] for r in table_rows(sf_dir, "documents")}
+    found = 0
+    for r in QUERIES["op2_pii"](spark, sf_dir).collect():
+        base = plain_spans(texts[r.doc_id])
+        joined = [f"{k}:{a}:{b}" for k, a, b in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(joined).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in base) for k in pii.BASE]
+        spans = r.spans.split(",") if r.spans else []
+        assert set(joined) <= set(spans)
+        order = [(pii.KINDS.index(s.split(":")[0]), int(s.split(":")[1])) for s in spans]
+        assert order == sorted(order)
+        found += len(base)
+    assert found
+
+
+def test_expectation_maximisation_finds_the_reliable_functions():
+    dice = np.random.default_rng(1)
+    truth = dice.random(4000) < 0.4
+    accuracy = [0.95, 0.9, 0.85, 0.55, 0.5, 0.9, 0.6]
+    votes = np.stack([np.where(dice.random(4000) < a, truth, ~truth) * 2 - 1 for a in accuracy], axis=1)
+    patterns, place, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    found = pii.estimate(patterns, counts.astype(float))
+    belief = found.posterior(patterns)[place.reshape(-1)]
+    assert ((belief > 0.5) == truth).mean() > 0.95
+    for f, a in enumerate(accuracy):
+        assert abs(found.chance[1, f, 2] - a) < 0.06
+
+
+def test_classifier_learns_soft_targets():
+    rows = [[1, 5], [1, 6], [2, 5], [2, 6]] * 50
+    weight = pii.train(rows, np.array([0.95, 0.9, 0.1, 0.05] * 50))
+    assert weight[1] > 0.5 and weight[2] < -0.5
+    assert not pii.train([], np.zeros(0)).any()
+
+
+CONTEXTS = [
+    ("Please call me, phone {} any time.", "(614) 555-8001", "phone"),
+    ("His social security number, ssn {} is private.", "219-09-9999", "ssn"),
+    ("Transfer it to my bank account, iban {} soon.", "DE89 3704 0044 0532 0130 00", "iban"),
+    ('Use token = "{}" for the api.', "dafbac99949115180e7593de87b4492b", "secret"),
+]
+
+
+def corpus(n=60):
+    """Base spans and loose ones with their contexts, and numbers that are nobody's."""
+    rows = []
+    for i in range(n):
+        rows.append(f"Write a mail to user{i}@mail{i % 9}.example.com or from host 10.0.{i}.7 today.")
+        rows.append(f"Your visa card {4111111111111111} and phone +1 (614) 555-{8000 + i} are known.")
+        rows.append(f"As of version 123 456 {7000 + i} and isbn 978-{i % 10}{i % 7}1-55-1234-x, page 12 of 99.")
+        text, value, _ = CONTEXTS[i % len(CONTEXTS)]
+        rows.append(text.format(value))
+    return rows
+
+
+def test_the_method_adds_spans_and_keeps_the_base(spark):
+    texts = corpus()
+    docs = documents(spark, list(enumerate(texts)))
+    model = pii.fit(docs)
+    for text, value, kind in CONTEXTS:
+        filled = text.format(value)
+        at = filled.index(value)
+        assert (kind, at, at + len(value)) in model.spans(filled)[1]
+    assert model.spans("Version 123 456 7001 of isbn 978-111-55-1234-x.")[1] == []
+    assert model.spans("Nothing of that sort is in here.") == ([], [])
+    again = pii.fit(docs.repartition(5))
+    assert (again.weight == model.weight).all()
+
+
+def test_redaction(spark):
+    rows = [*enumerate(corpus(20)), (None, None), (99, ""), (98, "a@b.cc, a@b.cc 🙂 a@b.cc", "en", "s", 3)]
+    docs = documents(spark, rows).selectExpr("*", "1 AS _text", "'k' AS spans", "2 AS base")
+    out = pii.redact(docs)
+    assert out.dtypes == docs.dtypes
+    by_id = {r.doc_id: r for r in out.collect()}
+    assert len(by_id) == len(rows)
+    assert by_id[98].text == "[EMAIL], [EMAIL] 🙂 [EMAIL]" and by_id[98].n_chars == len(by_id[98].text)
+    assert by_id[None].text is None and by_id[99].text == "" and by_id[0]["spans"] == "k"
+    assert "example.com" not in "".join(r.text or "" for r in by_id.values())
+
+
+def test_odd_rows(spark):
+    rows = [*enumerate(ODD_TEXTS), (None, "a@b.cc"), (None, "a@b.cc")]
+    docs = documents(spark, rows).selectExpr("*", "1 AS N_Email", "2 AS base", "3 AS _found")
+    got = pii.find(docs).collect()
+    assert len(got) == len(rows) and sum(r.n_email for r in got) == 2
+    assert {r.spans for r in got if r.doc_id is None} == {"email:0:6"}
+    assert pii.find(documents(spark, [])).collect() == []
+    broken = spark.sql("SELECT CAST(X'61FF2061406263632E6363' AS STRING) AS text")
+    assert pii.find(broken).count() == 1

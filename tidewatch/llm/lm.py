@@ -176,7 +176,7 @@ class Tree:
         test = 2 * np.bincount(context, counts * np.log(share / prior), n)
         with np.errstate(divide="ignore", invalid="ignore"):
             tail = 2 * totals * unlisted * np.log(unlisted / (1 - expected))
-        test += np.where(unlisted > 0, tail, 0)
+        test = test + np.where(unlisted > 0, tail, 0)
         retained = test > kinds + 4 * np.sqrt(2 * kinds)
 
         smooth = (counts + kinds[context] * prior) / (totals[context] + kinds[context])
