@@ -168,3 +168,10 @@ def test_size_that_is_no_multiple_of_the_slide(spark):
     out = indicators.moving_average(rows, size="3 minutes", slide="2 minutes")
     assert {(r.window_start, r.sma_5min) for r in out.collect()} == {(at(-120), 1.0), (at(0), 2.0)}
     assert dict(out.dtypes)["window_start"] == "timestamp_ntz"
+
+
+def test_low_prices_are_judged_before_rounding(spark):
+    """0.004 to 0.0049 is up by 22.5 percent, though both round to 0.00."""
+    rows = ticks(spark, ("A", 0.004, 0.0, 0), ("A", 0.0049, 0.0, 10))
+    out = indicators.pump_dump(rows, basis="window_range").collect()
+    assert {(r.price_max, r.price_min, r.alerta) for r in out} == {(0.0, 0.0, V.PUMP)}

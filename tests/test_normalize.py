@@ -72,7 +72,7 @@ def test_null_state_is_not_closed(spark):
 
 
 def snapshot(spark, *rows):
-    valid, rejects = normalize.market(texts(spark, *rows), spark, timestamp=F.lit(7).cast("bigint"))
+    valid, rejects = normalize.market(texts(spark, *rows), timestamp=F.lit(7).cast("bigint"))
     return [tuple(r) for r in valid.orderBy("symbol").collect()], [
         tuple(r) for r in rejects.collect()
     ]

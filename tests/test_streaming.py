@@ -300,7 +300,7 @@ def test_raw_messages_travel_to_the_feeds(spark):
         "documents",
         '{"data":[{"value":"24","value_classification":"Extreme Fear","timestamp":"1700000000"}]}',
     )
-    outcomes = jobs.publish_feeds(spark, exchange, snapshots, documents)
+    outcomes = jobs.publish_feeds(exchange, snapshots, documents)
     jobs.start_publishing(
         outcomes, sinks.batch_writer(f"{folder}/bus", ("topic",)), f"{folder}/rejects",
         f"{folder}/c1", sinks.ONCE,

@@ -11,6 +11,7 @@ from .times import (
     from_epoch_seconds,
     micros,
     now_millis,
+    time_order,
 )
 
 __all__ = [
@@ -26,6 +27,7 @@ __all__ = [
     "now_millis",
     "percent_change",
     "round_to",
+    "time_order",
     "ticker_topic",
     "to_bigint",
     "to_double",

@@ -56,3 +56,14 @@ def from_epoch_seconds(s: Column) -> Column:
 
 def now_millis() -> Column:
     return F.unix_millis(F.current_timestamp())
+
+
+def time_order(ts: Column, tiebreak: Column) -> Column:
+    """Order by time, then by a BIGINT, as one DECIMAL.
+
+    Of fixed width, unlike a struct, so that min_by and max_by stay hash aggregates. Holds for
+    all times a TIMESTAMP can be written as.
+    """
+    span = F.lit("20000000000000000000").cast("decimal(20,0)")  # more than BIGINT has values
+    us = epoch_micros(ts).cast("decimal(18,0)")
+    return (us * span).cast("decimal(38,0)") + tiebreak.cast("decimal(19,0)")

@@ -55,12 +55,13 @@ def pump_dump(
         Stat("price_min", "min", "price"),
     ]
     out = windowed(ticks, stats, time=time, key=key, size=size, slide=slide, delay=delay)
-    out = _rounded(out, change_avg=4, price_max=2, price_min=2)
     judged = {
-        "change_avg": F.col("change_avg"),
+        "change_avg": round_to(F.col("change_avg"), 4),
         "window_range": percent_change(F.col("price_max"), F.col("price_min")),
     }[basis]
-    return out.withColumn("alerta", classify_move(judged, limit))
+    # Judged before rounding: two decimals of a price below a cent say nothing.
+    out = out.withColumn("alerta", classify_move(judged, limit))
+    return _rounded(out, change_avg=4, price_max=2, price_min=2)
 
 
 def local_price(ticks: DataFrame, *, time: str = "event_time", key: str = "symbol",

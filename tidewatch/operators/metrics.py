@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import values as V
-from ..functions import at_micros, ceil_to, epoch_micros, floor_to, micros
-from .series import SLICE, on_grid, rate
+from ..functions import at_micros, ceil_to, epoch_micros, floor_to, micros, time_order
+from .series import SLICE, held_values, on_grid, rate
 
 
 def gauges(
@@ -46,8 +46,11 @@ def last_value(
     rows: DataFrame, values: list[str], *, keys: list[str], ts: str = "event_time",
     tiebreak: str | None = None,
 ) -> DataFrame:
-    """The latest value of each column per label; NULL times never count as latest."""
-    order = F.col(ts) if tiebreak is None else F.struct(ts, tiebreak)
+    """The latest value of each column per label; NULL times never count as latest.
+
+    ``tiebreak``, a BIGINT column, decides between rows of one time.
+    """
+    order = F.col(ts) if tiebreak is None else time_order(F.col(ts), F.col(tiebreak))
     timed = rows.where(F.col(ts).isNotNull())
     return timed.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])
 
@@ -78,29 +81,32 @@ def message_counter(
 
     Sampled every ``every`` where messages came in. ``restart`` sets the counter back to zero
     at multiples of that period. Messages are counted per scrape first; the running sums then
-    go over the scrapes of an hour (or period) and over hours, never over messages.
+    go over the scrapes of an hour and over the hours, never over messages.
     """
-    width, period = micros(every), micros(restart or SLICE)
-    # A restart belongs to the scrape after it: the slices are (start, end] like the scrapes.
+    width, hour = micros(every), micros(SLICE)
+    # A restart belongs to the scrape after it: periods are (start, end] like the scrapes.
+    before = F.col("cell") - 1
+    period = F.lit(0).cast("bigint") if restart is None else floor_to(before, micros(restart))
     cells = (
         messages.where(F.col(ts).isNotNull() & F.col(topic).isNotNull())
         .groupBy(topic, ceil_to(epoch_micros(F.col(ts)), width).alias("cell"))
         .agg(F.count("*").alias("n"))
-        .withColumn("slice", floor_to(F.col("cell") - 1, period))
+        .withColumns({"period": period, "slice": floor_to(before, hour)})
         # Said here, or the join below adds it to one of its sides only and the messages
         # are counted twice.
-        .where(F.col("slice").isNotNull())
+        .where(F.col("slice").isNotNull() & F.col("period").isNotNull())
+    )
+    # A slice that a restart cuts has a part in either period.
+    in_slice = Window.partitionBy(topic, "period", "slice").orderBy("cell")
+    hours = Window.partitionBy(topic, "period").orderBy("slice")
+    earlier = cells.groupBy(topic, "period", "slice").agg(F.sum("n").alias("n")).select(
+        topic, "period", "slice", (F.sum("n").over(hours) - F.col("n")).alias("earlier")
+    )
+    counted = (
+        cells.withColumn("value", F.sum("n").over(in_slice))
+        .join(earlier, [topic, "period", "slice"])
+        .withColumn("value", F.col("value") + F.col("earlier"))
     )
-    in_slice = Window.partitionBy(topic, "slice").orderBy("cell")
-    counted = cells.withColumn("value", F.sum("n").over(in_slice))
-    if restart is None:
-        hours = Window.partitionBy(topic).orderBy("slice")
-        earlier = cells.groupBy(topic, "slice").agg(F.sum("n").alias("n")).select(
-            topic, "slice", (F.sum("n").over(hours) - F.col("n")).alias("earlier")
-        )
-        counted = counted.join(earlier, [topic, "slice"]).withColumn(
-            "value", F.col("value") + F.col("earlier")
-        )
     like = messages.schema[ts].dataType
     return counted.select(
         F.lit(metric).alias("metric"),
@@ -138,23 +144,46 @@ def combine(
 ) -> DataFrame:
     """``(labels, eval_ts, value)``: arithmetic between two metrics with equal labels.
 
-    Both are put on the grid in one pass and brought together by one aggregation on (labels,
-    time), which spreads over times even if there is a single label set.
+    Both are put on the grid in one pass and stay in run-length form until they have met: the
+    runs of both metrics are cut at slice borders, ordered by (labels, slice), and each run is
+    paired with the run of the other metric that holds beside it.
     """
+    step = micros(grid.get("step", V.EVALUATE_EVERY))
+    length = micros(SLICE) // step * step or step
     both = samples.where(F.col("metric").isin(left, right))
-    wide = (
-        on_grid(both, **grid)
-        .groupBy(F.sort_array(F.map_entries("labels")).alias("labels"), "eval_ts")
-        .agg(
-            F.max(F.when(F.col("metric") == left, F.col("value"))).alias("a"),
-            F.max(F.when(F.col("metric") == right, F.col("value"))).alias("b"),
-        )
-        .where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    held = held_values(both, **grid)
+    slices = F.sequence(floor_to(F.col("cell"), length), floor_to(F.col("until"), length),
+                        F.lit(length))
+    parts = held.drop("slice").withColumn("slice", F.explode(slices)).select(
+        "labels", "slice", "metric", "value",
+        F.greatest("cell", "slice").alias("cell"),
+        F.least(F.col("until"), F.col("slice") + (length - step)).alias("until"),
+    )
+
+    # One shuffle, of runs; the grid is spelled out only after it.
+    sides = {"a": left, "b": right}
+    of = {n: F.col("metric") == metric for n, metric in sides.items()}
+    starts = parts.repartition("labels", "slice").groupBy("labels", "slice", "cell").agg(
+        *[F.max(F.when(of[n], F.col(c))).alias(f"{n}_{c}") for n in sides for c in ("until", "value")]
+    )
+    ordered = Window.partitionBy("labels", "slice").orderBy("cell")
+    beside = starts.select(
+        "labels",
+        "cell",
+        *[F.last(c, ignorenulls=True).over(ordered).alias(c) for c in starts.columns[3:]],
+        (F.lead("cell").over(ordered) - step).alias("next"),
+    )
+    paired = beside.where(F.col("a_until").isNotNull() & F.col("b_until").isNotNull()).withColumn(
+        "until", F.least("next", "a_until", "b_until")
     )
-    return wide.select(
+    times = F.sequence("cell", "until", F.lit(step))
+    like = samples.schema["ts"].dataType
+    return paired.where(F.col("until") >= F.col("cell")).select(
+        "labels", op(F.col("a_value"), F.col("b_value")).alias("value"), F.explode(times).alias("us")
+    ).select(
         F.map_from_entries("labels").alias("labels"),
-        "eval_ts",
-        op(F.col("a"), F.col("b")).alias("value"),
+        at_micros(F.col("us"), like).alias("eval_ts"),
+        "value",
     )
 
 

@@ -5,7 +5,7 @@ does not parse, is set aside with its text and the names of the fields at fault,
 goes on.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -122,7 +122,6 @@ def closed_only(candles: DataFrame) -> DataFrame:
 
 def market(
     snapshots: DataFrame,
-    spark: SparkSession,
     symbols: dict[str, str] = V.COIN_SYMBOLS,
     timestamp: Column | None = None,
     text: str = "json",
@@ -130,9 +129,9 @@ def market(
     """Global snapshots, one JSON object per poll, to one row per known coin.
 
     Snapshots of failed polls are NULL and skipped. Coins outside ``symbols`` are cut from
-    the map before it is exploded; the lookup table is a literal as small as the dictionary,
-    so Catalyst knows its size. A missing number, also an explicit null, is 0; one that does
-    not parse sends the coin to the rejects.
+    the map before it is exploded, and the symbols are looked up in a literal map: there is no
+    join. A missing number, also an explicit null, is 0; one that does not parse sends the coin
+    to the rejects.
     """
     polled = snapshots.where(F.col(text).isNotNull()).withColumn(
         "timestamp", now_millis() if timestamp is None else timestamp
@@ -140,10 +139,10 @@ def market(
     parsed = parse_json(polled, S.TEXT_MAP, text)
     no_object = parsed.where(F.col("d").isNull()).select(text, F.lit("snapshot").alias("missing"))
 
-    lookup = spark.createDataFrame(list(symbols.items()), "coin string, symbol string")
+    symbol_of = F.create_map(*[F.lit(x) for pair in symbols.items() for x in pair])
     known = F.map_filter("d", lambda coin, _: coin.isin(list(symbols)))
-    quotes = parsed.select("timestamp", F.explode(known).alias("coin", text)).join(
-        lookup, "coin", "inner"
+    quotes = parsed.select("timestamp", F.explode(known).alias("coin", text)).withColumn(
+        "symbol", symbol_of[F.col("coin")]
     )
     quote = F.col("d")
     fields = {

@@ -19,9 +19,6 @@ from ..functions import at_micros, ceil_to, epoch_micros, floor_to, micros
 
 SERIES = ("metric", "labels")
 SLICE = "1 hour"
-# Rates order samples rather than grid steps. A series has at most one sample per microsecond,
-# so a short slice bounds what one task can meet, at the price of a few more copies.
-RATE_SLICE = "5 minutes"
 
 
 def keyed(samples: DataFrame) -> DataFrame:
@@ -36,7 +33,7 @@ def keyed(samples: DataFrame) -> DataFrame:
 
 def distinct_samples(samples: DataFrame) -> DataFrame:
     """One sample per series and time: the largest value."""
-    kept = _distinct(keyed(samples))
+    kept = keyed(samples).groupBy(*SERIES, "us").agg(F.max("value").alias("value"))
     return kept.select(
         "metric",
         F.map_from_entries("labels").alias("labels"),
@@ -45,10 +42,6 @@ def distinct_samples(samples: DataFrame) -> DataFrame:
     )
 
 
-def _distinct(samples: DataFrame) -> DataFrame:
-    return samples.groupBy(*SERIES, "us").agg(F.max("value").alias("value"))
-
-
 def held_values(
     samples: DataFrame,
     *,
@@ -109,46 +102,55 @@ def rate(
     step: str = V.EVALUATE_EVERY,
     extrapolate: bool = True,
     unique: bool = False,
-    slice_length: str = RATE_SLICE,
+    slice_length: str = SLICE,
 ) -> DataFrame:
     """``(metric, labels, eval_ts, rate)``: per-second increase of counters at each step.
 
     The samples in ``(t - window, t]`` count; fewer than two give no row. A value below its
     predecessor is a reset, and the predecessor is added back. ``extrapolate`` stretches the
-    increase to the window's edges, but at the start never to below zero. ``unique`` says that
-    no series repeats a time, as in a scraped counter, and saves the pass that makes it so.
+    increase to the window's edges, but at the start never to below zero. Of values that
+    contradict each other the largest counts; ``unique`` says that there are none, as in a
+    scraped counter, and saves looking.
+
+    Windows and steps are made of cells, the longest span that divides both. Samples are
+    shuffled once, by (series, cell), and ordered only inside their cell. Cells then go to the
+    slices whose steps see them, and a slice orders cells.
     """
     window, step = micros(window), micros(step)
     length = max(micros(slice_length), window)
     cell = gcd(window, step)
 
-    # Slices hold evaluation steps. A sample goes to each slice with a step that sees it.
-    first_step = ceil_to(ceil_to(F.col("us"), cell), step)
-    last_step = floor_to(ceil_to(F.col("us"), cell) - cell + window, step)
-    slices = F.sequence(floor_to(first_step, length), floor_to(last_step, length), F.lit(length))
-    settled = keyed(samples) if unique else _distinct(keyed(samples))
-    spread = settled.where(first_step <= last_step).withColumn("slice", F.explode(slices))
-
-    # From here on everything is partitioned by (series, slice): one shuffle.
-    in_slice = Window.partitionBy(*SERIES, "slice").orderBy("us")
+    placed = keyed(samples).withColumn("cell", ceil_to(F.col("us"), cell))
+    in_cell = Window.partitionBy(*SERIES, "cell").orderBy("us")
+    if not unique:
+        by_value = Window.partitionBy(*SERIES, "cell").orderBy("us", "value")
+        last_of_time = F.coalesce(F.lead("us").over(by_value) != F.col("us"), F.lit(True))
+        placed = placed.withColumn("settled", last_of_time).where("settled").drop("settled")
     dropped = F.when(F.col("value") < F.col("before"), F.col("before")).otherwise(F.lit(0.0))
-    drops = spread.withColumn("before", F.lag("value").over(in_slice)).withColumn("drop", dropped)
-    cells = drops.groupBy(*SERIES, "slice", ceil_to(F.col("us"), cell).alias("cell")).agg(
+    drops = placed.withColumn("before", F.lag("value").over(in_cell)).withColumn("drop", dropped)
+    cells = drops.groupBy(*SERIES, "cell").agg(
         F.count("*").alias("n"),
         F.min("us").alias("first_us"),
         F.max("us").alias("last_us"),
         F.min_by("value", "us").alias("first_value"),
         F.max_by("value", "us").alias("last_value"),
         F.sum("drop").alias("drops"),
-        F.min_by("drop", "us").alias("first_drop"),
-    )
-    since = F.greatest(ceil_to(F.col("cell"), step), ceil_to(F.col("slice"), step))
-    till = F.least(
-        floor_to(F.col("cell") - cell + window, step),
-        floor_to(F.col("slice") + length - 1, step),
     )
+
+    # Slices hold evaluation steps. A cell goes to each slice with a step that sees it; from
+    # there on everything is partitioned by (series, slice).
+    first_step = ceil_to(F.col("cell"), step)
+    last_step = floor_to(F.col("cell") - cell + window, step)
+    slices = F.sequence(floor_to(first_step, length), floor_to(last_step, length), F.lit(length))
+    spread = cells.where(first_step <= last_step).withColumn("slice", F.explode(slices))
+    in_slice = Window.partitionBy(*SERIES, "slice").orderBy("cell")
+    previous = F.lag("last_value").over(in_slice)
+    link = F.when(F.col("first_value") < previous, previous).otherwise(F.lit(0.0))
+    linked = spread.withColumn("link", link)
+    since = F.greatest(first_step, ceil_to(F.col("slice"), step))
+    till = F.least(last_step, floor_to(F.col("slice") + length - 1, step))
     seen_at = (
-        cells.where(since <= till)
+        linked.where(since <= till)
         .withColumn("at", F.explode(F.sequence(since, till, F.lit(step))))
         .groupBy(*SERIES, "slice", "at")
         .agg(
@@ -157,7 +159,8 @@ def rate(
             F.max("last_us").alias("last_us"),
             F.min_by("first_value", "first_us").alias("first_value"),
             F.max_by("last_value", "last_us").alias("last_value"),
-            (F.sum("drops") - F.min_by("first_drop", "first_us")).alias("drops"),
+            # What the window's first cell lost against the one before it lies outside.
+            (F.sum(F.col("drops") + F.col("link")) - F.min_by("link", "first_us")).alias("drops"),
         )
         .where((F.col("n") >= 2) & (F.col("last_us") > F.col("first_us")))
     )

@@ -8,7 +8,7 @@ key therefore costs one map-side update per row, not one per row and window.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,24 +38,18 @@ def windowed(
     delay: str | None = None,
 ) -> DataFrame:
     """``(window_start, window_end, key, *stats)``; NULL times belong to no window."""
-    if df.isStreaming or not _has_panes(stats, micros(size), micros(slide or size)):
+    if df.isStreaming or micros(size) % micros(slide or size):
         return flatten(windowed_stream(df, stats, time=time, key=key, size=size, slide=slide,
                                        delay=delay))
     table = windowed_table(df, stats, time=time, key=key, size=size, slide=slide)
     return stamped(table, df.schema[time].dataType, size)
 
 
-def _has_panes(stats: list[Stat], size: int, slide: int) -> bool:
-    """Whether panes pay: each pane's part of a deviation takes columns of its own."""
-    deviates = any(s.kind == "stddev" for s in stats)
-    return size % slide == 0 and (not deviates or size // slide <= 24)
-
-
 def windowed_stream(df, stats, *, time, key, size, slide=None, delay=None) -> DataFrame:
     """The same by plain window grouping, with the ``window`` struct kept as stream joins need it.
 
     Watermarks want a TIMESTAMP, so a stream's TIMESTAMP_NTZ time column is cast. Tables come
-    here only if their size is no multiple of the slide, or a deviation has too many panes.
+    here only if their size is no multiple of the slide.
     """
     timed = df
     if df.isStreaming:
@@ -96,25 +90,26 @@ def windowed_table(df, stats, *, time, key, size, slide=None) -> DataFrame:
         .agg(*_pane_columns(stats))
     )
     if size > slide:
-        offsets = range(0, size, slide)
         starts = F.sequence(F.col("pane") - (size - slide), F.col("pane"), F.lit(slide))
-        panes = (
-            panes.withColumnRenamed("start", "pane")
-            .withColumn("start", F.explode(starts))
-            .groupBy("start", key)
-            .agg(*_window_columns(stats, offsets))
-        )
-        finish = [_merged(s, offsets).alias(s.name) for s in stats]
-    else:
-        finish = [_single(s).alias(s.name) for s in stats]
-    return panes.select("start", key, *finish)
+        copies = panes.withColumnRenamed("start", "pane").withColumn("start", F.explode(starts))
+        if deviating := _deviating(stats):
+            # The panes of a window, at most size / slide of them, meet once: their means are
+            # compared with the window's where they then are aggregated.
+            meet = Window.partitionBy("start", key)
+            copies = copies.withColumns({f"{c}__mean": F.try_divide(
+                F.sum(f"{c}__sum").over(meet), F.sum(f"{c}__n").over(meet)) for c in deviating})
+        panes = copies.groupBy("start", key).agg(*_window_columns(stats))
+    return panes.select("start", key, *[_single(s).alias(s.name) for s in stats])
+
+
+# Partial results per pane. A mean needs (sum, count). A deviation needs (sum, count, sum of
+# squared distances from the mean) of every pane in the window: merged through the distances of
+# the pane means from the window mean, it keeps the digits that a plain sum of squares loses at
+# large prices. Extremes merge as themselves.
 
 
-# Partial results per pane. A mean needs (sum, count). A deviation needs (sum, count,
-# variance) of every pane in the window: merged through the distances of the pane means from
-# the window mean, it keeps the digits that a plain sum of squares loses at large prices.
-# Each pane sits at a known offset in the window, so its part goes to a column of its own and
-# the whole merge stays a hash aggregate. Extremes merge as themselves.
+def _deviating(stats: list[Stat]) -> list[str]:
+    return list(dict.fromkeys(s.column for s in stats if s.kind == "stddev"))
 
 
 def _pane_columns(stats: list[Stat]) -> list[Column]:
@@ -125,7 +120,7 @@ def _pane_columns(stats: list[Stat]) -> list[Column]:
             out[f"{s.column}__sum"] = F.sum(c.cast("double"))
             out[f"{s.column}__n"] = F.count(c)
         if s.kind == "stddev":
-            out[f"{s.column}__var"] = F.var_pop(c)
+            out[f"{s.column}__squares"] = F.var_pop(c) * F.count(c)
         if s.kind in ("max", "min"):
             out[f"{s.column}__{s.kind}"] = getattr(F, s.kind)(c)
     return [col.alias(name) for name, col in out.items()]
@@ -136,35 +131,19 @@ def _single(s: Stat) -> Column:
     if s.kind == "avg":
         return F.try_divide(F.col(f"{s.column}__sum"), n)
     if s.kind == "stddev":
-        return F.when(n > 1, F.sqrt(F.col(f"{s.column}__var") * n / (n - 1)))
+        return F.when(n > 1, F.sqrt(F.col(f"{s.column}__squares") / (n - 1)))
     return F.col(f"{s.column}__{s.kind}")
 
 
-def _window_columns(stats: list[Stat], offsets: range) -> list[Column]:
+def _window_columns(stats: list[Stat]) -> list[Column]:
     out = {}
     for s in stats:
         total, n = F.col(f"{s.column}__sum"), F.col(f"{s.column}__n")
         if s.kind in ("avg", "stddev"):
             out[f"{s.column}__sum"], out[f"{s.column}__n"] = F.sum(total), F.sum(n)
         if s.kind == "stddev":
-            out[f"{s.column}__within"] = F.sum(F.col(f"{s.column}__var") * n)
-            for offset in offsets:
-                here = F.col("pane") - F.col("start") == offset
-                out[f"{s.column}__sum{offset}"] = F.max(F.when(here, total))
-                out[f"{s.column}__n{offset}"] = F.max(F.when(here, n))
+            gap = F.try_divide(total, n) - F.col(f"{s.column}__mean")
+            out[f"{s.column}__squares"] = F.sum(F.col(f"{s.column}__squares") + n * gap * gap)
         if s.kind in ("max", "min"):
             out[f"{s.column}__{s.kind}"] = getattr(F, s.kind)(f"{s.column}__{s.kind}")
     return [col.alias(name) for name, col in out.items()]
-
-
-def _merged(s: Stat, offsets: range) -> Column:
-    if s.kind != "stddev":
-        return _single(s)
-    n = F.col(f"{s.column}__n")
-    mean = F.try_divide(F.col(f"{s.column}__sum"), n)
-    squares = F.coalesce(F.col(f"{s.column}__within"), F.lit(0.0))
-    for offset in offsets:
-        part_sum, part_n = F.col(f"{s.column}__sum{offset}"), F.col(f"{s.column}__n{offset}")
-        gap = F.try_divide(part_sum, part_n) - mean
-        squares = squares + F.coalesce(part_n * gap * gap, F.lit(0.0))
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))

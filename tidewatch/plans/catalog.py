@@ -57,6 +57,14 @@ def sma_volatility_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def sma_volatility_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixty panes in each window."""
+    return indicators.moving_average(
+        feeds.ticks(feeds.events(spark, sf_dir)), size="1 hour", slide="1 minute"
+    )
+
+
 @query
 def pump_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.pump_dump(feeds.ticks(feeds.events(spark, sf_dir)))
@@ -127,6 +135,11 @@ def _routed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.route(feeds.exchange_messages(rows).union(feeds.kline_messages(rows)))
 
 
+def _rejects_by_reason(messages: DataFrame) -> DataFrame:
+    outcomes = normalize.exchange_outcomes(messages)
+    return jobs.rejects(outcomes).groupBy("missing").agg(F.count("*").alias("messages"))
+
+
 @query
 def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     tickers, _ = normalize.tickers(_routed(spark, sf_dir))
@@ -135,13 +148,7 @@ def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def route_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = _routed(spark, sf_dir)
-    rejects = normalize.tickers(routed)[1].union(normalize.klines(routed)[1])
-    return (
-        rejects.union(normalize.unreadable(routed))
-        .groupBy("missing")
-        .agg(F.count("*").alias("messages"))
-    )
+    return _rejects_by_reason(_routed(spark, sf_dir))
 
 
 @query
@@ -159,7 +166,7 @@ def closed_klines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def explode_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     polls = feeds.snapshots(feeds.events(spark, sf_dir))
-    valid, _ = normalize.market(polls, spark, feeds.COINS, F.col("polled"))
+    valid, _ = normalize.market(polls, feeds.COINS, F.col("polled"))
     return valid
 
 
@@ -242,11 +249,8 @@ def history_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    routed = _routed(spark, sf_dir)
-    sent = normalize.tickers(routed)[0].select("topic").union(
-        normalize.klines(routed)[0].select("topic")
-    )
-    return metrics.message_counts(sent)
+    outcomes = normalize.exchange_outcomes(_routed(spark, sf_dir))
+    return metrics.message_counts(jobs.messages(outcomes))
 
 
 @query
@@ -529,7 +533,7 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = feeds.exchange_messages(feeds.event_stream(spark, sf_dir))
     folder = work_folder(spark, "publish")
     jobs.start_publishing(
-        jobs.publish_feeds(spark, raw),
+        jobs.publish_feeds(raw),
         sinks.batch_writer(f"{folder}/bus", ("topic",)),
         f"{folder}/rejects",
         f"{folder}/checkpoint",
@@ -553,7 +557,6 @@ def stream_job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.events(spark, sf_dir)
     folder = work_folder(spark, "job")
     outcomes = jobs.publish_feeds(
-        spark,
         feeds.exchange_messages(rows).union(feeds.kline_messages(rows)),
         feeds.snapshots(rows),
         feeds.sentiment_documents(rows),

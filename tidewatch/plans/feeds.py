@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import values as V
-from ..functions import percent_change, ticker_topic
+from ..functions import percent_change, ticker_topic, time_order
 from ..operators import metrics
 from ..operators.alerts import Rule
 from ..sources import table_stream
@@ -119,7 +119,7 @@ def exchange_messages(rows: DataFrame) -> DataFrame:
 
 def candles(rows: DataFrame) -> DataFrame:
     """Hourly candles of the events; an hour with two or more events is closed."""
-    order = F.struct("ts", "event_id")
+    order = time_order(F.col("ts"), F.col("event_id"))
     return rows.groupBy(
         F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"), "event_type"
     ).agg(
@@ -173,14 +173,15 @@ COINS = {"view": "VIEWUSD", "purchase": "PURCHASEUSD"}
 
 def snapshots(rows: DataFrame) -> DataFrame:
     """One snapshot per hour: every event type's last event, fields missing where k < 50."""
+    order = time_order(F.col("ts"), F.col("event_id"))
     latest = rows.withColumn("k", lot()).groupBy(
         F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"), "event_type"
-    ).agg(F.max_by(F.struct("value", "k"), F.struct("ts", "event_id")).alias("last"))
-    full = F.col("last.k") >= 50
+    ).agg(F.max_by("value", order).alias("value"), F.max_by("k", order).alias("k"))
+    full = F.col("k") >= 50
     quote = F.struct(
-        F.col("last.value").alias("usd"),
-        F.when(full, F.col("last.value") * 1e6).alias("usd_market_cap"),
-        F.when(full, F.col("last.k")).alias("usd_24h_vol"),
+        F.col("value").alias("usd"),
+        F.when(full, F.col("value") * 1e6).alias("usd_market_cap"),
+        F.when(full, F.col("k")).alias("usd_24h_vol"),
     )
     # At most one entry per event type, and there are five of those.
     by_type = F.map_from_entries(F.collect_list(F.struct("event_type", quote)))

@@ -68,11 +68,12 @@ def _pump_dump(size: str, slide: str, copies: int, judged: str = "change_avg") -
     return f"""WITH {_TICKS}, {sliding('ticks', slide, copies)},
 stats AS (
   SELECT window_start, window_start + INTERVAL '{size}' AS window_end, symbol,
-         {rounded('avg(change_pct)', 4)} AS change_avg,
-         {rounded('max(price)', 2)} AS price_max, {rounded('min(price)', 2)} AS price_min
+         {rounded('avg(change_pct)', 4)} AS change_avg, max(price) AS high, min(price) AS low
   FROM windows GROUP BY window_start, symbol
 )
-SELECT *, {_labelled(judged)} AS alerta FROM stats"""
+SELECT window_start, window_end, symbol, change_avg, {rounded('high', 2)} AS price_max,
+       {rounded('low', 2)} AS price_min, {_labelled(judged)} AS alerta
+FROM stats"""
 
 
 def _local(size: str) -> str:
@@ -108,10 +109,11 @@ FROM local_side JOIN global_side USING (window_start, symbol) {where}"""
 ORACLES["sma_volatility"] = _moving_average(_TICKS, "5 minutes", "1 minute", 5)
 ORACLES["sma_volatility_wide"] = _moving_average(_TICKS, "1 hour", "12 minutes", 5)
 ORACLES["sma_volatility_lineitem"] = _moving_average(_LINEITEM_TICKS, "7 days", "1 day", 7)
+ORACLES["sma_volatility_panes"] = _moving_average(_TICKS, "1 hour", "1 minute", 60)
 ORACLES["pump_dump"] = _pump_dump("2 minutes", "30 seconds", 4)
 ORACLES["pump_dump_wide"] = _pump_dump("1 hour", "12 minutes", 5)
 ORACLES["pump_dump_range"] = _pump_dump(
-    "1 hour", "12 minutes", 5, f"({percent('price_max', 'price_min')})"
+    "1 hour", "12 minutes", 5, f"({percent('high', 'low')})"
 )
 ORACLES["local_minute_price"] = f"""WITH {_TICKS}, {_local('1 minute')}
 SELECT window_start, window_start + INTERVAL '1 minute' AS window_end, symbol, local_price

@@ -58,17 +58,29 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
 def state_partitions(spark: SparkSession) -> Iterator[None]:
     """Shuffle width of the streams started inside.
 
-    Stateful queries cannot adapt their width while running and keep one state store per
-    partition and operator, so they get no more partitions than there are cores.
-    ``spark.tidewatch.statePartitions`` sets another number, for room to grow. A query that
-    restarts keeps the width in its checkpoint.
+    Stateful queries cannot adapt their width, and the first start freezes it in the checkpoint.
+    It is that of ``spark.sql.shuffle.partitions``, whatever cores happen to be registered, or
+    of ``spark.tidewatch.statePartitions`` where that is set.
     """
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    cores = spark.sparkContext.defaultParallelism
-    width = spark.conf.get("spark.tidewatch.statePartitions", str(min(int(before), cores)))
-    spark.conf.set(name, width)
+    spark.conf.set(name, spark.conf.get("spark.tidewatch.statePartitions", before))
     try:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def throwaway_state(spark: SparkSession) -> Iterator[None]:
+    """For streams that run once over a table and drop their checkpoint: one partition a core."""
+    name = "spark.tidewatch.statePartitions"
+    cores = min(spark.sparkContext.defaultParallelism,
+                int(spark.conf.get("spark.sql.shuffle.partitions")))
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, before or str(cores))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)

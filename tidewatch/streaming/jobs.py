@@ -82,7 +82,6 @@ def open_feeds(source: Source, arrival_time: bool = False) -> Feeds:
 
 
 def publish_feeds(
-    spark: SparkSession,
     exchange: DataFrame | None = None,
     snapshots: DataFrame | None = None,
     documents: DataFrame | None = None,
@@ -116,7 +115,7 @@ def publish_feeds(
     if exchange is not None:
         parts.append(normalize.exchange_outcomes(normalize.route(exchange)))
     if snapshots is not None:
-        add(normalize.market(snapshots, spark, symbols, polled), S.MARKET, F.col("symbol"))
+        add(normalize.market(snapshots, symbols, polled), S.MARKET, F.col("symbol"))
     if documents is not None:
         add(normalize.sentiment(documents, polled), S.SENTIMENT, F.lit(V.SENTIMENT_KEY))
     return reduce(DataFrame.union, parts)
