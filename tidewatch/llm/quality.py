@@ -27,6 +27,13 @@ BOILERPLATE = (
 )
 
 
+#: The columns assess() adds.
+JUDGED = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "cleaned", "lost",
+    "base_failed", "kept",
+)
+
+
 def _any(characters: str) -> str:
     return "[" + "".join("\\" + c if c.isascii() else c for c in characters) + "]"
 
@@ -142,7 +149,12 @@ def assess(
         base_failed=(F.col("n_words") < min_words)
         | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words")),
     ).drop("_text", "_words", "_lines", "_worded", "_good")
-    return own_names(marked, kept=~F.col("base_failed") & (F.col("lost") <= max_loss))
+    judged = own_names(marked, kept=~F.col("base_failed") & (F.col("lost") <= max_loss))
+    # A filter on what is derived would be pushed below the projections above, which spells
+    # the splitting into words out again inside each loop over words. It stops at a generator.
+    fixed = F.explode(F.array(F.struct(*JUDGED))).alias("_judged")
+    given = [F.col(f"`{c}`") for c in judged.columns if c not in JUDGED]
+    return judged.select(*given, fixed).select(*given, *[F.col(f"_judged.{c}") for c in JUDGED])
 
 
 def clean(docs: DataFrame, *, text: str = "text", **parameters) -> DataFrame:
