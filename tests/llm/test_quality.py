@@ -83,3 +83,10 @@ def test_plan_has_no_python_and_no_shuffle(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     plan = quality.assess(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_filter_does_not_repeat_the_work_inside_loops(spark):
+    """As many words as a text may have; splitting it anew for each of them would never end."""
+    texts = [" ".join(f"word{i}" for i in range(40_000)), *ODD_TEXTS]
+    docs = documents(spark, list(enumerate(texts)))
+    assert [r.doc_id for r in quality.clean(docs).collect()] == [0]
