@@ -24,9 +24,8 @@ from pyspark.sql import functions as F
 from .common import batches, own_names
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Words, and pieces, whose ids a worker remembers between blocks. Beyond it, only those of the
-#: last block stay.
-REMEMBERED = 500_000
+#: Words whose ids a worker remembers between blocks. Beyond it, only those of the last block stay.
+REMEMBERED = 250_000
 _SHIFT = 32
 
 
@@ -205,8 +204,27 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
     return _Replay(pieces, vocab).encoded() if pieces else []
 
 
+class _Memory(dict):
+    """Ids of words. A word that the next block does not repeat is forgotten: most occur once."""
+
+    def __init__(self):
+        super().__init__()
+        self.young: set[str] = set()
+
+    def fresh(self, words: set[str]) -> list[str]:
+        """The words of a block that are not known; forgets what it does not repeat."""
+        for word in self.young.difference(words):
+            del self[word]
+        if len(self) > REMEMBERED:
+            kept = {w: self[w] for w in words if w in self}
+            self.clear()
+            self.update(kept)
+        self.young = words.difference(self)
+        return list(self.young)
+
+
 class Encoder:
-    """Encodes blocks of texts; remembers the pieces and words it has met.
+    """Encodes blocks of texts; remembers the words that come up again.
 
     The pattern never joins what a single white space parts: if no two stand together in a
     text, its lines and their words can be encoded one by one. Other texts are cut as a whole.
@@ -215,17 +233,12 @@ class Encoder:
     def __init__(self, path: str, pattern: str):
         self.vocab, self.find = vocabulary(path), regex.compile(pattern).findall
         self.joined = regex.compile(r"\s\s").search
-        self.pieces: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}  # words at the beginning of a line
-        self.later: dict[str, bytes] = {}  # words after a space
-
-    def _learn(self, found: Iterable[list[str]]) -> None:
-        """Encode the pieces that are new."""
-        needed = {piece for some in found for piece in some}
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {p: i for p in needed if (i := self.pieces.get(p)) is not None}
-        fresh = list(needed.difference(self.pieces))
-        self.pieces.update(zip(fresh, replay([p.encode() for p in fresh], self.vocab)))
+        self.first, self.later = _Memory(), _Memory()  # at the beginning of a line, after a space
+
+    def _pieces(self, found: Iterable[list[str]]) -> dict[str, bytes]:
+        """The ids of each different piece."""
+        pieces = list({piece for some in found for piece in some})
+        return dict(zip(pieces, replay([p.encode() for p in pieces], self.vocab)))
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         cut: list[list[list[str]] | None] = []  # words by line, None for texts cut as a whole
@@ -241,18 +254,13 @@ class Encoder:
             for words in lines:
                 heads.add(words[0])
                 tails.update(words[1:])
-        if len(self.first) + len(self.later) > REMEMBERED:
-            self.first = {w: i for w in heads if (i := self.first.get(w)) is not None}
-            self.later = {w: i for w in tails if (i := self.later.get(w)) is not None}
-        new_heads = [w for w in heads if w not in self.first]
-        new_tails = [w for w in tails if w not in self.later]
-        head_pieces, tail_pieces = [self.find(w) for w in new_heads], [self.find(" " + w) for w in new_tails]
-        self._learn([*whole.values(), *head_pieces, *tail_pieces, ["\n"]])
-        ids = self.pieces
-        self.first.update(zip(new_heads, [b"".join([ids[p] for p in f]) for f in head_pieces]))
-        self.later.update(zip(new_tails, [b"".join([ids[p] for p in f]) for f in tail_pieces]))
-        first, later, newline = self.first, self.later, ids["\n"]
-        out = []
+        first, later = self.first, self.later
+        new = [(first, w, self.find(w)) for w in first.fresh(heads)]
+        new += [(later, w, self.find(" " + w)) for w in later.fresh(tails)]
+        ids = self._pieces([*whole.values(), *[found for _, _, found in new], ["\n"]])
+        for memory, word, found in new:
+            memory[word] = b"".join([ids[p] for p in found])
+        newline, out = ids["\n"], []
         for i, lines in enumerate(cut):
             if lines is None:
                 out.append(b"".join([ids[p] for p in whole[i]]))
