@@ -8,7 +8,7 @@ the folder the executors share and read again, so that a lost executor costs one
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.llm import bpe, mixing, pii, quality, simhash
-from tidewatch.session import work_folder
+from tidewatch.session import remove_folder, work_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,9 +51,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         folder = work_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return docs

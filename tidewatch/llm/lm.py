@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import work_folder
+from ..session import remove_folder, work_folder
 from .common import batches
 
 END = b""  # the end of a text, counted as a token
@@ -248,6 +248,7 @@ def _grow(bodies: DataFrame, tree: Tree, total: int, depth: int, least: float, e
         totals[sums["context"].to_numpy(np.int64)] = sums["n"].to_numpy(float)
         kept = counted.filter(F.col("n") >= max(2, entry * total)).orderBy("code").toPandas()
         codes, counts = kept["code"].to_numpy(np.int64), kept["n"].to_numpy(float)
+        remove_folder(bodies.sparkSession, folder)
         tree.learn(codes, counts, totals)
         if d < depth:
             often = codes[counts >= least * total]
