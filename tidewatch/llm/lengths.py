@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import bpe
 from .common import batches, cut, own_names
 
-BLOCK = 4096
+BLOCK = 256
 
 
 def lengths(
