@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from tidewatch.session import build_session
+from tidewatch.session import build_session, remove_work_folders
 
 
 @pytest.fixture(scope="session")
@@ -18,6 +18,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_work_folders(session)
     session.stop()
 
 

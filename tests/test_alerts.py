@@ -156,3 +156,28 @@ def test_silences_in_any_slicing(spark, slice_length):
         times = sorted(t for k, t in rows if k == key)
         want += [(key, a, b) for a, b in zip(times, times[1:]) if b - a > 30]
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("now,want", [
+    (30.0, []), (60.0, []), (60.001, ["b"]), (90.001, ["a", "b"]),
+])
+def test_open_silences(spark, now, want):
+    rows = [("a", 0.0), ("a", 29.0), ("a", 60.0), ("b", 0.0), ("b", 30.0), ("c", 0.0), ("c", 90.0)]
+    out = alerts.silences(feed(spark, rows), as_of=at(now)).collect()
+    open_ = [r for r in out if r.silent_until is None]
+    assert sorted(r.symbol for r in open_) == want
+    assert {r.symbol: seconds(r.silent_from) for r in open_}.items() <= {"a": 60.0, "b": 30.0}.items()
+    ended = {(r.symbol, seconds(r.silent_from)) for r in out if r.silent_until is not None}
+    assert ended == {("a", 29.0), ("c", 0.0)}
+
+
+def test_health_of_a_dead_producer_fires_the_production_rule(spark):
+    rows = feed(spark, [(s, 5.0 * i) for i in range(13) for s in "ab"])
+    up = alerts.up_samples(rows, at(150))
+    values = {seconds(r.ts): r.value for r in up.collect()}
+    assert values == {**{15.0 * i: 1.0 for i in range(5)}, **{15.0 * i: 0.0 for i in range(7, 11)}}
+    (alert,) = alerts.sustained(up).collect()
+    assert (alert.rule, seconds(alert.pending_at), seconds(alert.firing_at)) == (
+        "ProductorCaido", 105.0, 135.0
+    )
+    assert alert.summary and alert.description

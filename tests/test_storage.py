@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
+from tidewatch import session
 from tidewatch import values as V
 from tidewatch.operators.enrich import stamp
 from tidewatch.session import work_folder
@@ -50,8 +51,8 @@ def test_external_table(spark, history):
 
 
 def test_rebalanced_write_makes_few_files(spark, history):
-    path, _ = history
-    files = read_history(spark, path).select(F.input_file_name()).distinct().count()
+    path, schema = history
+    files = read_history(spark, path, schema).select(F.input_file_name()).distinct().count()
     assert files <= 2 * 6
 
 
@@ -80,7 +81,8 @@ class Session:
         self.master = master
 
 
-def test_work_folder_is_the_shared_one():
+def test_work_folder_is_the_shared_one(monkeypatch):
+    monkeypatch.setattr(session, "_made", [])  # nothing there to clear up
     cluster = Session("spark://h:7077", "hdfs://n/shared/")
     assert work_folder(cluster, "x").startswith("hdfs://n/shared/tidewatch/x-")
     assert work_folder(cluster, "x") != work_folder(cluster, "x")

@@ -3,6 +3,7 @@ import json
 import random
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
@@ -10,7 +11,7 @@ from tidewatch import values as V
 from tidewatch.operators import alerts, indicators, metrics
 from tidewatch.operators.alerts import Rule
 from tidewatch.operators.enrich import stamp
-from tidewatch.session import work_folder
+from tidewatch.session import remove_folder, work_folder, written_folders
 from tidewatch.sources import record_files, table_stream, text_messages, whole_documents
 from tidewatch.streaming import jobs, sinks
 from tidewatch.streaming.alerts import start_alerts
@@ -141,21 +142,77 @@ def test_complete_mode_rewrites_the_result(spark):
         counts = metrics.message_counts(table_stream(spark, f"{folder}/in", schema), "symbol")
         sinks.to_table(counts, f"{folder}/out", f"{folder}/checkpoint", sinks.ONCE
                        ).awaitTermination()
-        assert [tuple(r) for r in spark.read.parquet(f"{folder}/out").collect()] == [("A", n)]
+        kept = sinks.read_table(spark, f"{folder}/out", counts.schema)
+        assert [tuple(r) for r in kept.collect()] == [("A", n)]
 
 
-@pytest.mark.parametrize("chosen,width", [(None, 8), ("3", 3)])
-def test_state_is_as_wide_as_the_cores_unless_told(spark, chosen, width):
+def test_a_crash_while_rewriting_leaves_the_last_result(spark):
+    folder = work_folder(spark, "test")
+    schema = put(spark, folder, [("A", 1.0, 0.0, at(1))])
+    counts = metrics.message_counts(table_stream(spark, f"{folder}/in", schema), "symbol")
+    assert sinks.read_table(spark, f"{folder}/out", counts.schema).collect() == []
+    sinks.to_table(counts, f"{folder}/out", f"{folder}/c", sinks.ONCE).awaitTermination()
+    # A version without the mark of a finished write, as a crash leaves it.
+    counts_ = spark.createDataFrame([("B", 9)], counts.schema)
+    broken = f"{folder}/out/versions/{'9' * 20}-7"
+    counts_.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(broken)
+    remove_folder(spark, f"{broken}/_SUCCESS")
+    kept = sinks.read_table(spark, f"{folder}/out", counts.schema)
+    assert [tuple(r) for r in kept.collect()] == [("A", 1)]
+
+
+def test_only_the_last_versions_stay(spark):
+    folder = work_folder(spark, "test")
+    for n in range(1, 6):
+        schema = put(spark, folder, [("A", 1.0, 0.0, at(n))])
+        counts = metrics.message_counts(table_stream(spark, f"{folder}/in", schema), "symbol")
+        sinks.to_table(counts, f"{folder}/out", f"{folder}/c", sinks.ONCE).awaitTermination()
+    assert len(written_folders(spark, f"{folder}/out/versions")) == 3
+
+
+def test_a_fresh_checkpoint_replaces_nothing(spark):
+    folder = work_folder(spark, "test")
+    for n in (1, 2):
+        put(spark, f"{folder}/{n}", [("A", float(n), 0.0, at(n))])
+        stream = table_stream(spark, f"{folder}/{n}/in", spark.read.parquet(f"{folder}/{n}/in").schema)
+        write = {"all": sinks.batch_writer(f"{folder}/out", ())}
+        sinks.fan_out(stream, write, f"{folder}/c{n}", sinks.ONCE).awaitTermination()
+    assert sorted(r.price for r in spark.read.parquet(f"{folder}/out").collect()) == [1.0, 2.0]
+
+
+def test_a_batch_that_runs_again_replaces_itself(spark):
+    folder = work_folder(spark, "test")
+    schema = put(spark, folder, [("A", 1.0, 0.0, at(1))])
+    write = sinks.batch_writer(f"{folder}/out", ())
+    failures = [RuntimeError("lost")]
+
+    def once_lost(batch, batch_id):
+        write(batch, batch_id)
+        if failures:
+            raise failures.pop()
+
+    for _ in range(2):
+        stream = table_stream(spark, f"{folder}/in", schema)
+        query = sinks.fan_out(stream, {"all": once_lost}, f"{folder}/c", sinks.ONCE)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as error:
+            assert "lost" in str(error)
+    assert spark.read.parquet(f"{folder}/out").count() == 1
+
+
+@pytest.mark.parametrize("chosen,width", [(None, 20), ("3", 3)])
+def test_state_is_as_wide_as_configured_whatever_the_cores(spark, chosen, width):
     folder = work_folder(spark, "test")
     schema = put(spark, folder, [("A", 1.0, 0.0, at(1)), ("A", 1.0, 0.0, at(1000))])
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    spark.conf.set(name, "200")
+    spark.conf.set(name, "20")
     if chosen:
         spark.conf.set("spark.tidewatch.statePartitions", chosen)
     try:
         query = finish(indicators.local_price(table_stream(spark, f"{folder}/in", schema)), folder)
-        assert spark.conf.get(name) == "200"
+        assert spark.conf.get(name) == "20"
     finally:
         spark.conf.set(name, before)
         spark.conf.unset("spark.tidewatch.statePartitions")
@@ -235,8 +292,13 @@ def test_whole_job(spark, complete):
     assert {r.par for r in history["tickers"].select("par").distinct().collect()} == {
         "BTCUSDT", "ETHUSDT"
     }
-    results = {n: spark.read.parquet(f"{folder}/results/{n}")
-               for n in ("sma", "pump_dump", "deviation")}
+    def result(name):
+        path = f"{folder}/results/{name}"
+        if complete and name != "deviation":
+            path = written_folders(spark, f"{path}/versions")[-1]
+        return spark.read.parquet(path)
+
+    results = {n: result(n) for n in ("sma", "pump_dump", "deviation")}
     assert {(r.symbol, r.alerta) for r in results["pump_dump"].collect()} == {
         ("BTCUSDT", V.PUMP), ("ETHUSDT", V.NORMAL)
     }
@@ -277,6 +339,55 @@ def test_alerting_beside_the_job(spark):
     assert [(r.symbol, r.silent_from) for r in silences] == [("BTCUSDT", at(395))]
 
 
+def test_production_rules_when_the_producer_dies(spark):
+    """Both symbols fall silent for good; the clock goes on and takes the producer down."""
+    folder = work_folder(spark, "job")
+    rows = [message(f"{s.lower()}-ticker", 5 * i, symbol=s, price=1.0, change_pct=c)
+            for i in range(60) for s, c in (("BTCUSDT", -4.0), ("ETHUSDT", 9.0))]
+    spark.createDataFrame(rows, S.RECORD).coalesce(1).write.parquet(f"{folder}/bus")
+    beats = spark.createDataFrame([(at(10 * i),) for i in range(120)], "event_time timestamp")
+    beats.coalesce(1).write.parquet(f"{folder}/beats")
+    job = jobs.Job(f"{folder}/h", f"{folder}/c", f"{folder}/r", trigger=sinks.ONCE)
+    started = jobs.start_alerting(
+        spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics, streaming=True),
+        job, heartbeat=table_stream(spark, f"{folder}/beats", beats.schema),
+    )
+    started["silences"].awaitTermination()
+    gauges = spark.read.parquet(f"{folder}/r/alerts/changes").collect()
+    assert {(r.rule, r.state) for r in gauges} >= {
+        ("BTCDumpDetectado", "pending"), ("BTCDumpDetectado", "firing")
+    }
+    health = spark.read.parquet(f"{folder}/r/alerts-up/changes").collect()
+    # The last tick is at 295; no window of half a minute holds one from 330 on.
+    assert {(r.rule, r.state, r.at) for r in health if r.at > at(60)} == {
+        ("ProductorCaido", "pending", at(330)), ("ProductorCaido", "firing", at(360))
+    }
+    assert {(r.summary, r.description) for r in health} == {
+        (r.summary, r.description) for r in alerts.RULES if r.metric == V.UP
+    }
+    silences = spark.read.parquet(f"{folder}/r/silences").collect()
+    assert {(r.symbol, r.silent_from) for r in silences} == {
+        ("BTCUSDT", at(295)), ("ETHUSDT", at(295))
+    }
+
+
+def test_each_feed_is_read_once_for_history_and_rejects(spark):
+    folder = work_folder(spark, "job")
+    bus(spark, folder)
+    job = jobs.Job(f"{folder}/history", f"{folder}/checkpoints", f"{folder}/results",
+                   trigger=sinks.ONCE)
+    queries = jobs.start(
+        spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics, streaming=True),
+        job,
+    )
+    for query in queries.values():
+        query.awaitTermination()
+    sources = {n: len(q.lastProgress["sources"]) for n, q in queries.items()}
+    assert {n: sources[n] for n in V.HISTORY} == dict.fromkeys(V.HISTORY, 1)
+    # The other reads are the indicators', which keep state; the deviation has two feeds.
+    assert sources == {**dict.fromkeys(V.HISTORY, 1), "sma": 1, "pump_dump": 1, "deviation": 2}
+
+
 def test_raw_messages_travel_to_the_feeds(spark):
     """Raw text through both halves: publish as files by topic, then read as feeds."""
     folder = work_folder(spark, "raw")
@@ -317,13 +428,13 @@ def test_raw_messages_travel_to_the_feeds(spark):
         ("crypto-klines", "ETHUSDT"), ("feargreed-index", "FNG"),
     ]
     feeds = jobs.open_feeds(lambda topics: bus.where(F.col("topic").isin(list(topics))))
-    assert feeds.rejects.count() == 0
-    tick = feeds.tickers.first()
+    assert feeds.tickers.rejects().count() == 0
+    tick = feeds.tickers.valid().first()
     assert (tick.par, tick.price, tick.change_pct) == ("BTCUSDT", 103.0, 3.0)
     assert tick.event_time == dt.datetime(2023, 11, 14, 22, 13, 20)
-    assert feeds.klines.first().close == 3.0
-    assert feeds.market.first().price_usd == 100.5
-    assert feeds.sentiment.first().value == 24
+    assert feeds.klines.valid().first().close == 3.0
+    assert feeds.market.valid().first().price_usd == 100.5
+    assert feeds.sentiment.valid().first().value == 24
 
 
 def test_arrival_time_stamps_rows_when_read(spark):
@@ -331,7 +442,7 @@ def test_arrival_time_stamps_rows_when_read(spark):
     bus(spark, folder)
     feeds = jobs.open_feeds(lambda topics: record_files(spark, f"{folder}/bus", topics=topics),
                             arrival_time=True)
-    assert feeds.tickers.where(F.year("event_time") < 2025).count() == 0
+    assert feeds.tickers.valid().where(F.year("event_time") < 2025).count() == 0
     started = jobs.start(
         spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics, streaming=True),
         jobs.Job(f"{folder}/h", f"{folder}/c", f"{folder}/r", arrival_time=True,
@@ -353,9 +464,11 @@ def test_messages_without_a_time(spark):
         return sent.where(F.col("topic").isin(list(topics)))
 
     strict = jobs.open_feeds(source)
-    assert strict.tickers.count() == 0
-    assert [(r.missing, r.feed) for r in strict.rejects.collect()] == [("timestamp", "tick")]
-    assert jobs.open_feeds(source, arrival_time=True).tickers.count() == 1
+    assert strict.tickers.valid().count() == 0
+    assert [(r.missing, r.feed) for r in strict.tickers.rejects().collect()] == [
+        ("timestamp", "tick")
+    ]
+    assert jobs.open_feeds(source, arrival_time=True).tickers.valid().count() == 1
 
 
 def test_gauges_and_outcomes_on_a_stream(spark):
@@ -365,12 +478,12 @@ def test_gauges_and_outcomes_on_a_stream(spark):
     stream = table_stream(spark, f"{folder}/in", schema)
     latest = metrics.last_value(stream, ["price"], keys=["symbol"])
     sinks.to_table(latest, f"{folder}/latest", f"{folder}/c1", sinks.ONCE).awaitTermination()
-    assert {tuple(r) for r in spark.read.parquet(f"{folder}/latest").collect()} == {
-        ("A", 2.0), ("B", 3.0)
-    }
+    kept = sinks.read_table(spark, f"{folder}/latest", latest.schema)
+    assert {tuple(r) for r in kept.collect()} == {("A", 2.0), ("B", 3.0)}
     polls = metrics.outcome_counts(stream, F.col("price") > 1)
     sinks.to_table(polls, f"{folder}/polls", f"{folder}/c2", sinks.ONCE).awaitTermination()
-    assert [tuple(r) for r in spark.read.parquet(f"{folder}/polls").collect()] == [(2, 1)]
+    kept = sinks.read_table(spark, f"{folder}/polls", polls.schema)
+    assert [tuple(r) for r in kept.collect()] == [(2, 1)]
 
 
 def test_text_sources(spark, tmp_path):

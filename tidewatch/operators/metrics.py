@@ -116,6 +116,21 @@ def message_counter(
     )
 
 
+def poll_counters(polls: DataFrame, ok: Column, **scrape) -> DataFrame:
+    """Running counts of successful and failed polls as samples, one metric for each outcome.
+
+    Takes the settings of ``message_counter``; an unknown outcome is a failure.
+    """
+    outcome = F.when(F.coalesce(ok, F.lit(False)), V.POLLS_OK).otherwise(V.POLLS_FAILED)
+    counted = message_counter(polls.withColumn("_poll", outcome), topic="_poll", **scrape)
+    return counted.select(
+        F.col("labels")["topic"].alias("metric"),
+        F.create_map().cast("map<string,string>").alias("labels"),
+        "ts",
+        "value",
+    )
+
+
 def select(
     samples: DataFrame,
     metric: str,

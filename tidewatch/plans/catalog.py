@@ -1,6 +1,6 @@
 """Query name -> plan. Each plan takes (spark, sf_dir) and reads whole driver tables."""
 
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +10,14 @@ from .. import schemas as S
 from .. import values as V
 from ..functions import from_epoch_millis, from_epoch_seconds, round_to, ticker_topic
 from ..operators import alerts, enrich, indicators, metrics, normalize, parse, publish, series
-from ..session import work_folder
-from ..sources import read_history, record_files, table_stream
+from ..session import throwaway_state, work_folder
+from ..sources import (
+    read_history,
+    record_files,
+    table_stream,
+    text_messages,
+    whole_documents,
+)
 from ..streaming import jobs, sinks
 from ..streaming.alerts import CHANGES, start_alerts
 from . import feeds
@@ -23,7 +29,14 @@ QUERIES = {}
 
 
 def query(plan):
-    QUERIES[plan.__name__] = plan
+    """Register a plan; a stream here runs once over a table and its checkpoint is dropped."""
+
+    @wraps(plan)
+    def narrow(spark, sf_dir):
+        with throwaway_state(spark):
+            return plan(spark, sf_dir)
+
+    QUERIES[plan.__name__] = narrow if plan.__name__.startswith("stream_") else plan
     return plan
 
 
@@ -221,8 +234,9 @@ def enrich_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.ticks(feeds.events(spark, sf_dir))
     path = work_folder(spark, "history")
-    sinks.write_history(enrich.stamp(rows, F.col("event_time")), path, V.HISTORY["tickers"])
-    return read_history(spark, path)
+    stamped = enrich.stamp(rows, F.col("event_time"))
+    sinks.write_history(stamped, path, V.HISTORY["tickers"])
+    return read_history(spark, path, stamped.schema)
 
 
 @query
@@ -244,6 +258,65 @@ def history_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- texts and documents: written as files, read by the raw sources ---------------------
+
+
+@query
+def text_messages_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw messages, one a line."""
+    folder = work_folder(spark, "lines")
+    feeds.exchange_messages(feeds.events(spark, sf_dir)).write.text(folder)
+    return _rejects_by_reason(normalize.route(text_messages(spark, folder)))
+
+
+def _as_documents(spark: SparkSession, documents: DataFrame, purpose: str) -> DataFrame:
+    folder = work_folder(spark, purpose)
+    documents.select("json").write.option("maxRecordsPerFile", 1).text(folder)
+    return whole_documents(spark, folder)
+
+
+@query
+def snapshot_documents_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots, one a file."""
+    polls = _as_documents(spark, feeds.snapshots(feeds.events(spark, sf_dir)), "snapshots")
+    valid, _ = normalize.market(polls, feeds.COINS, F.lit(0).cast("bigint"))
+    return valid.drop("timestamp")
+
+
+@query
+def sentiment_documents_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentiment documents, one a file."""
+    hourly = feeds.sentiment_documents(feeds.hourly(feeds.events(spark, sf_dir)))
+    valid, _ = normalize.sentiment(_as_documents(spark, hourly, "sentiment"), F.lit(0).cast("bigint"))
+    return valid.select("value", "classification", "timestamp")
+
+
+@query
+def failed_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polls that failed left no document; those of the others are unaffected."""
+    polls = feeds.patchy_snapshots(feeds.events(spark, sf_dir))
+    valid, _ = normalize.market(polls, feeds.COINS, F.col("polled"))
+    return valid
+
+
+@query
+def poll_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots without a time of their own carry that of the query."""
+    polls = feeds.snapshots(feeds.events(spark, sf_dir))
+    valid, _ = normalize.market(polls, feeds.COINS)
+    is_now = F.col("timestamp") == X.now_millis()
+    return valid.select("symbol", "price_usd", is_now.alias("is_now"))
+
+
+@query
+def arrival_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows without a time are stamped when they are read."""
+    rows = feeds.events(spark, sf_dir).withColumnRenamed("event_type", "symbol")
+    stamped = enrich.stamp(rows.select("event_id", "symbol"))
+    is_now = F.col("event_time") == F.current_timestamp()
+    return stamped.select("event_id", "par", is_now.alias("is_now"))
+
+
 # --- counters, gauges, series ----------------------------------------------------------
 
 
@@ -283,6 +356,15 @@ def message_counter_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.message_counter(ticks).select(label("topic"), "ts", "value")
 
 
+@query
+def poll_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors as failed polls, all other events as good ones."""
+    polls = feeds.events(spark, sf_dir)
+    good = F.col("event_type") != "error"
+    counted = metrics.poll_counters(polls, good, ts="ts", every="10 minutes", restart="1 day")
+    return counted.select("metric", "ts", "value")
+
+
 @query
 def metric_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     samples = feeds.samples(feeds.events(spark, sf_dir))
@@ -418,6 +500,31 @@ def feed_silence_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.silences(feeds.ticks(feeds.events(spark, sf_dir)))
 
 
+@query
+def feed_silence_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seen two hours after the last event: every feed is silent still."""
+    rows = feeds.events(spark, sf_dir)
+    return alerts.silences(feeds.ticks(rows), limit="1 hour", as_of=feeds.look(rows))
+
+
+@query
+def producer_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = feeds.events(spark, sf_dir)
+    up = alerts.up_samples(
+        rows, feeds.look(rows), ts="ts", limit="10 minutes", step="1 minute"
+    )
+    return up.select("metric", label("job"), "ts", "value")
+
+
+@query
+def alert_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each change of state with what is to be told about it."""
+    found = alerts.sustained(feeds.samples(feeds.events(spark, sf_dir)), feeds.RULES)
+    return alerts.transitions(found).select(
+        "rule", label("par"), "state", "at", "summary", "description"
+    )
+
+
 # --- streams: the table is read as a stream, results are read back from the sink --------
 
 
@@ -443,7 +550,7 @@ def stream_sma_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.to_table(
         stream, f"{folder}/out", f"{folder}/checkpoint", sinks.ONCE
     ).awaitTermination()
-    return naive(spark.read.schema(stream.schema).parquet(f"{folder}/out"))
+    return naive(sinks.read_table(spark, f"{folder}/out", stream.schema))
 
 
 @query
@@ -491,7 +598,7 @@ def stream_message_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.to_table(
         stream, f"{folder}/out", f"{folder}/checkpoint", sinks.ONCE
     ).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+    return sinks.read_table(spark, f"{folder}/out", stream.schema)
 
 
 @query
@@ -519,6 +626,41 @@ def stream_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(_finished(spark, stream, "silence"))
 
 
+@query
+def stream_producer_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All feeds stop at once; the clock goes on for a day."""
+    rows = feeds.event_stream(spark, sf_dir)
+    stream = alerts.silences_stream(
+        feeds.ticks(rows), limit="1 hour", heartbeat=feeds.beats(rows)
+    )
+    return naive(_finished(spark, stream, "down"))
+
+
+@query
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triggered by the clock, and stopped after all there is has been processed."""
+    stream = feeds.ticks(feeds.event_stream(spark, sf_dir)).select("event_id", "symbol")
+    folder = work_folder(spark, "clocked")
+    running = sinks.to_history(
+        stream, f"{folder}/out", f"{folder}/checkpoint", (), sinks.every("1 second")
+    )
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema(stream.schema).parquet(f"{folder}/out")
+
+
+@query
+def stream_console(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by type, printed whole; what comes back is how many rows went in."""
+    counts = feeds.event_stream(spark, sf_dir).groupBy("event_type").count()
+    shown = sinks.to_console(
+        counts, f"{work_folder(spark, 'console')}/checkpoint", "complete", sinks.ONCE
+    )
+    shown.awaitTermination()
+    rows = sum(p["numInputRows"] for p in shown.recentProgress)
+    return spark.createDataFrame([(rows,)], "rows long")
+
+
 @query
 def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.ticks(feeds.event_stream(spark, sf_dir))
@@ -551,6 +693,26 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.unionByName(kept.select("missing"), allowMissingColumns=True)
 
 
+@query
+def stream_run_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over ticks alone, waiting for any of its queries, then for the others."""
+    folder = work_folder(spark, "any")
+    feeds.tick_records(feeds.events(spark, sf_dir)).write.parquet(f"{folder}/bus")
+
+    def source(topics):
+        stream = record_files(spark, f"{folder}/bus", streaming=True)
+        return stream if topics == V.TICKER_TOPICS else stream.where(F.col("topic").isin(*topics))
+
+    job = jobs.Job(f"{folder}/history", f"{folder}/checkpoints", f"{folder}/results",
+                   trigger=sinks.ONCE)
+    jobs.run(spark, source, job)
+    for running in spark.streams.active:
+        running.awaitTermination()
+    kept = read_history(spark, job.path("tickers"), S.TICK).where("par IS NOT NULL")
+    bad = spark.read.schema("json string, missing string").parquet(job.path("rejects"))
+    return kept.select("symbol", "price").unionByName(bad.select("missing"), True)
+
+
 @query
 def stream_job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job: raw documents to bus files, and from there every feed to its history."""

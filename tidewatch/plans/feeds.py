@@ -5,6 +5,8 @@ prices, an hour later), raw JSON messages, snapshots, sentiment documents, metri
 Everything is derived from the whole table by column expressions.
 """
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -204,6 +206,32 @@ def sentiment_documents(rows: DataFrame) -> DataFrame:
     )
 
 
+def hourly(rows: DataFrame) -> DataFrame:
+    """The last event of each hour."""
+    order = time_order(F.col("ts"), F.col("event_id"))
+    names = ["event_type", "props", "ts"]
+    return rows.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour")).agg(
+        *[F.max_by(c, order).alias(c) for c in names]
+    )
+
+
+def patchy_snapshots(rows: DataFrame) -> DataFrame:
+    """The snapshots, with every fourth hour's poll failed: it left no document."""
+    failed = F.pmod(F.col("polled") / 3_600_000, F.lit(4)) == 0
+    return snapshots(rows).withColumn("json", F.when(~failed, F.col("json")))
+
+
+def look(rows: DataFrame) -> dt.datetime:
+    """A moment two hours after the last event."""
+    last = rows.agg(F.max("ts")).first()[0]
+    return (last or dt.datetime(1970, 1, 1)) + dt.timedelta(hours=2)
+
+
+def beats(rows: DataFrame) -> DataFrame:
+    """A clock that ticks on for a day after the feeds have stopped."""
+    return rows.select((F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("event_time"))
+
+
 # Metric samples: gauges of the ticks, and the message counter as scraped every few minutes
 # by a producer that restarts daily.
 
@@ -251,7 +279,9 @@ def busy_counter(rows: DataFrame) -> DataFrame:
 
 
 RULES = (
-    Rule("Dump", V.CHANGE_24H, "<", -3.0, "1 minute", "critical", {"par": "view"}),
-    Rule("Pump", V.CHANGE_24H, ">", 3.0, "6 minutes", "warning", {"par": "purchase"}),
-    Rule("Cheap", V.PRICE_NOW, "<", 10.0, "2 hours", "info"),
+    Rule("Dump", V.CHANGE_24H, "<", -3.0, "1 minute", "critical", {"par": "view"},
+         "views fall", "views are down by more than 3 percent"),
+    Rule("Pump", V.CHANGE_24H, ">", 3.0, "6 minutes", "warning", {"par": "purchase"},
+         "purchases rise", "purchases are up by more than 3 percent"),
+    Rule("Cheap", V.PRICE_NOW, "<", 10.0, "2 hours", "info", {}, "cheap", "less than ten"),
 )

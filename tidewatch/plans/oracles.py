@@ -215,6 +215,24 @@ FROM events
 WHERE event_type = 'purchase' AND value > 20
   AND CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"""
 
+ORACLES["text_messages_scan"] = ORACLES["route_rejects"]
+ORACLES["snapshot_documents_scan"] = (
+    f"SELECT * EXCLUDE (timestamp) FROM ({ORACLES['explode_snapshot']})"
+)
+ORACLES["sentiment_documents_scan"] = f"""WITH {_EVENTS},
+hourly AS (
+  SELECT arg_max(event_type, (ts, event_id)) AS event_type, arg_max(k, (ts, event_id)) AS k,
+         arg_max(ts, (ts, event_id)) AS ts
+  FROM rows GROUP BY date_trunc('hour', ts)
+)
+SELECT k AS value, event_type AS classification, CAST(floor(epoch(ts)) AS BIGINT) AS timestamp
+FROM hourly WHERE k < 90"""
+ORACLES["failed_polls"] = f"""
+SELECT * FROM ({ORACLES['explode_snapshot']}) WHERE timestamp // 3600000 % 4 <> 0"""
+ORACLES["poll_time"] = f"""
+SELECT symbol, price_usd, true AS is_now FROM ({ORACLES['explode_snapshot']})"""
+ORACLES["arrival_time"] = "SELECT event_id, event_type AS par, true AS is_now FROM events"
+
 # --- counters, gauges, series ----------------------------------------------------------
 
 ORACLES["message_counts"] = f"""WITH {_CANDLES}
@@ -302,6 +320,17 @@ FROM counter"""
 ORACLES["message_counter_running"] = f"""WITH {_counter(15, restart=False)}
 SELECT topic, make_timestamp(cell) AS ts, value FROM counter"""
 
+ORACLES["poll_counters"] = f"""WITH scrapes AS (
+  SELECT CASE WHEN event_type <> 'error' THEN 'coingecko_peticiones_ok_total'
+              ELSE 'coingecko_peticiones_error_total' END AS metric,
+         {_ceil('epoch_us(ts)', _seconds(600))} AS cell, count(*) AS n
+  FROM events GROUP BY 1, 2
+)
+SELECT metric, make_timestamp(cell) AS ts,
+       CAST(sum(n) OVER (PARTITION BY metric, (cell - 1) // {_seconds(86400)} ORDER BY cell)
+            AS DOUBLE) AS value
+FROM scrapes"""
+
 _SAMPLES = f"""{_TICKS},
 samples AS (
   SELECT 'crypto_precio_actual' AS metric, symbol AS par, event_time AS ts, price AS value
@@ -417,6 +446,38 @@ WHERE following - ts > INTERVAL '{limit}'"""
 ORACLES["feed_silence"] = _silence("1 hour")
 ORACLES["feed_silence_minute"] = _silence("30 seconds")
 
+ORACLES["alert_texts"] = f"""WITH {_sustained(15, 300)},
+texts(rule, summary, description) AS (
+  VALUES ('Dump', 'views fall', 'views are down by more than 3 percent'),
+         ('Pump', 'purchases rise', 'purchases are up by more than 3 percent'),
+         ('Cheap', 'cheap', 'less than ten')
+),
+changes AS (
+  SELECT rule, par, 'pending' AS state, pending_at AS changed FROM alerts
+  UNION ALL SELECT rule, par, 'firing', firing_at FROM alerts WHERE firing_at IS NOT NULL
+  UNION ALL SELECT rule, par, 'resolved', resolved_at FROM alerts
+)
+SELECT rule, par, state, changed AS "at", summary, description FROM changes JOIN texts USING (rule)"""
+_LOOK = "(SELECT max(ts) + INTERVAL '2 hours' FROM events)"
+ORACLES["feed_silence_open"] = f"""{_silence('1 hour')}
+UNION ALL SELECT event_type, max(ts), NULL FROM events GROUP BY event_type
+HAVING {_LOOK} - max(ts) > INTERVAL '1 hour'"""
+ORACLES["producer_up"] = f"""WITH alive AS (
+  SELECT DISTINCT {_ceil('epoch_us(ts)', _seconds(60))} AS us FROM events
+),
+gaps AS (
+  SELECT epoch_us(ts) AS since, epoch_us(lead(ts) OVER (ORDER BY ts)) AS next FROM events
+),
+dead AS (
+  SELECT unnest(range((since + {_seconds(600)}) // 60000000 * 60000000 + 60000000,
+                      coalesce(next - 1, epoch_us({_LOOK})) + 1, 60000000)) AS us
+  FROM gaps
+  WHERE coalesce(next, epoch_us({_LOOK})) - since > {_seconds(600)}
+)
+SELECT 'up' AS metric, 'crypto-producer' AS job, make_timestamp(us) AS ts,
+       CAST(v AS DOUBLE) AS value
+FROM (SELECT us, 1 AS v FROM alive UNION ALL SELECT us, 0 FROM dead)"""
+
 # --- streams: what append mode has emitted lies behind the watermark ---------------------
 
 
@@ -489,6 +550,17 @@ SELECT event_type AS symbol, ts AS silent_from, ts + INTERVAL '1 hour' AS silent
 FROM (SELECT *, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS following FROM events)
 WHERE (following IS NULL OR following - ts > INTERVAL '1 hour')
   AND ts + INTERVAL '1 hour' <= {_behind('1 minute')}"""
+ORACLES["stream_producer_down"] = f"""
+SELECT event_type AS symbol, ts AS silent_from, ts + INTERVAL '1 hour' AS silent_after
+FROM (SELECT *, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS following FROM events)
+WHERE following IS NULL OR following - ts > INTERVAL '1 hour'"""
+ORACLES["stream_processing_time"] = "SELECT event_id, event_type AS symbol FROM events"
+ORACLES["stream_console"] = "SELECT count(*) AS rows FROM events"
+ORACLES["stream_run_any"] = f"""WITH {_EVENTS}
+SELECT event_type AS symbol, value AS price, NULL AS missing FROM rows WHERE k BETWEEN 10 AND 89
+UNION ALL
+SELECT NULL, NULL, CASE WHEN k >= 90 THEN 'symbol,price,timestamp' ELSE 'price' END
+FROM rows WHERE k NOT BETWEEN 10 AND 89"""
 ORACLES["stream_parquet_sink"] = f"""WITH {_TICKS}
 SELECT event_id, symbol AS par, CAST(event_time AS DATE) AS fecha, price, change_pct
 FROM ticks"""

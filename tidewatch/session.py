@@ -44,14 +44,47 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for checkpoints and written tables, on storage all executors share.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``. Only a local-mode
-    session without that setting gets a temporary folder.
+    session without that setting gets a temporary folder. ``remove_work_folders`` clears up.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         shared = tempfile.mkdtemp(prefix="tidewatch-")
-    return f"{shared.rstrip('/')}/tidewatch/{purpose}-{uuid.uuid4().hex}"
+    _made.append(f"{shared.rstrip('/')}/tidewatch/{purpose}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def _storage(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(context._jsc.hadoopConfiguration()), at
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, wherever it is."""
+    system, at = _storage(spark, path)
+    system.delete(at, True)
+
+
+def written_folders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly below ``path`` that a finished write left, by name."""
+    system, at = _storage(spark, path)
+    if not system.exists(at):
+        return []
+    names = [f.getPath().getName() for f in system.listStatus(at) if f.isDirectory()]
+    done = [n for n in names if system.exists(_storage(spark, f"{path}/{n}/_SUCCESS")[1])]
+    return [f"{path}/{n}" for n in sorted(done)]
+
+
+_made: list[str] = []
+
+
+def remove_work_folders(spark: SparkSession) -> None:
+    """Remove what ``work_folder`` has given out in this process, once nobody reads it."""
+    while _made:
+        remove_folder(spark, _made.pop())
 
 
 @contextmanager

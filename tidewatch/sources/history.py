@@ -4,14 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_history(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_history(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A partitioned history; filters on its partition columns skip whole directories.
 
-    Declare ``schema`` to keep ``par`` as text: Spark reads an all-digit partition value as a
-    number otherwise.
+    The schema is declared, or Spark would read an all-digit ``par`` as a number. Directories
+    of runs and batches, as the job writes them, add the columns ``run`` and ``batch``.
     """
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def history_table(

@@ -19,7 +19,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import values as V
 from ..functions import ceil_to, micros
-from ..operators.alerts import RULES, Rule, matching, under_rules
+from ..operators.alerts import RULES, Rule, matching, under_rules, with_texts
 from ..sources.records import table_stream
 from .sinks import to_history
 
@@ -40,6 +40,8 @@ CHANGES = T.StructType(
         T.StructField("state", T.StringType()),
         T.StructField("at", T.TimestampType()),
         T.StructField("pending_at", T.TimestampType()),
+        T.StructField("summary", T.StringType()),
+        T.StructField("description", T.StringType()),
     ]
 )
 _STATE = "run_start long, run_end long, open_until long, holds boolean, fired boolean"
@@ -75,10 +77,10 @@ def sustained_changes(
     step: str = V.EVALUATE_EVERY,
     lookback: str = V.LOOKBACK,
 ) -> DataFrame:
-    """``(rule, severity, labels, state, at, pending_at)`` as each change becomes certain.
+    """The columns of ``transitions``, a row as each change becomes certain.
 
-    ``steps`` must deliver later steps in later triggers, as the table of ``step_values``
-    does. The rows are those of ``transitions(sustained(...))``, short of what the watermark
+    ``steps`` must deliver a series' later steps in later triggers or files, as the table of
+    ``step_values`` does. The rows are those of ``transitions(sustained(...))``, short of what the watermark
     has not passed yet.
     """
     width, reach = micros(step), micros(lookback)
@@ -155,7 +157,7 @@ def sustained_changes(
     changes = judged.groupBy("rule", "severity", "series", "hold").applyInPandasWithState(
         replay, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
-    return changes.select(
+    named = changes.select(
         "rule",
         "severity",
         labels.alias("labels"),
@@ -163,6 +165,41 @@ def sustained_changes(
         F.timestamp_micros("at_us").alias("at"),
         F.timestamp_micros("pending_us").alias("pending_at"),
     )
+    return with_texts(named, rules)
+
+
+def up_steps(
+    rows: DataFrame,
+    heartbeat: DataFrame,
+    *,
+    job: str = V.PRODUCER,
+    ts: str = "event_time",
+    limit: str = V.SILENCE_LIMIT,
+    delay: str = "1 minute",
+    step: str = V.EVALUATE_EVERY,
+) -> DataFrame:
+    """The health of a job at each step, in the shape of ``step_values``: 1 if a row came
+    within ``limit``, else 0.
+
+    ``heartbeat``, a stream with the time column ``ts``, goes on when the job stops: its rows
+    move the watermark and open the steps at which there is nothing else. ``limit`` must be a
+    multiple of the step.
+    """
+
+    def timed(frame: DataFrame, alive: bool) -> DataFrame:
+        return frame.select(F.col(ts).cast("timestamp").alias("ts"), F.lit(alive).alias("alive"))
+
+    both = timed(rows, True).union(timed(heartbeat, False)).withWatermark("ts", delay)
+    window = F.window("ts", limit, step, "1 microsecond")
+    seen = both.groupBy(window.alias("window")).agg(F.max("alive").alias("alive"))
+    step_at = F.timestamp_micros(F.unix_micros("window.end") - 1)
+    return seen.select(
+        F.lit(V.UP).alias("metric"),
+        F.to_json(F.create_map(F.lit("job"), F.lit(job))).alias("series"),
+        step_at.alias("step_at"),
+        step_at.alias("last"),
+        F.when(F.col("alive"), 1.0).otherwise(0.0).alias("value"),
+    )
 
 
 def start_alerts(
@@ -173,25 +210,42 @@ def start_alerts(
     *,
     delay: str = "1 minute",
     step: str = V.EVALUATE_EVERY,
+    **settings,
+) -> tuple[StreamingQuery, StreamingQuery]:
+    """Start both queries under ``folder``; the changes land in ``folder/changes``."""
+    steps = step_values(samples, rules, delay=delay, step=step)
+    return follow_steps(spark, steps, folder, rules, step=step, **settings)
+
+
+def follow_steps(
+    spark: SparkSession,
+    steps: DataFrame,
+    folder: str,
+    rules: Sequence[Rule] = RULES,
+    *,
+    step: str = V.EVALUATE_EVERY,
     lookback: str = V.LOOKBACK,
     trigger: dict | None = None,
+    files_per_trigger: int = 64,
     wait: bool = False,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start both queries under ``folder``; the changes land in ``folder/changes``.
+    """Keep the steps (``step_values`` or ``up_steps``) as a table and follow it by the rules.
 
-    ``wait`` lets the first finish before the second starts, for runs over what is available.
+    A series has one file in each batch of steps, so that its files come in order and
+    ``files_per_trigger`` bounds what one trigger replays after an outage. ``wait`` lets the
+    first query finish before the second starts, for runs over what is available.
     """
-    steps = to_history(
-        step_values(samples, rules, delay=delay, step=step),
+    kept = to_history(
+        steps.repartition("metric", "series"),
         f"{folder}/steps", f"{folder}/checkpoints/steps", (), trigger,
     )
     if wait:
-        steps.awaitTermination()
-    followed = table_stream(spark, f"{folder}/steps", STEPS)
+        kept.awaitTermination()
+    followed = table_stream(spark, f"{folder}/steps", STEPS, files_per_trigger)
     changes = to_history(
         sustained_changes(followed, rules, step=step, lookback=lookback),
         f"{folder}/changes", f"{folder}/checkpoints/changes", (), trigger,
     )
     if wait:
         changes.awaitTermination()
-    return steps, changes
+    return kept, changes

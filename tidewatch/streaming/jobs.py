@@ -14,10 +14,10 @@ from .. import values as V
 from ..functions import from_epoch_millis
 from ..operators import alerts, indicators, metrics, normalize, publish
 from ..operators.enrich import stamp
-from ..operators.parse import read_feed
+from ..operators.parse import as_text, parse_json, split
 from ..session import prepare
 from . import sinks
-from .alerts import start_alerts
+from .alerts import follow_steps, start_alerts, up_steps
 
 Source = Callable[[Sequence[str]], DataFrame]
 
@@ -49,14 +49,33 @@ class Job:
 
 
 @dataclass(frozen=True)
-class Feeds:
-    """Typed, stamped streams; ``rejects`` holds the messages that fit none of them."""
+class Feed:
+    """One feed's messages as parsed, good and bad ones together, and how to tell them apart."""
+
+    kind: str
+    parsed: DataFrame
+    required: tuple[str, ...]
+    time: str
+    symbol: str | None
+    arrival_time: bool
+
+    def valid(self, parsed: DataFrame | None = None) -> DataFrame:
+        """Typed and stamped rows, of the stream or of a batch of it."""
+        rows, _ = split(self.parsed if parsed is None else parsed, self.required)
+        return stamp(rows, None if self.arrival_time else from_epoch_millis(F.col(self.time)),
+                     self.symbol)
 
-    tickers: DataFrame
-    klines: DataFrame
-    market: DataFrame
-    sentiment: DataFrame
-    rejects: DataFrame
+    def rejects(self, parsed: DataFrame | None = None) -> DataFrame:
+        _, bad = split(self.parsed if parsed is None else parsed, self.required)
+        return bad.withColumn("feed", F.lit(self.kind))
+
+
+@dataclass(frozen=True)
+class Feeds:
+    tickers: Feed
+    klines: Feed
+    market: Feed
+    sentiment: Feed
 
 
 def open_feeds(source: Source, arrival_time: bool = False) -> Feeds:
@@ -67,18 +86,15 @@ def open_feeds(source: Source, arrival_time: bool = False) -> Feeds:
 
     def feed(topics, schema, kind, time="timestamp", symbol="symbol"):
         required = S.REQUIRED[kind] + (() if arrival_time else (time,))
-        valid, rejects = read_feed(source(topics), schema, required)
-        at = None if arrival_time else from_epoch_millis(F.col(time))
-        return stamp(valid, at, symbol), rejects.withColumn("feed", F.lit(kind))
-
-    tickers, bad_tickers = feed(V.TICKER_TOPICS, S.TICK, "tick")
-    klines, bad_klines = feed((V.KLINE_TOPIC,), S.KLINE, "kline")
-    market, bad_market = feed((V.MARKET_TOPIC,), S.MARKET, "market")
-    sentiment, bad_sentiment = feed(
-        (V.SENTIMENT_TOPIC,), S.SENTIMENT, "sentiment", "timestamp_ms", None
+        parsed = parse_json(as_text(source(topics)), schema).select("json", "d.*")
+        return Feed(kind, parsed, required, time, symbol, arrival_time)
+
+    return Feeds(
+        feed(V.TICKER_TOPICS, S.TICK, "tick"),
+        feed((V.KLINE_TOPIC,), S.KLINE, "kline"),
+        feed((V.MARKET_TOPIC,), S.MARKET, "market"),
+        feed((V.SENTIMENT_TOPIC,), S.SENTIMENT, "sentiment", "timestamp_ms", None),
     )
-    rejects = bad_tickers.union(bad_klines).union(bad_market).union(bad_sentiment)
-    return Feeds(tickers, klines, market, sentiment, rejects)
 
 
 def publish_feeds(
@@ -149,68 +165,97 @@ def start_publishing(
 
 
 def indicator_streams(feeds: Feeds) -> dict[str, DataFrame]:
+    tickers = feeds.tickers.valid()
     return {
-        "sma": indicators.moving_average(feeds.tickers),
-        "pump_dump": indicators.pump_dump(feeds.tickers),
+        "sma": indicators.moving_average(tickers),
+        "pump_dump": indicators.pump_dump(tickers),
         "deviation": indicators.price_deviation(
-            feeds.tickers, feeds.market, local_name=V.LOCAL_PRICE, global_name=V.GLOBAL_PRICE
+            tickers, feeds.market.valid(), local_name=V.LOCAL_PRICE, global_name=V.GLOBAL_PRICE
         ),
     }
 
 
 def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQuery]:
-    """Start every query; the names are those of the histories and indicators."""
+    """Start every query; the names are those of the histories and indicators.
+
+    Each feed is read and parsed once for both its history and its rejects (those of all feeds
+    land in ``rejects``). Indicators keep state and are queries of their own.
+    """
     prepare(spark).conf.set(
         "spark.sql.streaming.multipleWatermarkPolicy", job.watermark_policy
     )
     feeds = open_feeds(source, job.arrival_time)
-    rows = {
-        "tickers": feeds.tickers,
-        "klines": normalize.closed_only(feeds.klines),
-        "coingecko": feeds.market,
-        "feargreed": feeds.sentiment,
+    histories = {
+        "tickers": (feeds.tickers, feeds.tickers.valid),
+        "klines": (feeds.klines, lambda rows: normalize.closed_only(feeds.klines.valid(rows))),
+        "coingecko": (feeds.market, feeds.market.valid),
+        "feargreed": (feeds.sentiment, feeds.sentiment.valid),
     }
-    queries = {
-        name: sinks.to_history(
-            stream, job.path(name), job.checkpoint(name), V.HISTORY[name], job.trigger, name
+    queries = {}
+    for name, (feed, kept) in histories.items():
+        branches = {
+            "history": sinks.batch_writer(job.path(name), V.HISTORY[name], kept),
+            "rejects": sinks.batch_writer(job.path("rejects"), ("feed",), feed.rejects),
+        }
+        queries[name] = sinks.fan_out(
+            feed.parsed, branches, job.checkpoint(name), job.trigger, name
         )
-        for name, stream in rows.items()
-    }
-    queries["rejects"] = sinks.to_history(
-        feeds.rejects, job.path("rejects"), job.checkpoint("rejects"), ("feed",), job.trigger,
-        "rejects",
-    )
     for name, stream in indicator_streams(feeds).items():
         complete = job.complete and name != "deviation"
         queries[name] = _report(stream, name, job, complete)
     if job.results is None:
         queries["sentiment"] = sinks.to_console(
-            feeds.sentiment, job.checkpoint("sentiment"), trigger=job.trigger
+            feeds.sentiment.valid(), job.checkpoint("sentiment"), trigger=job.trigger
             or sinks.every("60 seconds"), name="sentiment",
         )
     return queries
 
 
+def clock(spark: SparkSession) -> DataFrame:
+    """A heartbeat: the time of day, once a second."""
+    beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return beats.select(F.col("timestamp").alias("event_time"))
+
+
 def start_alerting(
-    spark: SparkSession, source: Source, job: Job, rules: Sequence[alerts.Rule] = alerts.RULES
+    spark: SparkSession,
+    source: Source,
+    job: Job,
+    rules: Sequence[alerts.Rule] = alerts.RULES,
+    heartbeat: DataFrame | None = None,
 ) -> dict[str, StreamingQuery]:
-    """Start the rules over the tickers' gauges, and the watch for silent feeds.
-
-    Changes of alert state land in ``<results>/alerts/changes``, silences in
-    ``<results>/silences``; a silence of its feed is what takes a producer down.
+    """Start the rules over the tickers' gauges and the producer's health, and the watch for
+    silent feeds.
+
+    Changes of alert state land in ``<results>/alerts/changes`` and, for the rules on whether
+    the producer is up, in ``<results>/alerts-up/changes``; silences in ``<results>/silences``.
+    Feeds that stop all at once are only noticed by a ``heartbeat`` (column ``event_time``) that
+    does not. It is the clock unless given; a run over what is available, whose times may be long
+    past, has none by itself.
     """
     prepare(spark)
-    tickers = open_feeds(source, job.arrival_time).tickers
+    tickers = open_feeds(source, job.arrival_time).tickers.valid()
+    once = job.trigger == sinks.ONCE
+    if heartbeat is None and not once:
+        heartbeat = clock(spark)
     folder = f"{(job.results or job.history).rstrip('/')}"
-    steps, changes = start_alerts(
-        spark, metrics.tick_gauges(tickers), f"{folder}/alerts", rules,
-        trigger=job.trigger or sinks.every(V.EVALUATE_EVERY), wait=job.trigger == sinks.ONCE,
-    )
-    silences = sinks.to_history(
-        alerts.silences_stream(tickers), f"{folder}/silences", job.checkpoint("silences"), (),
-        job.trigger or sinks.every(V.EVALUATE_EVERY), "silences",
+    settings = dict(trigger=job.trigger or sinks.every(V.EVALUATE_EVERY), wait=once)
+    on_health = [r for r in rules if r.metric == V.UP]
+    on_gauges = [r for r in rules if r.metric != V.UP]
+    queries = {}
+    if on_gauges:
+        queries["steps"], queries["changes"] = start_alerts(
+            spark, metrics.tick_gauges(tickers), f"{folder}/alerts", on_gauges, **settings
+        )
+    if on_health and heartbeat is not None:
+        queries["up_steps"], queries["up_changes"] = follow_steps(
+            spark, up_steps(tickers, heartbeat), f"{folder}/alerts-up", on_health, **settings
+        )
+    queries["silences"] = sinks.to_history(
+        alerts.silences_stream(tickers, heartbeat=heartbeat), f"{folder}/silences",
+        job.checkpoint("silences"), (), settings["trigger"], "silences",
     )
-    return {"steps": steps, "changes": changes, "silences": silences}
+    return queries
 
 
 def _report(stream: DataFrame, name: str, job: Job, complete: bool) -> StreamingQuery:
@@ -227,5 +272,6 @@ def _report(stream: DataFrame, name: str, job: Job, complete: bool) -> Streaming
 
 def run(spark: SparkSession, source: Source, job: Job) -> None:
     """Start everything and wait until one query ends or fails."""
+    spark.streams.resetTerminated()  # or one that ended earlier would count
     start(spark, source, job)
     spark.streams.awaitAnyTermination()

@@ -1,11 +1,13 @@
 """Where results go. Every query gets a checkpoint; triggers are a parameter."""
 
+import time
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ..session import state_partitions
+from ..session import remove_folder, state_partitions, written_folders
 
 ONCE = {"availableNow": True}
 
@@ -68,15 +70,36 @@ def to_table(
     trigger: dict | None = None,
     name: str | None = None,
 ) -> StreamingQuery:
-    """The whole result of a ``complete`` query, rewritten by the executors at each trigger."""
+    """The whole result of a ``complete`` query, written anew at each trigger.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    Each trigger writes a version of its own. It counts once it is complete, so readers
+    (``read_table``) always find a whole result and a crash leaves the last one. The two
+    versions before it stay for those who still read them.
+    """
+
+    def replace(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        versions = f"{path}/versions"
+        earlier = written_folders(spark, versions)
+        stamp = time.time_ns()
+        if earlier:  # later than the last one, whatever the clock says
+            stamp = max(stamp, int(earlier[-1].rsplit("/", 1)[1].split("-")[0]) + 1)
+        batch.write.parquet(f"{versions}/{stamp:020d}-{batch_id}")
+        for old in earlier[:-2]:
+            remove_folder(spark, old)
 
     writer = _writer(stream, checkpoint, "complete", trigger or every("30 seconds"), name)
     return _start(writer.foreachBatch(replace), stream)
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The latest whole result that ``to_table`` has written; no rows before the first."""
+    written = written_folders(spark, f"{path}/versions")
+    if not written:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(written[-1])
+
+
 def to_topics(
     messages: DataFrame,
     servers: str,
@@ -139,14 +162,17 @@ def fan_out(
 def batch_writer(
     path: str, partition_by: Sequence[str], select: Callable[[DataFrame], DataFrame] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """A branch for ``fan_out``: each batch replaces its own directory, so a rerun is safe.
+    """A branch for ``fan_out``: each batch of a query writes a directory of its own.
 
+    A batch that runs again replaces what it left. The query's id is part of the path: it stays
+    as long as the checkpoint, so a query that starts over never touches what another one wrote.
     Unlike the plain file sink it joins small files and splits hot directories.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if select is None else select(batch)
-        write_history(rows, f"{path}/batch={batch_id}", partition_by, mode="overwrite")
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "table"
+        write_history(rows, f"{path}/run={run}/batch={batch_id}", partition_by, mode="overwrite")
 
     return write
 

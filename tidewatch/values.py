@@ -48,6 +48,7 @@ POLLS_OK = "coingecko_peticiones_ok_total"
 POLLS_FAILED = "coingecko_peticiones_error_total"
 SENTIMENT_INDEX = "crypto_fear_greed_index"
 UP = "up"
+PRODUCER = "crypto-producer"
 CONTAINER_CPU = "container_cpu_usage_seconds_total"
 CONTAINER_MEMORY = "container_memory_usage_bytes"
 NODE_CPU = "node_cpu_seconds_total"
