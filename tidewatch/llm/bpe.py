@@ -10,6 +10,7 @@ lost task is simply run again.
 
 import base64
 import heapq
+from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
 from pathlib import Path
@@ -24,8 +25,9 @@ from pyspark.sql import functions as F
 from .common import batches, own_names
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Words whose ids a worker remembers between blocks. Beyond it, only those of the last block stay.
-REMEMBERED = 250_000
+#: Words that have come up again whose ids a worker remembers, and half as many that have not. A
+#: memory that is full starts afresh.
+REMEMBERED = 300_000
 _SHIFT = 32
 
 
@@ -204,74 +206,66 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
     return _Replay(pieces, vocab).encoded() if pieces else []
 
 
-class _Memory(dict):
-    """Ids of words. A word that the next block does not repeat is forgotten: most occur once."""
-
-    def __init__(self):
-        super().__init__()
-        self.young: set[str] = set()
-
-    def fresh(self, words: set[str]) -> list[str]:
-        """The words of a block that are not known; forgets what it does not repeat."""
-        for word in self.young.difference(words):
-            del self[word]
-        if len(self) > REMEMBERED:
-            kept = {w: self[w] for w in words if w in self}
-            self.clear()
-            self.update(kept)
-        self.young = words.difference(self)
-        return list(self.young)
-
-
 class Encoder:
     """Encodes blocks of texts; remembers the words that come up again.
 
     The pattern never joins what a single white space parts: if no two stand together in a
-    text, its lines and their words can be encoded one by one. Other texts are cut as a whole.
+    text, its words can be encoded one by one, each with the space or line break before it.
+    Other texts are cut as a whole.
     """
 
     def __init__(self, path: str, pattern: str):
         self.vocab, self.find = vocabulary(path), regex.compile(pattern).findall
         self.joined = regex.compile(r"\s\s").search
-        self.first, self.later = _Memory(), _Memory()  # at the beginning of a line, after a space
+        self.known: dict[str, bytes] = {}  # words that have come up at least twice
+        self.young: dict[str, bytes] = {}  # words that have come up once
 
-    def _pieces(self, found: Iterable[list[str]]) -> dict[str, bytes]:
-        """The ids of each different piece."""
+    def _encoded(self, found: list[list[str]]) -> list[bytes]:
+        """The ids of lists of pieces; each different piece is merged once."""
         pieces = list({piece for some in found for piece in some})
-        return dict(zip(pieces, replay([p.encode() for p in pieces], self.vocab)))
+        ids = dict(zip(pieces, replay([p.encode() for p in pieces], self.vocab)))
+        return [b"".join([ids[p] for p in some]) for some in found]
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        cut: list[list[list[str]] | None] = []  # words by line, None for texts cut as a whole
-        whole: dict[int, list[str]] = {}
-        heads, tails = set(), set()
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        if len(self.young) > REMEMBERED // 2:
+            self.young = {}
+        get, parts = self.known.get, []
+        heads: list[list[str]] = []  # pieces of what stands first in each text
+        words_, texts_, places = [], [], []  # words that aren't known, and where they stand
         for i, text in enumerate(texts):
             if self.joined(text):
-                whole[i] = self.find(text)
-                cut.append(None)
-                continue
-            lines = [line.split(" ") for line in text.split("\n")]
-            cut.append(lines)
-            for words in lines:
-                heads.add(words[0])
-                tails.update(words[1:])
-        first, later = self.first, self.later
-        new = [(first, w, self.find(w)) for w in first.fresh(heads)]
-        new += [(later, w, self.find(" " + w)) for w in later.fresh(tails)]
-        ids = self._pieces([*whole.values(), *[found for _, _, found in new], ["\n"]])
-        for memory, word, found in new:
-            memory[word] = b"".join([ids[p] for p in found])
-        newline, out = ids["\n"], []
-        for i, lines in enumerate(cut):
-            if lines is None:
-                out.append(b"".join([ids[p] for p in whole[i]]))
+                heads.append(self.find(text))
+                parts.append([b""])
                 continue
-            parts = []
-            for words in lines:
-                encoded = [later[w] for w in words[1:]]
-                encoded.insert(0, first[words[0]])
-                parts.append(b"".join(encoded))
-            out.append(newline.join(parts))
-        return out
+            # A line's first word keeps its break, all others have a space before them.
+            words = text.replace("\n", " \n").split(" ")
+            heads.append(self.find(words[0]))
+            here = list(map(get, words))
+            here[0] = b""
+            parts.append(here)
+            at = -1
+            for _ in range(here.count(None)):
+                at = here.index(None, at + 1)
+                words_.append(words[at])
+                texts_.append(i)
+                places.append(at)
+        missing = Counter(words_)
+        again = {w: self.young.pop(w) for w in missing.keys() & self.young.keys()}
+        new = list(missing.keys() - again.keys())
+        cut = [self.find(w if w[:1] == "\n" else " " + w) for w in new]
+        encoded = self._encoded(heads + cut)
+        fresh = dict(zip(new, encoded[len(heads) :]))
+        for word, ids in fresh.items():
+            (again if missing[word] > 1 else self.young)[word] = ids
+        self.known.update(again)
+        ids = {**again, **fresh}
+        for i, at, word in zip(texts_, places, words_):
+            parts[i][at] = ids[word]
+        for here, head in zip(parts, encoded):
+            here[0] = head
+        return [b"".join(here) for here in parts]
 
 
 @lru_cache(maxsize=2)
@@ -281,7 +275,7 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 def decode_ids(ids: bytes, vocab: Vocabulary) -> bytes:
-    return b"".join([vocab.token[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    return b"".join(map(vocab.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def _text(value: str | None) -> str:
