@@ -310,6 +310,15 @@ def _text_hash(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("binary"), F.lit(b"")))
 
 
+_IDENTITY = ["_key", "_keyless", "_text"]
+
+
+def _identity(key: Column, text_hash: Column) -> list[Column]:
+    """What tells rows apart, without nulls."""
+    parts = (F.coalesce(key.cast("string"), F.lit("")), key.isNull(), text_hash)
+    return [part.alias(name) for name, part in zip(_IDENTITY, parts)]
+
+
 def keep_first(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 2
 ) -> DataFrame:
@@ -331,12 +340,10 @@ def keep_first(
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root", "doc_id")
         .agg(F.min("text_hash").alias("text_hash"))
-        .select(F.col("doc_id").alias("_key"), F.col("text_hash").alias("_hash"))
     )
+    first = first.select(*_identity(F.col("doc_id"), F.col("text_hash")))
     inner, name = shielded(docs)
-    tagged = inner.select(
-        "*", F.col(name[key]).alias("_doc"), _text_hash(F.col(name[text])).alias("_text")
-    )
-    same = tagged["_doc"].eqNullSafe(first["_key"]) & (tagged["_text"] == first["_hash"])
-    kept = tagged.join(first, same, "left_semi").dropDuplicates(["_doc", "_text"])
+    tagged = inner.select("*", *_identity(F.col(name[key]), _text_hash(F.col(name[text]))))
+    # Joined and counted by the same columns: the texts are shuffled once.
+    kept = tagged.join(first, _IDENTITY, "left_semi").dropDuplicates(_IDENTITY)
     return restored(kept, name)
