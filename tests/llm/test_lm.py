@@ -64,8 +64,8 @@ def language(seed, n):
     for i in range(n):
         words = ["a"]
         for _ in range(60):
-            last = "".join(words[-2:])
-            words.append({"ab": "c", "bc": "a", "ca": "d"}.get(last) if dice.random() < 0.9 and last in ("ab", "bc", "ca") else dice.choice("abcd"))
+            follows = {"ab": "c", "bc": "a", "ca": "d"}.get("".join(words[-2:]))
+            words.append(follows if follows and dice.random() < 0.9 else dice.choice("abcd"))
         rows.append((i, " ".join(words)))
     return rows
 

@@ -34,7 +34,8 @@ def test_base_counts(spark, sf_dir, kind):
 
 
 def prose(n, start=0):
-    return [" ".join(f"{w}{i}" for w in "One plain line says what no other does".split()) + "." for i in range(start, start + n)]
+    words = "One plain line says what no other does".split()
+    return [" ".join(f"{w}{i}" for w in words) + "." for i in range(start, start + n)]
 
 
 def test_lines_that_break_a_rule_go_and_the_document_stays(spark):

@@ -5,8 +5,9 @@ other URLs are judged by a tree that each host grows from its own paths:
 
 * Segments are generalised: runs of digits and hexadecimal ids become wildcards, and so does a
   level below a prefix that has more than ``max_children`` different segments.
-* A path's end is a segment of its own, $. Branches below one prefix whose share of blocked URLs does not differ significantly from that
-  of all labelled URLs there (two-proportion test) merge; those without labels merge too.
+* A path's end is a segment of its own, $. Branches below one prefix whose share of blocked URLs
+  does not differ significantly from that of all labelled URLs there (two-proportion test) merge;
+  those without labels merge too.
 * Purity, the share of blocked among the labelled URLs of a template, is smoothed along the
   tree, from the host down. Templates above ``threshold`` are blocked.
 
