@@ -42,6 +42,15 @@ def test_overlapping_pairs(own, library):
     assert list(map(ids, own.encode(texts))) == [library.encode_ordinary(t) for t in texts]
 
 
+def test_another_pattern(library):
+    pattern = r"\S+|\s+"
+    ranks = library._mergeable_ranks
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    texts = ["one two, three. four's\nfive 6", "naïve\nwords.", " a  b "]
+    got = bpe.Encoder(bpe.RANKS, pattern).encode(texts)
+    assert list(map(ids, got)) == [other.encode_ordinary(t) for t in texts]
+
+
 def test_memory_that_overflows(own, library, monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 5)
     for texts in (["one two three four five six seven", "one"], ["two eight nine", "ten one"]):

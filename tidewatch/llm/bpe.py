@@ -209,14 +209,15 @@ def replay(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
 class Encoder:
     """Encodes blocks of texts; remembers the words that come up again.
 
-    The pattern never joins what a single white space parts: if no two stand together in a
-    text, its words can be encoded one by one, each with the space or line break before it.
-    Other texts are cut as a whole.
+    The public pattern never joins what a single white space parts: if no two stand together in
+    a text, its words can be encoded one by one, each with the space or line break before it.
+    Other texts are cut as a whole, and so are all under another pattern.
     """
 
     def __init__(self, path: str, pattern: str):
         self.vocab, self.find = vocabulary(path), regex.compile(pattern).findall
-        self.joined = regex.compile(r"\s\s").search
+        by_word = pattern == public_tokenizers.PATTERN
+        self.joined = regex.compile(r"\s\s" if by_word else "").search
         self.known: dict[str, bytes] = {}  # words that have come up at least twice
         self.young: dict[str, bytes] = {}  # words that have come up once
 
@@ -226,6 +227,14 @@ class Encoder:
         ids = dict(zip(pieces, replay([p.encode() for p in pieces], self.vocab)))
         return [b"".join([ids[p] for p in some]) for some in found]
 
+    def _cut(self, word: str) -> list[str]:
+        """The pieces of a word and the white space before it; plain words need no pattern."""
+        if word.isalpha():
+            return [" " + word]
+        if word[-1:] in (".", ",") and word[:-1].isalpha():
+            return [" " + word[:-1], word[-1]]
+        return self.find(word if word[:1] == "\n" else " " + word)
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known = {}
@@ -254,8 +263,7 @@ class Encoder:
         missing = Counter(words_)
         again = {w: self.young.pop(w) for w in missing.keys() & self.young.keys()}
         new = list(missing.keys() - again.keys())
-        cut = [self.find(w if w[:1] == "\n" else " " + w) for w in new]
-        encoded = self._encoded(heads + cut)
+        encoded = self._encoded(heads + list(map(self._cut, new)))
         fresh = dict(zip(new, encoded[len(heads) :]))
         for word, ids in fresh.items():
             (again if missing[word] > 1 else self.young)[word] = ids
