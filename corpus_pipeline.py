@@ -32,8 +32,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Add the ids of each text."""
-    return bpe.encode(docs)
+    """Add the ids of each text; in smaller blocks than alone, as the stages share the workers."""
+    return bpe.encode(docs, rows=512, remembered=100_000)
 
 
 STAGES = [

@@ -51,8 +51,8 @@ def test_another_pattern(library):
     assert list(map(ids, got)) == [other.encode_ordinary(t) for t in texts]
 
 
-def test_memory_that_overflows(own, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+def test_memory_that_overflows(library):
+    own = bpe.Encoder(bpe.RANKS, public_tokenizers.PATTERN, remembered=5)
     for texts in (["one two three four five six seven", "one"], ["two eight nine", "ten one"]):
         assert list(map(ids, own.encode(texts))) == [library.encode_ordinary(t) for t in texts]
 

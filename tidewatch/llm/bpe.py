@@ -13,6 +13,7 @@ import heapq
 from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import islice
 from pathlib import Path
 
 import numpy as np
@@ -25,8 +26,7 @@ from pyspark.sql import functions as F
 from .common import batches, own_names
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Words that have come up again whose ids a worker remembers, and half as many that have not. A
-#: memory that is full starts afresh.
+#: Words that have come up again whose ids a worker remembers, and half as many that have not.
 REMEMBERED = 300_000
 _SHIFT = 32
 
@@ -49,11 +49,11 @@ class Vocabulary:
         self.merges = dict(pairs)
         self.keys = np.array([k for k, _ in pairs] + [np.iinfo(np.int64).max], np.int64)
         self.becomes = np.array([r for _, r in pairs] + [-1], np.int64)
-        self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
+        self.of_byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Id that each pair becomes, -1 where it can't merge."""
-        key = left << _SHIFT | right
+        key = left.astype(np.int64) << _SHIFT | right
         at = np.searchsorted(self.keys, key)
         return np.where(self.keys[at] == key, self.becomes[at], -1)
 
@@ -87,11 +87,11 @@ class _Replay:
         first = np.cumsum(size) - size
         self.token = vocab.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
         n = len(self.token)
-        self.before, self.after = np.arange(-1, n - 1), np.arange(1, n + 1)
+        self.before, self.after = (np.arange(a, a + n, dtype=np.int32) for a in (-1, 1))
         self.before[first] = -1
         self.after[first + size - 1] = -1
-        self.owner = np.repeat(np.arange(len(pieces)), size)
-        self.pair = np.full(n, -1)  # what the pair that begins here merges to
+        self.owner = np.repeat(np.arange(len(pieces), dtype=np.int32), size)
+        self.pair = np.full(n, -1, np.int32)  # what the pair that begins here merges to
         self.odd: set[int] = set()  # pieces in which a merge enables one of lower rank
         # The inverted index: rank to positions, single ones and arrays of them.
         self.single: dict[int, list[int]] = {}
@@ -214,8 +214,9 @@ class Encoder:
     Other texts are cut as a whole, and so are all under another pattern.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         self.vocab, self.find = vocabulary(path), regex.compile(pattern).findall
+        self.remembered = remembered
         by_word = pattern == public_tokenizers.PATTERN
         self.joined = regex.compile(r"\s\s" if by_word else "").search
         self.known: dict[str, bytes] = {}  # words that have come up at least twice
@@ -236,9 +237,9 @@ class Encoder:
         return self.find(word if word[:1] == "\n" else " " + word)
 
     def encode(self, texts: Iterable[str]) -> list[bytes]:
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        if len(self.young) > REMEMBERED // 2:
+        if len(self.known) > self.remembered:  # the older half holds the frequent words
+            self.known = dict(islice(self.known.items(), self.remembered // 2))
+        if len(self.young) > self.remembered // 2:
             self.young = {}
         get, parts = self.known.get, []
         heads: list[list[str]] = []  # pieces of what stands first in each text
@@ -277,9 +278,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str, pattern: str) -> Encoder:
+def encoder(path: str, pattern: str, remembered: int) -> Encoder:
     """One for each Python worker and vocabulary."""
-    return Encoder(path, pattern)
+    return Encoder(path, pattern, remembered)
 
 
 def decode_ids(ids: bytes, vocab: Vocabulary) -> bytes:
@@ -290,22 +291,33 @@ def _text(value: str | None) -> str:
     return value or ""
 
 
-def encode_column(text: Column, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> Column:
+def encode_column(
+    text: Column,
+    path: str = RANKS,
+    pattern: str = public_tokenizers.PATTERN,
+    remembered: int = REMEMBERED,
+) -> Column:
     """Ids of a text, packed as little-endian unsigned 32-bit integers."""
 
     @F.pandas_udf("binary")
     def of(texts: pd.Series) -> pd.Series:
-        return pd.Series(encoder(path, pattern).encode(map(_text, texts)), dtype=object)
+        ids = encoder(path, pattern, remembered).encode(map(_text, texts))
+        return pd.Series(ids, dtype=object)
 
     return of(text)
 
 
-def length_column(text: Column, path: str = RANKS, pattern: str = public_tokenizers.PATTERN) -> Column:
+def length_column(
+    text: Column,
+    path: str = RANKS,
+    pattern: str = public_tokenizers.PATTERN,
+    remembered: int = REMEMBERED,
+) -> Column:
     """Number of ids of a text."""
 
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
-        ids = encoder(path, pattern).encode(map(_text, texts))
+        ids = encoder(path, pattern, remembered).encode(map(_text, texts))
         return pd.Series([len(i) >> 2 for i in ids], dtype="int64")
 
     return of(text)
@@ -331,14 +343,19 @@ def encode(
     path: str = RANKS,
     pattern: str = public_tokenizers.PATTERN,
     rows: int = 2048,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """The documents with ``ids`` (packed, as ``encode_column``) and ``n_tokens``.
 
     Null and empty texts have no ids (empty, not null). Repeated rows are encoded alike. Input
-    columns named ``ids`` or ``n_tokens`` are replaced. ``rows`` bounds a block, as do 32 MB.
+    columns named ``ids`` or ``n_tokens`` are replaced. ``rows`` bounds a block, as do 32 MB, and
+    ``remembered`` the words a worker keeps between blocks: less of both takes less memory and
+    more time.
     """
     batches(docs.sparkSession, rows)
-    encoded = own_names(docs, ids=encode_column(F.col(f"`{text}`"), path, pattern))
+    encoded = own_names(
+        docs, ids=encode_column(F.col(f"`{text}`"), path, pattern, remembered)
+    )
     return own_names(encoded, n_tokens=(F.octet_length("ids") / 4).cast("long"))
 
 
