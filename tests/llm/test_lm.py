@@ -143,3 +143,69 @@ def test_no_training_rows(spark):
     docs = documents(spark, [(1, "a b"), (2, None)])
     for r in lm.score(docs, F.lit(True)).collect():
         assert r.n_known == 0 and r.train_tokens == 0 and r.score == r.base_score == 0
+
+
+def plain_scores(rows, depth, least=10, entry=2):
+    """The model's scores by dictionaries of word tuples."""
+    train = [tokens(t) for i, t in rows if not fold(i)]
+    counts = Counter(w for words in train for w in words)
+    mass = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    rest, stored = {}, {}
+    padded = [["<", *words] for words in train]
+
+    def chance(context, word):
+        if not context:
+            return (counts[word] + 0.5) / mass
+        if context in rest and word in stored[context]:
+            return stored[context][word]
+        return rest.get(context, 1) * chance(context[1:], word)
+
+    for d in range(1, depth + 1):
+        follows = defaultdict(Counter)
+        for words in padded:
+            for i in range(d, len(words)):
+                follows[tuple(words[i - d : i])][words[i]] += 1
+        level = {}
+        for context, after in follows.items():
+            total, listed = sum(after.values()), {w: n for w, n in after.items() if n >= entry}
+            if total < least or not listed:
+                continue
+            prior = {w: chance(context[1:], w) for w in listed}
+            kinds, expected = len(listed) + 1, min(sum(prior.values()), 1 - 1e-9)
+            test = sum(n * math.log(n / total / prior[w]) for w, n in listed.items())
+            others = 1 - sum(listed.values()) / total
+            if others > 1e-12:
+                test += total * others * math.log(others / (1 - expected))
+            if 2 * test > kinds + 4 * math.sqrt(2 * kinds):
+                smooth = {w: (n + kinds * prior[w]) / (total + kinds) for w, n in listed.items()}
+                level[context] = smooth, max(1 - sum(smooth.values()), 1e-12) / (1 - expected)
+        if not level:
+            break
+        for context, (smooth, left) in level.items():
+            stored[context], rest[context] = smooth, left
+    out = []
+    for i, t in rows:
+        words = ["<", *tokens(t)]
+        steps = ((tuple(words[max(0, k - depth) : k]), words[k]) for k in range(1, len(words)))
+        out.append((i, sum(math.log10(chance(c, w)) for c, w in steps)))
+    return out
+
+
+@pytest.mark.parametrize("cached", [0, 60, 1_000_000])
+def test_tables_equal_dictionaries(spark, sf_dir, cached):
+    rows = language(5, 150) + [
+        (1000 + r["doc_id"], r["text"]) for r in table_rows(sf_dir, "documents")[:60]
+    ]
+    got = {r.doc_id: r.score for r in scored(documents(spark, rows), depth=2, cached=cached).collect()}
+    for i, want in plain_scores(rows, 2):
+        assert got[i] == pytest.approx(want, rel=1e-9), i
+
+
+def test_the_bars_do_not_rise_with_the_corpus(spark):
+    dice = random.Random(6)
+    noise = [(i, " ".join(str(dice.randrange(3000)) for _ in range(500))) for i in range(900)]
+    passage = [(i, "one rare passage") for i in range(1000, 1020)]
+    by_id = {r.doc_id: r for r in scored(documents(spark, noise + passage)).collect()}
+    held = next(i for i, _ in passage if fold(i))
+    assert by_id[held].train_tokens > 300_000
+    assert by_id[held].score > by_id[held].base_score + 5

@@ -1,35 +1,40 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Token counts give every word its base probability. The tree refines it: its states are contexts
-of up to ``depth`` preceding words, candidates if they make up at least ``least`` of the training
-tokens, retained if the words that follow differ from those after the next shorter context (a
-likelihood-ratio test). Words of at least that share are symbols; all others share the symbol
-"other", within which base probabilities stay in proportion. Next-symbol distributions are
-smoothed towards the shorter context (Witten-Bell) and sum to one. A word is scored in the
-longest retained context its predecessors end with.
-
-Sizes: at most 1 / ``least`` symbols and as many contexts of each length, at most 1 / ``entry``
-stored transitions of each length, so the model is bounded however large the corpus. Token
-counts are not: they stay in a table, which the rare words of the documents are joined with. Only
-the ``common`` most frequent words are looked up in memory.
+of up to ``depth`` preceding words, candidates if they occur ``least`` times in the training
+texts, retained if the words that follow differ from those after the next shorter context (a
+likelihood-ratio test). Words that follow a context ``entry`` times are stored with it, all
+others share what is left in proportion to the shorter context (Witten-Bell), so distributions
+sum to one. A word is scored in the longest retained context its predecessors end with.
+
+Both bars are absolute, so the tree grows with the corpus. It is kept in tables whose rows are
+word sequences under 64-bit hashes: one as a context, plus its next word, is the sequence that is
+one longer, so each level joins with the one above. The score of a text is the sum of its words'
+base probabilities and of one value for each of its word sequences the model knows. The
+``common`` most frequent words and ``cached`` most frequent sequences are looked up in memory,
+the others are joined. Bitmaps of fixed size tell which sequences may be known; where they fill
+up, more rows reach the joins, which decide.
 """
 
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import remove_folder, work_folder
+from ..session import work_folder
 from .common import batches
 
 END = b""  # the end of a text, counted as a token
 _OTHER = 0
 _FLUSH = 400_000
 _BLOCK = 1 << 20
+_BEGIN = np.uint64(0x9E3779B97F4A7C15)  # the beginning of a text
+_MAP = 20  # log2 of a bitmap's 64-bit words
 
 
 def tokens(body: bytes | None) -> list[bytes]:
@@ -77,7 +82,7 @@ def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-# --- suffix tree -----------------------------------------------------------------------
+# --- suffix tree in memory: the plain form of the tables below -------------------------
 
 
 @dataclass
@@ -198,67 +203,215 @@ class Tree:
         return gain
 
 
-def _transitions(tree: Tree):
-    """Counts of (context, next symbol) on the tree's last level."""
+# --- suffix tree in tables -------------------------------------------------------------
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        codes, place = np.unique(np.concatenate([c for c, _ in held]), return_inverse=True)
-        weight = np.concatenate([n for _, n in held])
-        return codes, np.bincount(place, weight, len(codes)).astype(np.int64)
+
+class Hashes(dict):
+    """64-bit hashes of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > _FLUSH:
+            self.clear()
+        self[word] = found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return found
+
+
+def flat(texts: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts, each after a beginning and before an end; where each begins."""
+    out, starts = [], []
+    begin, end = int(_BEGIN), hashes[END]
+    for words in texts:
+        starts.append(len(out))
+        out.append(begin)
+        out += [hashes[w] for w in words]
+        out.append(end)
+    return np.array(out, np.uint64), np.array(starts, np.int64)
+
+
+def sequences(words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For lengths from 1: where sequences inside one text end, and hashes by that place."""
+    sizes = np.diff(np.append(starts, len(words)))
+    place = np.arange(len(words)) - np.repeat(starts, sizes)
+    found, ends = words, np.arange(len(words))
+    length = 1
+    while len(ends):
+        yield ends, found
+        ends = ends[place[ends] >= length]
+        mixed = found[ends - 1] * np.uint64(0xBF58476D1CE4E5B9) + words[ends]
+        mixed ^= mixed >> np.uint64(29)
+        mixed *= np.uint64(0x94D049BB133111EB)
+        mixed ^= mixed >> np.uint64(32)
+        found = np.zeros(len(words), np.uint64)
+        found[ends] = mixed
+        length += 1
+
+
+def bitmap(known: DataFrame) -> np.ndarray:
+    """A fixed number of bits, of which those of the hashes in column h are set."""
+    spot = F.shiftrightunsigned("h", 6).bitwiseAND((1 << _MAP) - 1)
+    bit = F.expr("shiftleft(1L, cast(h & 63 AS int))")
+    rows = known.groupBy(spot.alias("spot")).agg(F.bit_or(bit).alias("bits")).toPandas()
+    found = np.zeros(1 << _MAP, np.uint64)
+    found[rows["spot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
+    return found
+
+
+def _may(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    spots = bits[(hashes >> np.uint64(6)) & np.uint64((1 << _MAP) - 1)]
+    return (spots >> (hashes & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each block of texts: distinct hashes, words as their numbers, beginnings."""
+    hashes = Hashes()
+    for part in parts:
+        words, starts = flat([tokens(b) for b in part.column(0).to_pylist()], hashes)
+        kinds, codes = np.unique(words, return_inverse=True)
+        blobs = (kinds, codes.astype(np.int32), starts)
+        yield _rows(("kinds", "codes", "starts"), *[[b.tobytes()] for b in blobs])
+
+
+def _followed(length: int, often, repeated):
+    """Counts n of sequences h: a context c of ``length`` words and the next; s lacks the oldest."""
+
+    def merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        h, c, s, n = map(np.concatenate, zip(*held))
+        h, first, place = np.unique(h, return_index=True, return_inverse=True)
+        return h, c[first], s[first], np.bincount(place, n, len(h)).astype(np.int64)
+
+    def out(rows: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(rows[0]), _BLOCK // 16):
+            part = [column[at : at + _BLOCK // 16].view(np.int64) for column in rows]
+            yield _rows(("h", "c", "s", "n"), *part)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in parts:
-            symbols, _ = tree.flat([tokens(b) for b in part.column(0).to_pylist()])
-            *_, context = tree.contexts(symbols)
-            at = np.flatnonzero(context >= 0)
-            codes, counts = np.unique(context[at] * tree.size + symbols[at], return_counts=True)
-            held.append((codes, counts))
-            size += len(codes)
-            if size > 2 * _BLOCK:
-                held = [merged(held)]
-                size = len(held[0][0])
+            for row in part.to_pylist():
+                kinds = np.frombuffer(row["kinds"], np.uint64)
+                words = kinds[np.frombuffer(row["codes"], np.int32)]
+                every = sequences(words, np.frombuffer(row["starts"], np.int64))
+                shorter = None
+                for at, (ends, found) in enumerate(every, 1):
+                    if at > length:
+                        break
+                    shorter = found
+                else:
+                    continue
+                ends = ends[_may(often.value, shorter[ends - 1])]
+                ends = ends[_may(repeated.value, shorter[ends])]
+                h, first, n = np.unique(found[ends], return_index=True, return_counts=True)
+                held.append((h, shorter[ends[first] - 1], shorter[ends[first]], n))
+                size += len(h)
                 if size > _BLOCK:
-                    yield _rows(("code", "n"), *held[0])
-                    held, size = [], 0
+                    held = [merged(held)]
+                    size = len(held[0][0])
+                    if size > _BLOCK // 2:
+                        yield from out(held[0])
+                        held, size = [], 0
         if held:
-            yield _rows(("code", "n"), *merged(held))
+            yield from out(merged(held))
 
     return run
 
 
-def _grow(bodies: DataFrame, tree: Tree, total: int, depth: int, least: float, entry: float) -> None:
-    """Add the levels, one pass over the training texts for each."""
-    contexts = [(s,) for s in range(1, tree.size) if s != tree.ids.get(END)]
-    for d in range(1, depth + 1):
-        tree.add(contexts)
-        if not tree.levels[-1].contexts:
-            return
+def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        hashes = [int.from_bytes(blake2b(w, digest_size=8).digest(), "little", signed=True)
+                  for w in part.column(0).to_pylist()]
+        yield _rows(("h", "n"), pa.array(hashes, pa.int64()), part.column(1))
+
+
+def grow(bodies: DataFrame, counts: DataFrame, mass: float, depth: int, least: int, entry: int):
+    """The model as a table (h, n, v), and the length of its longest contexts.
+
+    Level by level, until none of the contexts that occur often enough is retained. A row's v
+    is what a sequence adds to the score of the text it occurs in: as a context, log10 of what
+    is left to words not stored with it; as a context and the next word, what is different.
+    """
+    spark = bodies.sparkSession
+    if not depth:
+        return None, 0
+    blocks = _stored(
+        bodies.mapInArrow(_encoded, "kinds binary, codes binary, starts binary"), "encoded"
+    )
+    words = counts.select("word", "c").mapInArrow(_hashed, "h long, n long")
+    base = words.withColumn("p", (F.col("n") + 0.5) / mass)
+    begin = counts.filter(F.col("word") == F.lit(END)).select(
+        F.lit(int(_BEGIN.view(np.int64))).alias("h"), F.col("c").alias("n"), F.lit(1.0).alias("p")
+    )
+    above = _stored(base.filter(F.col("n") >= entry).unionByName(begin), "level")
+    model, reached = [], 0
+    for length in range(1, depth + 1):
+        often = spark.sparkContext.broadcast(bitmap(above.filter(F.col("n") >= least)))
+        repeated = spark.sparkContext.broadcast(bitmap(above))
         counted = (
-            bodies.mapInArrow(_transitions(tree), "code long, n long")
-            .groupBy("code")
-            .agg(F.sum("n").alias("n"))
+            blocks.mapInArrow(_followed(length, often, repeated), "h long, c long, s long, n long")
+            .groupBy("h")
+            .agg(F.first("c").alias("c"), F.first("s").alias("s"), F.sum("n").alias("n"))
+            .filter(F.col("n") >= entry)
         )
-        folder = work_folder(bodies.sparkSession, "transitions")
-        counted.write.parquet(folder)
-        counted = bodies.sparkSession.read.parquet(folder)
-        of = F.floor(F.col("code") / tree.size)
-        sums = counted.groupBy(of.alias("context")).agg(F.sum("n").alias("n")).toPandas()
-        totals = np.zeros(len(tree.levels[-1].contexts))
-        totals[sums["context"].to_numpy(np.int64)] = sums["n"].to_numpy(float)
-        kept = counted.filter(F.col("n") >= max(2, entry * total)).orderBy("code").toPandas()
-        codes, counts = kept["code"].to_numpy(np.int64), kept["n"].to_numpy(float)
-        remove_folder(bodies.sparkSession, folder)
-        tree.learn(codes, counts, totals)
-        if d < depth:
-            often = codes[counts >= least * total]
-            known = set(tree.levels[-1].contexts)
-            grown = [
-                tree.levels[-1].contexts[c] + (s,)
-                for c, s in zip(*(x.tolist() for x in np.divmod(often, tree.size)))
-                if s not in (_OTHER, tree.ids.get(END))
-            ]
-            contexts = [g for g in grown if g[1:] in known]
+        contexts = above.filter(F.col("n") >= least).select(
+            F.col("h").alias("c"), F.col("n").alias("total")
+        )
+        # What is stored here is stored above without its oldest word: it occurs no less often.
+        prior = above.select(F.col("h").alias("s"), F.col("p").alias("prior"))
+        pairs = _stored(counted.join(contexts, "c").join(prior, "s").drop("s"), "transitions")
+        share = F.col("n") / F.col("total")
+        sums = pairs.groupBy("c").agg(
+            F.first("total").alias("size"),
+            (F.count("*") + 1.0).alias("kinds"),
+            F.sum("n").alias("listed"),
+            F.least(F.sum("prior"), F.lit(1 - 1e-9)).alias("expected"),
+            F.sum(F.col("n") * F.log(share / F.col("prior"))).alias("apart"),
+        )
+        size, kinds, expected = F.col("size"), F.col("kinds"), F.col("expected")
+        others = F.greatest(size - F.col("listed"), F.lit(0)) / size
+        tail = F.when(others > 0, size * others * F.log(others / (1 - expected))).otherwise(0.0)
+        left = 1 - (F.col("listed") + kinds * expected) / (size + kinds)
+        kept = _stored(
+            sums.filter(2 * (F.col("apart") + tail) > kinds + 4 * F.sqrt(2 * kinds)).select(
+                "c", "size", "kinds",
+                F.log10(F.greatest(left, F.lit(1e-12)) / (1 - expected)).alias("rest"),
+            ),
+            "contexts",
+        )
+        if kept.isEmpty():
+            break
+        smooth = (F.col("n") + kinds * F.col("prior")) / (F.col("total") + kinds)
+        level = _stored(
+            pairs.join(kept.select("c", "kinds", "rest"), "c", "left").select(
+                "h", "n",
+                F.coalesce(smooth, "prior").alias("p"),
+                (F.log10(smooth / F.col("prior")) - F.col("rest")).alias("v"),
+            ),
+            "level",
+        )
+        model.append(kept.select(F.col("c").alias("h"), F.col("size").alias("n"), F.col("rest").alias("v")))
+        model.append(level.filter(F.col("v").isNotNull()).select("h", "n", "v"))
+        above, reached = level.select("h", "n", "p"), length
+        often.destroy(), repeated.destroy()
+    if not model:
+        return None, 0
+    every = model[0]
+    for rows in model[1:]:
+        every = every.unionByName(rows)
+    return _stored(every.groupBy("h").agg(F.max("n").alias("n"), F.sum("v").alias("v")), "model"), reached
+
+
+def most_frequent(counted: DataFrame, by: str, most: int):
+    """The condition for the bins of ``by`` that at most ``most`` rows fall into, or None; all bins."""
+    bins = F.floor(F.log2(by) * 16)
+    found = counted.groupBy(bins.alias("bin")).agg(
+        F.count("*").alias("rows"), F.sum(by).alias("sum")
+    ).collect()
+    size, lowest = 0, None
+    for r in sorted(found, key=lambda r: -r.bin):
+        size += r.rows
+        if size > most:
+            break
+        lowest = r.bin
+    return None if lowest is None else bins >= lowest, found
 
 
 # --- scoring ---------------------------------------------------------------------------
@@ -269,6 +422,34 @@ _SCORED = (
 )
 
 
+def _gains(words, starts, near, values, known, longest):
+    """What each place adds to its text's score; rows for the sequences that are to be joined."""
+    gains, keys, owner, times = np.zeros(len(words)), [], [], []
+    if not longest:
+        return gains, (keys, owner, times, [])
+    text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
+    for length, (ends, found) in enumerate(sequences(words, starts), 1):
+        if length > longest + 1:
+            break
+        ends = ends[_may(known, found[ends])]
+        spot = found[ends]
+        at = np.minimum(np.searchsorted(near, spot), max(len(near) - 1, 0))
+        hit = near[at] == spot if len(near) else np.zeros(len(spot), bool)
+        gains[ends[hit]] += values[at[hit]]
+        other = ends[~hit]
+        # By text and sequence; texts have them once, with how often they occur.
+        pairs = np.empty(len(other), [("i", np.int64), ("h", np.uint64)])
+        pairs["i"], pairs["h"] = text[other], found[other]
+        order = np.lexsort((pairs["h"], pairs["i"]))
+        pairs = pairs[order]
+        new = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else order
+        # Keys that no word can equal, as a break is in front.
+        keys += [b"\n" + h for h in pairs["h"][new].astype(">u8").view("V8").astype(object)]
+        owner += pairs["i"][new].tolist()
+        times += np.diff(np.append(new, len(pairs))).tolist()
+    return gains, (keys, owner, times, [None] * len(keys))
+
+
 def _scored(model):
     """A row for each document with what memory knows, and one for each rare word of it."""
     whole_type = pa.struct([
@@ -277,19 +458,21 @@ def _scored(model):
     ])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, logs = model.value
+        logs, near, values, known, longest = model.value
+        hashes = Hashes()
         for part in parts:
-            keys, hashes = part.column(0).to_pylist(), part.column(1).to_pylist()
+            keys, of = part.column(0).to_pylist(), part.column(1).to_pylist()
             texts = [tokens(b) for b in part.column(2).to_pylist()]
-            symbols, starts = tree.flat(texts)
-            gains = np.add.reduceat(tree.gains(symbols), starts).tolist()
-            words, owner, times, wholes = [], [], [], []
+            flat_, starts = flat(texts, hashes)
+            gains, distant = _gains(flat_, starts, near, values, known, longest)
+            gains = np.add.reduceat(gains, starts).tolist()
+            words, owner, times, wholes = distant
             for i, (found, gain) in enumerate(zip(texts, gains)):
                 found.append(END)
                 known = [v for w in found if (v := logs.get(w)) is not None]
                 whole = (len(found), len(known), float(np.sum(known)), gain)
                 # A word no text can have, so that these rows spread and join nothing.
-                words.append(b" %d %d" % (keys[i] or 0, hashes[i]))
+                words.append(b" %d %d" % (keys[i] or 0, of[i]))
                 owner.append(i), times.append(0), wholes.append(whole)
                 if len(known) < len(found):
                     rare = Counter([w for w in found if w not in logs])
@@ -302,7 +485,7 @@ def _scored(model):
                 [
                     pa.array(words, pa.binary()),
                     pa.array([keys[i] for i in owner], pa.int64()),
-                    pa.array([hashes[i] for i in owner], pa.int64()),
+                    pa.array([of[i] for i in owner], pa.int64()),
                     pa.array(times, pa.int64()),
                     pa.array([w and dict(zip(names, w)) for w in wholes], whole_type),
                 ],
@@ -326,9 +509,10 @@ def score(
     key: str = "doc_id",
     text: str = "text",
     depth: int = 2,
-    least: float = 5e-5,
-    entry: float = 1e-6,
+    least: int = 10,
+    entry: int = 2,
     common: int = 200_000,
+    cached: int = 1_000_000,
 ) -> DataFrame:
     """One row per document: key, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -343,41 +527,41 @@ def score(
     training = docs.filter(~fold).select(body.alias("body"))
     counts = _stored(token_counts(training, "body"), "token-counts")
 
-    bins = F.floor(F.log2("c") * 16)
-    by_bin = counts.groupBy(bins.alias("bin")).agg(
-        F.count("*").alias("words"), F.sum("c").alias("tokens")
-    ).collect()
-    total, distinct = sum(r.tokens for r in by_bin), sum(r.words for r in by_bin)
-    size, lowest = 0, None
-    for r in sorted(by_bin, key=lambda r: -r.bin):
-        size += r.words
-        if size > common:
-            break
-        lowest = r.bin
+    often, by_bin = most_frequent(counts, "c", common)
+    total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
     mass = total + 0.5 * (distinct + 1)
     frequent = {}
-    if lowest is not None:
-        rows = counts.filter(bins >= lowest).toPandas()
+    if often is not None:
+        rows = counts.filter(often).toPandas()
         frequent = {bytes(w): int(c) for w, c in zip(rows["word"], rows["c"])}
 
-    symbols = sorted((w for w, c in frequent.items() if c >= least * total), key=lambda w: (-frequent[w], w))
-    base = np.array([(frequent[w] + 0.5) / mass for w in symbols])
-    outside = max(1 - float(base.sum()), 0.5 / mass)
-    tree = Tree(
-        {w: i for i, w in enumerate(symbols, 1)},
-        np.concatenate(([outside], base, [1.0])),
-    )
-    _grow(training, tree, total, depth, least, entry)
+    table, longest = grow(training, counts, mass, depth, least, entry)
+    near, values, known, distant = np.zeros(0, np.uint64), np.zeros(0), None, None
+    if table is not None:
+        inside, _ = most_frequent(table, "n", cached)
+        distant = table.filter(~inside) if inside is not None else table
+        known = bitmap(table)
+        if inside is not None:
+            rows = table.filter(inside).select("h", "v").toPandas()
+            near = rows["h"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(near)
+            near, values = near[order], rows["v"].to_numpy(float)[order]
 
     logs = {w: float(np.log10((c + 0.5) / mass)) for w, c in frequent.items()}
-    model = spark.sparkContext.broadcast((tree, logs))
+    model = spark.sparkContext.broadcast((logs, near, values, known, longest))
     given = docs.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")
     )
     pieces = given.mapInArrow(_scored(model), _SCORED)
-    rare = counts.filter(bins < lowest) if lowest is not None else counts
+    rare = counts.filter(~often) if often is not None else counts
+    rare = rare.select("word", "c", F.lit(None).cast("double").alias("v"))
+    if distant is not None:
+        name = F.concat(F.lit(b"\n"), F.unhex(F.lpad(F.hex("h"), 16, "0")))
+        rare = rare.unionByName(distant.select(name.alias("word"), F.lit(None).cast("long").alias("c"), "v"))
     c = F.coalesce("c", F.lit(0))
-    chance = F.col("times") * F.log10((c + 0.5) / mass)
+    # Sequences of words have no chance of their own; those the bitmap let pass add nothing.
+    alone = ~F.col("word").startswith(F.lit(b"\n"))
+    chance = F.when(alone, F.col("times") * F.log10((c + 0.5) / mass)).otherwise(0.0)
     seen = F.when(c > 0, F.col("times")).otherwise(0)
     joined = pieces.join(rare, "word", "left")
     summed = joined.groupBy("key", "body_hash").agg(
@@ -385,7 +569,7 @@ def score(
         F.max("whole.n_tokens").alias("n_tokens"),
         F.sum(F.coalesce("whole.n_known", seen)).alias("n_known"),
         F.sum(F.coalesce("whole.base", chance)).alias("base"),
-        F.sum(F.coalesce("whole.gain", F.lit(0.0))).alias("gain"),
+        F.sum(F.coalesce("whole.gain", F.col("times") * F.col("v"), F.lit(0.0))).alias("gain"),
     )
     # Rows that repeat key and text come together above; each gets its share again.
     each = summed.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
