@@ -209,3 +209,21 @@ def test_the_bars_do_not_rise_with_the_corpus(spark):
     held = next(i for i, _ in passage if fold(i))
     assert by_id[held].train_tokens > 300_000
     assert by_id[held].score > by_id[held].base_score + 5
+
+
+def test_levels_grow_until_no_context_is_retained(spark):
+    dice, rows = random.Random(7), []
+    for i in range(600):
+        words = []
+        for _ in range(12):
+            first = dice.choice("xy")
+            shared = "a b c" if dice.random() < 0.8 else dice.choice(["a b d", "e b c", "e f c"])
+            words += [first, *shared.split(), first.upper() + "1" if shared == "a b c" else "z"]
+        rows.append((i, " ".join(words)))
+    docs = documents(spark, rows)
+    got = {r.doc_id: r.score for r in scored(docs).collect()}
+    for i, want in plain_scores(rows, 20):
+        assert got[i] == pytest.approx(want, rel=1e-9), i
+    short = {r.doc_id: r.score for r in scored(docs, depth=3).collect()}
+    held = [i for i, _ in rows if fold(i)]
+    assert sum(got[i] for i in held) > sum(short[i] for i in held) + 50

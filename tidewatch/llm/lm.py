@@ -1,9 +1,10 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
 Token counts give every word its base probability. The tree refines it: its states are contexts
-of up to ``depth`` preceding words, candidates if they occur ``least`` times in the training
+of preceding words, candidates if they occur ``least`` times in the training
 texts, retained if the words that follow differ from those after the next shorter context (a
-likelihood-ratio test). Words that follow a context ``entry`` times are stored with it, all
+likelihood-ratio test). Levels are added until one retains none; ``depth`` is a mere safety
+bound. Words that follow a context ``entry`` times are stored with it, all
 others share what is left in proportion to the shorter context (Witten-Bell), so distributions
 sum to one. A word is scored in the longest retained context its predecessors end with.
 
@@ -508,7 +509,7 @@ def score(
     *,
     key: str = "doc_id",
     text: str = "text",
-    depth: int = 2,
+    depth: int = 64,
     least: int = 10,
     entry: int = 2,
     common: int = 200_000,
