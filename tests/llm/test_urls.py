@@ -77,6 +77,15 @@ def test_many_segments_become_a_wildcard(spark):
     assert got["http://h.io/v/x/p"].verdict == "allow"
 
 
+def test_rules_below_the_usual_depth_stay_apart(spark):
+    rules = [urls.Rule("block", "h.io", f"/a/b/c/d/e/{k}/") for k in ("ads", "spam")]
+    rules.append(urls.Rule("allow", "h.io", "/a/b/c/d/e/news/"))
+    found = [f"http://h.io/a/b/c/d/e/{k}/{i}" for k in ("ads", "news", "spam", "other") for i in range(30)]
+    got = verdicts(spark, found, rules=rules)
+    purity = {u.split("/")[8]: r.purity for u, r in got.items()}
+    assert purity["ads"] > 0.75 > purity["news"] and purity["other"] < purity["ads"]
+
+
 def test_branches_that_differ_stay_apart(spark):
     rules = [urls.Rule("block", "h.io", "/bad/"), urls.Rule("allow", "h.io", "/good/")]
     found = [f"http://h.io/{k}/{i}" for k in ("bad", "good") for i in range(30)]

@@ -143,8 +143,10 @@ def judge(
 
     A null URL, or one without ``://``, has empty host and path and is judged as such: no rule
     fits it, and its template has no labels. Repeated rows are judged alike and each count.
-    Input columns with the names above are replaced.
+    Input columns with the names above are replaced. Rules that lie deeper than ``depth``
+    segments carry the tree down to theirs.
     """
+    depth = max([depth, *[len([s for s in r.path.split("/") if s]) for r in rules]])
     text = F.col(f"`{url}`")
     placed = own_names(pages, host=host_of(text), path=path_of(text))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
