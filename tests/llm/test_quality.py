@@ -91,3 +91,9 @@ def test_a_filter_does_not_repeat_the_work_inside_loops(spark):
     texts = [" ".join(f"word{i}" for i in range(40_000)), *ODD_TEXTS]
     docs = documents(spark, list(enumerate(texts)))
     assert [r.doc_id for r in quality.clean(docs).collect()] == [0]
+
+
+def test_indented_menu_entries_fail(spark):
+    lines = [*prose(8), " " * 40 + "Home", "search" + " " * 30, " " * 30 + "no entry of a menu"]
+    row = quality.assess(documents(spark, [(1, "\n".join(lines))])).first()
+    assert row.cleaned.split("\n") == [*prose(8), lines[-1]]

@@ -63,8 +63,9 @@ def line_fails(
 
 def _is_menu(line: Column) -> Column:
     longest = max(map(len, NAVIGATION))
-    # Cheap first: no long line is a menu entry.
-    return (F.length(line) <= longest + 8) & F.lower(F.trim(line)).isin(*NAVIGATION)
+    entry = F.trim(line)
+    # Cheap first: no long entry is one of a menu, however far it is indented.
+    return (F.length(entry) <= longest) & F.lower(entry).isin(*NAVIGATION)
 
 
 def _is_boilerplate(text: Column) -> Column:
