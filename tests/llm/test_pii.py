@@ -162,3 +162,13 @@ def test_secrets_of_any_length_are_proposed(secret):
     text = f"token = {secret}."
     assert ("secret", 8, 8 + len(secret)) in pii.proposals(text)
     assert pii.proposals("no-digit-in-this-long-word, 1") == []
+
+
+@pytest.mark.parametrize("phrase", [
+    "My Name Is", "ME LLAMO", "me llamo", "Ich Heiße", "ICH HEIẞE", "Je M'Appelle", "my name İs",
+])
+def test_names_do_not_depend_on_cues_elsewhere(phrase):
+    text = f"{phrase} Anna Berg"
+    wanted = ("name", len(phrase) + 1, len(text))
+    assert (wanted in pii.proposals(text)) == (wanted in pii.proposals(text + ". Dr. Who"))
+    assert wanted in pii.proposals(text)

@@ -111,9 +111,9 @@ _PROPOSALS = (
 )
 _NAME = re.compile(rf"(?<!\w)(?:{'|'.join(_TITLES)})\.? ([A-Z][\w'-]+(?: [A-Z][\w'-]+)?)")
 _NAMED = re.compile(r"(?i:my name is|je m'appelle|ich heiße|me llamo) ([A-Z][\w'-]+(?: [A-Z][\w'-]+)?)")
-_NAME_CUES = tuple(f"{t}{end}" for t in _TITLES for end in (". ", " ")) + (
-    "name is", "appelle", "heiße", "llamo",
-)
+_NAME_CUES = tuple(f"{t}{end}" for t in _TITLES for end in (". ", " "))
+# In lower case, of letters that no other letter equals when case is ignored.
+_NAMED_CUES = ("y name ", "appelle", "ch he", "llamo")
 
 
 def proposals(text: str) -> list[tuple[str, int, int]]:
@@ -131,7 +131,10 @@ def proposals(text: str) -> list[tuple[str, int, int]]:
         if needs in text and "at" in text:
             found += [(kind, *m.span()) for m in pattern.finditer(text)]
     if any(cue in text for cue in _NAME_CUES):
-        found += [("name", *m.span(1)) for p in (_NAME, _NAMED) for m in p.finditer(text)]
+        found += [("name", *m.span(1)) for m in _NAME.finditer(text)]
+    low = text.lower()
+    if any(cue in low for cue in _NAMED_CUES):
+        found += [("name", *m.span(1)) for m in _NAMED.finditer(text)]
     return found
 
 
