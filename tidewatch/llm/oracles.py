@@ -226,3 +226,168 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND lost <= 0.5 AS kept, lost
 FROM marked
 """
+
+
+def _crc32(text: str) -> str:
+    """The unsigned CRC-32 of a text of one-byte and two-byte characters, bit by bit."""
+    step = """list_reduce(list_concat([xor(a, b)], range(8)),
+                       lambda x, k: xor(x >> 1, 3988292384 * (x & 1)))"""
+    codes = f"""flatten(list_transform(range(1, length({text}) + 1), lambda i:
+      CASE WHEN ord(substr({text}, i, 1)) < 128 THEN [CAST(ord(substr({text}, i, 1)) AS BIGINT)]
+           ELSE [192 + (CAST(ord(substr({text}, i, 1)) AS BIGINT) >> 6),
+                 128 + (CAST(ord(substr({text}, i, 1)) AS BIGINT) & 63)] END))"""
+    all_bytes = f"list_concat([CAST(4294967295 AS BIGINT)], {codes})"
+    return f"xor(4294967295, list_reduce({all_bytes}, lambda a, b: {step}))"
+
+
+ORACLES["op11_spelling"] = rf"""
+WITH r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{{00C0}}-\x{{00FF}}]+')) AS run
+  FROM documents
+), l AS (
+  SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run,
+         count(*) AS n
+  FROM r WHERE length(run) >= 7 GROUP BY ALL
+), h AS (
+  SELECT run, n, {_crc32("(id || ':' || run)")} AS h FROM l
+), w AS (
+  SELECT CASE WHEN h % 31 = 0
+              THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+              ELSE run END AS word, n
+  FROM h
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM w
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), cuts AS (
+  SELECT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(0, length(word))) AS i FROM v)
+), p AS (
+  SELECT a.word, b.word AS other FROM cuts AS a JOIN cuts AS b
+    ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION
+  SELECT cuts.word, v.word FROM cuts JOIN v ON cuts.rest = v.word
+  UNION
+  SELECT v.word, cuts.word FROM cuts JOIN v ON cuts.rest = v.word
+), m AS (
+  SELECT p.word, p.other, v.n AS other_n,
+         row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, encode(p.other)) AS place,
+         count(*) OVER (PARTITION BY p.word) AS n_near
+  FROM p JOIN v ON p.other = v.word
+), f AS (
+  SELECT v.word, v.n, coalesce(m.n_near, 0) AS n_near,
+         CASE WHEN m.other_n >= 10 * v.n THEN m.other END AS form,
+         CASE WHEN m.other_n >= 10 * v.n THEN m.other_n END AS form_n
+  FROM v LEFT JOIN m ON v.word = m.word AND m.place = 1
+), steps AS (
+  WITH RECURSIVE s AS (
+    SELECT word, word AS pos, form FROM f
+    UNION ALL
+    SELECT s.word, f.word, f.form FROM s JOIN f ON s.form = f.word
+  )
+  SELECT word, pos AS root FROM s WHERE form IS NULL
+)
+SELECT f.word, f.form, steps.root, f.n, f.n_near, f.form_n FROM f JOIN steps ON f.word = steps.word
+"""
+
+
+def _levels(name: str, depth: int) -> str:
+    """CTEs name0 .. name<depth> of (grp, pos, n, digest): each level of the trees in name0."""
+    out = []
+    for k in range(1, depth + 1):
+        out.append(f"""{name}{k} AS (
+  SELECT grp, pos // 16 AS pos, (n + 15) // 16 AS n,
+         CASE WHEN n > 1 THEN sha256(string_agg(digest, '' ORDER BY pos)) ELSE max(digest) END AS digest
+  FROM {name}{k - 1} GROUP BY grp, pos // 16, n
+)""")
+    return ",\n".join(out)
+
+
+def _sides(name: str, depth: int) -> str:
+    """CTE name_side of (k, grp, pos, n, l, r): what stands beside each node pos each level."""
+    of = [f"""SELECT {k} AS k, grp, pos, n,
+         coalesce(string_agg(digest, '') OVER (PARTITION BY grp, pos // 16 ORDER BY pos
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(digest, '') OVER (PARTITION BY grp, pos // 16 ORDER BY pos
+                  ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k}""" for k in range(depth)]
+    return f"{name}_side AS (\n  " + "\n  UNION ALL ".join(of) + "\n)"
+
+
+def _merkle(depth: int) -> str:
+    def part(column):
+        text = f"CAST({column} AS VARCHAR)"
+        return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = " || ".join(part(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    joins, steps = [], []
+    for tree, pos in (("g", "d.pos"), ("t", "s.pos")):
+        grp = "d.grp" if tree == "g" else "''"
+        for k in range(depth):
+            joins.append(
+                f"JOIN {tree}_side AS {tree}{k}_ ON {tree}{k}_.k = {k} AND {tree}{k}_.grp = {grp}"
+                f" AND {tree}{k}_.pos = {pos} // {16**k}"
+            )
+            steps.append(f"{tree}{k}_")
+    siblings = " || ".join(f"{s}.l || {s}.r" for s in steps)
+    folds, now = [], "now"
+    for k, s in enumerate(steps):
+        folds.append(f"f{k} AS (SELECT *, CASE WHEN n{k} > 1 THEN sha256(l{k} || {now} || r{k})"
+                     f" ELSE {now} END AS now{k} FROM {f'f{k - 1}' if k else 'j'})")
+        now = f"now{k}"
+    sides = ", ".join(f"{s}.l AS l{k}, {s}.r AS r{k}, {s}.n AS n{k}" for k, s in enumerate(steps))
+    return f"""
+WITH leaves AS (
+  SELECT doc_id, coalesce('=' || source, '') AS grp,
+         sha256({head} || {part("text")}) AS digest,
+         CASE WHEN {_crc32("coalesce(CAST(doc_id AS VARCHAR), 'x')")} % 5 = 0 AND doc_id IS NOT NULL
+              THEN sha256({head} || {part(lower)})
+              ELSE sha256({head} || {part("text")}) END AS now
+  FROM documents
+), d AS (
+  SELECT doc_id, grp, digest, now, count(*) OVER (PARTITION BY grp) AS n,
+         row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos
+  FROM leaves
+), g0 AS (
+  SELECT grp, pos, n, digest FROM d
+), {_levels("g", depth)}, {_sides("g", depth)}, s AS (
+  SELECT grp AS of, digest AS subroot, row_number() OVER (ORDER BY encode(grp)) - 1 AS pos,
+         count(*) OVER () AS n
+  FROM g{depth}
+), t0 AS (
+  SELECT '' AS grp, pos, n, subroot AS digest FROM s
+), {_levels("t", depth)}, {_sides("t", depth)}, j AS (
+  SELECT d.doc_id, d.digest AS leaf, s.subroot, t{depth}.digest AS root, d.now,
+         sha256({siblings}) AS proof_sha256, {sides}
+  FROM d JOIN s ON d.grp = s.of JOIN t{depth} ON true
+  {' '.join(joins)}
+), {", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, proof_sha256, {now} AS folded_root, {now} = root AS verified
+FROM f{len(steps) - 1}
+"""
+
+
+#: As many levels as 16**5 documents in a source, or sources, need; those left over change nothing.
+ORACLES["op12_merkle"] = _merkle(5)
+
+ORACLES["op13_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages
+), d AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha1(body) AS hex,
+         max(page_id) OVER (PARTITION BY body) AS best
+  FROM p
+), b AS (
+  SELECT *, array_to_string(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+             CAST((CAST('0x' || substr(hex, 10 * (i // 8) + 1, 10) AS BIGINT)
+                   >> (35 - 5 * (i % 8))) & 31 AS INTEGER) + 1, 1)), '') AS payload_digest
+  FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM best THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM best THEN best END AS refers_to,
+       CASE WHEN page_id IS NOT DISTINCT FROM best THEN true END AS intact
+FROM b
+"""

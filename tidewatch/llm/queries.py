@@ -3,8 +3,23 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, lengths, lm, mixing, pii, quality, simhash, topk, toxicity, urls
-from .common import table
+from ..session import work_folder
+from . import (
+    bpe,
+    lengths,
+    lm,
+    merkle,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    spelling,
+    topk,
+    toxicity,
+    urls,
+    warc,
+)
+from .common import lower_ascii, table
 
 QUERIES = {}
 
@@ -94,3 +109,26 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "lost",
     )
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(table(spark, sf_dir, "documents"))
+    found = spelling.variants(spelling.counted(spelling.misspelled(runs)))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document in five is tampered with after the tree was built."""
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(touched, lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    proven = merkle.manifest(table(spark, sf_dir, "documents"), tampered={"text": text})
+    return proven.drop("source")
+
+
+@query
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_folder(spark, "warc")
+    warc.write(warc.deduplicated(table(spark, sf_dir, "pages")), folder)
+    return warc.archived(spark, folder)
