@@ -559,6 +559,21 @@ def stream_pump_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(_finished(spark, stream, "pump-dump"))
 
 
+@query
+def stream_sma_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows are aggregated once, into panes, and closed panes into windows."""
+    stream = indicators.moving_average(
+        feeds.ticks(feeds.event_stream(spark, sf_dir)), late="pane", **WIDE
+    )
+    return naive(_finished(spark, stream, "sma-panes"))
+
+
+@query
+def stream_pump_dump_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stream = indicators.pump_dump(feeds.ticks(feeds.event_stream(spark, sf_dir)), late="pane")
+    return naive(_finished(spark, stream, "pump-dump-panes"))
+
+
 @query
 def stream_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = feeds.event_stream(spark, sf_dir)

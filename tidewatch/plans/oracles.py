@@ -493,6 +493,8 @@ def _emitted(full: str, watermark: str) -> str:
 ORACLES["stream_sma_append"] = _emitted(ORACLES["sma_volatility_wide"], _behind("2 minutes"))
 ORACLES["stream_sma_complete"] = ORACLES["sma_volatility_wide"]
 ORACLES["stream_pump_dump"] = _emitted(ORACLES["pump_dump"], _behind("1 minute"))
+ORACLES["stream_sma_panes"] = ORACLES["stream_sma_append"]
+ORACLES["stream_pump_dump_panes"] = ORACLES["stream_pump_dump"]
 ORACLES["stream_deviation"] = _emitted(ORACLES["price_deviation"], _behind("2 minutes"))
 _FIRST_WAVE = _behind("10 days", "value >= 10")
 ORACLES["stream_late_data"] = _emitted(

@@ -16,6 +16,7 @@ from ..operators import alerts, indicators, metrics, normalize, publish
 from ..operators.enrich import stamp
 from ..operators.parse import as_text, parse_json, split
 from ..session import prepare
+from ..sources.records import table_stream
 from . import sinks
 from .alerts import follow_steps, start_alerts, up_steps
 
@@ -30,7 +31,9 @@ class Job:
     counts, so that a replay gives the same result. ``complete=True`` reports the first two
     indicators whole at every trigger, at the price of state that never shrinks.
     ``watermark_policy="max"`` lets the deviation go on while one of its feeds is silent, but
-    then drops what that feed delivers late; ``min`` waits for it.
+    then drops what that feed delivers late; ``min`` waits for it. With ``shared_panes`` the ticks
+    are read and aggregated once for all indicators, into a table of final panes that these follow;
+    they then drop what comes after its pane is closed, and report one pane later.
     """
 
     history: str
@@ -40,6 +43,7 @@ class Job:
     complete: bool = False
     watermark_policy: str = "min"
     trigger: dict | None = None
+    shared_panes: bool = False
 
     def path(self, name: str) -> str:
         return f"{self.history.rstrip('/')}/{name}"
@@ -175,6 +179,33 @@ def indicator_streams(feeds: Feeds) -> dict[str, DataFrame]:
     }
 
 
+def pane_indicators(panes: DataFrame, feeds: Feeds) -> dict[str, DataFrame]:
+    """The same from the stream of a pane table."""
+    return {
+        "sma": indicators.moving_average_of_panes(panes),
+        "pump_dump": indicators.pump_dump_of_panes(panes),
+        "deviation": indicators.price_deviation_of_panes(
+            panes, feeds.market.valid(), local_name=V.LOCAL_PRICE, global_name=V.GLOBAL_PRICE
+        ),
+    }
+
+
+def start_panes(spark: SparkSession, feeds: Feeds, job: Job) -> tuple[StreamingQuery, DataFrame]:
+    """Start the aggregation of the ticks into panes; the second result follows their table.
+
+    A run over what is available has all its panes before those who follow start.
+    """
+    panes = indicators.tick_panes(feeds.tickers.valid())
+    folder = f"{(job.results or job.history).rstrip('/')}/panes"
+    query = sinks.to_history(
+        panes.coalesce(1), folder, job.checkpoint("panes"), (),
+        job.trigger or sinks.every("30 seconds"), "panes",
+    )
+    if job.trigger == sinks.ONCE:
+        query.awaitTermination()
+    return query, table_stream(spark, folder, panes.schema)
+
+
 def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQuery]:
     """Start every query; the names are those of the histories and indicators.
 
@@ -200,7 +231,12 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
         queries[name] = sinks.fan_out(
             feed.parsed, branches, job.checkpoint(name), job.trigger, name
         )
-    for name, stream in indicator_streams(feeds).items():
+    if job.shared_panes:
+        queries["panes"], panes = start_panes(spark, feeds, job)
+        streams = pane_indicators(panes, feeds)
+    else:
+        streams = indicator_streams(feeds)
+    for name, stream in streams.items():
         complete = job.complete and name != "deviation"
         queries[name] = _report(stream, name, job, complete)
     if job.results is None:
