@@ -19,6 +19,7 @@ from ..sources import (
     whole_documents,
 )
 from ..streaming import jobs, sinks
+from ..streaming import series as live
 from ..streaming.alerts import CHANGES, start_alerts
 from . import feeds
 
@@ -633,6 +634,71 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(changes.select("rule", "severity", label("par"), "state", "at", "pending_at"))
 
 
+def _sample_stream(spark: SparkSession, samples: DataFrame, folder: str) -> DataFrame:
+    """Samples, and what ends them, as files that a stream reads."""
+    closed = feeds.with_end(samples)
+    closed.write.parquet(f"{folder}/samples")
+    return table_stream(spark, f"{folder}/samples", closed.schema)
+
+
+def _series_result(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    found = spark.read.schema(schema).parquet(folder)
+    return naive(found.where(F.col("labels")["end"].isNull()))
+
+
+@query
+def stream_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation grid by timers: the last value is carried on until it is too old."""
+    folder = work_folder(spark, "grid")
+    samples = metrics.select(feeds.samples(feeds.events(spark, sf_dir)), V.PRICE_NOW)
+    live.start_grid(spark, _sample_stream(spark, samples, folder), folder, trigger=sinks.ONCE,
+                    wait=True)
+    rows = "labels map<string,string>, eval_ts timestamp, value double"
+    return _series_result(spark, f"{folder}/result", rows).select(label("par"), "eval_ts", "value")
+
+
+@query
+def stream_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counter rates from cells that are linked as they come in; the counter restarts daily."""
+    folder = work_folder(spark, "rate")
+    counter = feeds.counter(feeds.events(spark, sf_dir))
+    live.start_rate(spark, _sample_stream(spark, counter, folder), folder, window="3 hours",
+                    step="1 hour", trigger=sinks.ONCE, wait=True)
+    rows = "labels map<string,string>, eval_ts timestamp, rate double"
+    return _series_result(spark, f"{folder}/result", rows).select(
+        label("topic"), "eval_ts", round_to(F.col("rate"), 8).alias("rate")
+    )
+
+
+@query
+def stream_rate_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The host's busy share: rates of all processors, then their mean at each step."""
+    folder = work_folder(spark, "rate-avg")
+    idle = metrics.select(feeds.idle_counter(feeds.events(spark, sf_dir)), V.NODE_CPU,
+                          equal={"mode": "idle"})
+    live.start_across(spark, _sample_stream(spark, idle, folder), folder, window="3 hours",
+                      step="1 hour", trigger=sinks.ONCE, wait=True)
+    means = spark.read.schema("eval_ts timestamp, rate double").parquet(f"{folder}/across")
+    busy = (100 - F.col("rate") * 100).alias("value")
+    return naive(means.select("eval_ts", round_to(busy, 6).alias("value")))
+
+
+@query
+def stream_metric_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two metrics' values side by side in one state, subtracted where both are held."""
+    folder = work_folder(spark, "diff")
+    samples = _sample_stream(spark, feeds.host_memory(feeds.events(spark, sf_dir)), folder)
+    live.start_combined(
+        spark, samples, folder, V.NODE_MEMORY_TOTAL, V.NODE_MEMORY_AVAILABLE,
+        lambda total, free: total - free, step="15 minutes", lookback="1 hour",
+        trigger=sinks.ONCE, wait=True,
+    )
+    rows = "labels map<string,string>, eval_ts timestamp, value double"
+    return _series_result(spark, f"{folder}/result", rows).select(
+        label("par"), "eval_ts", round_to(F.col("value"), 4).alias("value")
+    )
+
+
 @query
 def stream_silence(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = alerts.silences_stream(

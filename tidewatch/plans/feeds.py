@@ -278,6 +278,18 @@ def busy_counter(rows: DataFrame) -> DataFrame:
     )
 
 
+def with_end(rows: DataFrame) -> DataFrame:
+    """Samples and two more of a series of its own, long after: they move a stream's clock on."""
+    after = F.explode(F.array(F.expr("INTERVAL 30 DAYS"), F.expr("INTERVAL 60 DAYS")))
+    later = rows.agg(F.max("ts").alias("ts"), F.first("metric").alias("metric")).select(
+        "metric", F.create_map(F.lit("end"), F.lit("end")).alias("labels"), "ts",
+        after.alias("after"), F.lit(0.0).alias("value"),
+    )
+    return rows.select("metric", "labels", "ts", "value").union(
+        later.select("metric", "labels", F.col("ts") + F.col("after"), "value")
+    )
+
+
 RULES = (
     Rule("Dump", V.CHANGE_24H, "<", -3.0, "1 minute", "critical", {"par": "view"},
          "views fall", "views are down by more than 3 percent"),

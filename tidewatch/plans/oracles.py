@@ -495,6 +495,12 @@ ORACLES["stream_sma_complete"] = ORACLES["sma_volatility_wide"]
 ORACLES["stream_pump_dump"] = _emitted(ORACLES["pump_dump"], _behind("1 minute"))
 ORACLES["stream_sma_panes"] = ORACLES["stream_sma_append"]
 ORACLES["stream_pump_dump_panes"] = ORACLES["stream_pump_dump"]
+ORACLES["stream_grid"] = ORACLES["metric_grid"]
+ORACLES["stream_rate"] = ORACLES["metric_rate"]
+# Window and step behind the last rates, the watermark of the last query.
+ORACLES["stream_rate_avg"] = f"""WITH means AS ({ORACLES["metric_rate_avg"]})
+SELECT * FROM means WHERE eval_ts <= (SELECT max(eval_ts) - INTERVAL '4 hours' FROM means)"""
+ORACLES["stream_metric_diff"] = ORACLES["metric_diff"]
 ORACLES["stream_deviation"] = _emitted(ORACLES["price_deviation"], _behind("2 minutes"))
 _FIRST_WAVE = _behind("10 days", "value >= 10")
 ORACLES["stream_late_data"] = _emitted(

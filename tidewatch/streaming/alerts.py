@@ -20,18 +20,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from .. import values as V
 from ..functions import ceil_to, micros
 from ..operators.alerts import RULES, Rule, matching, under_rules, with_texts
-from ..sources.records import table_stream
-from .sinks import to_history
+from .series import follow, last_values
 
-STEPS = T.StructType(
-    [
-        T.StructField("metric", T.StringType()),
-        T.StructField("series", T.StringType()),
-        T.StructField("step_at", T.TimestampType()),
-        T.StructField("last", T.TimestampType()),
-        T.StructField("value", T.DoubleType()),
-    ]
-)
 CHANGES = T.StructType(
     [
         T.StructField("rule", T.StringType()),
@@ -58,16 +48,7 @@ def step_values(
     step: str = V.EVALUATE_EVERY,
 ) -> DataFrame:
     """The last value of each series per evaluation step, for the metrics under rules."""
-    timed = under_rules(samples, rules).where(F.col("value").isNotNull())
-    timed = timed.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
-    # Steps are (start, end] while windows are [start, end): shift by the clock's resolution.
-    window = F.window("ts", step, step, "1 microsecond")
-    series = F.to_json(F.map_from_entries(F.sort_array(F.map_entries("labels"))))
-    last = timed.groupBy(window.alias("window"), "metric", series.alias("series")).agg(
-        F.max("ts").alias("last"), F.max_by("value", "ts").alias("value")
-    )
-    step_at = F.timestamp_micros(ceil_to(F.unix_micros("window.start"), micros(step)))
-    return last.select("metric", "series", step_at.alias("step_at"), "last", "value")
+    return last_values(under_rules(samples, rules), delay=delay, step=step)
 
 
 def sustained_changes(
@@ -231,21 +212,10 @@ def follow_steps(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Keep the steps (``step_values`` or ``up_steps``) as a table and follow it by the rules.
 
-    A series has one file in each batch of steps, so that its files come in order and
-    ``files_per_trigger`` bounds what one trigger replays after an outage. ``wait`` lets the
-    first query finish before the second starts, for runs over what is available.
+    ``files_per_trigger`` and ``wait`` are those of ``series.follow``.
     """
-    kept = to_history(
-        steps.repartition("metric", "series"),
-        f"{folder}/steps", f"{folder}/checkpoints/steps", (), trigger,
-    )
-    if wait:
-        kept.awaitTermination()
-    followed = table_stream(spark, f"{folder}/steps", STEPS, files_per_trigger)
-    changes = to_history(
-        sustained_changes(followed, rules, step=step, lookback=lookback),
-        f"{folder}/changes", f"{folder}/checkpoints/changes", (), trigger,
+    return follow(
+        spark, steps, folder,
+        lambda followed: sustained_changes(followed, rules, step=step, lookback=lookback),
+        result="changes", trigger=trigger, files_per_trigger=files_per_trigger, wait=wait,
     )
-    if wait:
-        changes.awaitTermination()
-    return kept, changes
