@@ -1,5 +1,6 @@
 """Query name -> plan. Each plan takes (spark, sf_dir) and reads whole driver tables."""
 
+import datetime as dt
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -828,6 +829,31 @@ def stream_job_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+@query
+def stream_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job's ticks as a SQL table: several batches, the closed days of which are merged."""
+    folder = work_folder(spark, "table")
+    ordered = feeds.tick_records(feeds.events(spark, sf_dir)).repartitionByRange(4, "timestamp")
+    ordered.write.parquet(f"{folder}/bus")
+
+    def source(topics):
+        stream = record_files(spark, f"{folder}/bus", streaming=True, files_per_trigger=1)
+        return stream if topics == V.TICKER_TOPICS else stream.where(F.col("topic").isin(*topics))
+
+    job = jobs.Job(f"{folder}/history", f"{folder}/checkpoints", f"{folder}/results",
+                   trigger=sinks.ONCE)
+    started = jobs.start_histories(spark, jobs.open_feeds(source), job, ("tickers",))
+    for running in started.values():
+        running.awaitTermination()
+    jobs.compact_histories(spark, job, dt.date(2024, 1, 16))
+    name = f"ticks_{folder.rsplit('-', 1)[1]}"
+    jobs.open_history(spark, job, "tickers", name)
+    return spark.sql(
+        "SELECT par, fecha, count(*) AS ticks, sum(volume_24h) AS volume,"
+        f" max(price) AS price_max FROM {name} GROUP BY par, fecha"
+    )
+
+
 def _pair(partition):
     known = "par" in partition
     return [F.col("par") if known else F.lit(None).cast("string").alias("par")]

@@ -501,6 +501,10 @@ ORACLES["stream_rate"] = ORACLES["metric_rate"]
 ORACLES["stream_rate_avg"] = f"""WITH means AS ({ORACLES["metric_rate_avg"]})
 SELECT * FROM means WHERE eval_ts <= (SELECT max(eval_ts) - INTERVAL '4 hours' FROM means)"""
 ORACLES["stream_metric_diff"] = ORACLES["metric_diff"]
+ORACLES["stream_history_table"] = f"""WITH {_EVENTS}
+SELECT event_type AS par, CAST(ts AS DATE) AS fecha, count(*) AS ticks,
+       CAST(sum(user_id) AS DOUBLE) AS volume, max(value) AS price_max
+FROM rows WHERE k BETWEEN 10 AND 89 GROUP BY ALL"""
 ORACLES["stream_deviation"] = _emitted(ORACLES["price_deviation"], _behind("2 minutes"))
 _FIRST_WAVE = _behind("10 days", "value >= 10")
 ORACLES["stream_late_data"] = _emitted(

@@ -78,6 +78,45 @@ def written_folders(spark: SparkSession, path: str) -> list[str]:
     return [f"{path}/{n}" for n in sorted(done)]
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """The names directly below a folder, sorted; none if there is no such folder."""
+    system, at = _storage(spark, path)
+    if not system.exists(at):
+        return []
+    return sorted(f.getPath().getName() for f in system.listStatus(at))
+
+
+def leaf_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The folders ``depth`` levels of ``name=value`` below a folder, relative to it."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{f}/{n}".lstrip("/") for f in found for n in names_in(spark, f"{path}/{f}")
+                 if "=" in n]
+    return found
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> bool:
+    """A small text file that appears whole, or not at all if there is one of that name."""
+    system, at = _storage(spark, path)
+    _, draft = _storage(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    out = system.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    done = not system.exists(at) and system.rename(draft, at)
+    if not done:
+        system.delete(draft, False)
+    return done
+
+
+def get_text(spark: SparkSession, path: str) -> str:
+    system, at = _storage(spark, path)
+    stream = system.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 _made: list[str] = []
 
 

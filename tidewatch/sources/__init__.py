@@ -1,6 +1,6 @@
 """Thin adapters from storage and message buses to DataFrames."""
 
-from .history import history_table, read_history
+from .history import history_table, live_leaves, read_history
 from .records import (
     kafka_options,
     kafka_records,
@@ -14,6 +14,7 @@ __all__ = [
     "history_table",
     "kafka_options",
     "kafka_records",
+    "live_leaves",
     "read_history",
     "record_files",
     "table_stream",

@@ -1,5 +1,6 @@
 """The production job: four feeds in, four histories and three indicators out."""
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -16,6 +17,7 @@ from ..operators import alerts, indicators, metrics, normalize, publish
 from ..operators.enrich import stamp
 from ..operators.parse import as_text, parse_json, split
 from ..session import prepare
+from ..sources.history import history_table, read_history
 from ..sources.records import table_stream
 from . import sinks
 from .alerts import follow_steps, start_alerts, up_steps
@@ -179,6 +181,28 @@ def indicator_streams(feeds: Feeds) -> dict[str, DataFrame]:
     }
 
 
+def start_histories(spark: SparkSession, feeds: Feeds, job: Job,
+                    names: Sequence[str] = tuple(V.HISTORY)) -> dict[str, StreamingQuery]:
+    """Start the histories of these names, and beside each the rejects of its feed."""
+    histories = {
+        "tickers": (feeds.tickers, feeds.tickers.valid),
+        "klines": (feeds.klines, lambda rows: normalize.closed_only(feeds.klines.valid(rows))),
+        "coingecko": (feeds.market, feeds.market.valid),
+        "feargreed": (feeds.sentiment, feeds.sentiment.valid),
+    }
+    queries = {}
+    for name in names:
+        feed, kept = histories[name]
+        branches = {
+            "history": sinks.batch_writer(job.path(name), V.HISTORY[name], kept),
+            "rejects": sinks.batch_writer(job.path("rejects"), ("feed",), feed.rejects),
+        }
+        queries[name] = sinks.fan_out(
+            feed.parsed, branches, job.checkpoint(name), job.trigger, name
+        )
+    return queries
+
+
 def pane_indicators(panes: DataFrame, feeds: Feeds) -> dict[str, DataFrame]:
     """The same from the stream of a pane table."""
     return {
@@ -216,21 +240,7 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
         "spark.sql.streaming.multipleWatermarkPolicy", job.watermark_policy
     )
     feeds = open_feeds(source, job.arrival_time)
-    histories = {
-        "tickers": (feeds.tickers, feeds.tickers.valid),
-        "klines": (feeds.klines, lambda rows: normalize.closed_only(feeds.klines.valid(rows))),
-        "coingecko": (feeds.market, feeds.market.valid),
-        "feargreed": (feeds.sentiment, feeds.sentiment.valid),
-    }
-    queries = {}
-    for name, (feed, kept) in histories.items():
-        branches = {
-            "history": sinks.batch_writer(job.path(name), V.HISTORY[name], kept),
-            "rejects": sinks.batch_writer(job.path("rejects"), ("feed",), feed.rejects),
-        }
-        queries[name] = sinks.fan_out(
-            feed.parsed, branches, job.checkpoint(name), job.trigger, name
-        )
+    queries = start_histories(spark, feeds, job)
     if job.shared_panes:
         queries["panes"], panes = start_panes(spark, feeds, job)
         streams = pane_indicators(panes, feeds)
@@ -247,6 +257,35 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
     return queries
 
 
+def history_schemas() -> dict[str, T.StructType]:
+    """The columns of each history, as the job writes them."""
+    kinds = {"tickers": S.TICK, "klines": S.KLINE, "coingecko": S.MARKET, "feargreed": S.SENTIMENT}
+    known = {"par": T.StringType(), "fecha": T.DateType(), "event_time": T.TimestampType()}
+    return {
+        name: T.StructType([
+            *schema.fields, T.StructField("event_time", known["event_time"]),
+            *[T.StructField(column, known[column]) for column in V.HISTORY[name]],
+        ])
+        for name, schema in kinds.items()
+    }
+
+
+def open_history(spark: SparkSession, job: Job, name: str, table: str | None = None) -> DataFrame:
+    """One of the job's histories; as an external table for SQL where ``table`` names one."""
+    schema = history_schemas()[name]
+    if table is None:
+        return read_history(spark, job.path(name), schema)
+    return history_table(spark, table, job.path(name), schema, V.HISTORY[name])
+
+
+def compact_histories(spark: SparkSession, job: Job, before: dt.date) -> dict[str, int]:
+    """Merge the closed days of all histories; may run beside the job, once a day for instance."""
+    return {
+        name: sinks.compact_history(spark, job.path(name), schema, V.HISTORY[name], before)
+        for name, schema in history_schemas().items()
+    }
+
+
 def clock(spark: SparkSession) -> DataFrame:
     """A heartbeat: the time of day, once a second."""
     beats = spark.readStream.format("rate").option("rowsPerSecond", 1).load()

@@ -1,5 +1,6 @@
 """Where results go. Every query gets a checkpoint; triggers are a parameter."""
 
+import datetime as dt
 import time
 from collections.abc import Callable, Sequence
 
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import remove_folder, state_partitions, written_folders
+from ..sources.history import compact, forget_batch, note_batch
 
 ONCE = {"availableNow": True}
 
@@ -166,17 +168,27 @@ def batch_writer(
 
     A batch that runs again replaces what it left. The query's id is part of the path: it stays
     as long as the checkpoint, so a query that starts over never touches what another one wrote.
-    Unlike the plain file sink it joins small files and splits hot directories.
+    Unlike the plain file sink it joins small files and splits hot directories. A finished batch is
+    noted in the history's manifest, by which ``read_history`` and ``history_table`` go.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch if select is None else select(batch)
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "table"
+        forget_batch(batch.sparkSession, path, run, batch_id)
         write_history(rows, f"{path}/run={run}/batch={batch_id}", partition_by, mode="overwrite")
+        note_batch(batch.sparkSession, path, run, batch_id, len(partition_by))
 
     return write
 
 
+def compact_history(spark: SparkSession, path: str, schema: T.StructType,
+                    partition_by: Sequence[str], before: dt.date) -> int:
+    """Merge what batches left in partitions of days before ``before``, into few, even files."""
+    return compact(spark, path, schema, partition_by, before,
+                   lambda rows, folder: write_history(rows, folder, partition_by))
+
+
 def write_history(rows: DataFrame, path: str, partition_by: Sequence[str], mode: str = "append"
                   ) -> None:
     """Write a table into a history with few, evenly sized files.
