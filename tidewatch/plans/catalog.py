@@ -19,7 +19,7 @@ from ..sources import (
     text_messages,
     whole_documents,
 )
-from ..streaming import jobs, sinks
+from ..streaming import jobs, liveness, sinks
 from ..streaming import series as live
 from ..streaming.alerts import CHANGES, start_alerts
 from . import feeds
@@ -718,6 +718,31 @@ def stream_producer_down(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(_finished(spark, stream, "down"))
 
 
+@query
+def stream_lagging_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds that are read a fifth at a time beside a clock that is days ahead of them."""
+    rows = feeds.events(spark, sf_dir)
+    folder = work_folder(spark, "lagging")
+    ends = [F.lit(dt.datetime(2024, 1, day)) for day in (7, 13, 19, 25)]
+    fifth = sum((F.col("ts") >= end).cast("int") for end in ends)
+    for i in range(5):
+        rows.where(fifth == i).coalesce(1).write.mode("append").parquet(f"{folder}/rows")
+    # A beat a trigger; the last ones find nothing more to read.
+    now = rows.agg((F.max("ts") + F.expr("INTERVAL 3 DAYS")).alias("event_time"))
+    clock = now.select(F.explode(F.array_repeat("event_time", 8)).alias("event_time"))
+    clock.repartition(8).write.option("maxRecordsPerFile", 1).parquet(f"{folder}/clock")
+
+    def slowly(name, schema):
+        return table_stream(spark, f"{folder}/{name}", schema, files_per_trigger=1)
+
+    liveness.start_presence(
+        feeds.ticks(slowly("rows", rows.schema)), slowly("clock", clock.schema), folder,
+        limit="1 hour", trigger=sinks.ONCE,
+    ).awaitTermination()
+    found = liveness.silences(liveness.presence_stream(spark, folder, 1), limit="1 hour")
+    return naive(_finished(spark, found, "lagging-silences"))
+
+
 @query
 def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triggered by the clock, and stopped after all there is has been processed."""

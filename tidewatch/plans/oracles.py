@@ -505,6 +505,10 @@ ORACLES["stream_history_table"] = f"""WITH {_EVENTS}
 SELECT event_type AS par, CAST(ts AS DATE) AS fecha, count(*) AS ticks,
        CAST(sum(user_id) AS DOUBLE) AS volume, max(value) AS price_max
 FROM rows WHERE k BETWEEN 10 AND 89 GROUP BY ALL"""
+ORACLES["stream_lagging_feeds"] = """
+SELECT event_type AS feed, ts AS silent_from, ts + INTERVAL '1 hour' AS silent_after
+FROM (SELECT *, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS following FROM events)
+WHERE following IS NULL OR following - ts > INTERVAL '1 hour'"""
 ORACLES["stream_deviation"] = _emitted(ORACLES["price_deviation"], _behind("2 minutes"))
 _FIRST_WAVE = _behind("10 days", "value >= 10")
 ORACLES["stream_late_data"] = _emitted(

@@ -19,7 +19,7 @@ from ..operators.parse import as_text, parse_json, split
 from ..session import prepare
 from ..sources.history import history_table, read_history
 from ..sources.records import table_stream
-from . import sinks
+from . import liveness, sinks
 from .alerts import follow_steps, start_alerts, up_steps
 
 Source = Callable[[Sequence[str]], DataFrame]
@@ -304,15 +304,14 @@ def start_alerting(
 
     Changes of alert state land in ``<results>/alerts/changes`` and, for the rules on whether
     the producer is up, in ``<results>/alerts-up/changes``; silences in ``<results>/silences``.
-    Feeds that stop all at once are only noticed by a ``heartbeat`` (column ``event_time``) that
-    does not. It is the clock unless given; a run over what is available, whose times may be long
-    past, has none by itself.
+    Feeds that stop all at once are only noticed by a clock that goes on. It is the time of day,
+    held back while there is backlog to read (``liveness``); a run over what is available, whose times
+    may be long past, has none by itself. A ``heartbeat`` (column ``event_time``) given in its place is
+    taken as it comes: it must be in step with the feeds.
     """
     prepare(spark)
     tickers = open_feeds(source, job.arrival_time).tickers.valid()
     once = job.trigger == sinks.ONCE
-    if heartbeat is None and not once:
-        heartbeat = clock(spark)
     folder = f"{(job.results or job.history).rstrip('/')}"
     settings = dict(trigger=job.trigger or sinks.every(V.EVALUATE_EVERY), wait=once)
     on_health = [r for r in rules if r.metric == V.UP]
@@ -322,13 +321,25 @@ def start_alerting(
         queries["steps"], queries["changes"] = start_alerts(
             spark, metrics.tick_gauges(tickers), f"{folder}/alerts", on_gauges, **settings
         )
-    if on_health and heartbeat is not None:
+    up = None
+    if heartbeat is None and not once:
+        queries["presence"] = liveness.start_presence(
+            tickers, clock(spark), folder, trigger=settings["trigger"]
+        )
+        presence = liveness.presence_stream(spark, folder)
+        silent = liveness.silences(presence).withColumnRenamed("feed", "symbol")
+        up = liveness.health(presence)
+    else:
+        silent = alerts.silences_stream(tickers, heartbeat=heartbeat)
+        if heartbeat is not None:
+            up = up_steps(tickers, heartbeat)
+    if on_health and up is not None:
         queries["up_steps"], queries["up_changes"] = follow_steps(
-            spark, up_steps(tickers, heartbeat), f"{folder}/alerts-up", on_health, **settings
+            spark, up, f"{folder}/alerts-up", on_health, **settings
         )
     queries["silences"] = sinks.to_history(
-        alerts.silences_stream(tickers, heartbeat=heartbeat), f"{folder}/silences",
-        job.checkpoint("silences"), (), settings["trigger"], "silences",
+        silent, f"{folder}/silences", job.checkpoint("silences"), (), settings["trigger"],
+        "silences",
     )
     return queries
 
