@@ -1,10 +1,12 @@
 """Run the production job: spark-submit run_job.py --history ... --checkpoints ...
 
 Reads the bus named by --servers (with the Kafka connector on the class path), or Parquet
-files of bus rows under --files. Results go to --results, or to the console without it.
+files of bus rows under --files. Results go to --results, or to the console without it. With
+--compact-before it merges the closed days of the histories instead; the job may go on meanwhile.
 """
 
 import argparse
+import datetime as dt
 
 from tidewatch.session import build_session
 from tidewatch.sources import kafka_records, record_files
@@ -24,6 +26,12 @@ def main() -> None:
     args.add_argument("--min-partitions", type=int, help="tasks to spread hot topics over")
     args.add_argument("--arrival-time", action="store_true")
     args.add_argument("--complete", action="store_true")
+    args.add_argument("--watermark-policy", choices=("min", "max"), default="min",
+                      help="max: the deviation does not wait for a silent feed")
+    args.add_argument("--separate-windows", action="store_true",
+                      help="each indicator reads the ticks itself instead of sharing their panes")
+    args.add_argument("--compact-before", type=dt.date.fromisoformat, metavar="YYYY-MM-DD",
+                      help="merge the histories' days before this one, and end")
     args.add_argument("--alerts", action="store_true", help="also run the alert rules")
     args.add_argument("--once", action="store_true", help="process what is there, then end")
     given = args.parse_args()
@@ -47,8 +55,13 @@ def main() -> None:
         given.results,
         arrival_time=given.arrival_time,
         complete=given.complete,
+        watermark_policy=given.watermark_policy,
+        shared_panes=not given.separate_windows,
         trigger=sinks.ONCE if given.once else None,
     )
+    if given.compact_before:
+        print(jobs.compact_histories(spark, job, given.compact_before))
+        return
     queries = jobs.start(spark, source, job)
     if given.alerts:
         queries |= jobs.start_alerting(spark, source, job)

@@ -202,13 +202,11 @@ def test_deviation_goes_on_without_a_silent_feed_under_max(spark, policy):
     spark.createDataFrame(rows, S.RECORD).coalesce(1).write.parquet(f"{folder}/bus")
     job = jobs.Job(f"{folder}/h", f"{folder}/c", f"{folder}/r", watermark_policy=policy,
                    trigger=sinks.ONCE)
-    try:
-        for running in jobs.start(
-            spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics,
-                                               streaming=True), job).values():
-            running.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "min")
+    for running in jobs.start(
+        spark, lambda topics: record_files(spark, f"{folder}/bus", topics=topics,
+                                           streaming=True), job).values():
+        running.awaitTermination()
+    assert spark.conf.get("spark.sql.streaming.multipleWatermarkPolicy") == "min"
     found = spark.read.schema("window_end timestamp, deviation_pct double").parquet(
         f"{folder}/r/deviation").collect()
     # The market's watermark stands two minutes before 270, the ticks' at 1075.

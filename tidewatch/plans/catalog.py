@@ -585,6 +585,17 @@ def stream_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naive(_finished(spark, stream, "deviation"))
 
 
+@query
+def stream_deviation_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The faster feed's watermark counts: windows do not wait for the ticks, an hour behind."""
+    rows = feeds.event_stream(spark, sf_dir)
+    stream = indicators.price_deviation(
+        feeds.ticks(rows), feeds.global_feed(rows), size="6 hours"
+    )
+    with jobs.watermark_policy(spark, "max"):
+        return naive(_finished(spark, stream, "deviation-max"))
+
+
 @query
 def stream_late_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks below ten arrive after all others: most find their window closed.

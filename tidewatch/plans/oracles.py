@@ -510,6 +510,9 @@ SELECT event_type AS feed, ts AS silent_from, ts + INTERVAL '1 hour' AS silent_a
 FROM (SELECT *, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS following FROM events)
 WHERE following IS NULL OR following - ts > INTERVAL '1 hour'"""
 ORACLES["stream_deviation"] = _emitted(ORACLES["price_deviation"], _behind("2 minutes"))
+ORACLES["stream_deviation_max"] = _emitted(
+    ORACLES["price_deviation"], f"({_behind('2 minutes')} + INTERVAL '1 hour')"
+)
 _FIRST_WAVE = _behind("10 days", "value >= 10")
 ORACLES["stream_late_data"] = _emitted(
     _moving_average(

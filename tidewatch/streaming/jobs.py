@@ -1,7 +1,8 @@
 """The production job: four feeds in, four histories and three indicators out."""
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
@@ -236,9 +237,7 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
     Each feed is read and parsed once for both its history and its rejects (those of all feeds
     land in ``rejects``). Indicators keep state and are queries of their own.
     """
-    prepare(spark).conf.set(
-        "spark.sql.streaming.multipleWatermarkPolicy", job.watermark_policy
-    )
+    prepare(spark)
     feeds = open_feeds(source, job.arrival_time)
     queries = start_histories(spark, feeds, job)
     if job.shared_panes:
@@ -248,7 +247,8 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
         streams = indicator_streams(feeds)
     for name, stream in streams.items():
         complete = job.complete and name != "deviation"
-        queries[name] = _report(stream, name, job, complete)
+        with watermark_policy(spark, job.watermark_policy):
+            queries[name] = _report(stream, name, job, complete)
     if job.results is None:
         queries["sentiment"] = sinks.to_console(
             feeds.sentiment.valid(), job.checkpoint("sentiment"), trigger=job.trigger
@@ -257,6 +257,18 @@ def start(spark: SparkSession, source: Source, job: Job) -> dict[str, StreamingQ
     return queries
 
 
+@contextmanager
+def watermark_policy(spark: SparkSession, policy: str) -> Iterator[None]:
+    """Of several watermarks of a query started inside, the least (``min``) or the greatest counts."""
+    name = "spark.sql.streaming.multipleWatermarkPolicy"
+    before = spark.conf.get(name, "min")
+    spark.conf.set(name, policy)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def history_schemas() -> dict[str, T.StructType]:
     """The columns of each history, as the job writes them."""
     kinds = {"tickers": S.TICK, "klines": S.KLINE, "coingecko": S.MARKET, "feargreed": S.SENTIMENT}
