@@ -98,3 +98,32 @@ def test_odd_rows(spark):
     assert mixing.allot(documents(spark, [])).collect() == []
     empty = mixing.allot(documents(spark, [(1, None, None, "s"), (2, "", None, "t")])).collect()
     assert [(r.taken, r.target) for r in empty] == [(0, 0.0)] * 2
+
+
+def test_a_source_of_many_sizes_takes_linear_time(spark):
+    """The factors of 100,000 different sizes in one source, a row for each size."""
+    import time
+
+    histogram = spark.range(1, 100_001).selectExpr("'hot' AS source", "id AS size", "1L AS n").union(
+        spark.sql("SELECT null, 10L, 5L"))
+    sizes = histogram.groupBy("source").agg({"size": "sum"}).toDF("source", "source_size")
+    goals = mixing.targets(sizes)
+    start = time.perf_counter()
+    found = {r.source: r for r in mixing._factors(histogram, goals, 2).collect()}
+    assert time.perf_counter() - start < 30
+    target = 2 * sum(range(1, 100_001))
+    assert found["hot"].target <= target and set(found) == {"hot", None}
+    pull = [int(1024 * size**0.5) for size in range(1, 100_001)]
+    factor = found["hot"].factor
+    drawn = sum(min(2, factor * p) * size for size, p in enumerate(pull, 1))
+    assert drawn == pytest.approx(found["hot"].target, rel=1e-9)
+
+
+@pytest.mark.parametrize("block", [1, 3, 1 << 20])
+def test_blocks_of_sizes_change_nothing(spark, monkeypatch, block):
+    dice = random.Random(3)
+    rows = [(i, "w " * dice.randint(0, 400), None, dice.choice("aab")) for i in range(300)]
+    docs = documents(spark, rows)
+    want = sorted(mixing.allot(docs).select("doc_id", "taken").collect())
+    monkeypatch.setattr(mixing, "BLOCK", block)
+    assert sorted(mixing.allot(docs).select("doc_id", "taken").collect()) == want

@@ -7,16 +7,17 @@ chance p of one more copy: documents are ranked by random odds over inclusion od
 (u / (1 - u)) / (p / (1 - p)), and the lowest ranks are taken until the source has its words.
 
 No source is ever sorted as a whole. The factor comes from a histogram of sizes for each
-source, the cut from word sums over ``BUCKETS`` intervals of the rank; only the documents of the
+source, summed over blocks of ``BLOCK`` sizes and within them, in one pass each; the cut from word sums over ``BUCKETS`` intervals of the rank; only the documents of the
 one interval that holds the cut are ordered. What then decides is one row for each source.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .common import cut, own_names, restored, shielded, sized, word_count
 
 BUCKETS = 1 << 14
+BLOCK = 64
 _UNIT = float(1 << 52)
 
 
@@ -34,8 +35,10 @@ def targets(sizes: DataFrame, *, weights=(3, 1, 2), share: float = 1.5, most: in
     # Sources reach their limit in the order of limit over weight.
     order = Window.orderBy((cap.cast("double") / F.col("weight")), "turn")
     before = F.coalesce(F.sum(cap).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    left = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     every = Window.partitionBy()
+    # Frames that begin with the first row are summed in one pass.
+    passed = F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    left = F.sum("weight").over(every) - passed + F.col("weight")
     wanted = share * F.sum("source_size").over(every).cast("double")
     level = (wanted - before.cast("double")) / left
     filled = weighed.select(
@@ -64,21 +67,44 @@ def _factors(histogram: DataFrame, goals: DataFrame, most: int) -> DataFrame:
         "source", "source_size", "target", "size", _pull(F.col("size")).alias("pull"),
         (F.col("size") * F.col("n")).cast("decimal(38,0)").alias("mass"),
     )
-    longest = Window.partitionBy("source").orderBy(F.col("size").desc())
-    full = F.coalesce(
-        F.sum("mass").over(longest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    claim = F.sum((F.col("mass") * F.col("pull")).cast("decimal(38,0)")).over(
-        longest.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    wide = cut(wide.select(
+        "*", (F.col("mass") * F.col("pull")).cast("decimal(38,0)").alias("claim"),
+        F.floor(F.col("size") / BLOCK).alias("block"),
+    ))
+
+    def ahead(column: str, within: WindowSpec) -> Column:
+        """Sum over the longer ones; whole numbers, so exact in any order."""
+        before = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum(column).over(before) - F.col(column)
+
+    longest = Window.partitionBy("source").orderBy(F.col("block").desc())
+    blocks = wide.groupBy("source", "block").agg(
+        F.sum("mass").cast("decimal(38,0)").alias("m"), F.sum("claim").cast("decimal(38,0)").alias("c")
+    ).select(
+        F.col("source").alias("_of"), F.col("block").alias("_block"),
+        ahead("m", longest).alias("m"), ahead("c", longest).alias("c"),
+        F.sum("c").over(Window.partitionBy("source")).alias("total"),
+    )
+    inside = Window.partitionBy("source", "block").orderBy(F.col("size").desc())
+    summed = wide.withColumns({"m_in": ahead("mass", inside), "c_in": ahead("claim", inside)}).join(
+        blocks, F.col("source").eqNullSafe(F.col("_of")) & (F.col("block") == F.col("_block"))
     )
+    full = F.col("m") + F.col("m_in")
+    claim = F.col("total") - F.col("c") - F.col("c_in")
     factor = (F.col("target") - most * full.cast("double")) / F.nullif(claim, F.lit(0)).cast("double")
-    tried = wide.select("*", factor.alias("tried"))
+    tried = summed.select("source", "source_size", "target", "size", "pull", factor.alias("tried"))
     free = F.col("tried") * F.col("pull") < most
-    chosen = F.max_by("tried", F.when(free, F.col("size"))).over(Window.partitionBy("source"))
-    settled = tried.select("*", F.coalesce(chosen, F.lit(float("inf"))).alias("factor"))
+    chosen = F.max_by("tried", F.when(free, F.col("size")))
+    settled = cut(tried.groupBy("source", "source_size", "target").agg(
+        F.coalesce(chosen, F.lit(float("inf"))).alias("factor")
+    ))
+    small = sized(settled.select(F.col("source").alias("_of"), "factor"))
     certain = F.floor(_copies(F.col("factor"), F.col("size"), most))
-    return settled.groupBy("source", "source_size", "target", "factor").agg(
-        (F.first("target") - F.sum(certain * F.col("mass")).cast("double")).alias("rest")
+    held = wide.join(small, F.col("source").eqNullSafe(F.col("_of"))).groupBy("_of").agg(
+        F.sum(certain * F.col("mass")).cast("double").alias("certain")
+    )
+    return settled.join(held, F.col("source").eqNullSafe(F.col("_of"))).select(
+        "source", "source_size", "target", "factor", (F.col("target") - F.col("certain")).alias("rest")
     )
 
 
