@@ -73,7 +73,7 @@ def found(frame):
     return sorted(map(tuple, frame.collect()), key=str)
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 16, 17, 256, 257])
+@pytest.mark.parametrize("n", [0, 1, 17, 257])
 def test_trees_of_every_shape(spark, n):
     rows = [(7 * i, f"Text {i}", "en", "only", 6) for i in range(n)]
     assert found(merkle.manifest(documents(spark, rows), tampered=bent())) == plain(rows)

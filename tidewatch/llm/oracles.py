@@ -1,6 +1,6 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-from .urls import DEPTH, RULES
+from .urls import BASE, DOUBT, RULES, THRESHOLD, WEIGHT, Z
 
 ORACLES = {}
 
@@ -93,6 +93,10 @@ FROM p LEFT JOIN x ON p.doc_id = x.doc_id
 """
 
 
+#: Enough for paths of this many segments less one; the tables have three at most.
+_URL_LEVELS = 8
+
+
 def _urls() -> str:
     """The tree of op5, level by level."""
 
@@ -106,9 +110,11 @@ def _urls() -> str:
     named = " ".join(f"WHEN {fits(r)} THEN '{r.name}'" for r in ordered)
     judged = " ".join(f"WHEN {fits(r)} THEN '{r.verdict}'" for r in ordered)
     plain = "translate(seg, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    levels = [f"s{i}" for i in range(DEPTH + 1)]
-    keys = ", ".join(levels)
-    found = ", ".join(f"coalesce(segs[{i + 1}], '') AS s{i}" for i in range(DEPTH))
+
+    def purity(of: str, parent: str) -> str:
+        return (f"({of}b + {WEIGHT}::DOUBLE * {parent} + {of}u * {DOUBT * BASE!r}::DOUBLE)"
+                f" / ({of}l + {WEIGHT}::DOUBLE + {of}u * {DOUBT}::DOUBLE)")
+
     sql = f"""
 WITH u AS (
   SELECT page_id,
@@ -116,52 +122,53 @@ WITH u AS (
               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages
-), r AS (
+), p AS (
   SELECT *, CASE {named} END AS rule, CASE {judged} END AS by_rule,
     list_transform(list_filter(string_split(path, '/'), lambda seg: seg <> ''), lambda seg:
       CASE WHEN regexp_matches({plain}, '^[0-9a-f-]{{8,}}$') AND regexp_matches({plain}, '[0-9]')
-           THEN '<id>' ELSE regexp_replace({plain}, '[0-9]+', '<n>', 'g') END) AS segs
+           THEN '<id>'
+           WHEN regexp_matches({plain}, '^[^-_]+([-_][^-_]+){{2,}}$') THEN '<slug>'
+           ELSE regexp_replace({plain}, '[0-9]+', '<n>', 'g') END) AS segs
   FROM u
-), p AS (
-  SELECT *, {found}, CASE WHEN len(segs) > {DEPTH} THEN '<more>' ELSE '' END AS s{DEPTH} FROM r
 ), shapes AS (
-  SELECT host, {keys}, CAST(count(by_rule) AS DOUBLE) AS labelled,
-         CAST(count(*) FILTER (WHERE by_rule = 'block') AS DOUBLE) AS blocked
-  FROM p GROUP BY host, {keys}
+  SELECT host, segs, CAST(count(by_rule) AS DOUBLE) AS l,
+         CAST(count(*) FILTER (WHERE by_rule = 'block') AS DOUBLE) AS b,
+         CAST(count(*) FILTER (WHERE by_rule IS NULL) AS DOUBLE) AS u
+  FROM p GROUP BY host, segs
 ), roots AS (
-  SELECT host, (sum(blocked) + 2.0::DOUBLE * (0.2::DOUBLE + 0.2::DOUBLE) / 2)
-               / (sum(labelled) + 2.0::DOUBLE) AS purity
-  FROM shapes GROUP BY host
+  SELECT host, {purity('r', f'{BASE}::DOUBLE')} AS purity
+  FROM (SELECT host, sum(b) AS rb, sum(l) AS rl, sum(u) AS ru FROM shapes GROUP BY host)
 ), t0 AS (
   SELECT shapes.*, '' AS prefix, purity FROM shapes JOIN roots USING (host)
 )"""
-    for i, s in enumerate(levels):
+    for i in range(_URL_LEVELS):
         sql += f""", c{i} AS (
-  SELECT host, prefix, {s}, sum(blocked) AS cb, sum(labelled) AS cl FROM t{i} GROUP BY ALL
+  SELECT host, prefix, coalesce(segs[{i + 1}], '$') AS level, sum(b) AS cb, sum(l) AS cl, sum(u) AS cu
+  FROM t{i} GROUP BY ALL
 ), k{i} AS (
-  SELECT *, sum(cb) OVER g AS pb, sum(cl) OVER g AS pl, count(*) OVER g AS kids
+  SELECT *, sum(cb) OVER g AS pb, sum(cl) OVER g AS pl
   FROM c{i} WINDOW g AS (PARTITION BY host, prefix)
 ), m{i} AS (
-  SELECT host, prefix, {s}, cb, cl,
-    CASE WHEN {s} = '' THEN '$' WHEN kids > 32 THEN '<*>'
+  SELECT host, prefix, level, cb, cl, cu,
+    CASE WHEN level = '$' THEN '$'
          WHEN cl > 0 AND pb > 0 AND pb < pl
-              AND abs(cb / cl - pb / pl) > 1.96::DOUBLE * sqrt(pb / pl * (1 - pb / pl) / cl) THEN {s}
+              AND abs(cb / cl - pb / pl) > {Z}::DOUBLE * sqrt(pb / pl * (1 - pb / pl) / cl) THEN level
          WHEN cl > 0 THEN '<~>' ELSE '<?>' END AS node
   FROM k{i}
 ), n{i} AS (
-  SELECT *, sum(cb) OVER g AS nb, sum(cl) OVER g AS nl
+  SELECT *, sum(cb) OVER g AS nb, sum(cl) OVER g AS nl, sum(cu) OVER g AS nu
   FROM m{i} WINDOW g AS (PARTITION BY host, prefix, node)
 ), t{i + 1} AS (
-  SELECT host, {keys}, labelled, blocked,
-    CASE WHEN ends_with(prefix, '$') THEN prefix ELSE prefix || '/' || node END AS prefix,
-    CASE WHEN ends_with(prefix, '$') THEN purity
-         ELSE (nb + 2.0::DOUBLE * (0.2::DOUBLE + purity) / 2) / (nl + 2.0::DOUBLE) END AS purity
-  FROM t{i} JOIN n{i} USING (host, prefix, {s})
+  SELECT t{i}.host, segs, l, b, u,
+    CASE WHEN ends_with(t{i}.prefix, '/$') THEN t{i}.prefix ELSE t{i}.prefix || '/' || node END AS prefix,
+    CASE WHEN ends_with(t{i}.prefix, '/$') THEN purity ELSE {purity('n', 'purity')} END AS purity
+  FROM t{i} JOIN n{i} ON t{i}.host = n{i}.host AND t{i}.prefix = n{i}.prefix
+   AND coalesce(segs[{i + 1}], '$') = level
 )"""
     return sql + f"""
 SELECT page_id, host, path, rule, prefix AS template, purity,
-       coalesce(by_rule, CASE WHEN purity > 0.75 THEN 'block' ELSE 'allow' END) AS verdict
-FROM p JOIN t{DEPTH + 1} USING (host, {keys})
+       coalesce(by_rule, CASE WHEN purity > {THRESHOLD} THEN 'block' ELSE 'allow' END) AS verdict
+FROM p JOIN t{_URL_LEVELS} USING (host, segs)
 """
 
 
