@@ -25,3 +25,11 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture
+def narrow_state(spark):
+    """Streams of two state partitions: most of a small trigger's time goes into committing them."""
+    spark.conf.set("spark.tidewatch.statePartitions", "2")
+    yield
+    spark.conf.unset("spark.tidewatch.statePartitions")

@@ -12,6 +12,7 @@ from tidewatch.session import get_text, names_in, put_text, remove_folder, work_
 from tidewatch.sources import history_table, live_leaves, read_history, record_files, table_stream
 from tidewatch.streaming import jobs, sinks
 
+pytestmark = pytest.mark.usefixtures("narrow_state")
 DAY = dt.date(2024, 5, 1)
 KEYS = ("par", "fecha")
 

@@ -16,6 +16,7 @@ from tidewatch.sources import record_files, table_stream
 from tidewatch.streaming import jobs, liveness, sinks
 from tidewatch.streaming.alerts import follow_steps
 
+pytestmark = pytest.mark.usefixtures("narrow_state")
 CLOCK = "event_time timestamp"
 
 
@@ -95,11 +96,11 @@ def test_random_feeds_in_instalments_equal_the_table(watch):
     for _ in range(400):
         t += rnd.choice([1.0, 29.0, 30.0, 31.0, 90.0])
         rows.append((rnd.choice("ab"), t))
-    for i in range(0, 400, 80):
-        part = rows[i:i + 80]
+    for i in range(0, 400, 134):
+        part = rows[i:i + 134]
         rnd.shuffle(part)
         watch.rows(*part)
-    watch.beats(*[t + 1000] * 7)
+    watch.beats(*[t + 1000] * 5)
     assert watch.silences() == watch.table(t + 1000)
 
 

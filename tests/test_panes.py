@@ -14,6 +14,9 @@ from tidewatch.sources import record_files, table_stream
 from tidewatch.streaming import jobs, sinks
 
 
+pytestmark = pytest.mark.usefixtures("narrow_state")
+
+
 def shown(frame):
     return sorted(map(str, frame.collect()))
 
