@@ -97,3 +97,10 @@ def test_indented_menu_entries_fail(spark):
     lines = [*prose(8), " " * 40 + "Home", "search" + " " * 30, " " * 30 + "no entry of a menu"]
     row = quality.assess(documents(spark, [(1, "\n".join(lines))])).first()
     assert row.cleaned.split("\n") == [*prose(8), lines[-1]]
+
+
+@pytest.mark.parametrize("entry", ["\tHome", "Home\r", " \t\x0bHome\x0c\r", "  HOME  "])
+def test_menu_entries_fail_between_any_word_breaks(spark, entry):
+    text = "\n".join([*prose(8), entry, *prose(2, 20)])
+    row = quality.clean(documents(spark, [(1, text)])).first()
+    assert row.text == "\n".join([*prose(8), *prose(2, 20)])

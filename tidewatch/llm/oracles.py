@@ -194,7 +194,7 @@ WITH base AS (
   GROUP BY doc_id
 ), line AS (
   SELECT doc_id, l, regexp_replace(l, '[\x20\x09-\x0D]', '', 'g') AS solid,
-         lower(trim(l)) AS plain
+         lower(trim(l, ' ' || chr(9) || chr(11) || chr(12) || chr(13))) AS plain
   FROM split, unnest(lines) AS u(l)
 ), lines AS (
   SELECT doc_id,

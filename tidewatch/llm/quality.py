@@ -9,7 +9,7 @@ no group that could grow.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import own_names, shielded, with_text, words
+from .common import BREAKS, own_names, shielded, with_text, words
 
 #: The symbols that are counted.
 SYMBOLS = "#*$%&|<>"
@@ -63,7 +63,7 @@ def line_fails(
 
 def _is_menu(line: Column) -> Column:
     longest = max(map(len, NAVIGATION))
-    entry = F.trim(line)
+    entry = F.trim(line, F.lit(BREAKS))
     # Cheap first: no long entry is one of a menu, however far it is indented.
     return (F.length(entry) <= longest) & F.lower(entry).isin(*NAVIGATION)
 
