@@ -150,8 +150,10 @@ def windowed_table(df, stats, *, time, key, size, slide=None) -> DataFrame:
         .agg(*_pane_columns(stats))
     )
     if size > slide:
-        first = ceil_to(F.col("pane") + (pane - size), slide)
-        starts = F.sequence(first, floor_to(F.col("pane"), slide), F.lit(slide))
+        first, last = F.col("pane") + (pane - size), F.col("pane")
+        if pane < slide:
+            first, last = ceil_to(first, slide), floor_to(last, slide)
+        starts = F.sequence(first, last, F.lit(slide))
         copies = panes.withColumnRenamed("start", "pane").withColumn("start", F.explode(starts))
         if deviating := _deviating(stats):
             # The panes of a window, at most size / pane of them, meet once: their means are
