@@ -179,8 +179,6 @@ def plain_scores(rows, depth, least=10, entry=2):
             if 2 * test > kinds + 4 * math.sqrt(2 * kinds):
                 smooth = {w: (n + kinds * prior[w]) / (total + kinds) for w, n in listed.items()}
                 level[context] = smooth, max(1 - sum(smooth.values()), 1e-12) / (1 - expected)
-        if not level:
-            break
         for context, (smooth, left) in level.items():
             stored[context], rest[context] = smooth, left
     out = []
@@ -211,7 +209,8 @@ def test_the_bars_do_not_rise_with_the_corpus(spark):
     assert by_id[held].score > by_id[held].base_score + 5
 
 
-def test_levels_grow_until_no_context_is_retained(spark):
+@pytest.mark.parametrize("group", [64 << 20, 8 * 67 * 40])
+def test_levels_grow_until_nothing_is_open(spark, group):
     dice, rows = random.Random(7), []
     for i in range(600):
         words = []
@@ -221,9 +220,51 @@ def test_levels_grow_until_no_context_is_retained(spark):
             words += [first, *shared.split(), first.upper() + "1" if shared == "a b c" else "z"]
         rows.append((i, " ".join(words)))
     docs = documents(spark, rows)
-    got = {r.doc_id: r.score for r in scored(docs).collect()}
-    for i, want in plain_scores(rows, 20):
+    got = {r.doc_id: r.score for r in scored(docs, group=group).collect()}
+    for i, want in plain_scores(rows, 62):
         assert got[i] == pytest.approx(want, rel=1e-9), i
     short = {r.doc_id: r.score for r in scored(docs, depth=3).collect()}
     held = [i for i, _ in rows if fold(i)]
     assert sum(got[i] for i in held) > sum(short[i] for i in held) + 50
+
+
+def test_a_length_that_retains_nothing_does_not_end_the_tree(spark):
+    """The next word depends on the word four before it, those between are the same for all."""
+    dice, rows = random.Random(8), []
+    for i in range(500):
+        words = []
+        for _ in range(10):
+            first = dice.choice(["x", "y"])
+            words += [first, "m", "m", "m", first.upper()]
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.score for r in scored(documents(spark, rows)).collect()}
+    for i, want in plain_scores(rows, 51):
+        assert got[i] == pytest.approx(want, rel=1e-9), i
+
+
+def test_near_copies_grow_far(spark):
+    """Long texts with few changed words keep contexts open over many lengths."""
+    dice = random.Random(9)
+    text = [f"w{dice.randrange(40)}" for _ in range(150)]
+    rows = []
+    for i in range(120):
+        rows.append((i, " ".join(w if dice.random() > 0.02 else f"c{dice.randrange(5)}" for w in text)))
+    got = {r.doc_id: r.score for r in scored(documents(spark, rows), least=5).collect()}
+    for i, want in plain_scores(rows, 151, least=5):
+        assert got[i] == pytest.approx(want, rel=1e-9), i
+
+
+def test_hashes_of_places_are_those_of_their_words():
+    import numpy as np
+
+    from tidewatch.llm import suffix_tree
+
+    hashes = suffix_tree.Hashes()
+    one = suffix_tree.flat([[b"x", b"a", b"b", b"c"], [b"b", b"a"], [b"a", b"b", b"c", b"a"]], hashes)
+    by_words = defaultdict(set)
+    for end in range(len(one.words)):
+        for length in range(1, one.before[end] + 2):
+            words = tuple(one.words[end - length + 1 : end + 1].tolist())
+            by_words[words].add(int(one.hashes(np.array([end]), length)[0]))
+    assert all(len(h) == 1 for h in by_words.values())
+    assert len({h for found in by_words.values() for h in found}) == len(by_words)

@@ -3,14 +3,12 @@
 Token counts give every word its base probability. The tree refines it: its states are contexts
 of preceding words, candidates if they occur ``least`` times in the training
 texts, retained if the words that follow differ from those after the next shorter context (a
-likelihood-ratio test). Levels are added until one retains none; ``depth`` is a mere safety
-bound. Words that follow a context ``entry`` times are stored with it, all
+likelihood-ratio test). It grows until no longer context can be retained (see ``suffix_tree``);
+``depth`` may end it before. Words that follow a context ``entry`` times are stored with it, all
 others share what is left in proportion to the shorter context (Witten-Bell), so distributions
 sum to one. A word is scored in the longest retained context its predecessors end with.
 
-Both bars are absolute, so the tree grows with the corpus. It is kept in tables whose rows are
-word sequences under 64-bit hashes: one as a context, plus its next word, is the sequence that is
-one longer, so each level joins with the one above. The score of a text is the sum of its words'
+Both bars are absolute, so the tree grows with the corpus. The score of a text is the sum of its words'
 base probabilities and of one value for each of its word sequences the model knows. The
 ``common`` most frequent words and ``cached`` most frequent sequences are looked up in memory,
 the others are joined. Bitmaps of fixed size tell which sequences may be known; where they fill
@@ -20,26 +18,16 @@ up, more rows reach the joins, which decide.
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import work_folder
 from .common import batches
+from .suffix_tree import END, FLUSH, Hashes, bitmap, flat, grow, may, stored, tokens
 
-END = b""  # the end of a text, counted as a token
 _OTHER = 0
-_FLUSH = 400_000
-_BLOCK = 1 << 20
-_BEGIN = np.uint64(0x9E3779B97F4A7C15)  # the beginning of a text
-_MAP = 20  # log2 of a bitmap's 64-bit words
-
-
-def tokens(body: bytes | None) -> list[bytes]:
-    return (body or b"").lower().split()
 
 
 def held_out(key: Column, of: int, remainder: int) -> Column:
@@ -51,10 +39,6 @@ def held_out(key: Column, of: int, remainder: int) -> Column:
 # --- token counts ----------------------------------------------------------------------
 
 
-def _rows(names: tuple[str, ...], *columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=list(names))
-
-
 def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: Counter = Counter()
 
@@ -68,7 +52,7 @@ def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for body in part.column(0).to_pylist():
             seen.update(tokens(body))
             seen[END] += 1
-            if len(seen) > _FLUSH:
+            if len(seen) > FLUSH:
                 yield out()
                 seen.clear()
     if seen:
@@ -204,202 +188,6 @@ class Tree:
         return gain
 
 
-# --- suffix tree in tables -------------------------------------------------------------
-
-
-class Hashes(dict):
-    """64-bit hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > _FLUSH:
-            self.clear()
-        self[word] = found = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return found
-
-
-def flat(texts: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts, each after a beginning and before an end; where each begins."""
-    out, starts = [], []
-    begin, end = int(_BEGIN), hashes[END]
-    for words in texts:
-        starts.append(len(out))
-        out.append(begin)
-        out += [hashes[w] for w in words]
-        out.append(end)
-    return np.array(out, np.uint64), np.array(starts, np.int64)
-
-
-def sequences(words: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For lengths from 1: where sequences inside one text end, and hashes by that place."""
-    sizes = np.diff(np.append(starts, len(words)))
-    place = np.arange(len(words)) - np.repeat(starts, sizes)
-    found, ends = words, np.arange(len(words))
-    length = 1
-    while len(ends):
-        yield ends, found
-        ends = ends[place[ends] >= length]
-        mixed = found[ends - 1] * np.uint64(0xBF58476D1CE4E5B9) + words[ends]
-        mixed ^= mixed >> np.uint64(29)
-        mixed *= np.uint64(0x94D049BB133111EB)
-        mixed ^= mixed >> np.uint64(32)
-        found = np.zeros(len(words), np.uint64)
-        found[ends] = mixed
-        length += 1
-
-
-def bitmap(known: DataFrame) -> np.ndarray:
-    """A fixed number of bits, of which those of the hashes in column h are set."""
-    spot = F.shiftrightunsigned("h", 6).bitwiseAND((1 << _MAP) - 1)
-    bit = F.expr("shiftleft(1L, cast(h & 63 AS int))")
-    rows = known.groupBy(spot.alias("spot")).agg(F.bit_or(bit).alias("bits")).toPandas()
-    found = np.zeros(1 << _MAP, np.uint64)
-    found[rows["spot"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).view(np.uint64)
-    return found
-
-
-def _may(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    spots = bits[(hashes >> np.uint64(6)) & np.uint64((1 << _MAP) - 1)]
-    return (spots >> (hashes & np.uint64(63))) & np.uint64(1) != 0
-
-
-def _encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each block of texts: distinct hashes, words as their numbers, beginnings."""
-    hashes = Hashes()
-    for part in parts:
-        words, starts = flat([tokens(b) for b in part.column(0).to_pylist()], hashes)
-        kinds, codes = np.unique(words, return_inverse=True)
-        blobs = (kinds, codes.astype(np.int32), starts)
-        yield _rows(("kinds", "codes", "starts"), *[[b.tobytes()] for b in blobs])
-
-
-def _followed(length: int, often, repeated):
-    """Counts n of sequences h: a context c of ``length`` words and the next; s lacks the oldest."""
-
-    def merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        h, c, s, n = map(np.concatenate, zip(*held))
-        h, first, place = np.unique(h, return_index=True, return_inverse=True)
-        return h, c[first], s[first], np.bincount(place, n, len(h)).astype(np.int64)
-
-    def out(rows: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(rows[0]), _BLOCK // 16):
-            part = [column[at : at + _BLOCK // 16].view(np.int64) for column in rows]
-            yield _rows(("h", "c", "s", "n"), *part)
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for part in parts:
-            for row in part.to_pylist():
-                kinds = np.frombuffer(row["kinds"], np.uint64)
-                words = kinds[np.frombuffer(row["codes"], np.int32)]
-                every = sequences(words, np.frombuffer(row["starts"], np.int64))
-                shorter = None
-                for at, (ends, found) in enumerate(every, 1):
-                    if at > length:
-                        break
-                    shorter = found
-                else:
-                    continue
-                ends = ends[_may(often.value, shorter[ends - 1])]
-                ends = ends[_may(repeated.value, shorter[ends])]
-                h, first, n = np.unique(found[ends], return_index=True, return_counts=True)
-                held.append((h, shorter[ends[first] - 1], shorter[ends[first]], n))
-                size += len(h)
-                if size > _BLOCK:
-                    held = [merged(held)]
-                    size = len(held[0][0])
-                    if size > _BLOCK // 2:
-                        yield from out(held[0])
-                        held, size = [], 0
-        if held:
-            yield from out(merged(held))
-
-    return run
-
-
-def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        hashes = [int.from_bytes(blake2b(w, digest_size=8).digest(), "little", signed=True)
-                  for w in part.column(0).to_pylist()]
-        yield _rows(("h", "n"), pa.array(hashes, pa.int64()), part.column(1))
-
-
-def grow(bodies: DataFrame, counts: DataFrame, mass: float, depth: int, least: int, entry: int):
-    """The model as a table (h, n, v), and the length of its longest contexts.
-
-    Level by level, until none of the contexts that occur often enough is retained. A row's v
-    is what a sequence adds to the score of the text it occurs in: as a context, log10 of what
-    is left to words not stored with it; as a context and the next word, what is different.
-    """
-    spark = bodies.sparkSession
-    if not depth:
-        return None, 0
-    blocks = _stored(
-        bodies.mapInArrow(_encoded, "kinds binary, codes binary, starts binary"), "encoded"
-    )
-    words = counts.select("word", "c").mapInArrow(_hashed, "h long, n long")
-    base = words.withColumn("p", (F.col("n") + 0.5) / mass)
-    begin = counts.filter(F.col("word") == F.lit(END)).select(
-        F.lit(int(_BEGIN.view(np.int64))).alias("h"), F.col("c").alias("n"), F.lit(1.0).alias("p")
-    )
-    above = _stored(base.filter(F.col("n") >= entry).unionByName(begin), "level")
-    model, reached = [], 0
-    for length in range(1, depth + 1):
-        often = spark.sparkContext.broadcast(bitmap(above.filter(F.col("n") >= least)))
-        repeated = spark.sparkContext.broadcast(bitmap(above))
-        counted = (
-            blocks.mapInArrow(_followed(length, often, repeated), "h long, c long, s long, n long")
-            .groupBy("h")
-            .agg(F.first("c").alias("c"), F.first("s").alias("s"), F.sum("n").alias("n"))
-            .filter(F.col("n") >= entry)
-        )
-        contexts = above.filter(F.col("n") >= least).select(
-            F.col("h").alias("c"), F.col("n").alias("total")
-        )
-        # What is stored here is stored above without its oldest word: it occurs no less often.
-        prior = above.select(F.col("h").alias("s"), F.col("p").alias("prior"))
-        pairs = _stored(counted.join(contexts, "c").join(prior, "s").drop("s"), "transitions")
-        share = F.col("n") / F.col("total")
-        sums = pairs.groupBy("c").agg(
-            F.first("total").alias("size"),
-            (F.count("*") + 1.0).alias("kinds"),
-            F.sum("n").alias("listed"),
-            F.least(F.sum("prior"), F.lit(1 - 1e-9)).alias("expected"),
-            F.sum(F.col("n") * F.log(share / F.col("prior"))).alias("apart"),
-        )
-        size, kinds, expected = F.col("size"), F.col("kinds"), F.col("expected")
-        others = F.greatest(size - F.col("listed"), F.lit(0)) / size
-        tail = F.when(others > 0, size * others * F.log(others / (1 - expected))).otherwise(0.0)
-        left = 1 - (F.col("listed") + kinds * expected) / (size + kinds)
-        kept = _stored(
-            sums.filter(2 * (F.col("apart") + tail) > kinds + 4 * F.sqrt(2 * kinds)).select(
-                "c", "size", "kinds",
-                F.log10(F.greatest(left, F.lit(1e-12)) / (1 - expected)).alias("rest"),
-            ),
-            "contexts",
-        )
-        if kept.isEmpty():
-            break
-        smooth = (F.col("n") + kinds * F.col("prior")) / (F.col("total") + kinds)
-        level = _stored(
-            pairs.join(kept.select("c", "kinds", "rest"), "c", "left").select(
-                "h", "n",
-                F.coalesce(smooth, "prior").alias("p"),
-                (F.log10(smooth / F.col("prior")) - F.col("rest")).alias("v"),
-            ),
-            "level",
-        )
-        model.append(kept.select(F.col("c").alias("h"), F.col("size").alias("n"), F.col("rest").alias("v")))
-        model.append(level.filter(F.col("v").isNotNull()).select("h", "n", "v"))
-        above, reached = level.select("h", "n", "p"), length
-        often.destroy(), repeated.destroy()
-    if not model:
-        return None, 0
-    every = model[0]
-    for rows in model[1:]:
-        every = every.unionByName(rows)
-    return _stored(every.groupBy("h").agg(F.max("n").alias("n"), F.sum("v").alias("v")), "model"), reached
-
-
 def most_frequent(counted: DataFrame, by: str, most: int):
     """The condition for the bins of ``by`` that at most ``most`` rows fall into, or None; all bins."""
     bins = F.floor(F.log2(by) * 16)
@@ -423,24 +211,31 @@ _SCORED = (
 )
 
 
-def _gains(words, starts, near, values, known, longest):
+def _gains(block, near, values, known, reach, longest):
     """What each place adds to its text's score; rows for the sequences that are to be joined."""
-    gains, keys, owner, times = np.zeros(len(words)), [], [], []
+    gains, keys, owner, times = np.zeros(len(block.words)), [], [], []
     if not longest:
         return gains, (keys, owner, times, [])
-    text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
-    for length, (ends, found) in enumerate(sequences(words, starts), 1):
-        if length > longest + 1:
+    text = np.repeat(np.arange(len(block.starts)), np.diff(np.append(block.starts, len(block.words))))
+    ends = np.arange(len(block.words))
+    for length in range(1, longest + 2):
+        ends = ends[block.before[ends] >= length - 1]
+        if not len(ends):
             break
-        ends = ends[_may(known, found[ends])]
-        spot = found[ends]
+        found = block.hashes(ends, length)
+        if length > 1:
+            # Where a sequence has no row, neither have those that are longer and end there.
+            on = may(reach, found)
+            ends, found = ends[on], found[on]
+        some = may(known, found)
+        held, spot = ends[some], found[some]
         at = np.minimum(np.searchsorted(near, spot), max(len(near) - 1, 0))
         hit = near[at] == spot if len(near) else np.zeros(len(spot), bool)
-        gains[ends[hit]] += values[at[hit]]
-        other = ends[~hit]
+        gains[held[hit]] += values[at[hit]]
+        other = held[~hit]
         # By text and sequence; texts have them once, with how often they occur.
         pairs = np.empty(len(other), [("i", np.int64), ("h", np.uint64)])
-        pairs["i"], pairs["h"] = text[other], found[other]
+        pairs["i"], pairs["h"] = text[other], spot[~hit]
         order = np.lexsort((pairs["h"], pairs["i"]))
         pairs = pairs[order]
         new = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else order
@@ -459,14 +254,14 @@ def _scored(model):
     ])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, near, values, known, longest = model.value
+        logs, near, values, modelled, reach, longest = model.value
         hashes = Hashes()
         for part in parts:
             keys, of = part.column(0).to_pylist(), part.column(1).to_pylist()
             texts = [tokens(b) for b in part.column(2).to_pylist()]
-            flat_, starts = flat(texts, hashes)
-            gains, distant = _gains(flat_, starts, near, values, known, longest)
-            gains = np.add.reduceat(gains, starts).tolist()
+            block = flat(texts, hashes)
+            gains, distant = _gains(block, near, values, modelled, reach, longest)
+            gains = np.add.reduceat(gains, block.starts).tolist()
             words, owner, times, wholes = distant
             for i, (found, gain) in enumerate(zip(texts, gains)):
                 found.append(END)
@@ -496,37 +291,33 @@ def _scored(model):
     return run
 
 
-def _stored(df: DataFrame, purpose: str) -> DataFrame:
-    spark: SparkSession = df.sparkSession
-    folder = work_folder(spark, purpose)
-    df.write.parquet(folder)
-    return spark.read.parquet(folder)
-
-
 def score(
     docs: DataFrame,
     held: Column,
     *,
     key: str = "doc_id",
     text: str = "text",
-    depth: int = 64,
+    depth: int | None = None,
     least: int = 10,
     entry: int = 2,
     common: int = 200_000,
-    cached: int = 1_000_000,
+    cached: int = 4_000_000,
+    group: int = 64 << 20,
 ) -> DataFrame:
     """One row per document: key, n_tokens, n_known, train_tokens, base_score, score.
 
     Documents for which ``held`` is not true train the model. Null and empty texts consist of
     their end. Repeated rows each train the model and each return a row. Without training texts
-    every token has the same base probability. Keys are long, or null.
+    every token has the same base probability. Keys are long, or null. Without rows there is no row.
+    A long text is one row of a block of 1,024 texts at most and is read whole. Other columns, whatever
+    their names, are not read and not returned.
     """
     spark = docs.sparkSession
     batches(spark, 1024)
     fold = F.coalesce(held, F.lit(False))
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     training = docs.filter(~fold).select(body.alias("body"))
-    counts = _stored(token_counts(training, "body"), "token-counts")
+    counts = stored(token_counts(training, "body"), "token-counts")
 
     often, by_bin = most_frequent(counts, "c", common)
     total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
@@ -536,12 +327,18 @@ def score(
         rows = counts.filter(often).toPandas()
         frequent = {bytes(w): int(c) for w, c in zip(rows["word"], rows["c"])}
 
-    table, longest = grow(training, counts, mass, depth, least, entry)
-    near, values, known, distant = np.zeros(0, np.uint64), np.zeros(0), None, None
-    if table is not None:
+    tree, longest, distant = grow(training, counts, mass, depth, least, entry, group), 0, None
+    near, values, known, reach = np.zeros(0, np.uint64), np.zeros(0), None, None
+    if tree is not None:
+        retained = tree.filter(F.col("v").isNotNull())
+        longest = retained.agg(F.max("length")).first()[0] or 0
+    if longest:
+        # A sequence may be a context and another one's transition.
+        model = retained.groupBy("h").agg(F.max("n").alias("n"), F.sum("v").alias("v"))
+        table = stored(model, "model")
         inside, _ = most_frequent(table, "n", cached)
         distant = table.filter(~inside) if inside is not None else table
-        known = bitmap(table)
+        known, reach = bitmap(table), bitmap(tree)
         if inside is not None:
             rows = table.filter(inside).select("h", "v").toPandas()
             near = rows["h"].to_numpy(np.int64).view(np.uint64)
@@ -549,7 +346,7 @@ def score(
             near, values = near[order], rows["v"].to_numpy(float)[order]
 
     logs = {w: float(np.log10((c + 0.5) / mass)) for w, c in frequent.items()}
-    model = spark.sparkContext.broadcast((logs, near, values, known, longest))
+    model = spark.sparkContext.broadcast((logs, near, values, known, reach, longest))
     given = docs.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")
     )
