@@ -6,14 +6,16 @@ sequences two of them are likely to share one; their counts then add up.
 
 A context is a candidate if it occurs ``least`` times. The tree grows by one word at a time, to the
 left, and only where it still can: a context is open while the most that any longer form of it could
-reach in the divergence test, twice the sum of n * -log(p) over the words that follow it, is above the
-smallest threshold. p is the probability in the context itself, so the bound falls or stays with every
-further word, and what it closes holds no retained context: nothing is lost, and no depth is set.
+reach in the divergence test is above the smallest threshold. A word that follows n times, with
+probability p in the context itself, adds at most n * log(min(1, n / least) / p) to a longer form, as that
+has ``least`` occurrences; words not listed add together what one such word would. The bound falls or stays
+with every further word, so what it closes holds no retained context: nothing is lost, no depth is set.
 
 The first ``_GLOBAL`` lengths are counted over all texts. From then on all longer forms of an open
 context are found among its own occurrences, so its windows (the preceding words, equal ones together
-with their number) come together and grow by many lengths at a time, each time by more. Contexts with
-more occurrences than one group may hold grow word by word by aggregation until they hold fewer.
+with their number) come together and grow by many lengths at a time, each time by more, and only texts
+with open contexts are read again. Contexts with more occurrences than one group may hold grow
+word by word by aggregation.
 
 Bitmaps of fixed size tell which places can matter. They may pass too much, which exact counts
 and joins then drop; where a corpus fills them, more rows are shuffled, with the same result.
@@ -24,7 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import remove_folder, work_folder
@@ -126,9 +128,34 @@ def _encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = Hashes()
     for part in parts:
         block = flat([tokens(b) for b in part.column(0).to_pylist()], hashes)
-        kinds, codes = np.unique(block.words, return_inverse=True)
-        blobs = (kinds, codes.astype(np.int32), block.starts)
-        yield rows(("kinds", "codes", "starts"), *[[b.tobytes()] for b in blobs])
+        yield _block(block.words, block.starts)
+
+
+def _block(words: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    kinds, codes = np.unique(words, return_inverse=True)
+    blobs = (kinds, codes.astype(np.int32), starts)
+    return rows(("kinds", "codes", "starts"), *[[b.tobytes()] for b in blobs])
+
+
+def _remaining(length: int, known):
+    """Blocks of the texts that still have one of the contexts, with a word in front."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, starts, size = [], [], 0
+        for block in _blocks(parts):
+            ends = block.followed(length + 1, known.value, length)
+            limits = np.append(block.starts, len(block.words))
+            for text in np.unique(np.searchsorted(block.starts, ends, "right") - 1).tolist():
+                words.append(block.words[limits[text] : limits[text + 1]])
+                starts.append(size)
+                size += len(words[-1])
+            if size > FLUSH:
+                yield _block(np.concatenate(words), np.array(starts, np.int64))
+                words, starts, size = [], [], 0
+        if size:
+            yield _block(np.concatenate(words), np.array(starts, np.int64))
+
+    return run
 
 
 def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[Places]:
@@ -279,7 +306,9 @@ def _counted(blocks: DataFrame, length: int, known, width: int, repeated=None) -
     return found.groupBy("h").agg(F.first("c").alias("c"), F.first("s").alias("s"), F.sum("n").alias("n"))
 
 
-def _learned(length: int, counted: DataFrame, contexts: DataFrame, prior: DataFrame, used: list[str]):
+def _learned(
+    length: int, counted: DataFrame, contexts: DataFrame, prior: DataFrame, least: int, used: list[str]
+):
     """Test and smooth one length: (transitions, contexts).
 
     ``counted`` (h, c, s, n) are transitions often enough, ``contexts`` (c, total) the candidates, ``prior``
@@ -313,12 +342,16 @@ def _learned(length: int, counted: DataFrame, contexts: DataFrame, prior: DataFr
         ),
         "level", used,
     )
+
+    def worth(n: Column, p: Column) -> Column:
+        return F.when(n > 0, F.greatest(n * F.log(F.least(n / least, F.lit(1.0)) / p), F.lit(0.0))).otherwise(0.0)
+
     reach = level.groupBy("c").agg(
-        F.sum(-F.col("n") * F.log("p")).alias("cost"),
+        F.sum(worth(F.col("n"), F.col("p"))).alias("listed_worth"),
         F.least(F.sum("p"), F.lit(1 - 1e-9)).alias("stored"),
     )
     unlisted = F.greatest(size - F.col("listed"), F.lit(0))
-    most = 2 * (F.col("cost") - unlisted * F.log(1 - F.col("stored")))
+    most = 2 * (F.col("listed_worth") + worth(unlisted, 1 - F.col("stored")))
     judged = stored(
         tested.join(reach, "c").select("c", F.col("size").alias("n"), "rest", (most > _LOWEST).alias("open")),
         "judged", used,
@@ -338,7 +371,10 @@ def _learned(length: int, counted: DataFrame, contexts: DataFrame, prior: DataFr
 
 
 def _windows(length: int, width: int, known, often, groups: int):
-    """By group of contexts: raw hash, next word, number and the ``width`` words in front, 0 for none."""
+    """By group of contexts: raw hash, next word, number and the ``width`` words in front, 0 for none.
+
+    The numbers of such a table are distinct ones and their places among them.
+    """
 
     def out(key: np.ndarray, table: np.ndarray) -> Iterator[pa.RecordBatch]:
         of = (mixed(table[:, 0]) >> np.uint64(40)) % np.uint64(groups)
@@ -346,8 +382,10 @@ def _windows(length: int, width: int, known, often, groups: int):
         of, table = of[order], table[order]
         cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
         ends = np.append(cuts[1:], len(of))
-        blobs = [table[a:b].tobytes() for a, b in zip(cuts, ends)]
-        yield rows(("spot", "windows"), of[cuts].astype(np.int64), blobs)
+        for a, b in zip(cuts.tolist(), ends.tolist()):
+            kinds, codes = np.unique(table[a:b], return_inverse=True)
+            codes = codes.astype(np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
+            yield rows(("spot", "kinds", "codes"), [int(of[a])], [kinds.tobytes()], [codes.tobytes()])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -363,7 +401,8 @@ def _windows(length: int, width: int, known, often, groups: int):
 
         for block in _blocks(parts):
             ends = block.followed(length + 1, known.value, length)
-            ends = ends[may(often.value, block.hashes(ends - 1, length + 1))]
+            if often is not None:
+                ends = ends[may(often.value, block.hashes(ends - 1, length + 1))]
             reach = np.minimum(block.before[ends], length + width)
             key, first, n = np.unique(block.hashes(ends, reach + 1), return_index=True, return_counts=True)
             ends, reach = ends[first], reach[first]
@@ -396,8 +435,12 @@ def _subtrees(length: int, width: int, least: int, entry: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not len(left) or not len(right):
             return _nothing()
-        blobs = [np.frombuffer(b, np.uint64).reshape(-1, width + 3) for b in left["windows"].to_pylist()]
-        table = np.concatenate(blobs)
+        held = []
+        for kinds, codes in zip(left["kinds"].to_pylist(), left["codes"].to_pylist()):
+            kinds = np.frombuffer(kinds, np.uint64)
+            codes = np.frombuffer(codes, np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
+            held.append(kinds[codes].reshape(-1, width + 3))
+        table = np.concatenate(held)
         known_c = np.unique(right["c"].to_numpy()).view(np.uint64)
         known_h = right["h"].to_numpy().view(np.uint64)
         order = np.argsort(known_h)
@@ -429,7 +472,7 @@ def _subtrees(length: int, width: int, least: int, entry: int):
             n, c, prior = np.bincount(place, times, len(h)), of[first], p[first]
             stays = n >= entry
             post = prior.copy()
-            level, opens = _tested(names, total, h[stays], n[stays], c[stays], prior[stays], length + j + 1)
+            level, opens = _tested(names, total, h[stays], n[stays], c[stays], prior[stays], length + j + 1, least)
             post[stays] = level.pop("post")
             found.append(pa.table(level, schema=_GROWN_TYPE))
             go = opens[of]
@@ -442,7 +485,11 @@ def _subtrees(length: int, width: int, least: int, entry: int):
     return run
 
 
-def _tested(names, total, h, n, c, prior, length: int) -> tuple[dict, np.ndarray]:
+def _worth(n: np.ndarray, p: np.ndarray, least: int) -> np.ndarray:
+    return np.maximum(n * np.log(np.maximum(np.minimum(n / least, 1), 1e-300) / p), 0)
+
+
+def _tested(names, total, h, n, c, prior, length: int, least: int) -> tuple[dict, np.ndarray]:
     """_learned() for the contexts of a group: rows, and which contexts are open."""
     size = len(names)
     listed = np.bincount(c, n, size)
@@ -459,7 +506,7 @@ def _tested(names, total, h, n, c, prior, length: int) -> tuple[dict, np.ndarray
     smooth = (n + kinds[c] * prior) / (total[c] + kinds[c])
     post = np.where(retained[c], smooth, prior)
     inside = np.minimum(np.bincount(c, post, size), 1 - 1e-9)
-    most = 2 * (np.bincount(c, -n * np.log(post), size) - unlisted * np.log(1 - inside))
+    most = 2 * (np.bincount(c, _worth(n, post, least), size) + _worth(unlisted, 1 - inside, least))
     opens = some & (most > _LOWEST)
     v = np.where(retained[c], np.log10(smooth / prior) - rest[c], 0)
     context = mixed(names).view(np.int64)
@@ -533,7 +580,7 @@ def grow(
         level, found = _learned(
             length, counted,
             candidates.select(F.col("h").alias("c"), F.col("n").alias("total")),
-            above.select(F.col("h").alias("s"), F.col("p").alias("prior")), used,
+            above.select(F.col("h").alias("s"), F.col("p").alias("prior")), least, used,
         )
         known.destroy(), repeated.destroy()
         levels.append(found)
@@ -544,17 +591,23 @@ def grow(
     width = 2
     while depth is None or length < depth:
         width = width if depth is None else min(width, depth - length)
-        most = max(group // (8 * (width + 3)), 1)
         found = levels[-1].filter((F.col("length") == length) & F.col("open"))
         contexts = found.filter("c IS NULL")
+        largest = contexts.agg(F.max("n")).first()[0]
+        if not largest:
+            break
+        while width > 2 and largest * 8 * (width + 3) > group:
+            width //= 2
+        most = max(group // (8 * (width + 3)), 1)
         size = contexts.agg(
-            F.count("*").alias("rows"),
             F.sum(F.when(F.col("n") <= most, F.col("n"))).alias("small"),
             F.count(F.when(F.col("n") > most, 1)).alias("hot"),
         ).first()
-        if not size.rows:
-            break
         parts = []
+        if length > _GLOBAL:
+            known = context.broadcast(bitmap(contexts.select("h")))
+            blocks = stored(blocks.mapInArrow(_remaining(length, known), blocks.schema), "encoded", used)
+            known.destroy()
         if size.small:
             parts.append(_in_groups(blocks, found, length, width, least, entry, most, size.small, places, used))
         if size.hot:
@@ -571,7 +624,7 @@ def grow(
             every = every.unionByName(part)
         levels.append(every)
         length += width
-        width = min(4 * width if width < 8 else 2 * width, 64)
+        width = 4 * width if width < 8 else 2 * width
 
     tree = levels[0]
     for found in levels[1:]:
@@ -604,10 +657,12 @@ def _in_groups(blocks, found, length, width, least, entry, most, total, places,
     context = blocks.sparkSession.sparkContext
     small = found.filter("c IS NULL").filter(F.col("n") <= most).select("h")
     known = context.broadcast(bitmap(small))
-    often = context.broadcast(frequent(blocks, _Longer(length, known), least, min(places, 2 * total)))
+    often = None
+    if length == _GLOBAL:  # most of what is open here has no longer form that is a candidate
+        often = context.broadcast(frequent(blocks, _Longer(length, known), least, min(places, 2 * total)))
     groups = 8 + total // max(min(most, 200_000), 1000)
     windows = blocks.mapInArrow(
-        _windows(length, width, known, often, groups), "spot long, windows binary"
+        _windows(length, width, known, often, groups), "spot long, kinds binary, codes binary"
     )
     of = F.shiftrightunsigned("c", 40) % F.lit(groups)
     info = found.filter("c IS NOT NULL").join(small.select(F.col("h").alias("c")), "c", "left_semi")
@@ -618,7 +673,7 @@ def _in_groups(blocks, found, length, width, least, entry, most, total, places,
         .applyInArrow(_subtrees(length, width, least, entry), _GROWN)
     )
     grown = stored(grown, "tree", used)
-    known.destroy(), often.destroy()
+    known.destroy()
     return grown
 
 
@@ -628,6 +683,6 @@ def _by_step(blocks, step, length, least, entry, used) -> DataFrame:
     counted = stored(_counted(blocks, length, known, length - 1), "counted", used)
     totals = counted.groupBy("c").agg(F.sum("n").alias("total")).filter(F.col("total") >= least)
     prior = step.filter("c IS NOT NULL").select(F.col("h").alias("s"), F.col("p").alias("prior"))
-    _, found = _learned(length, counted.filter(F.col("n") >= entry), totals, prior, used)
+    _, found = _learned(length, counted.filter(F.col("n") >= entry), totals, prior, least, used)
     known.destroy()
     return found
