@@ -160,10 +160,10 @@ def _remaining(length: int, known):
 
 def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[Places]:
     for part in parts:
-        for row in part.to_pylist():
-            kinds = np.frombuffer(row["kinds"], np.uint64)
-            words = kinds[np.frombuffer(row["codes"], np.int32)]
-            yield Places(words, np.frombuffer(row["starts"], np.int64))
+        for i in range(part.num_rows):  # one at a time, as a batch holds many
+            kinds, codes, starts = (column[i].as_buffer() for column in part.columns)
+            words = np.frombuffer(kinds, np.uint64)[np.frombuffer(codes, np.int32)]
+            yield Places(words, np.frombuffer(starts, np.int64))
 
 
 def rows(names: tuple[str, ...], *columns) -> pa.RecordBatch:
@@ -217,7 +217,7 @@ def _marks(wanted: Callable[[Places], np.ndarray], least: int, log_groups: int):
         for block in _blocks(parts):
             held.append(wanted(block).astype(np.uint32))
             size += len(held[-1])
-            if size > 4 * _ROWS:
+            if size > _ROWS:
                 low, n = np.unique(np.concatenate(held), return_counts=True)
                 yield from out(low, np.minimum(n, least))
                 held, size = [], 0
