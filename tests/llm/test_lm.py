@@ -249,7 +249,7 @@ def test_near_copies_grow_far(spark):
     rows = []
     for i in range(120):
         rows.append((i, " ".join(w if dice.random() > 0.02 else f"c{dice.randrange(5)}" for w in text)))
-    got = {r.doc_id: r.score for r in scored(documents(spark, rows), least=5).collect()}
+    got = {r.doc_id: r.score for r in scored(documents(spark, rows), least=5, depth=None).collect()}
     for i, want in plain_scores(rows, 151, least=5):
         assert got[i] == pytest.approx(want, rel=1e-9), i
 

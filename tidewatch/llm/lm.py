@@ -3,8 +3,9 @@
 Token counts give every word its base probability. The tree refines it: its states are contexts
 of preceding words, candidates if they occur ``least`` times in the training
 texts, retained if the words that follow differ from those after the next shorter context (a
-likelihood-ratio test). It grows until no longer context can be retained (see ``suffix_tree``);
-``depth`` may end it before. Words that follow a context ``entry`` times are stored with it, all
+likelihood-ratio test). It grows until no longer context can be retained (see ``suffix_tree``) or
+to ``depth`` words. With ``depth`` None nothing else ends it; a text of one word repeated n times then
+takes work that grows with n squared. Words that follow a context ``entry`` times are stored with it, all
 others share what is left in proportion to the shorter context (Witten-Bell), so distributions
 sum to one. A word is scored in the longest retained context its predecessors end with.
 
@@ -297,7 +298,7 @@ def score(
     *,
     key: str = "doc_id",
     text: str = "text",
-    depth: int | None = None,
+    depth: int | None = 64,
     least: int = 10,
     entry: int = 2,
     common: int = 200_000,
