@@ -256,11 +256,14 @@ def test_near_copies_grow_far(spark):
 
 def test_hashes_of_places_are_those_of_their_words():
     import numpy as np
+    import pyarrow as pa
 
     from tidewatch.llm import suffix_tree
 
-    hashes = suffix_tree.Hashes()
-    one = suffix_tree.flat([[b"x", b"a", b"b", b"c"], [b"b", b"a"], [b"a", b"b", b"c", b"a"]], hashes)
+    bodies = pa.array([b"x a b c", b"b a", b"a b c a"], pa.binary())
+    kinds, codes, starts = suffix_tree.numbered(bodies)
+    one = suffix_tree.Places(suffix_tree.hashes_of(kinds)[codes], starts)
+    assert starts.tolist() == [0, 6, 10] and len(codes) == 16
     by_words = defaultdict(set)
     for end in range(len(one.words)):
         for length in range(1, one.before[end] + 2):
@@ -268,3 +271,41 @@ def test_hashes_of_places_are_those_of_their_words():
             by_words[words].add(int(one.hashes(np.array([end]), length)[0]))
     assert all(len(h) == 1 for h in by_words.values())
     assert len({h for found in by_words.values() for h in found}) == len(by_words)
+
+
+def test_words_and_their_hashes():
+    import pyarrow as pa
+
+    from tidewatch.llm import suffix_tree
+
+    every = bytes(range(256))
+    texts = [b" A\x0bb\x0c C ", b"", b"  \t", None, every, "\u00c0 \u2003y Z".encode(), b"x" * 5000 + b" x"]
+    kinds, codes, starts = suffix_tree.spelled(pa.array(texts, pa.binary()))
+    for i, text in enumerate(texts):
+        end = starts[i + 1] if i + 1 < len(starts) else len(codes)
+        got = [kinds[c].as_py() for c in codes[starts[i] : end].tolist()]
+        assert got == (text or b"").lower().split()
+    # Of every length, with and without zeros at the end, wherever they stand in an array.
+    words = [b"", *[b"a" * n + tail for n in range(1, 120) for tail in (b"", b"\0", b"b")]]
+    hashes = suffix_tree.word_hashes(pa.array(words, pa.binary()))
+    assert len(set(hashes.tolist())) == len(set(words)) == len(words)
+    for start in (0, 1, 57, 300):
+        part = suffix_tree.word_hashes(pa.array(words, pa.binary()).slice(start, 9))
+        assert part.tolist() == hashes[start : start + 9].tolist()
+    assert not len(suffix_tree.word_hashes(pa.array([], pa.binary())))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_values_of_hashes(n):
+    import numpy as np
+
+    from tidewatch.llm import suffix_tree
+
+    dice = np.random.default_rng(n)
+    hashes = np.unique(dice.integers(0, 2**64, n, np.uint64))
+    hashes[-1:] = 2**64 - 1  # also the last one there is
+    values = suffix_tree.Values(dice.permutation(hashes), np.arange(float(len(hashes))))
+    asked = np.concatenate((hashes, hashes + np.uint64(1), dice.integers(0, 2**64, 50, np.uint64)))
+    at, hit = values.places(asked)
+    assert hit.tolist() == np.isin(asked, hashes).tolist() and len(values) == len(hashes)
+    assert values.hashes[at[hit]].tolist() == asked[hit].tolist()

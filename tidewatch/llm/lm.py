@@ -16,17 +16,28 @@ the others are joined. Bitmaps of fixed size tell which sequences may be known;
 up, more rows reach the joins, which decide.
 """
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches
-from .suffix_tree import END, FLUSH, Hashes, bitmap, flat, grow, may, stored, tokens
+from .suffix_tree import (
+    END,
+    FLUSH,
+    Places,
+    Values,
+    bitmap,
+    grow,
+    hashes_of,
+    may,
+    numbered,
+    stored,
+)
 
 _OTHER = 0
 
@@ -41,23 +52,26 @@ def held_out(key: Column, of: int, remainder: int) -> Column:
 
 
 def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: Counter = Counter()
+    held: list[pa.Table] = []
 
-    def out() -> pa.RecordBatch:
-        words = pa.array(list(seen.keys()), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [words, pa.array(list(seen.values()), pa.int64())], names=["word", "c"]
-        )
+    def merged() -> pa.Table:
+        found = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
+        return found.rename_columns({"c_sum": "c"}).select(["word", "c"])
 
+    size = 0
     for part in parts:
-        for body in part.column(0).to_pylist():
-            seen.update(tokens(body))
-            seen[END] += 1
-            if len(seen) > FLUSH:
-                yield out()
-                seen.clear()
-    if seen:
-        yield out()
+        kinds, codes, _ = numbered(part.column(0))
+        c = np.bincount(codes, minlength=len(kinds) + 1)[:-1]
+        held.append(pa.table({"word": kinds, "c": c}))
+        size += len(kinds)
+        if size > 2 * FLUSH:
+            held = [merged()]
+            size = held[0].num_rows
+            if size > FLUSH:
+                yield from held[0].to_batches()
+                held, size = [], 0
+    if held:
+        yield from merged().to_batches()
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -212,11 +226,11 @@ _SCORED = (
 )
 
 
-def _gains(block, near, values, known, reach, longest):
-    """What each place adds to its text's score; rows for the sequences that are to be joined."""
-    gains, keys, owner, times = np.zeros(len(block.words)), [], [], []
+def _gains(block: Places, near: Values, known, reach, longest: int):
+    """What each place adds to its text's score; (text, hash, times) of sequences that are to be joined."""
+    gains, others = np.zeros(len(block.words)), []
     if not longest:
-        return gains, (keys, owner, times, [])
+        return gains, (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
     text = np.repeat(np.arange(len(block.starts)), np.diff(np.append(block.starts, len(block.words))))
     ends = np.arange(len(block.words))
     for length in range(1, longest + 2):
@@ -230,21 +244,23 @@ def _gains(block, near, values, known, reach, longest):
             ends, found = ends[on], found[on]
         some = may(known, found)
         held, spot = ends[some], found[some]
-        at = np.minimum(np.searchsorted(near, spot), max(len(near) - 1, 0))
-        hit = near[at] == spot if len(near) else np.zeros(len(spot), bool)
-        gains[held[hit]] += values[at[hit]]
-        other = held[~hit]
-        # By text and sequence; texts have them once, with how often they occur.
-        pairs = np.empty(len(other), [("i", np.int64), ("h", np.uint64)])
-        pairs["i"], pairs["h"] = text[other], spot[~hit]
-        order = np.lexsort((pairs["h"], pairs["i"]))
-        pairs = pairs[order]
-        new = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])) if len(pairs) else order
-        # Keys that no word can equal, as a break is in front.
-        keys += [b"\n" + h for h in pairs["h"][new].astype(">u8").view("V8").astype(object)]
-        owner += pairs["i"][new].tolist()
-        times += np.diff(np.append(new, len(pairs))).tolist()
-    return gains, (keys, owner, times, [None] * len(keys))
+        at, hit = near.places(spot)
+        gains[held[hit]] += near.values[at[hit]]
+        pairs = np.empty(len(held) - np.count_nonzero(hit), [("i", np.int64), ("h", np.uint64)])
+        pairs["i"], pairs["h"] = text[held[~hit]], spot[~hit]
+        others.append(pairs)
+    # Texts have a sequence once, with how often it occurs.
+    pairs = np.concatenate(others)
+    pairs = pairs[np.lexsort((pairs["h"], pairs["i"]))]
+    new = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
+    return gains, (pairs["i"][new], pairs["h"][new], np.diff(np.append(new, len(pairs))))
+
+
+def _named(hashes: np.ndarray) -> pa.Array:
+    """Keys that no word can equal, as a break is in front."""
+    spelt = np.full((len(hashes), 9), ord("\n"), np.uint8)
+    spelt[:, 1:] = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return pa.Array.from_buffers(pa.binary(9), len(hashes), [None, pa.py_buffer(spelt)]).cast(pa.binary())
 
 
 def _scored(model):
@@ -254,40 +270,45 @@ def _scored(model):
         ("base", pa.float64()), ("gain", pa.float64()),
     ])
 
+    def out(words: pa.Array, keys: pa.Array, of: pa.Array, times, whole) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [words, keys, of, pa.array(times, pa.int64()), whole],
+            names=["word", "key", "body_hash", "times", "whole"],
+        )
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, near, values, modelled, reach, longest = model.value
-        hashes = Hashes()
+        frequent, logs, near, known, reach, longest = model.value
         for part in parts:
-            keys, of = part.column(0).to_pylist(), part.column(1).to_pylist()
-            texts = [tokens(b) for b in part.column(2).to_pylist()]
-            block = flat(texts, hashes)
-            gains, distant = _gains(block, near, values, modelled, reach, longest)
-            gains = np.add.reduceat(gains, block.starts).tolist()
-            words, owner, times, wholes = distant
-            for i, (found, gain) in enumerate(zip(texts, gains)):
-                found.append(END)
-                known = [v for w in found if (v := logs.get(w)) is not None]
-                whole = (len(found), len(known), float(np.sum(known)), gain)
-                # A word no text can have, so that these rows spread and join nothing.
-                words.append(b" %d %d" % (keys[i] or 0, of[i]))
-                owner.append(i), times.append(0), wholes.append(whole)
-                if len(known) < len(found):
-                    rare = Counter([w for w in found if w not in logs])
-                    words += rare.keys()
-                    times += rare.values()
-                    owner += [i] * len(rare)
-                    wholes += [None] * len(rare)
-            names = ("n_tokens", "n_known", "base", "gain")
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(words, pa.binary()),
-                    pa.array([keys[i] for i in owner], pa.int64()),
-                    pa.array([of[i] for i in owner], pa.int64()),
-                    pa.array(times, pa.int64()),
-                    pa.array([w and dict(zip(names, w)) for w in wholes], whole_type),
-                ],
-                names=["word", "key", "body_hash", "times", "whole"],
-            )
+            if not part.num_rows:
+                continue
+            keys, of = part.column(0), part.column(1)
+            kinds, codes, starts = numbered(part.column(2))
+            block = Places(hashes_of(kinds)[codes], starts)
+            gains, distant = _gains(block, near, known, reach, longest)
+            # By word, null where memory does not know it; a beginning is not a token.
+            place = pc.fill_null(pc.index_in(kinds, value_set=frequent), len(logs) - 1).to_numpy()
+            logs_of = np.append(logs[place], 0.0)[codes]
+            rare = np.isnan(logs_of)
+            sizes = np.diff(np.append(starts, len(codes))) - 1
+            whole = pa.StructArray.from_arrays([
+                pa.array(sizes),
+                pa.array(sizes - np.add.reduceat(rare.astype(np.int64), starts)),
+                pa.array(np.add.reduceat(np.where(rare, 0.0, logs_of), starts)),
+                pa.array(np.add.reduceat(gains, starts)),
+            ], fields=list(whole_type))
+            # A word no text can have, so that these rows spread and join nothing.
+            alone = [b" %d %d" % (k or 0, h) for k, h in zip(keys.to_pylist(), of.to_pylist())]
+            yield out(pa.array(alone, pa.binary()), keys, of, np.zeros(len(alone), np.int64), whole)
+
+            text = np.repeat(np.arange(len(starts)), sizes + 1)[rare]
+            pairs, times = np.unique(text * len(kinds) + codes[rare], return_counts=True)
+            owner, code = np.divmod(pairs, len(kinds))
+            for words, owner, times in (
+                (kinds.take(pa.array(code)), owner, times),
+                (_named(distant[1]), distant[0], distant[2]),
+            ):
+                owner = pa.array(owner)
+                yield out(words, keys.take(owner), of.take(owner), times, pa.nulls(len(owner), whole_type))
 
     return run
 
@@ -323,13 +344,14 @@ def score(
     often, by_bin = most_frequent(counts, "c", common)
     total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
     mass = total + 0.5 * (distinct + 1)
-    frequent = {}
+    frequent, logs = pa.array([], pa.binary()), np.zeros(0)
     if often is not None:
-        rows = counts.filter(often).toPandas()
-        frequent = {bytes(w): int(c) for w, c in zip(rows["word"], rows["c"])}
+        rows = counts.filter(often).toArrow()
+        frequent = rows["word"].combine_chunks().cast(pa.binary())
+        logs = np.log10((rows["c"].to_numpy() + 0.5) / mass)
 
     tree, longest, distant = grow(training, counts, mass, depth, least, entry, group), 0, None
-    near, values, known, reach = np.zeros(0, np.uint64), np.zeros(0), None, None
+    near, known, reach = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None
     if tree is not None:
         retained = tree.filter(F.col("v").isNotNull())
         longest = retained.agg(F.max("length")).first()[0] or 0
@@ -342,12 +364,10 @@ def score(
         known, reach = bitmap(table), bitmap(tree)
         if inside is not None:
             rows = table.filter(inside).select("h", "v").toPandas()
-            near = rows["h"].to_numpy(np.int64).view(np.uint64)
-            order = np.argsort(near)
-            near, values = near[order], rows["v"].to_numpy(float)[order]
+            near = Values(rows["h"].to_numpy(np.int64).view(np.uint64), rows["v"].to_numpy(float))
 
-    logs = {w: float(np.log10((c + 0.5) / mass)) for w, c in frequent.items()}
-    model = spark.sparkContext.broadcast((logs, near, values, known, reach, longest))
+    logs = np.append(logs, np.nan)
+    model = spark.sparkContext.broadcast((frequent, logs, near, known, reach, longest))
     given = docs.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")
     )

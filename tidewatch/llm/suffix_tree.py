@@ -22,10 +22,11 @@ and joins then drop; where a corpus fills them, more rows are shuffled, with the
 """
 
 from collections.abc import Callable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +37,7 @@ BEGIN = 0x9E3779B97F4A7C15  # the beginning of a text
 FLUSH = 400_000
 _ROWS = 1 << 20
 _GLOBAL = 2
+_USUAL = 48  # bytes of a word
 _MAP = 26  # log2 of a bitmap's bits
 _STEP = 0xBF58476D1CE4E5BB  # 3 modulo 8, so that words that change places change the hash
 _BACK = pow(_STEP, -1, 1 << 64)
@@ -48,25 +50,40 @@ _GROWN_TYPE = pa.schema([
 ])
 
 
-def tokens(body: bytes | None) -> list[bytes]:
-    return (body or b"").lower().split()
+def spelled(bodies: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of binary texts in lower case, all words as their numbers, each text's first place."""
+    texts = pc.ascii_lower(pc.fill_null(bodies, b"").view(pa.string()))
+    lists = pc.ascii_split_whitespace(texts)
+    found = lists.flatten().dictionary_encode()
+    kinds, codes = found.dictionary.view(pa.binary()), found.indices.to_numpy()
+    # Breaks at either end of a text leave an empty word there.
+    real = codes != pc.index(kinds, b"").as_py()
+    starts = np.append(0, np.cumsum(real))[lists.offsets.to_numpy()[:-1]]
+    return kinds, codes[real], starts
 
 
 # --- word sequences ----------------------------------------------------------------------
 
 
-class Hashes(dict):
-    """64-bit hashes of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > FLUSH:
-            self.clear()
-        self[word] = found = word_hash(word)
-        return found
-
-
-def word_hash(word: bytes) -> int:
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of binary words, those of usual length eight bytes at a time for all together."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    starts, sizes = ends[:-1], np.diff(ends)
+    data = np.frombuffer(data or b"", np.uint8)
+    found = mixed(sizes.astype(np.uint64) + np.uint64(BEGIN))
+    at = np.flatnonzero(sizes <= _USUAL)
+    for j in range(0, _USUAL, 8):
+        at = at[sizes[at] > j]
+        if not len(at):
+            break
+        spots = np.arange(j, j + 8)
+        eight = data[np.minimum(starts[at][:, None] + spots, len(data) - 1)]
+        eight[spots >= sizes[at][:, None]] = 0
+        found[at] = mixed(found[at] * np.uint64(_STEP) ^ eight.view(np.uint64)[:, 0])
+    for i in np.flatnonzero(sizes > _USUAL).tolist():
+        found[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i + 1]].tobytes())
+    return mixed(found)
 
 
 def mixed(found: np.ndarray) -> np.ndarray:
@@ -112,28 +129,37 @@ class Places:
         return ends[may(known, self.hashes(ends - 1, width))]
 
 
-def flat(texts: list[list[bytes]], hashes: Hashes) -> Places:
-    out, starts = [], []
-    end = hashes[END]
-    for words in texts:
-        starts.append(len(out))
-        out.append(BEGIN)
-        out += [hashes[w] for w in words]
-        out.append(end)
-    return Places(np.array(out, np.uint64), np.array(starts, np.int64))
+def numbered(bodies: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """spelled() with an end after each text, the last of the words, and a beginning, numbered after it."""
+    kinds, codes, starts = spelled(bodies)
+    kinds = pa.concat_arrays([kinds, pa.array([END], pa.binary())])
+    texts = np.arange(len(starts))
+    sizes = np.diff(np.append(starts, len(codes)))
+    out = np.full(len(codes) + 2 * len(starts), len(kinds) - 1, np.int32)
+    out[np.arange(len(codes)) + np.repeat(2 * texts + 1, sizes)] = codes
+    starts = starts + 2 * texts
+    out[starts] = len(kinds)
+    return kinds, out, starts
+
+
+def hashes_of(kinds: pa.Array) -> np.ndarray:
+    """Hashes by the numbers of numbered()."""
+    return np.append(word_hashes(kinds), np.uint64(BEGIN))
 
 
 def _encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each block of texts: distinct hashes, words as their numbers, beginnings."""
-    hashes = Hashes()
+    """A row for each block of texts: hashes of distinct words, words as their numbers, beginnings."""
     for part in parts:
-        block = flat([tokens(b) for b in part.column(0).to_pylist()], hashes)
-        yield _block(block.words, block.starts)
+        kinds, codes, starts = numbered(part.column(0))
+        yield _row(hashes_of(kinds), codes, starts)
 
 
 def _block(words: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
     kinds, codes = np.unique(words, return_inverse=True)
-    blobs = (kinds, codes.astype(np.int32), starts)
+    return _row(kinds, codes.astype(np.int32), starts)
+
+
+def _row(*blobs: np.ndarray) -> pa.RecordBatch:
     return rows(("kinds", "codes", "starts"), *[[b.tobytes()] for b in blobs])
 
 
@@ -180,6 +206,32 @@ def stored(df: DataFrame, purpose: str, used: list[str] | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(folder)
 
 
+class Values:
+    """Values of hashes, found by the highest bits."""
+
+    def __init__(self, hashes: np.ndarray, values: np.ndarray):
+        order = np.argsort(hashes)
+        bits = max(len(hashes).bit_length(), 1)
+        self.shift = np.uint64(64 - bits)
+        heads = np.arange(1 << bits, dtype=np.uint64) << self.shift
+        self.first = np.searchsorted(hashes[order], heads).astype(np.int32)
+        # One more that no search passes.
+        self.hashes = np.append(hashes[order], ~np.uint64(0))
+        self.values = np.append(values[order], 0.0)
+
+    def __len__(self) -> int:
+        return len(self.hashes) - 1
+
+    def places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each hash is among the values, and whether it is."""
+        at = self.first[wanted >> self.shift]
+        lower = np.flatnonzero(self.hashes[at] < wanted)
+        while len(lower):
+            at[lower] += 1
+            lower = lower[self.hashes[at[lower]] < wanted[lower]]
+        return at, (self.hashes[at] == wanted) & (at < len(self))
+
+
 # --- bitmaps -----------------------------------------------------------------------------
 
 
@@ -537,8 +589,7 @@ def _tested(names, total, h, n, c, prior, length: int, least: int) -> tuple[dict
 
 def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
-        found = np.array([word_hash(w) for w in part.column(0).to_pylist()], np.uint64)
-        yield rows(("h", "n"), mixed(found).view(np.int64), part.column(1))
+        yield rows(("h", "n"), mixed(word_hashes(part.column(0))).view(np.int64), part.column(1))
 
 
 def grow(
