@@ -29,10 +29,10 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def batches(spark: SparkSession, rows: int) -> None:
+def batches(spark: SparkSession, rows: int, size: int = 32 << 20) -> None:
     """Bound what one Arrow batch holds, by rows and by bytes, for the Python stages."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     spark.conf.set("spark.sql.execution.arrow.pyspark.enabled", "true")
 
 

@@ -37,6 +37,7 @@ from .suffix_tree import (
     may,
     numbered,
     stored,
+    word_hashes,
 )
 
 _OTHER = 0
@@ -283,11 +284,13 @@ def _scored(model):
                 continue
             keys, of = part.column(0), part.column(1)
             kinds, codes, starts = numbered(part.column(2))
-            block = Places(hashes_of(kinds)[codes], starts)
+            hashes = hashes_of(kinds)
+            block = Places(hashes[codes], starts)
             gains, distant = _gains(block, near, known, reach, longest)
             # By word, null where memory does not know it; a beginning is not a token.
-            place = pc.fill_null(pc.index_in(kinds, value_set=frequent), len(logs) - 1).to_numpy()
-            logs_of = np.append(logs[place], 0.0)[codes]
+            at, hit = logs.places(hashes[:-1])
+            hit &= pc.equal(frequent.take(pa.array(at)), kinds).to_numpy(zero_copy_only=False)
+            logs_of = np.append(np.where(hit, logs.values[at], np.nan), 0.0)[codes]
             rare = np.isnan(logs_of)
             sizes = np.diff(np.append(starts, len(codes))) - 1
             whole = pa.StructArray.from_arrays([
@@ -331,11 +334,11 @@ def score(
     Documents for which ``held`` is not true train the model. Null and empty texts consist of
     their end. Repeated rows each train the model and each return a row. Without training texts
     every token has the same base probability. Keys are long, or null. Without rows there is no row.
-    A long text is one row of a block of 1,024 texts at most and is read whole. Other columns, whatever
+    A long text is one row of a block of 256 texts at most and is read whole. Other columns, whatever
     their names, are not read and not returned.
     """
     spark = docs.sparkSession
-    batches(spark, 1024)
+    batches(spark, 256, 8 << 20)
     fold = F.coalesce(held, F.lit(False))
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     training = docs.filter(~fold).select(body.alias("body"))
@@ -344,11 +347,10 @@ def score(
     often, by_bin = most_frequent(counts, "c", common)
     total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
     mass = total + 0.5 * (distinct + 1)
-    frequent, logs = pa.array([], pa.binary()), np.zeros(0)
+    frequent, c = pa.array([], pa.binary()), np.zeros(0)
     if often is not None:
         rows = counts.filter(often).toArrow()
-        frequent = rows["word"].combine_chunks().cast(pa.binary())
-        logs = np.log10((rows["c"].to_numpy() + 0.5) / mass)
+        frequent, c = rows["word"].combine_chunks().cast(pa.binary()), rows["c"].to_numpy()
 
     tree, longest, distant = grow(training, counts, mass, depth, least, entry, group), 0, None
     near, known, reach = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None
@@ -363,10 +365,14 @@ def score(
         distant = table.filter(~inside) if inside is not None else table
         known, reach = bitmap(table), bitmap(tree)
         if inside is not None:
-            rows = table.filter(inside).select("h", "v").toPandas()
-            near = Values(rows["h"].to_numpy(np.int64).view(np.uint64), rows["v"].to_numpy(float))
-
-    logs = np.append(logs, np.nan)
+            rows = table.filter(inside).select("h", "v").toArrow()
+            near = Values(rows["h"].to_numpy().view(np.uint64), rows["v"].to_numpy())
+            del rows
+
+    hashes = word_hashes(frequent)
+    logs = Values(hashes, np.log10((c + 0.5) / mass))
+    # In the order of their logs, and one more for the hashes that are above all others.
+    frequent = pa.concat_arrays([frequent.take(pa.array(np.argsort(hashes))), pa.array([END], pa.binary())])
     model = spark.sparkContext.broadcast((frequent, logs, near, known, reach, longest))
     given = docs.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")

@@ -35,7 +35,7 @@ from ..session import remove_folder, work_folder
 END = b""  # the end of a text, counted as a token
 BEGIN = 0x9E3779B97F4A7C15  # the beginning of a text
 FLUSH = 400_000
-_ROWS = 1 << 20
+_ROWS = 1 << 19
 _GLOBAL = 2
 _USUAL = 48  # bytes of a word
 _MAP = 26  # log2 of a bitmap's bits
@@ -156,13 +156,19 @@ def _encoded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _block(words: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
     kinds, codes = np.unique(words, return_inverse=True)
-    return _row(kinds, codes.astype(np.int32), starts)
+    return _row(kinds, codes, starts)
 
 
-def _row(*blobs: np.ndarray) -> pa.RecordBatch:
+def _row(kinds: np.ndarray, codes: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    blobs = (kinds, codes.astype(_width(kinds)), starts)
     return rows(("kinds", "codes", "starts"), *[[b.tobytes()] for b in blobs])
 
 
+def _width(kinds: np.ndarray) -> type:
+    """Of numbers of so many kinds."""
+    return np.uint16 if len(kinds) <= 1 << 16 else np.uint32
+
+
 def _remaining(length: int, known):
     """Blocks of the texts that still have one of the contexts, with a word in front."""
 
@@ -188,8 +194,8 @@ def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[Places]:
     for part in parts:
         for i in range(part.num_rows):  # one at a time, as a batch holds many
             kinds, codes, starts = (column[i].as_buffer() for column in part.columns)
-            words = np.frombuffer(kinds, np.uint64)[np.frombuffer(codes, np.int32)]
-            yield Places(words, np.frombuffer(starts, np.int64))
+            kinds = np.frombuffer(kinds, np.uint64)
+            yield Places(kinds[np.frombuffer(codes, _width(kinds))], np.frombuffer(starts, np.int64))
 
 
 def rows(names: tuple[str, ...], *columns) -> pa.RecordBatch:
@@ -436,12 +442,12 @@ def _windows(length: int, width: int, known, often, groups: int):
         ends = np.append(cuts[1:], len(of))
         for a, b in zip(cuts.tolist(), ends.tolist()):
             kinds, codes = np.unique(table[a:b], return_inverse=True)
-            codes = codes.astype(np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
+            codes = codes.astype(_width(kinds))
             yield rows(("spot", "kinds", "codes"), [int(of[a])], [kinds.tobytes()], [codes.tobytes()])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        most = (32 << 20) // (8 * (width + 3))
+        most = (16 << 20) // (8 * (width + 3))
 
         def merged():
             key, table = map(np.concatenate, zip(*held))
@@ -490,7 +496,7 @@ def _subtrees(length: int, width: int, least: int, entry: int):
         held = []
         for kinds, codes in zip(left["kinds"].to_pylist(), left["codes"].to_pylist()):
             kinds = np.frombuffer(kinds, np.uint64)
-            codes = np.frombuffer(codes, np.uint16 if len(kinds) <= 1 << 16 else np.uint32)
+            codes = np.frombuffer(codes, _width(kinds))
             held.append(kinds[codes].reshape(-1, width + 3))
         table = np.concatenate(held)
         known_c = np.unique(right["c"].to_numpy()).view(np.uint64)
