@@ -41,6 +41,7 @@ from .suffix_tree import (
 )
 
 _OTHER = 0
+_SENT = 1 << 14  # rows of a batch on its way back
 
 
 def held_out(key: Column, of: int, remainder: int) -> Column:
@@ -69,10 +70,10 @@ def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = [merged()]
             size = held[0].num_rows
             if size > FLUSH:
-                yield from held[0].to_batches()
+                yield from held[0].to_batches(_SENT)
                 held, size = [], 0
     if held:
-        yield from merged().to_batches()
+        yield from merged().to_batches(_SENT)
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -338,7 +339,7 @@ def score(
     their names, are not read and not returned.
     """
     spark = docs.sparkSession
-    batches(spark, 256, 8 << 20)
+    batches(spark, 256, 1 << 20)
     fold = F.coalesce(held, F.lit(False))
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     training = docs.filter(~fold).select(body.alias("body"))

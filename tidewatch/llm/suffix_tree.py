@@ -332,8 +332,8 @@ def _transitions(length: int, known, width: int, repeated):
         return h, c[first], s[first], np.bincount(place, n, len(h)).astype(np.int64)
 
     def out(part: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(part[0]), _ROWS // 16):
-            yield rows(("h", "c", "s", "n"), *[c[at : at + _ROWS // 16].view(np.int64) for c in part])
+        for at in range(0, len(part[0]), _ROWS // 32):
+            yield rows(("h", "c", "s", "n"), *[c[at : at + _ROWS // 32].view(np.int64) for c in part])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
