@@ -29,6 +29,7 @@ from .common import batches
 from .suffix_tree import (
     END,
     FLUSH,
+    SENT,
     Places,
     Values,
     bitmap,
@@ -41,7 +42,6 @@ from .suffix_tree import (
 )
 
 _OTHER = 0
-_SENT = 1 << 14  # rows of a batch on its way back
 
 
 def held_out(key: Column, of: int, remainder: int) -> Column:
@@ -70,10 +70,10 @@ def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = [merged()]
             size = held[0].num_rows
             if size > FLUSH:
-                yield from held[0].to_batches(_SENT)
+                yield from held[0].to_batches(SENT)
                 held, size = [], 0
     if held:
-        yield from merged().to_batches(_SENT)
+        yield from merged().to_batches(SENT)
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -36,6 +36,7 @@ END = b""  # the end of a text, counted as a token
 BEGIN = 0x9E3779B97F4A7C15  # the beginning of a text
 FLUSH = 400_000
 _ROWS = 1 << 19
+SENT = 1 << 14  # rows of a batch on its way back
 _GLOBAL = 2
 _USUAL = 48  # bytes of a word
 _MAP = 26  # log2 of a bitmap's bits
@@ -332,8 +333,8 @@ def _transitions(length: int, known, width: int, repeated):
         return h, c[first], s[first], np.bincount(place, n, len(h)).astype(np.int64)
 
     def out(part: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(part[0]), _ROWS // 32):
-            yield rows(("h", "c", "s", "n"), *[c[at : at + _ROWS // 32].view(np.int64) for c in part])
+        for at in range(0, len(part[0]), SENT):
+            yield rows(("h", "c", "s", "n"), *[c[at : at + SENT].view(np.int64) for c in part])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -347,10 +348,10 @@ def _transitions(length: int, known, width: int, repeated):
             ends = ends[first]
             held.append((h, block.hashes(ends - 1, length), block.hashes(ends, length), n))
             size += len(h)
-            if size > _ROWS:
+            if size > 2 * _ROWS:
                 held = [merged(held)]
                 size = len(held[0][0])
-                if size > _ROWS // 2:
+                if size > _ROWS:
                     yield from out(held[0])
                     held, size = [], 0
         if held:
