@@ -117,3 +117,32 @@ def test_repeated_and_long_documents_leave_the_sample_whole(spark, monkeypatch):
     toxicity.fit(docs, labels.union(more), positives=130, negatives=130, longest=longest)
     assert len(taken) == 260 and max(map(len, taken)) <= longest
     assert max(map(len, seen)) <= 260
+
+
+def test_every_labelled_text_trains_wholly(spark):
+    """All texts are long; no part of them is drawn."""
+    dice, rows = random.Random(10), []
+    for i in range(400):
+        words = dice.choices(NICE, k=4500)
+        for _ in range(5 * (i % 2)):
+            words[dice.randrange(4500)] = "grumble"
+        rows.append((i, " ".join(words), "en", i % 2))
+    assert min(len(r[1]) for r in rows) > 20_000
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows if r[0] % 5], "doc_id long, toxic int")
+    net = toxicity.fit(documents(spark, [r[:3] for r in rows]), labels)
+    score = net.scores([r[1] for r in rows if r[0] % 5 == 0])
+    assert score[1::2].min() > score[::2].max()
+
+
+def test_blocks_hold_every_document_once(spark, monkeypatch):
+    """With its share of the weight where rows repeat; averaged over small blocks the network still tells."""
+    rows = corpus(300, 11)
+    docs = documents(spark, [r[:3] for r in rows] + [rows[0][:3]] * 50 + [(None, "x", "en")])
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(0, None), (10**9, 1)], "doc_id long, toxic int")
+    seen, made = [], toxicity._learned
+    monkeypatch.setattr(toxicity, "_learned", lambda labelled: seen.append(labelled) or made(labelled, 120))
+    net = toxicity.fit(docs, labels)
+    assert np.allclose(sum(r.weight for r in seen[0].collect()), 300)
+    sizes = [len(r.lang) for r in seen[0].mapInArrow(toxicity._encoded(120), toxicity._ENCODED).collect()]
+    assert sum(sizes) == 350 and max(sizes) == 120
+    assert accuracy(net, corpus(200, 12)) > 0.93

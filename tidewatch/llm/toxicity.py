@@ -2,27 +2,31 @@
 
 Words are hashed into an embedding table; filters of several widths run over the whole text, the
 strongest response of each filter counts (max pooling), and a logistic layer scores these. The
-network is trained in numpy on a bounded sample of labelled documents, its scores are calibrated
-to probabilities on the part of the sample left out of training, and a threshold is chosen there
-for each language. Scoring runs where the texts are; only the model travels.
+network is trained in numpy on all labelled documents, in blocks where the texts are, whose moves
+are averaged round by round. Its scores are calibrated to probabilities on a fifth of the documents
+left out of training, and a threshold is chosen there for each language. Only the model travels.
 """
 
 import zlib
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import batches, cut, own_names
+from .suffix_tree import stored
 
 BUCKETS = 1 << 20
 WIDTHS = (1, 2, 3)
 _PADS = max(WIDTHS) - 1
 _WORD = regex.compile(r"\w+").findall
 _REMEMBERED = 200_000
+_STEPS = 120_000  # texts to learn from, repeats included, before three rounds are enough
 
 
 #: Beginnings of a word that are hashed beside the word itself, so that inflected forms share.
@@ -123,10 +127,42 @@ class Network:
         slots, starts = _flat(texts, lexicon)
         known = np.concatenate((known, self.vectors(lexicon.rows[len(known) :])))
         self._memory = lexicon, known
-        vectors = known[slots]
+        return self.pooled(known[slots], starts)
+
+    def pooled(self, vectors: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Logits of texts whose words have these meanings."""
         tops = [np.maximum.reduceat(self.responses(vectors, starts, k), starts) for k in WIDTHS]
         return np.maximum(np.concatenate(tops, axis=1), 0) @ self.weight + self.offset
 
+    def dense(self) -> np.ndarray:
+        """All parameters but the embedding, one after the other."""
+        return self.flat({"weight": self.weight, "offset": self.offset}
+                         | {("filters", k): self.filters[k] for k in WIDTHS}
+                         | {("bias", k): self.bias[k] for k in WIDTHS})
+
+    def flat(self, values: dict) -> np.ndarray:
+        names = ["weight", "offset", *[(n, k) for k in WIDTHS for n in ("filters", "bias")]]
+        return np.concatenate([np.ravel(values[n]) for n in names]).astype(float)
+
+    def named(self, values: np.ndarray) -> dict:
+        """Parts of what flat() has put together, by name."""
+        shapes = {"weight": self.weight.shape, "offset": ()}
+        for k in WIDTHS:
+            shapes["filters", k], shapes["bias", k] = self.filters[k].shape, self.bias[k].shape
+        out, at = {}, 0
+        for name, shape in shapes.items():
+            size = int(np.prod(shape))
+            out[name] = values[at : at + size].reshape(shape)
+            at += size
+        return out
+
+    def settle(self, values: np.ndarray) -> None:
+        """Take the parameters that dense() gives."""
+        parts = self.named(values.astype(np.float32))
+        self.weight, self.offset = parts["weight"], float(parts["offset"])
+        self.filters = {k: parts["filters", k] for k in WIDTHS}
+        self.bias = {k: parts["bias", k] for k in WIDTHS}
+
     def scores(self, texts: list[str]) -> np.ndarray:
         logits = self.scale * self.logits(texts).astype(float) + self.shift
         return 1 / (1 + np.exp(-np.clip(logits, -60, 60)))
@@ -268,7 +304,7 @@ def train(
     return net
 
 
-def fit(
+def fit_sample(
     docs: DataFrame,
     labels: DataFrame,
     *,
@@ -277,7 +313,7 @@ def fit(
     longest: int = 20_000,
     seed: int = 1,
 ) -> Network:
-    """Train on labelled documents (doc_id, text, lang) with labels (doc_id, toxic).
+    """Train in memory on a bounded sample of labelled documents (doc_id, text, lang); see fit().
 
     The sample has at most so many documents of either label, drawn by a hash of their ids from
     those with a text up to ``longest`` characters; each stands for its share of all labelled
@@ -310,6 +346,297 @@ def fit(
     return train(rows["text"].tolist(), target, importance, rows["lang"].tolist())
 
 
+# --- training where the texts are ------------------------------------------------------
+
+_BLOCK_WORDS = 4_000_000
+_STEP_WORDS = 200_000  # words of a step, or one text
+_FINE = 1 << 20  # sums of whole numbers do not depend on their order
+_BINS = 256  # bins of a logit's unit
+_ENCODED = (
+    "buckets binary, codes binary, starts binary, target binary, weight binary, aside binary, lang array<string>"
+)
+_MOVED = ["bucket", "w", "s", *[f"d{i}" for i in range(8)]]
+
+
+def _encoded(most: int):
+    """A row for each block of documents: buckets of its words, texts as numbers of words, labels."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row() -> pa.RecordBatch:
+            target, weight, aside, lang = (pa.concat_arrays(c) for c in zip(*marks))
+            blobs = (
+                np.array(lexicon.rows, np.int32), np.concatenate(codes), np.array(starts, np.int64),
+                target.to_numpy(), weight.to_numpy(), aside.to_numpy(),
+            )
+            columns = [pa.array([b.tobytes()], pa.binary()) for b in blobs] + [pa.array([lang.to_pylist()])]
+            names = [n.split()[0] for n in _ENCODED.split(", ")]
+            return pa.RecordBatch.from_arrays(columns[:-1] + [columns[-1].cast(pa.list_(pa.string()))], names=names)
+
+        lexicon, codes, starts, marks, size = _Lexicon(), [], [], [], 0
+        for part in parts:
+            for i in range(part.num_rows):
+                slots, _ = _flat([part.column(0)[i].as_py() or ""], lexicon)
+                codes.append(slots.astype(np.int32))
+                starts.append(size)
+                marks.append([c.slice(i, 1) for c in part.columns[1:]])
+                size += len(slots)
+                if len(codes) >= most or size >= _BLOCK_WORDS:
+                    yield row()
+                    lexicon, codes, starts, marks, size = _Lexicon(), [], [], [], 0
+        if codes:
+            yield row()
+
+    return run
+
+
+class _Block:
+    """Documents of an encoded row; ``near`` are the block's known buckets, the first one none."""
+
+    def __init__(self, part: pa.RecordBatch, i: int, known: np.ndarray | None = None):
+        kinds = (np.int32, np.int32, np.int64, np.float64, np.float64, np.int32)
+        found = [np.frombuffer(c[i].as_buffer(), k) for c, k in zip(part.columns, kinds)]
+        buckets, self.codes, self.starts, self.target, self.weight, self.aside = found
+        self.buckets = buckets.reshape(-1, 1 + len(_STEMS))
+        self.lang = part.column(6)[i]
+        self.ends = np.append(self.starts[1:], len(self.codes))
+        if known is not None:
+            near, rows = np.unique(np.where(known[self.buckets], self.buckets, 0), return_inverse=True)
+            # Padding has bucket 0, so that this is always the first.
+            self.near, self.rows = near, rows.reshape(self.buckets.shape)
+
+    def batches(self, chosen: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Documents, their words and where each begins, at most so many documents at a time."""
+        held, size = [], 0
+        for i in chosen.tolist():
+            words = int(self.ends[i] - self.starts[i])
+            if held and (len(held) == most or size + words > _STEP_WORDS):
+                yield self.together(held)
+                held, size = [], 0
+            held.append(i)
+            size += words
+        if held:
+            yield self.together(held)
+
+    def together(self, held: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parts = [self.codes[self.starts[i] : self.ends[i]] for i in held]
+        starts = np.cumsum([0, *[len(p) for p in parts[:-1]]])
+        return np.array(held), np.concatenate(parts).astype(np.int64), starts
+
+
+def _blocks(parts: Iterator[pa.RecordBatch], known: np.ndarray | None = None) -> Iterator[_Block]:
+    for part in parts:
+        for i in range(part.num_rows):
+            yield _Block(part, i, known)
+
+
+def _met(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of a block a bucket is."""
+    for block in _blocks(parts):
+        seen = np.zeros(BUCKETS, np.int32)
+        for a, b in zip(block.starts.tolist(), block.ends.tolist()):
+            seen[np.unique(block.buckets[np.unique(block.codes[a:b])])] += 1
+        buckets = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(buckets.astype(np.int32)), pa.array(seen[buckets])], names=["bucket", "n"]
+        )
+
+
+def _moved(model, epoch: int, batch: int, balance: tuple[float, float]):
+    """How far the documents of each block move the network, beginning from the common one."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, embedded, dense = model.value
+        before = common.dense()
+        for block in _blocks(parts, common.known):
+            fit = np.flatnonzero(block.aside == 0)
+            if not len(fit):
+                continue
+            net = replace(
+                common, embedding=common.embedding[block.near], _memory=None,
+                filters=dict(common.filters), bias=dict(common.bias),
+            )
+            start = net.embedding.copy()
+            pace = np.repeat(embedded[block.near][:, None], start.shape[1], axis=1)
+            speed = {"embedding": pace.copy(), **net.named(dense)}
+            np.random.default_rng((3, epoch)).shuffle(fit)
+            importance = block.weight * np.where(block.target > 0, *balance)
+            rate = 0.1 / (1 + epoch / 2)
+            for chosen, slots, starts in block.batches(fit, batch):
+                net.learn(slots, starts, block.rows, block.target[chosen], importance[chosen], speed, rate)
+            weight = len(fit)
+            gone, paces = net.embedding - start, (speed["embedding"] - pace).mean(axis=1)
+            touched = np.flatnonzero((paces > 0) & (block.near > 0))
+            ids = np.concatenate((block.near[touched], -1 - np.arange(len(before))))
+            steps = np.zeros((len(ids), 8))
+            steps[: len(touched)] = gone[touched]
+            steps[len(touched) :, 0] = net.dense() - before
+            faster = np.concatenate((paces[touched], net.flat(speed) - dense))
+            whole = np.rint(np.column_stack((faster, steps)) * (weight * _FINE)).astype(np.int64)
+            columns = [ids.astype(np.int64), np.full(len(ids), weight, np.int64), *whole.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=_MOVED)
+
+    return run
+
+
+def _judged(model, every: bool):
+    """Logits of the documents left out of training, or of every one, in bins."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = model.value
+        for block in _blocks(parts, common.known):
+            wanted = np.flatnonzero((block.aside > 0) | every)
+            net = replace(common, embedding=common.embedding[block.near], _memory=None)
+            known = net.embedding[block.rows].sum(axis=1)
+            for chosen, slots, starts in block.batches(wanted, 1024):
+                logits = net.pooled(known[slots], starts).astype(float)
+                bins = np.rint(np.clip(logits, -1000, 1000) * _BINS).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [block.lang.values.take(pa.array(chosen)), *map(pa.array, (
+                        block.target[chosen] > 0, bins, np.rint(block.weight[chosen] * _FINE).astype(np.int64),
+                    ))], names=["lang", "toxic", "bin", "w"],
+                )
+
+    return run
+
+
+def _learned(
+    labelled: DataFrame,
+    block: int = 8192,
+    *,
+    batch: int = 32,
+    least_documents: int = 3,
+    least_positives: int = 20,
+) -> Network:
+    """Train on all rows (text, toxic, weight, aside, lang), where they are.
+
+    In each round every block, of at most so many documents, trains from the common network, and the moves are
+    averaged: of a bucket over the blocks that move it, of the rest over all. Only these sums, as
+    large as the network, come to the driver. Many documents take three rounds, few up to six.
+    """
+    spark = labelled.sparkSession
+    context = spark.sparkContext
+    blocks = stored(labelled.mapInArrow(_encoded(block), _ENCODED), "toxicity")
+    met = blocks.mapInArrow(_met, "bucket int, n int").groupBy("bucket").agg(F.sum("n").alias("n"))
+    often = met.filter(F.col("n") >= least_documents).select("bucket").toArrow()["bucket"].to_numpy()
+    known = np.zeros(BUCKETS, bool)
+    known[often] = True
+    known[0] = False
+    toxic, weight, aside = (F.col(c) for c in ("toxic", "weight", "aside"))
+    sums = {
+        (r.toxic, r.aside): (r.w, r.n)
+        for r in labelled.groupBy((toxic > 0).alias("toxic"), (aside > 0).alias("aside"))
+        .agg(F.sum(F.round(weight * _FINE).cast("long")).alias("w"), F.count("*").alias("n"))
+        .collect()
+    }
+
+    def of(kind: bool, sides=(False, True), which: int = 0) -> float:
+        return sum(sums.get((kind, side), (0, 0))[which] / (1 if which else _FINE) for side in sides)
+
+    hits, others = of(True), of(False)
+    net = Network.fresh(known, (hits + 0.5) / (hits + others + 10))
+    if not hits or not others:
+        net.thresholds = {None: 0.5}
+        net.weight[:] = 0
+        return net
+    share = of(True, (False,)) / max(of(True, (False,)) + of(False, (False,)), 1e-9)
+    balance = 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6)
+    net.offset = 0.0
+    embedded = np.full(BUCKETS, 1e-8, np.float32)
+    dense = np.full(len(net.dense()), 1e-8)
+    rows = of(True, (False,), 1) + of(False, (False,), 1)
+    rounds = int(min(max(_STEPS // max(rows, 1), 3), 6))
+    schema = ", ".join(f"{c} long" for c in _MOVED)
+    for epoch in range(rounds):
+        model = context.broadcast((net, embedded, dense))
+        moves = blocks.mapInArrow(_moved(model, epoch, batch, balance), schema)
+        summed = moves.groupBy("bucket").agg(*[F.sum(c).alias(c) for c in _MOVED[1:]])
+        parts = [(F.col(c) / F.col("w") / _FINE).cast("float").alias(c) for c in _MOVED[2:]]
+        found = summed.select(F.col("bucket").cast("int"), *parts).toArrow()
+        model.destroy()
+        bucket = found["bucket"].to_numpy()
+        faster, *steps = (found[c].to_numpy() for c in _MOVED[2:])
+        words, at = np.flatnonzero(bucket > 0), np.flatnonzero(bucket < 0)
+        net.embedding[bucket[words]] += np.stack(steps, axis=1)[words]
+        embedded[bucket[words]] += faster[words]
+        after = net.dense()
+        after[-1 - bucket[at]] += steps[0][at]
+        dense[-1 - bucket[at]] += faster[at]
+        net.settle(after)
+
+    # The model and its thresholds are checked on the fifth left out, if that has both labels.
+    model = context.broadcast(net)
+    both = all(of(kind, (True,)) for kind in (False, True))
+    judged = blocks.mapInArrow(_judged(model, not both), "lang string, toxic boolean, bin long, w long")
+    binned = cut(judged.groupBy("lang", "toxic", "bin").agg(F.sum("w").alias("w"), F.count("*").alias("n")))
+    model.destroy()
+
+    def arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        rows = sorted(rows, key=lambda r: (r.bin, r.toxic))
+        columns = [[r.bin / _BINS for r in rows], [r.toxic for r in rows], [r.w / _FINE for r in rows]]
+        return tuple(np.array(c, float) for c in columns)
+
+    logits, target, importance = arrays(binned.groupBy("bin", "toxic").agg(F.sum("w").alias("w")).collect())
+    net.scale, net.shift = _calibrate(logits, target, importance)
+
+    def chances(logits: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(net.scale * logits + net.shift, -60, 60)))
+
+    net.thresholds = {None: _threshold(chances(logits), target, importance)}
+    toxic = F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0))
+    clean = F.sum(F.when(F.col("toxic"), 0).otherwise(F.col("n")))
+    spoken = binned.filter("lang != ''").groupBy("lang").agg(toxic.alias("toxic"), clean.alias("clean"))
+    enough = F.least("toxic", "clean") >= least_positives
+    own: dict[str, list] = {}
+    for r in binned.join(spoken.filter(enough).select("lang"), "lang", "left_semi").collect():
+        own.setdefault(r.lang, []).append(r)
+    for lang in sorted(own):
+        logits, target, importance = arrays(own[lang])
+        net.thresholds[lang] = _threshold(chances(logits), target, importance)
+    return net
+
+
+def fit(
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    positives: int | None = None,
+    negatives: int | None = None,
+    longest: int | None = None,
+    seed: int = 1,
+) -> Network:
+    """Train on all labelled documents (doc_id, text, lang) with labels (doc_id, toxic).
+
+    Whole texts of all labelled rows train; rows that repeat a document share its weight. A fifth of
+    the documents, drawn by a hash of their ids, is left out for calibration and thresholds.
+    Contradicting labels of a document count as toxic, null ones not at all. A null text is empty.
+
+    With ``positives`` and ``negatives`` a sample is drawn instead, see fit_sample().
+    """
+    if positives is not None and negatives is not None:
+        bound = {} if longest is None else {"longest": longest}
+        return fit_sample(docs, labels, positives=positives, negatives=negatives, seed=seed, **bound)
+    spark = docs.sparkSession
+    batches(spark, 1024)
+    if longest is not None:
+        docs = docs.filter(F.length("text") <= longest)
+    marked = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic")
+    )
+    # Ids only; the texts are joined once it is known how often each is there.
+    there = cut(docs.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("rows")).join(marked, "doc_id"))
+    rows = there.agg(F.sum("rows")).first()[0] or 0
+    fifth = F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(5)) == 0
+    labelled = docs.select("doc_id", "text", "lang").join(there, "doc_id").select(
+        "text",
+        (F.col("toxic") > 0).cast("double").alias("toxic"),
+        (1 / F.col("rows")).alias("weight"),
+        fifth.cast("int").alias("aside"),
+        "lang",
+    )
+    # Small blocks would move the network by few steps only.
+    return _learned(labelled.coalesce(max(rows // 4000, 1)))
+
+
 def score_column(text: Column, model) -> Column:
     """Calibrated chance that the text is toxic; null counts as empty. ``model`` is a broadcast."""
 
