@@ -309,3 +309,30 @@ def test_values_of_hashes(n):
     at, hit = values.places(asked)
     assert hit.tolist() == np.isin(asked, hashes).tolist() and len(values) == len(hashes)
     assert values.hashes[at[hit]].tolist() == asked[hit].tolist()
+
+
+def test_tables_go_once_nothing_reads_them(spark, monkeypatch):
+    import os
+
+    from tidewatch.llm import suffix_tree
+
+    made, folders, most = suffix_tree.stored, {}, []
+
+    def there():
+        return [purpose for folder, purpose in folders.items() if os.path.exists(folder)]
+
+    def stored(df, purpose, used=None):
+        one = made(df, purpose, used)
+        folders[one.inputFiles()[0].removeprefix("file:").replace("///", "/").rsplit("/", 1)[0]] = purpose
+        most.append(there())
+        return one
+
+    monkeypatch.setattr(suffix_tree, "stored", stored)
+    monkeypatch.setattr(lm, "stored", stored)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    got = scored(documents(spark, language(10, 60)))
+    assert sorted(there()) == ["model", "token-counts"] and spark.conf.get(name) == before
+    assert all(found.count("encoded") <= 2 for found in most) and len(most) > 12
+    assert all(len({"transitions", "encoded"} & set(found)) < 2 or found.count("transitions") == 1 for found in most)
+    assert got.count() == 60

@@ -25,6 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import remove_folder
 from .common import batches
 from .suffix_tree import (
     END,
@@ -38,6 +39,7 @@ from .suffix_tree import (
     may,
     numbered,
     stored,
+    swept,
     word_hashes,
 )
 
@@ -343,32 +345,36 @@ def score(
     fold = F.coalesce(held, F.lit(False))
     body = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
     training = docs.filter(~fold).select(body.alias("body"))
-    counts = stored(token_counts(training, "body"), "token-counts")
-
-    often, by_bin = most_frequent(counts, "c", common)
-    total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
-    mass = total + 0.5 * (distinct + 1)
-    frequent, c = pa.array([], pa.binary()), np.zeros(0)
-    if often is not None:
-        rows = counts.filter(often).toArrow()
-        frequent, c = rows["word"].combine_chunks().cast(pa.binary()), rows["c"].to_numpy()
-
-    tree, longest, distant = grow(training, counts, mass, depth, least, entry, group), 0, None
-    near, known, reach = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None
-    if tree is not None:
-        retained = tree.filter(F.col("v").isNotNull())
-        longest = retained.agg(F.max("length")).first()[0] or 0
-    if longest:
-        # A sequence may be a context and another one's transition.
-        model = retained.groupBy("h").agg(F.max("n").alias("n"), F.sum("v").alias("v"))
-        table = stored(model, "model")
-        inside, _ = most_frequent(table, "n", cached)
-        distant = table.filter(~inside) if inside is not None else table
-        known, reach = bitmap(table), bitmap(tree)
-        if inside is not None:
-            rows = table.filter(inside).select("h", "v").toArrow()
-            near = Values(rows["h"].to_numpy().view(np.uint64), rows["v"].to_numpy())
-            del rows
+    used: list[str] = []
+    with swept(spark):
+        counts = stored(token_counts(training, "body"), "token-counts")
+
+        often, by_bin = most_frequent(counts, "c", common)
+        total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
+        mass = total + 0.5 * (distinct + 1)
+        frequent, c = pa.array([], pa.binary()), np.zeros(0)
+        if often is not None:
+            rows = counts.filter(often).toArrow()
+            frequent, c = rows["word"].combine_chunks().cast(pa.binary()), rows["c"].to_numpy()
+
+        tree, longest, distant = grow(training, counts, mass, depth, least, entry, group, used), 0, None
+        near, known, reach = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None
+        if tree is not None:
+            retained = tree.filter(F.col("v").isNotNull())
+            longest = retained.agg(F.max("length")).first()[0] or 0
+        if longest:
+            # A sequence may be a context and another one's transition.
+            model = retained.groupBy("h").agg(F.max("n").alias("n"), F.sum("v").alias("v"))
+            table = stored(model, "model")
+            inside, _ = most_frequent(table, "n", cached)
+            distant = table.filter(~inside) if inside is not None else table
+            known, reach = bitmap(table), bitmap(tree)
+            if inside is not None:
+                rows = table.filter(inside).select("h", "v").toArrow()
+                near = Values(rows["h"].to_numpy().view(np.uint64), rows["v"].to_numpy())
+                del rows
+        for folder in used:
+            remove_folder(spark, folder)
 
     hashes = word_hashes(frequent)
     logs = Values(hashes, np.log10((c + 0.5) / mass))

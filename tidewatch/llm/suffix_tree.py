@@ -22,6 +22,7 @@ and joins then drop; where a corpus fills them, more rows are shuffled, with the
 """
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -213,6 +214,18 @@ def stored(df: DataFrame, purpose: str, used: list[str] | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def swept(spark: SparkSession):
+    """What is shuffled inside is removed with the query that shuffled it; no frame may run twice there."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Values:
     """Values of hashes, found by the highest bits."""
 
@@ -366,14 +379,16 @@ def _counted(blocks: DataFrame, length: int, known, width: int, repeated=None) -
 
 
 def _learned(
-    length: int, counted: DataFrame, contexts: DataFrame, prior: DataFrame, least: int, used: list[str]
-):
+    length: int, counted: DataFrame, contexts: DataFrame, prior: DataFrame, least: int,
+    used: list[str], spent: list[str],
+):
     """Test and smooth one length: (transitions, contexts).
 
     ``counted`` (h, c, s, n) are transitions often enough, ``contexts`` (c, total) the candidates, ``prior``
-    (s, prior) the probabilities in the next shorter contexts.
+    (s, prior) the probabilities in the next shorter contexts. The folder of the result joins ``used``, those
+    of what leads to it join ``spent``.
     """
-    pairs = stored(counted.join(contexts, "c").join(prior, "s"), "transitions", used)
+    pairs = stored(counted.join(contexts, "c").join(prior, "s"), "transitions", spent)
     share = F.col("n") / F.col("total")
     sums = pairs.groupBy("c").agg(
         F.first("total").alias("size"),
@@ -389,7 +404,7 @@ def _learned(
     rest = F.log10(F.greatest(left, F.lit(1e-12)) / (1 - expected))
     retained = 2 * (F.col("apart") + tail) > kinds + 4 * F.sqrt(2 * kinds)
     tested = stored(
-        sums.select("c", "size", "kinds", "listed", F.when(retained, rest).alias("rest")), "contexts", used
+        sums.select("c", "size", "kinds", "listed", F.when(retained, rest).alias("rest")), "contexts", spent
     )
     smooth = (F.col("n") + kinds * F.col("prior")) / (F.col("total") + kinds)
     kept = F.col("rest").isNotNull()
@@ -399,7 +414,7 @@ def _learned(
             F.when(kept, smooth).otherwise(F.col("prior")).alias("p"),
             F.when(kept, F.log10(smooth / F.col("prior")) - F.col("rest")).alias("v"),
         ),
-        "level", used,
+        "level", spent,
     )
 
     def worth(n: Column, p: Column) -> Column:
@@ -413,7 +428,7 @@ def _learned(
     most = 2 * (F.col("listed_worth") + worth(unlisted, 1 - F.col("stored")))
     judged = stored(
         tested.join(reach, "c").select("c", F.col("size").alias("n"), "rest", (most > _LOWEST).alias("open")),
-        "judged", used,
+        "judged", spent,
     )
     useful = judged.filter(F.col("open") | F.col("rest").isNotNull())
     at = F.lit(length).alias("length")
@@ -600,7 +615,8 @@ def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def grow(
-    bodies: DataFrame, counts: DataFrame, mass: float, depth: int | None, least: int, entry: int, group: int
+    bodies: DataFrame, counts: DataFrame, mass: float, depth: int | None, least: int, entry: int, group: int,
+    used: list[str],
 ) -> DataFrame | None:
     """The tree as rows (length, c, h, n, p, v, open), or None if it has no level.
 
@@ -609,15 +625,17 @@ def grow(
     a text it occurs in, null if its context is not retained: for a context log10 of what is left to
     words not stored with it, for a transition what is different. Each sequence's form without its
     oldest word has a row too, or is a word. ``depth`` None grows until nothing is open. ``group`` bounds
-    the bytes of one context's windows in one task.
+    the bytes of one context's windows in one task. The tree's folders join ``used``; all other tables are
+    removed as soon as nothing reads them.
     """
     spark = bodies.sparkSession
     if depth is not None and depth < 1:
         return None
     context = spark.sparkContext
-    used: list[str] = []
+    spent: list[str] = []
+    encoded: list[str] = []
     blocks = stored(
-        bodies.mapInArrow(_encoded, "kinds binary, codes binary, starts binary"), "encoded", used
+        bodies.mapInArrow(_encoded, "kinds binary, codes binary, starts binary"), "encoded", encoded
     )
     words = counts.select("word", "c").mapInArrow(_hashed, "h long, n long")
     base = words.withColumn("p", (F.col("n") + 0.5) / mass)
@@ -626,25 +644,33 @@ def grow(
         F.lit(first).alias("h"), F.col("c").alias("n"), F.lit(1.0).alias("p")
     )
     places = int(mass)
-    above = stored(base.filter(F.col("n") >= entry).unionByName(begin), "words", used)
+    above = stored(base.filter(F.col("n") >= entry).unionByName(begin), "words", spent)
     candidates = above.filter(F.col("n") >= least).select("h", "n")
-    levels, length = [], 0
-    while length < (_GLOBAL if depth is None else min(depth, _GLOBAL)):
+    levels, length, last = [], 0, _GLOBAL if depth is None else min(depth, _GLOBAL)
+    while length < last:
         length += 1
         known = context.broadcast(bitmap(candidates))
         after = _Next(length, known)
         repeated = context.broadcast(frequent(blocks, after, entry, places))
+        # On its own, so that the joins do not lie beside what is shuffled here.
         counted = _counted(blocks, length, known, length, repeated).filter(F.col("n") >= entry)
+        counted = stored(counted, "counted", spent)
         level, found = _learned(
             length, counted,
             candidates.select(F.col("h").alias("c"), F.col("n").alias("total")),
-            above.select(F.col("h").alias("s"), F.col("p").alias("prior")), least, used,
+            above.select(F.col("h").alias("s"), F.col("p").alias("prior")), least, used, spent,
         )
         known.destroy(), repeated.destroy()
         levels.append(found)
-        above = level
-        opened = found.filter("c IS NULL AND open").select(F.col("h").alias("s"))
-        candidates = level.filter(F.col("n") >= least).join(opened, "s", "left_semi").select("h", "n")
+        kept: list[str] = []
+        if length < last:
+            # Shorter forms of candidates are open contexts, so only these are asked for again.
+            above = found.filter("c IS NOT NULL AND open")
+            opened = found.filter("c IS NULL AND open").select(F.col("h").alias("s"))
+            often = level.filter(F.col("n") >= least).join(opened, "s", "left_semi")
+            candidates = stored(often.select("h", "n"), "candidates", kept)
+        _removed(spark, spent)
+        spent += kept
 
     width = 2
     while depth is None or length < depth:
@@ -664,8 +690,10 @@ def grow(
         parts = []
         if length > _GLOBAL:
             known = context.broadcast(bitmap(contexts.select("h")))
-            blocks = stored(blocks.mapInArrow(_remaining(length, known), blocks.schema), "encoded", used)
+            before, encoded = encoded, []
+            blocks = stored(blocks.mapInArrow(_remaining(length, known), blocks.schema), "encoded", encoded)
             known.destroy()
+            _removed(spark, before)
         if size.small:
             parts.append(_in_groups(blocks, found, length, width, least, entry, most, size.small, places, used))
         if size.hot:
@@ -687,12 +715,16 @@ def grow(
     tree = levels[0]
     for found in levels[1:]:
         tree = tree.unionByName(found)
-    tree = stored(tree, "suffix-tree")
-    for folder in used:
-        remove_folder(spark, folder)
+    _removed(spark, encoded + spent)
     return tree
 
 
+def _removed(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        remove_folder(spark, folder)
+    folders.clear()
+
+
 class _Next:
     """Hashes of the contexts that may be known, each with the next word."""
 
@@ -738,9 +770,11 @@ def _in_groups(blocks, found, length, width, least, entry, most, total, places,
 def _by_step(blocks, step, length, least, entry, used) -> DataFrame:
     """The open contexts in ``step``, one word longer."""
     known = blocks.sparkSession.sparkContext.broadcast(bitmap(step.filter("c IS NULL").select("h")))
-    counted = stored(_counted(blocks, length, known, length - 1), "counted", used)
+    spent: list[str] = []
+    counted = stored(_counted(blocks, length, known, length - 1), "counted", spent)
     totals = counted.groupBy("c").agg(F.sum("n").alias("total")).filter(F.col("total") >= least)
     prior = step.filter("c IS NOT NULL").select(F.col("h").alias("s"), F.col("p").alias("prior"))
-    _, found = _learned(length, counted.filter(F.col("n") >= entry), totals, prior, least, used)
+    _, found = _learned(length, counted.filter(F.col("n") >= entry), totals, prior, least, used, spent)
     known.destroy()
+    _removed(blocks.sparkSession, spent)
     return found
