@@ -336,3 +336,57 @@ def test_tables_go_once_nothing_reads_them(spark, monkeypatch):
     assert all(found.count("encoded") <= 2 for found in most) and len(most) > 12
     assert all(len({"transitions", "encoded"} & set(found)) < 2 or found.count("transitions") == 1 for found in most)
     assert got.count() == 60
+
+
+def test_values_come_to_the_driver_in_parts(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tidewatch.llm import suffix_tree
+
+    rows, to_arrow, most = documents(spark, language(17, 150)), DataFrame.toArrow, []
+
+    def arrived(df):
+        found = to_arrow(df)
+        if "v" in df.columns:
+            most.append(sum(len(v) // 8 if isinstance(v, bytes) else 1 for v in found["v"].to_pylist()))
+        return found
+
+    made = suffix_tree.Values.ordered
+    values = []
+    monkeypatch.setattr(DataFrame, "toArrow", arrived)
+    monkeypatch.setattr(
+        suffix_tree.Values, "ordered", lambda *arrays: (values.append(made(*arrays)), values[-1])[1]
+    )
+    scored(rows, least=4).count()
+    # About a quarter at a time.
+    (near,) = values
+    assert len(near) > 100 and len(most) == 4 and sum(most) == len(near) and max(most) < 0.4 * len(near)
+    assert (np.diff(near.hashes.astype(object)) > 0).all()
+    assert near.hashes[-1] == ~np.uint64(0) and near.values[-1] == 0
+
+
+def test_only_sequences_that_may_be_joined_are_sent(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    from tidewatch.llm import suffix_tree
+
+    dice = np.random.default_rng(5)
+    hashes = np.unique(dice.integers(0, 2**64, 200_000, np.uint64))
+    known, other = hashes[::2], hashes[1::2]
+    frame = spark.createDataFrame(pa.table({"h": known.view(np.int64)}))
+    bits = suffix_tree.sieve(frame)
+    assert suffix_tree.passed(bits, known).all()
+    assert suffix_tree.passed(bits, other).mean() < 0.001
+    assert not suffix_tree.passed(suffix_tree.sieve(frame.limit(0)), hashes).any()
+
+    kinds, codes, starts = suffix_tree.numbered(pa.array([b"a b c a b", b"b c"], pa.binary()))
+    block = suffix_tree.Places(suffix_tree.hashes_of(kinds)[codes], starts)
+    near, full = suffix_tree.Values(np.zeros(0, np.uint64), np.zeros(0)), np.full(1 << 20, ~np.uint64(0))
+    pair = block.hashes(np.array([2]), 2)  # a b, twice in the first text
+    beyond = suffix_tree.sieve(spark.createDataFrame(pa.table({"h": pair.view(np.int64)})))
+    gains, sent = lm._gains(block, near, full, full, beyond, 3)
+    assert [x.tolist() for x in sent] == [[0], pair.tolist(), [2]] and not gains.any()
+    # With nothing to join, as all values are near, nothing is sent.
+    assert not any(len(x) for x in lm._gains(block, near, full, full, None, 3)[1])

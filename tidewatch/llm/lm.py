@@ -34,10 +34,13 @@ from .suffix_tree import (
     Places,
     Values,
     bitmap,
+    fetched,
     grow,
     hashes_of,
     may,
     numbered,
+    passed,
+    sieve,
     stored,
     swept,
     word_hashes,
@@ -230,8 +233,11 @@ _SCORED = (
 )
 
 
-def _gains(block: Places, near: Values, known, reach, longest: int):
-    """What each place adds to its text's score; (text, hash, times) of sequences that are to be joined."""
+def _gains(block: Places, near: Values, known, reach, beyond, longest: int):
+    """What each place adds to its text's score; (text, hash, times) of sequences that are to be joined.
+
+    Bits: ``known`` of all sequences with a value, ``beyond`` of those that are not near, if there are any.
+    """
     gains, others = np.zeros(len(block.words)), []
     if not longest:
         return gains, (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
@@ -250,8 +256,10 @@ def _gains(block: Places, near: Values, known, reach, longest: int):
         held, spot = ends[some], found[some]
         at, hit = near.places(spot)
         gains[held[hit]] += near.values[at[hit]]
-        pairs = np.empty(len(held) - np.count_nonzero(hit), [("i", np.int64), ("h", np.uint64)])
-        pairs["i"], pairs["h"] = text[held[~hit]], spot[~hit]
+        held, spot = held[~hit], spot[~hit]
+        on = passed(beyond, spot) if beyond is not None else np.zeros(len(spot), bool)
+        pairs = np.empty(np.count_nonzero(on), [("i", np.int64), ("h", np.uint64)])
+        pairs["i"], pairs["h"] = text[held[on]], spot[on]
         others.append(pairs)
     # Texts have a sequence once, with how often it occurs.
     pairs = np.concatenate(others)
@@ -281,7 +289,7 @@ def _scored(model):
         )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, logs, near, known, reach, longest = model.value
+        frequent, logs, near, known, reach, beyond, longest = model.value
         for part in parts:
             if not part.num_rows:
                 continue
@@ -289,7 +297,7 @@ def _scored(model):
             kinds, codes, starts = numbered(part.column(2))
             hashes = hashes_of(kinds)
             block = Places(hashes[codes], starts)
-            gains, distant = _gains(block, near, known, reach, longest)
+            gains, distant = _gains(block, near, known, reach, beyond, longest)
             # By word, null where memory does not know it; a beginning is not a token.
             at, hit = logs.places(hashes[:-1])
             hit &= pc.equal(frequent.take(pa.array(at)), kinds).to_numpy(zero_copy_only=False)
@@ -358,7 +366,7 @@ def score(
             frequent, c = rows["word"].combine_chunks().cast(pa.binary()), rows["c"].to_numpy()
 
         tree, longest, distant = grow(training, counts, mass, depth, least, entry, group, used), 0, None
-        near, known, reach = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None
+        near, known, reach, beyond = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None, None
         if tree is not None:
             retained = tree.filter(F.col("v").isNotNull())
             longest = retained.agg(F.max("length")).first()[0] or 0
@@ -368,11 +376,11 @@ def score(
             table = stored(model, "model")
             inside, _ = most_frequent(table, "n", cached)
             distant = table.filter(~inside) if inside is not None else table
-            known, reach = bitmap(table), bitmap(tree)
+            batches(spark, 1 << 16, 1 << 20)
+            known, reach, beyond = bitmap(table), bitmap(tree), sieve(distant)
             if inside is not None:
-                rows = table.filter(inside).select("h", "v").toArrow()
-                near = Values(rows["h"].to_numpy().view(np.uint64), rows["v"].to_numpy())
-                del rows
+                near = fetched(table.filter(inside), used)
+            batches(spark, 256, 1 << 20)
         for folder in used:
             remove_folder(spark, folder)
 
@@ -380,7 +388,7 @@ def score(
     logs = Values(hashes, np.log10((c + 0.5) / mass))
     # In the order of their logs, and one more for the hashes that are above all others.
     frequent = pa.concat_arrays([frequent.take(pa.array(np.argsort(hashes))), pa.array([END], pa.binary())])
-    model = spark.sparkContext.broadcast((frequent, logs, near, known, reach, longest))
+    model = spark.sparkContext.broadcast((frequent, logs, near, known, reach, beyond, longest))
     given = docs.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")
     )

@@ -41,6 +41,10 @@ SENT = 1 << 14  # rows of a batch on its way back
 _GLOBAL = 2
 _USUAL = 48  # bytes of a word
 _MAP = 26  # log2 of a bitmap's bits
+_SIEVE = 27  # log2 of a sieve's bits
+_PIECES = 8  # log2 of the pieces it is put together from
+_PARTS = 6  # log2 of the parts that values come to the driver in
+_FETCHED = 16  # parts fetched at a time
 _STEP = 0xBF58476D1CE4E5BB  # 3 modulo 8, so that words that change places change the hash
 _BACK = pow(_STEP, -1, 1 << 64)
 #: The smallest threshold of the test, two kinds; a little below, as sums are not exact.
@@ -231,13 +235,23 @@ class Values:
 
     def __init__(self, hashes: np.ndarray, values: np.ndarray):
         order = np.argsort(hashes)
-        bits = max(len(hashes).bit_length(), 1)
+        self._take(np.append(hashes[order], ~np.uint64(0)), np.append(values[order], 0.0))
+
+    @classmethod
+    def ordered(cls, hashes: np.ndarray, values: np.ndarray) -> "Values":
+        """Of ascending hashes, and one more that no search passes; the arrays are kept, not copied."""
+        made = cls.__new__(cls)
+        made._take(hashes, values)
+        return made
+
+    def _take(self, hashes: np.ndarray, values: np.ndarray) -> None:
+        self.hashes, self.values = hashes, values
+        bits = max(len(self).bit_length(), 1)
         self.shift = np.uint64(64 - bits)
-        heads = np.arange(1 << bits, dtype=np.uint64) << self.shift
-        self.first = np.searchsorted(hashes[order], heads).astype(np.int32)
-        # One more that no search passes.
-        self.hashes = np.append(hashes[order], ~np.uint64(0))
-        self.values = np.append(values[order], 0.0)
+        self.first = np.empty(1 << bits, np.int32)
+        for at in range(0, 1 << bits, SENT):
+            heads = np.arange(at, min(at + SENT, 1 << bits), dtype=np.uint64) << self.shift
+            self.first[at : at + SENT] = np.searchsorted(hashes[:-1], heads)
 
     def __len__(self) -> int:
         return len(self.hashes) - 1
@@ -252,6 +266,37 @@ class Values:
         return at, (self.hashes[at] == wanted) & (at < len(self))
 
 
+def _ordered(part: pa.Table) -> pa.Table:
+    h, v = part["h"].to_numpy().view(np.uint64), part["v"].to_numpy()
+    order = np.argsort(h)
+    return pa.table({
+        "spot": [part["spot"][0].as_py()], "size": [len(h)],
+        "h": [h[order].tobytes()], "v": [v[order].tobytes()],
+    })
+
+
+def fetched(known: DataFrame, used: list[str]) -> Values:
+    """The rows (h, v) as Values: tasks order them, the driver holds them once, beside a few parts at a time."""
+    spot = F.shiftrightunsigned("h", 64 - _PARTS).alias("spot")
+    parts = stored(
+        known.select(spot, "h", "v").groupBy("spot").applyInArrow(
+            _ordered, "spot long, size long, h binary, v binary"
+        ),
+        "parts", used,
+    )
+    size, done = parts.agg(F.sum("size")).first()[0] or 0, 0
+    hashes, values = np.empty(size + 1, np.uint64), np.empty(size + 1)
+    for first in range(0, 1 << _PARTS, _FETCHED):
+        found = parts.filter(F.col("spot").between(first, first + _FETCHED - 1)).toArrow()
+        for i in pc.sort_indices(found["spot"]).to_pylist():
+            h = np.frombuffer(found["h"][i].as_buffer(), np.uint64)
+            hashes[done : done + len(h)] = h
+            values[done : done + len(h)] = np.frombuffer(found["v"][i].as_buffer(), np.float64)
+            done += len(h)
+    hashes[size], values[size] = ~np.uint64(0), 0.0
+    return Values.ordered(hashes, values)
+
+
 # --- bitmaps -----------------------------------------------------------------------------
 
 
@@ -270,6 +315,60 @@ def may(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (spots >> ((hashes >> np.uint64(6)) & np.uint64(63))) & np.uint64(1) != 0
 
 
+def _bits_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return hashes & np.uint64((1 << _SIEVE) - 1), hashes >> np.uint64(64 - _SIEVE)
+
+
+def _spots(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bits of hashes by their highest bits, each once."""
+    held, size = [], 0
+
+    def out() -> Iterator[pa.RecordBatch]:
+        bits = np.unique(np.concatenate(held))
+        of = bits >> np.uint32(_SIEVE - _PIECES)
+        cuts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+        ends = np.append(cuts[1:], len(of))
+        yield rows(("spot", "bits"), of[cuts].astype(np.int64), [bits[a:b].tobytes() for a, b in zip(cuts, ends)])
+
+    for part in parts:
+        held += [b.astype(np.uint32) for b in _bits_of(part.column(0).to_numpy().view(np.uint64))]
+        size += 2 * part.num_rows
+        if size > _ROWS:
+            yield from out()
+            held, size = [], 0
+    if size:
+        yield from out()
+
+
+def _set(part: pa.Table) -> pa.Table:
+    spot, one = part["spot"][0].as_py(), np.zeros(1 << _SIEVE - _PIECES, np.uint8)
+    for bits in part["bits"]:
+        one[np.frombuffer(bits.as_buffer(), np.uint32) & np.uint32((1 << _SIEVE - _PIECES) - 1)] = 1
+    return pa.table({"spot": [spot], "bits": [np.packbits(one, bitorder="little").tobytes()]})
+
+
+def sieve(known: DataFrame) -> np.ndarray:
+    """Bytes with two bits set for each hash in column h, put together by tasks."""
+    found = (
+        known.select("h")
+        .mapInArrow(_spots, "spot long, bits binary")
+        .groupBy("spot")
+        .applyInArrow(_set, "spot long, bits binary")
+        .toArrow()
+    )
+    size = 1 << _SIEVE - 3 - _PIECES
+    bits = np.zeros(1 << _SIEVE - 3, np.uint8)
+    for spot, part in zip(found["spot"].to_pylist(), found["bits"]):
+        bits[spot * size : (spot + 1) * size] = np.frombuffer(part.as_buffer(), np.uint8)
+    return bits
+
+
+def passed(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes have both bits set."""
+    one, other = (bits[b >> np.uint64(3)] >> (b & np.uint64(7)).astype(np.uint8) for b in _bits_of(hashes))
+    return one & other & np.uint8(1) != 0
+
+
 def _marks(wanted: Callable[[Places], np.ndarray], least: int, log_groups: int):
     """Low halves of the wanted hashes, sorted, with their numbers, by their highest bits."""
     kind = np.uint8 if least < 256 else np.uint32
