@@ -339,6 +339,8 @@ def test_tables_go_once_nothing_reads_them(spark, monkeypatch):
 
 
 def test_values_come_to_the_driver_in_parts(spark, monkeypatch):
+    import pickle
+
     import numpy as np
     from pyspark.sql.classic.dataframe import DataFrame
 
@@ -352,18 +354,22 @@ def test_values_come_to_the_driver_in_parts(spark, monkeypatch):
             most.append(sum(len(v) // 8 if isinstance(v, bytes) else 1 for v in found["v"].to_pylist()))
         return found
 
-    made = suffix_tree.Values.ordered
-    values = []
+    made, near = suffix_tree.Values.ordered, []
     monkeypatch.setattr(DataFrame, "toArrow", arrived)
     monkeypatch.setattr(
-        suffix_tree.Values, "ordered", lambda *arrays: (values.append(made(*arrays)), values[-1])[1]
+        suffix_tree.Values, "ordered", lambda *arrays: (near.append(made(*arrays)), near[-1])[1]
     )
     scored(rows, least=4).count()
-    # About a quarter at a time.
-    (near,) = values
-    assert len(near) > 100 and len(most) == 4 and sum(most) == len(near) and max(most) < 0.4 * len(near)
-    assert (np.diff(near.hashes.astype(object)) > 0).all()
-    assert near.hashes[-1] == ~np.uint64(0) and near.values[-1] == 0
+    # About a quarter at a time, by the first two bits.
+    assert len(near) == len(most) == 4 and sum(most) > 100 and max(most) < 0.4 * sum(most)
+    assert [len(part) for part in near] == most
+    for i, part in enumerate(near):
+        again = pickle.loads(pickle.dumps(part))
+        assert (np.diff(part.hashes.astype(object)) > 0).all() and (part.hashes[:-1] >> np.uint64(62) == i).all()
+        asked = np.concatenate([part.hashes[:-1], part.hashes[:-1] + np.uint64(1)])
+        values, hit = suffix_tree.looked_up(near[:i] + [again, None], asked)
+        assert hit.tolist() == np.isin(asked, part.hashes[:-1]).tolist()
+        assert values[: len(part)].tolist() == part.values[:-1].tolist() and not values[~hit].any()
 
 
 def test_only_sequences_that_may_be_joined_are_sent(spark):
@@ -383,10 +389,11 @@ def test_only_sequences_that_may_be_joined_are_sent(spark):
 
     kinds, codes, starts = suffix_tree.numbered(pa.array([b"a b c a b", b"b c"], pa.binary()))
     block = suffix_tree.Places(suffix_tree.hashes_of(kinds)[codes], starts)
-    near, full = suffix_tree.Values(np.zeros(0, np.uint64), np.zeros(0)), np.full(1 << 20, ~np.uint64(0))
+    near, full = [], np.full(1 << 20, ~np.uint64(0))
     pair = block.hashes(np.array([2]), 2)  # a b, twice in the first text
     beyond = suffix_tree.sieve(spark.createDataFrame(pa.table({"h": pair.view(np.int64)})))
     gains, sent = lm._gains(block, near, full, full, beyond, 3)
     assert [x.tolist() for x in sent] == [[0], pair.tolist(), [2]] and not gains.any()
     # With nothing to join, as all values are near, nothing is sent.
-    assert not any(len(x) for x in lm._gains(block, near, full, full, None, 3)[1])
+    beyond = suffix_tree.sieve(frame.limit(0))
+    assert not any(len(x) for x in lm._gains(block, near, full, full, beyond, 3)[1])

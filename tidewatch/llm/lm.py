@@ -37,6 +37,7 @@ from .suffix_tree import (
     fetched,
     grow,
     hashes_of,
+    looked_up,
     may,
     numbered,
     passed,
@@ -233,10 +234,10 @@ _SCORED = (
 )
 
 
-def _gains(block: Places, near: Values, known, reach, beyond, longest: int):
+def _gains(block: Places, near: list, known, reach, beyond, longest: int):
     """What each place adds to its text's score; (text, hash, times) of sequences that are to be joined.
 
-    Bits: ``known`` of all sequences with a value, ``beyond`` of those that are not near, if there are any.
+    Bits: ``known`` of all sequences with a value, ``beyond`` of those that are not near.
     """
     gains, others = np.zeros(len(block.words)), []
     if not longest:
@@ -254,10 +255,10 @@ def _gains(block: Places, near: Values, known, reach, beyond, longest: int):
             ends, found = ends[on], found[on]
         some = may(known, found)
         held, spot = ends[some], found[some]
-        at, hit = near.places(spot)
-        gains[held[hit]] += near.values[at[hit]]
+        values, hit = looked_up(near, spot)
+        gains[held[hit]] += values[hit]
         held, spot = held[~hit], spot[~hit]
-        on = passed(beyond, spot) if beyond is not None else np.zeros(len(spot), bool)
+        on = passed(beyond, spot)
         pairs = np.empty(np.count_nonzero(on), [("i", np.int64), ("h", np.uint64)])
         pairs["i"], pairs["h"] = text[held[on]], spot[on]
         others.append(pairs)
@@ -275,7 +276,7 @@ def _named(hashes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(9), len(hashes), [None, pa.py_buffer(spelt)]).cast(pa.binary())
 
 
-def _scored(model):
+def _scored(model, parts_of: list, bits_of: list):
     """A row for each document with what memory knows, and one for each rare word of it."""
     whole_type = pa.struct([
         ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -289,7 +290,9 @@ def _scored(model):
         )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, logs, near, known, reach, beyond, longest = model.value
+        frequent, logs, longest = model.value
+        near = [part.value for part in parts_of]
+        known, reach, beyond = (bits.value for bits in bits_of) if longest else (None, None, None)
         for part in parts:
             if not part.num_rows:
                 continue
@@ -366,7 +369,7 @@ def score(
             frequent, c = rows["word"].combine_chunks().cast(pa.binary()), rows["c"].to_numpy()
 
         tree, longest, distant = grow(training, counts, mass, depth, least, entry, group, used), 0, None
-        near, known, reach, beyond = Values(np.zeros(0, np.uint64), np.zeros(0)), None, None, None
+        near, bits, sent = [], [], spark.sparkContext.broadcast
         if tree is not None:
             retained = tree.filter(F.col("v").isNotNull())
             longest = retained.agg(F.max("length")).first()[0] or 0
@@ -377,9 +380,10 @@ def score(
             inside, _ = most_frequent(table, "n", cached)
             distant = table.filter(~inside) if inside is not None else table
             batches(spark, 1 << 16, 1 << 20)
-            known, reach, beyond = bitmap(table), bitmap(tree), sieve(distant)
+            # Sent as soon as it is here, so that the driver does not hold the model.
+            bits = [sent(made(of)) for made, of in ((bitmap, table), (bitmap, tree), (sieve, distant))]
             if inside is not None:
-                near = fetched(table.filter(inside), used)
+                near = [sent(part) for part in fetched(table.filter(inside), used)]
             batches(spark, 256, 1 << 20)
         for folder in used:
             remove_folder(spark, folder)
@@ -388,11 +392,11 @@ def score(
     logs = Values(hashes, np.log10((c + 0.5) / mass))
     # In the order of their logs, and one more for the hashes that are above all others.
     frequent = pa.concat_arrays([frequent.take(pa.array(np.argsort(hashes))), pa.array([END], pa.binary())])
-    model = spark.sparkContext.broadcast((frequent, logs, near, known, reach, beyond, longest))
+    model = sent((frequent, logs, longest))
     given = docs.select(
         F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")
     )
-    pieces = given.mapInArrow(_scored(model), _SCORED)
+    pieces = given.mapInArrow(_scored(model, near, bits), _SCORED)
     rare = counts.filter(~often) if often is not None else counts
     rare = rare.select("word", "c", F.lit(None).cast("double").alias("v"))
     if distant is not None:

@@ -44,7 +44,7 @@ _MAP = 26  # log2 of a bitmap's bits
 _SIEVE = 27  # log2 of a sieve's bits
 _PIECES = 8  # log2 of the pieces it is put together from
 _PARTS = 6  # log2 of the parts that values come to the driver in
-_FETCHED = 16  # parts fetched at a time
+_TOP = 2  # log2 of how often parts are fetched
 _STEP = 0xBF58476D1CE4E5BB  # 3 modulo 8, so that words that change places change the hash
 _BACK = pow(_STEP, -1, 1 << 64)
 #: The smallest threshold of the test, two kinds; a little below, as sums are not exact.
@@ -231,34 +231,38 @@ def swept(spark: SparkSession):
 
 
 class Values:
-    """Values of hashes, found by the highest bits."""
+    """Values of hashes, found by the highest bits behind the first ``top``, which are the same in all."""
 
     def __init__(self, hashes: np.ndarray, values: np.ndarray):
         order = np.argsort(hashes)
-        self._take(np.append(hashes[order], ~np.uint64(0)), np.append(values[order], 0.0))
+        self.__setstate__((np.append(hashes[order], ~np.uint64(0)), np.append(values[order], 0.0), 0))
 
     @classmethod
-    def ordered(cls, hashes: np.ndarray, values: np.ndarray) -> "Values":
+    def ordered(cls, hashes: np.ndarray, values: np.ndarray, top: int = 0) -> "Values":
         """Of ascending hashes, and one more that no search passes; the arrays are kept, not copied."""
         made = cls.__new__(cls)
-        made._take(hashes, values)
+        made.__setstate__((hashes, values, top))
         return made
 
-    def _take(self, hashes: np.ndarray, values: np.ndarray) -> None:
-        self.hashes, self.values = hashes, values
+    def __getstate__(self) -> tuple:
+        return self.hashes, self.values, self.top
+
+    def __setstate__(self, state: tuple) -> None:
+        self.hashes, self.values, self.top = state[0], state[1], state[2]
         bits = max(len(self).bit_length(), 1)
         self.shift = np.uint64(64 - bits)
         self.first = np.empty(1 << bits, np.int32)
+        lowest = self.hashes[0] >> np.uint64(64 - self.top) << np.uint64(64 - self.top) if self.top else np.uint64(0)
         for at in range(0, 1 << bits, SENT):
-            heads = np.arange(at, min(at + SENT, 1 << bits), dtype=np.uint64) << self.shift
-            self.first[at : at + SENT] = np.searchsorted(hashes[:-1], heads)
+            heads = np.arange(at, min(at + SENT, 1 << bits), dtype=np.uint64) << self.shift >> np.uint64(self.top)
+            self.first[at : at + SENT] = np.searchsorted(self.hashes[:-1], heads + lowest)
 
     def __len__(self) -> int:
         return len(self.hashes) - 1
 
     def places(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where each hash is among the values, and whether it is."""
-        at = self.first[wanted >> self.shift]
+        at = self.first[wanted << np.uint64(self.top) >> self.shift]
         lower = np.flatnonzero(self.hashes[at] < wanted)
         while len(lower):
             at[lower] += 1
@@ -266,35 +270,46 @@ class Values:
         return at, (self.hashes[at] == wanted) & (at < len(self))
 
 
+def looked_up(near: list, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the hashes, and which have one; ``near`` has Values by the first bits, or None."""
+    values, hit = np.zeros(len(wanted)), np.zeros(len(wanted), bool)
+    of = wanted >> np.uint64(64 - _TOP)
+    for i, part in enumerate(near):
+        if part is not None:
+            mine = np.flatnonzero(of == i)
+            at, some = part.places(wanted[mine])
+            values[mine[some]] = part.values[at[some]]
+            hit[mine[some]] = True
+    return values, hit
+
+
 def _ordered(part: pa.Table) -> pa.Table:
     h, v = part["h"].to_numpy().view(np.uint64), part["v"].to_numpy()
     order = np.argsort(h)
     return pa.table({
-        "spot": [part["spot"][0].as_py()], "size": [len(h)],
-        "h": [h[order].tobytes()], "v": [v[order].tobytes()],
+        "spot": [part["spot"][0].as_py()], "h": [h[order].tobytes()], "v": [v[order].tobytes()],
     })
 
 
-def fetched(known: DataFrame, used: list[str]) -> Values:
-    """The rows (h, v) as Values: tasks order them, the driver holds them once, beside a few parts at a time."""
+def fetched(known: DataFrame, used: list[str]) -> Iterator[Values | None]:
+    """The rows (h, v) as Values by the first bits: tasks order them, the driver holds one of these at a time."""
     spot = F.shiftrightunsigned("h", 64 - _PARTS).alias("spot")
     parts = stored(
-        known.select(spot, "h", "v").groupBy("spot").applyInArrow(
-            _ordered, "spot long, size long, h binary, v binary"
-        ),
+        known.select(spot, "h", "v").groupBy("spot").applyInArrow(_ordered, "spot long, h binary, v binary"),
         "parts", used,
     )
-    size, done = parts.agg(F.sum("size")).first()[0] or 0, 0
-    hashes, values = np.empty(size + 1, np.uint64), np.empty(size + 1)
-    for first in range(0, 1 << _PARTS, _FETCHED):
-        found = parts.filter(F.col("spot").between(first, first + _FETCHED - 1)).toArrow()
-        for i in pc.sort_indices(found["spot"]).to_pylist():
-            h = np.frombuffer(found["h"][i].as_buffer(), np.uint64)
-            hashes[done : done + len(h)] = h
-            values[done : done + len(h)] = np.frombuffer(found["v"][i].as_buffer(), np.float64)
-            done += len(h)
-    hashes[size], values[size] = ~np.uint64(0), 0.0
-    return Values.ordered(hashes, values)
+    step = 1 << _PARTS - _TOP
+    for first in range(0, 1 << _PARTS, step):
+        found = parts.filter(F.col("spot").between(first, first + step - 1)).toArrow()
+        order = pc.sort_indices(found["spot"]).to_pylist()
+        if not order:
+            yield None
+            continue
+        hashes = [np.frombuffer(found["h"][i].as_buffer(), np.uint64) for i in order]
+        values = [np.frombuffer(found["v"][i].as_buffer(), np.float64) for i in order]
+        yield Values.ordered(
+            np.concatenate([*hashes, [~np.uint64(0)]], dtype=np.uint64), np.concatenate([*values, [0.0]]), _TOP
+        )
 
 
 # --- bitmaps -----------------------------------------------------------------------------
