@@ -397,3 +397,51 @@ def test_only_sequences_that_may_be_joined_are_sent(spark):
     # With nothing to join, as all values are near, nothing is sent.
     beyond = suffix_tree.sieve(frame.limit(0))
     assert not any(len(x) for x in lm._gains(block, near, full, full, beyond, 3)[1])
+
+
+def shuffled_rows(plan):
+    """Rows that the exchanges of a plan that ran have written."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return shuffled_rows(plan.executedPlan())
+    if "QueryStage" in name:
+        return shuffled_rows(plan.plan())
+    found = plan.metrics().get("shuffleRecordsWritten")
+    children = plan.children()
+    below = sum(shuffled_rows(children.apply(i)) for i in range(children.size()))
+    return below + (found.get().value() if found.isDefined() else 0)
+
+
+def test_words_and_sequences_move_in_parts(spark):
+    """Not a row for each: time and rows of the lookups went up with what memory does not hold."""
+    dice = random.Random(18)
+    rows = [(i, " ".join(str(dice.randrange(400)) for _ in range(300))) for i in range(200)]
+    got = scored(documents(spark, rows).coalesce(2), cached=0, common=0, least=2)
+    by_id = {r.doc_id: r for r in got.collect()}
+    assert 0 < shuffled_rows(got._jdf.queryExecution().executedPlan()) < 1000
+    for i, want in plain_scores(rows, 64, least=2):
+        assert by_id[i].score == pytest.approx(want, rel=1e-9), i
+    compare([(r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in by_id.values()], plain(rows))
+    parts = lm.token_parts(documents(spark, rows))
+    assert parts.count() <= lm._TOKEN_SPOTS
+    want = Counter(w for _, t in rows for w in tokens(t))
+    assert {bytes(r.word): r.c for r in lm.token_counts(documents(spark, rows)).collect()} == want
+
+
+def test_bitmaps_grow_with_what_they_hold(spark):
+    """Of a fixed size they were full at some GB, and every place was asked for at every length."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tidewatch.llm import suffix_tree
+
+    dice = np.random.default_rng(19)
+    hashes = np.unique(dice.integers(0, 2**64, 200_000, np.uint64))
+    known, other = hashes[::2], hashes[1::2]
+    frame = spark.createDataFrame(pa.table({"h": known.view(np.int64)}))
+    one = spark.createDataFrame(pa.table({"h": [known[:7].tobytes(), known[7:].tobytes()]}))
+    for size, least in ((None, 1 << 26), (100_000_000, 1 << 28)):
+        for made, test in ((suffix_tree.bitmap, suffix_tree.may), (suffix_tree.sieve, suffix_tree.passed)):
+            bits = made(frame, size)
+            assert bits.nbytes * 8 >= least and (made(one, size) == bits).all()
+            assert test(bits, known).all() and test(bits, other).mean() < 0.01

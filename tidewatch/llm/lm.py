@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,16 +35,26 @@ from .suffix_tree import (
     Places,
     Values,
     bitmap,
+    dealt,
+    distinct,
     fetched,
     grow,
     hashes_of,
     looked_up,
     may,
+    mixed,
+    modelled,
     numbered,
+    numbers_of,
     passed,
+    read,
+    rows,
     sieve,
     stored,
     swept,
+    valued,
+    values_in,
+    within,
     word_hashes,
 )
 
@@ -59,35 +70,83 @@ def held_out(key: Column, of: int, remainder: int) -> Column:
 # --- token counts ----------------------------------------------------------------------
 
 
+_TOKENS = "spot long, h binary, c binary, ends binary, words binary"
+_TOKEN_SPOTS = 64
+
+
+def _merged(h: np.ndarray, c: np.ndarray, words: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    order, new, _ = distinct(h)
+    return h[order[new]], np.add.reduceat(c[order], new), words.take(pa.array(order[new]))
+
+
+def _in_spots(h: np.ndarray, c: np.ndarray, words: pa.Array) -> pa.Table:
+    """By ascending hashes: a row for each spot."""
+    parts = dealt(h, _TOKEN_SPOTS, h=h, c=c)
+    _, ends, data = words.buffers()
+    ends = np.frombuffer(ends, np.int32)[words.offset : words.offset + len(words) + 1]
+    size = [len(b.as_buffer()) // 8 for b in parts["h"]]
+    cuts = np.append(0, np.cumsum(size)).tolist()
+    data = data or pa.py_buffer(b"")
+    own = [(ends[a + 1 : b + 1] - ends[a]).tobytes() for a, b in zip(cuts, cuts[1:])]
+    spelt = [data.slice(ends[a], ends[b] - ends[a]).to_pybytes() for a, b in zip(cuts, cuts[1:])]
+    parts = parts.append_column("ends", pa.array(own, pa.binary()))
+    return parts.append_column("words", pa.array(spelt, pa.binary()))
+
+
+def _words_in(part) -> pa.Array:
+    """The words of all rows of _in_spots()."""
+    found = [pa.array([], pa.binary())]
+    for ends, data in zip(part["ends"], part["words"]):
+        ends = np.append(np.int32(0), np.frombuffer(ends.as_buffer(), np.int32))
+        found.append(pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends), data.as_buffer()]))
+    return pa.concat_arrays(found)
+
+
 def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[pa.Table] = []
+    held: list[tuple] = []
 
-    def merged() -> pa.Table:
-        found = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("c", "sum")])
-        return found.rename_columns({"c_sum": "c"}).select(["word", "c"])
+    def merged() -> tuple:
+        h, c, words = zip(*held)
+        return _merged(np.concatenate(h), np.concatenate(c), pa.concat_arrays(words))
 
     size = 0
     for part in parts:
         kinds, codes, _ = numbered(part.column(0))
         c = np.bincount(codes, minlength=len(kinds) + 1)[:-1]
-        held.append(pa.table({"word": kinds, "c": c}))
+        # The end of a text is the last one.
+        held.append((mixed(word_hashes(kinds)), c, kinds))
         size += len(kinds)
         if size > 2 * FLUSH:
             held = [merged()]
-            size = held[0].num_rows
+            size = len(held[0][0])
             if size > FLUSH:
-                yield from held[0].to_batches(SENT)
+                yield from _in_spots(*held[0]).to_batches(16)
                 held, size = [], 0
-    if held:
-        yield from merged().to_batches(SENT)
+    if size:
+        yield from _in_spots(*merged()).to_batches(16)
+
+
+def _totals(part: pa.Table) -> pa.Table:
+    h, c = read(part, "h", np.uint64), read(part, "c", np.int64)
+    return _in_spots(*_merged(h, c, _words_in(part)))
+
+
+def token_parts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """token_counts() in parts by the hashes h of the words, ascending."""
+    bodies = docs.select(F.col(f"`{text}`").cast("binary"))
+    return bodies.mapInArrow(_counted, _TOKENS).groupBy("spot").applyInArrow(_totals, _TOKENS)
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """(word, c) of all texts: lower-case words, and the end of each text."""
-    bodies = docs.select(F.col(f"`{text}`").cast("binary"))
-    return bodies.mapInArrow(_counted, "word binary, c long").groupBy("word").agg(
-        F.sum("c").alias("c")
-    )
+
+    def spelt(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            words, c = _words_in(part), values_in(part["c"], np.int64)
+            for at in range(0, len(c), SENT):
+                yield rows(("word", "c"), words[at : at + SENT], c[at : at + SENT])
+
+    return token_parts(docs, text).select("c", "ends", "words").mapInArrow(spelt, "word binary, c long")
 
 
 # --- suffix tree in memory: the plain form of the tables below -------------------------
@@ -211,27 +270,28 @@ class Tree:
         return gain
 
 
-def most_frequent(counted: DataFrame, by: str, most: int):
-    """The condition for the bins of ``by`` that at most ``most`` rows fall into, or None; all bins."""
-    bins = F.floor(F.log2(by) * 16)
-    found = counted.groupBy(bins.alias("bin")).agg(
-        F.count("*").alias("rows"), F.sum(by).alias("sum")
-    ).collect()
+def lowest_bin(found: list, most: int) -> int | None:
+    """From which bin on there are at most ``most`` rows, or None."""
     size, lowest = 0, None
     for r in sorted(found, key=lambda r: -r.bin):
         size += r.rows
         if size > most:
             break
         lowest = r.bin
-    return None if lowest is None else bins >= lowest, found
+    return lowest
 
 
 # --- scoring ---------------------------------------------------------------------------
 
-_SCORED = (
-    "word binary, key long, body_hash long, times long,"
-    " whole struct<n_tokens: long, n_known: long, base: double, gain: double>"
-)
+_SEQUENCE, _WORD, _TEXTS = range(3)
+_HELD = 1 << 20  # sequences and words that are asked for together
+_TEXT = np.dtype([
+    ("key", np.int64), ("has_key", bool), ("n_tokens", np.int64), ("n_known", np.int64),
+    ("base", np.float64), ("gain", np.float64),
+])
+_ASKED = "what int, spot long, block long, h binary, text binary, times binary"
+_ANSWERED = "what int, block long, text binary, sum binary, known binary"
+_SCORED = "key long, n_tokens long, n_known long, base double, gain double"
 
 
 def _gains(block: Places, near: list, known, reach, beyond, longest: int):
@@ -242,94 +302,187 @@ def _gains(block: Places, near: list, known, reach, beyond, longest: int):
     gains, others = np.zeros(len(block.words)), []
     if not longest:
         return gains, (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    text = np.repeat(np.arange(len(block.starts)), np.diff(np.append(block.starts, len(block.words))))
-    ends = np.arange(len(block.words))
-    for length in range(1, longest + 2):
+    ends, first = np.arange(len(block.words)), 1
+    if block.codes is not None:
+        # Single words, which are asked for by kind.
+        found = mixed(block.kinds)
+        values, hit = looked_up(near, found)
+        gains += values[block.codes]
+        held = np.flatnonzero((~hit & may(known, found) & passed(beyond, found))[block.codes])
+        others.append((held, found[block.codes[held]]))
+        first = 2
+    for length in range(first, longest + 2):
         ends = ends[block.before[ends] >= length - 1]
         if not len(ends):
             break
-        found = block.hashes(ends, length)
+        held, spot = ends, block.hashes(ends, length)
         if length > 1:
             # Where a sequence has no row, neither have those that are longer and end there.
-            on = may(reach, found)
-            ends, found = ends[on], found[on]
-        some = may(known, found)
-        held, spot = ends[some], found[some]
+            on = may(reach, spot)
+            ends, spot = ends[on], spot[on]
+            held = ends
+        if length == 1 or known is not reach:
+            some = may(known, spot)
+            held, spot = held[some], spot[some]
         values, hit = looked_up(near, spot)
         gains[held[hit]] += values[hit]
         held, spot = held[~hit], spot[~hit]
         on = passed(beyond, spot)
-        pairs = np.empty(np.count_nonzero(on), [("i", np.int64), ("h", np.uint64)])
-        pairs["i"], pairs["h"] = text[held[on]], spot[on]
-        others.append(pairs)
+        others.append((held[on], spot[on]))
     # Texts have a sequence once, with how often it occurs.
-    pairs = np.concatenate(others)
-    pairs = pairs[np.lexsort((pairs["h"], pairs["i"]))]
-    new = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
-    return gains, (pairs["i"][new], pairs["h"][new], np.diff(np.append(new, len(pairs))))
-
-
-def _named(hashes: np.ndarray) -> pa.Array:
-    """Keys that no word can equal, as a break is in front."""
-    spelt = np.full((len(hashes), 9), ord("\n"), np.uint8)
-    spelt[:, 1:] = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
-    return pa.Array.from_buffers(pa.binary(9), len(hashes), [None, pa.py_buffer(spelt)]).cast(pa.binary())
-
-
-def _scored(model, parts_of: list, bits_of: list):
-    """A row for each document with what memory knows, and one for each rare word of it."""
-    whole_type = pa.struct([
-        ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-        ("base", pa.float64()), ("gain", pa.float64()),
-    ])
-
-    def out(words: pa.Array, keys: pa.Array, of: pa.Array, times, whole) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [words, keys, of, pa.array(times, pa.int64()), whole],
-            names=["word", "key", "body_hash", "times", "whole"],
-        )
+    held, spot = (np.concatenate(c) for c in zip(*others))
+    text = np.repeat(np.arange(len(block.starts)), np.diff(np.append(block.starts, len(block.words))))[held]
+    order = np.argsort(spot)
+    order = order[np.argsort(text[order].astype(np.uint16 if len(block.starts) <= 1 << 16 else np.int64), kind="stable")]
+    text, spot = text[order], spot[order]
+    other = np.append(True, (text[1:] != text[:-1]) | (spot[1:] != spot[:-1]))[: len(text)]
+    new = np.flatnonzero(other)
+    return gains, (text[new], spot[new], np.diff(np.append(new, len(text))))
+
+
+def _asked(model, parts_of: list, bits_of: list, log_spots: int):
+    """By block of texts: what memory knows of each, and by the spots of their hashes what it does not know."""
+
+    def out(block: int, texts: list[np.ndarray], asked: list[list]) -> Iterator[pa.RecordBatch]:
+        names, none = ("what", "spot", "block", "h", "text", "times"), pa.nulls(1, pa.binary())
+        spot = [block % (1 << log_spots)]
+        yield rows(names, pa.array([_TEXTS], pa.int32()), spot, [block], [np.concatenate(texts).tobytes()], none, none)
+        for what, found in enumerate(asked):
+            text, h, times = (np.concatenate(c) for c in zip(*found))
+            parts = dealt(h, 1 << log_spots, h=h, text=text.astype(np.uint32), times=times.astype(np.uint32))
+            size = len(parts)
+            parts = parts.add_column(0, "block", pa.array([block] * size, pa.int64()))
+            parts = parts.add_column(0, "what", pa.array([what] * size, pa.int32()))
+            yield from parts.select(names).to_batches(16)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, logs, longest = model.value
+        logs, longest = model.value
         near = [part.value for part in parts_of]
-        known, reach, beyond = (bits.value for bits in bits_of) if longest else (None, None, None)
+        # Without values that are known and not reached, one bitmap does for both.
+        reach, beyond = (bits.value for bits in bits_of) if longest else (None, None)
+        block = TaskContext.get().partitionId() << 32
+        texts, asked, size, held = [], [[], []], 0, 0
         for part in parts:
             if not part.num_rows:
                 continue
-            keys, of = part.column(0), part.column(1)
-            kinds, codes, starts = numbered(part.column(2))
+            kinds, codes, starts = numbered(part.column(1))
             hashes = hashes_of(kinds)
-            block = Places(hashes[codes], starts)
-            gains, distant = _gains(block, near, known, reach, beyond, longest)
+            places = Places(hashes[codes], starts, hashes, codes)
+            gains, distant = _gains(places, near, reach, reach, beyond, longest)
             # By word, null where memory does not know it; a beginning is not a token.
-            at, hit = logs.places(hashes[:-1])
-            hit &= pc.equal(frequent.take(pa.array(at)), kinds).to_numpy(zero_copy_only=False)
+            at, hit = logs.places(mixed(hashes[:-1]))
             logs_of = np.append(np.where(hit, logs.values[at], np.nan), 0.0)[codes]
             rare = np.isnan(logs_of)
             sizes = np.diff(np.append(starts, len(codes))) - 1
-            whole = pa.StructArray.from_arrays([
-                pa.array(sizes),
-                pa.array(sizes - np.add.reduceat(rare.astype(np.int64), starts)),
-                pa.array(np.add.reduceat(np.where(rare, 0.0, logs_of), starts)),
-                pa.array(np.add.reduceat(gains, starts)),
-            ], fields=list(whole_type))
-            # A word no text can have, so that these rows spread and join nothing.
-            alone = [b" %d %d" % (k or 0, h) for k, h in zip(keys.to_pylist(), of.to_pylist())]
-            yield out(pa.array(alone, pa.binary()), keys, of, np.zeros(len(alone), np.int64), whole)
+            one = np.zeros(len(starts), _TEXT)
+            one["has_key"] = pc.is_valid(part.column(0)).to_numpy(zero_copy_only=False)
+            one["key"] = pc.fill_null(part.column(0), 0).to_numpy()
+            one["n_tokens"] = sizes
+            one["n_known"] = sizes - np.add.reduceat(rare.astype(np.int64), starts)
+            one["base"] = np.add.reduceat(np.where(rare, 0.0, logs_of), starts)
+            one["gain"] = np.add.reduceat(gains, starts)
+            texts.append(one)
 
             text = np.repeat(np.arange(len(starts)), sizes + 1)[rare]
             pairs, times = np.unique(text * len(kinds) + codes[rare], return_counts=True)
             owner, code = np.divmod(pairs, len(kinds))
-            for words, owner, times in (
-                (kinds.take(pa.array(code)), owner, times),
-                (_named(distant[1]), distant[0], distant[2]),
-            ):
-                owner = pa.array(owner)
-                yield out(words, keys.take(owner), of.take(owner), times, pa.nulls(len(owner), whole_type))
+            words = owner, mixed(hashes[code]), times
+            for what, (owner, h, times) in enumerate((distant, words)):
+                asked[what].append((owner + size, h, times))
+                held += len(h)
+            size += len(starts)
+            if held > _HELD or size > _HELD >> 6:
+                yield from out(block, texts, asked)
+                texts, asked, size, held, block = [], [[], []], 0, 0, block + 1
+        if size:
+            yield from out(block, texts, asked)
+
+    return run
+
+
+def _rare(mass: float, below: int | None, spots: int):
+    """Logs of words (h, c) in parts, of bins below one."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            h, c = (values_in(column, kind) for column, kind in zip(part.columns, (np.uint64, np.int64)))
+            some = within(c, below, None)
+            yield from dealt(h[some], spots, h=h[some], v=np.log10((c[some] + 0.5) / mass)).to_batches(16)
 
     return run
 
 
+def _frequent(since: int):
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            h, c = (values_in(column, np.int64) for column in part.columns)
+            some = within(c, None, since)
+            yield rows(("h", "c"), [h[some].tobytes()], [c[some].tobytes()])
+
+    return run
+
+
+def _answered(unknown: float):
+    """Sums of the values asked for, by text; words without one have ``unknown``, other sequences nothing."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        kinds, values = np.array(right["what"].to_pylist(), int), []
+        for what in (_SEQUENCE, _WORD):
+            some = np.flatnonzero(kinds == what).tolist()
+            h, v = (
+                np.concatenate([np.zeros(0, kind), *[np.frombuffer(right[name][i].as_buffer(), kind) for i in some]])
+                for name, kind in (("h", np.uint64), ("v", np.float64))
+            )
+            order = np.argsort(h)
+            # One more that is above all others.
+            values.append((np.append(h[order], ~np.uint64(0)), np.append(v[order], 0.0)))
+        found = []
+        for what, block, h, text, times in zip(*[left[k] for k in ("what", "block", "h", "text", "times")]):
+            what, block = what.as_py(), block.as_py()
+            if what == _TEXTS:
+                found.append((what, block, None, h.as_py(), None))
+                continue
+            h, text, times = (np.frombuffer(b.as_buffer(), k) for b, k in zip((h, text, times), _ASK_TYPES))
+            keys, v = values[what]
+            at = np.searchsorted(keys[:-1], h)
+            hit = keys[at] == h
+            hit &= at < len(keys) - 1
+            if what == _SEQUENCE:
+                text, times, at, hit = text[hit], times[hit], at[hit], hit[hit]
+            if len(text):
+                sums = np.bincount(text, np.where(hit, v[at], unknown) * times)
+                known = np.bincount(text, times * hit).astype(np.uint32)
+                some = np.flatnonzero(np.bincount(text))
+                known = known[some].tobytes() if what == _WORD else None
+                found.append((what, block, some.astype(np.uint32).tobytes(), sums[some].tobytes(), known))
+        columns = zip(*found) if found else [[]] * 5
+        types = pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()
+        names = "what", "block", "text", "sum", "known"
+        return pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, columns, types)})
+
+    return run
+
+
+_ASK_TYPES = np.uint64, np.uint32, np.uint32
+
+
+def _put_together(part: pa.Table) -> pa.Table:
+    """A block's texts with all that was found for them."""
+    whats = part["what"].to_pylist()
+    texts = np.frombuffer(part["sum"][whats.index(_TEXTS)].as_buffer(), _TEXT).copy()
+    # In an order that does not depend on what arrives first.
+    order = sorted(range(len(whats)), key=lambda i: (whats[i], part["text"][i].as_py() or b"", part["sum"][i].as_py()))
+    for i in order:
+        if whats[i] == _TEXTS:
+            continue
+        of = np.frombuffer(part["text"][i].as_buffer(), np.uint32)
+        texts["gain" if whats[i] == _SEQUENCE else "base"][of] += np.frombuffer(part["sum"][i].as_buffer(), np.float64)
+        if whats[i] == _WORD:
+            texts["n_known"][of] += np.frombuffer(part["known"][i].as_buffer(), np.uint32)
+    found = {name: np.ascontiguousarray(texts[name]) for name in ("n_tokens", "n_known", "base", "gain")}
+    return pa.table({"key": pa.array(np.ascontiguousarray(texts["key"]), mask=~texts["has_key"]), **found})
+
+
 def score(
     docs: DataFrame,
     held: Column,
@@ -358,71 +511,60 @@ def score(
     training = docs.filter(~fold).select(body.alias("body"))
     used: list[str] = []
     with swept(spark):
-        counts = stored(token_counts(training, "body"), "token-counts")
-
-        often, by_bin = most_frequent(counts, "c", common)
-        total, distinct = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
-        mass = total + 0.5 * (distinct + 1)
-        frequent, c = pa.array([], pa.binary()), np.zeros(0)
-        if often is not None:
-            rows = counts.filter(often).toArrow()
-            frequent, c = rows["word"].combine_chunks().cast(pa.binary()), rows["c"].to_numpy()
-
-        tree, longest, distant = grow(training, counts, mass, depth, least, entry, group, used), 0, None
+        counts = stored(token_parts(training, "body"), "token-counts")
+
+        by_bin = numbers_of(counts, "c")
+        rare_below = lowest_bin(by_bin, common)
+        total, distinct_words = sum(r["sum"] for r in by_bin), sum(r.rows for r in by_bin)
+        mass = total + 0.5 * (distinct_words + 1)
+        h, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        if rare_below is not None:
+            frequent = counts.select("h", "c").mapInArrow(_frequent(rare_below), "h binary, c binary").toArrow()
+            h, c = read(frequent, "h", np.uint64), read(frequent, "c", np.int64)
+
+        # Parts by the highest bits of hashes, some hundred thousand values each, and wider ones to look them up.
+        log_parts = max((int(mass) >> 20).bit_length(), 4)
+        log_spots = max((int(mass) >> 22).bit_length(), 4)
+        grown = grow(training, counts, mass, depth, least, entry, group, log_parts, used)
         near, bits, sent = [], [], spark.sparkContext.broadcast
-        if tree is not None:
-            retained = tree.filter(F.col("v").isNotNull())
-            longest = retained.agg(F.max("length")).first()[0] or 0
+        longest, distant = 0, None
+        if grown is not None:
+            tree, longest = grown
+            table = modelled(tree)
         if longest:
-            # A sequence may be a context and another one's transition.
-            model = retained.groupBy("h").agg(F.max("n").alias("n"), F.sum("v").alias("v"))
-            table = stored(model, "model")
-            inside, _ = most_frequent(table, "n", cached)
-            distant = table.filter(~inside) if inside is not None else table
-            batches(spark, 1 << 16, 1 << 20)
+            by_number = numbers_of(table)
+            size = sum(r.rows for r in by_number)
+            by_number = [r for r in by_number if r.bin >= 0]
+            lowest = lowest_bin(by_number, cached)
+            distant = valued(table, below=lowest)
+            number = sum(r.rows for r in by_number if lowest is None or r.bin < lowest)
             # Sent as soon as it is here, so that the driver does not hold the model.
-            bits = [sent(made(of)) for made, of in ((bitmap, table), (bitmap, tree), (sieve, distant))]
-            if inside is not None:
-                near = [sent(part) for part in fetched(table.filter(inside), used)]
-            batches(spark, 256, 1 << 20)
+            bits = [sent(made(of, n)) for made, of, n in ((bitmap, table, size), (sieve, distant, number))]
+            if lowest is not None:
+                near = [sent(part) for part in fetched(table, log_parts, lowest)]
+        batches(spark, 256, 1 << 20)
         for folder in used:
             remove_folder(spark, folder)
 
-    hashes = word_hashes(frequent)
-    logs = Values(hashes, np.log10((c + 0.5) / mass))
-    # In the order of their logs, and one more for the hashes that are above all others.
-    frequent = pa.concat_arrays([frequent.take(pa.array(np.argsort(hashes))), pa.array([END], pa.binary())])
-    model = sent((frequent, logs, longest))
-    given = docs.select(
-        F.col(f"`{key}`").cast("long").alias("key"), F.xxhash64(body).alias("body_hash"), body.alias("body")
+    model = sent((Values(h, np.log10((c + 0.5) / mass)), longest))
+    asked = docs.select(F.col(f"`{key}`").cast("long").alias("key"), body.alias("body")).mapInArrow(
+        _asked(model, near, bits, log_spots), _ASKED
     )
-    pieces = given.mapInArrow(_scored(model, near, bits), _SCORED)
-    rare = counts.filter(~often) if often is not None else counts
-    rare = rare.select("word", "c", F.lit(None).cast("double").alias("v"))
-    if distant is not None:
-        name = F.concat(F.lit(b"\n"), F.unhex(F.lpad(F.hex("h"), 16, "0")))
-        rare = rare.unionByName(distant.select(name.alias("word"), F.lit(None).cast("long").alias("c"), "v"))
-    c = F.coalesce("c", F.lit(0))
-    # Sequences of words have no chance of their own; those the bitmap let pass add nothing.
-    alone = ~F.col("word").startswith(F.lit(b"\n"))
-    chance = F.when(alone, F.col("times") * F.log10((c + 0.5) / mass)).otherwise(0.0)
-    seen = F.when(c > 0, F.col("times")).otherwise(0)
-    joined = pieces.join(rare, "word", "left")
-    summed = joined.groupBy("key", "body_hash").agg(
-        F.count("whole").alias("rows"),
-        F.max("whole.n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("whole.n_known", seen)).alias("n_known"),
-        F.sum(F.coalesce("whole.base", chance)).alias("base"),
-        F.sum(F.coalesce("whole.gain", F.col("times") * F.col("v"), F.lit(0.0))).alias("gain"),
+    values = counts.select("h", "c").mapInArrow(
+        _rare(mass, rare_below, 1 << log_spots), "spot long, h binary, v binary"
     )
-    # Rows that repeat key and text come together above; each gets its share again.
-    each = summed.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    per_row = each.withColumn("base_score", F.col("base") / F.col("rows"))
+    values = values.select(F.lit(_WORD).alias("what"), "*")
+    if distant is not None:
+        spot = F.shiftright("spot", log_parts - log_spots).alias("spot")
+        values = values.unionByName(distant.select(F.lit(_SEQUENCE).alias("what"), spot, "h", "v"))
+    unknown = float(np.log10(0.5 / mass))
+    answered = asked.groupBy("spot").cogroup(values.groupBy("spot")).applyInArrow(_answered(unknown), _ANSWERED)
+    per_row = answered.groupBy("block").applyInArrow(_put_together, _SCORED)
     return per_row.select(
         F.col("key").alias(key),
         "n_tokens",
-        (F.col("n_known") / F.col("rows")).cast("long").alias("n_known"),
+        "n_known",
         F.lit(total).cast("long").alias("train_tokens"),
-        "base_score",
-        (F.col("base_score") + F.col("gain") / F.col("rows")).alias("score"),
+        F.col("base").alias("base_score"),
+        (F.col("base") + F.col("gain")).alias("score"),
     )
