@@ -11,9 +11,10 @@ sum to one. A word is scored in the longest retained context its predecessors en
 
 Both bars are absolute, so the tree grows with the corpus. The score of a text is the sum of its words'
 base probabilities and of one value for each of its word sequences the model knows. The
-``common`` most frequent words and ``cached`` most frequent sequences are looked up in memory,
-the others are joined. Bitmaps of fixed size tell which sequences may be known; where they fill
-up, more rows reach the joins, which decide.
+``common`` most frequent words and ``cached`` most frequent sequences are looked up in memory. The others are
+asked for, words like sequences by a 64-bit hash: texts' hashes and the model's meet in parts by their highest bits,
+sorted numbers as bytes, not a row each. Bitmaps that grow with the model tell which sequences may be
+known; where they fill up, at 2^30 bits, more is asked for and not found.
 """
 
 from collections.abc import Iterator
@@ -38,6 +39,7 @@ from .suffix_tree import (
     dealt,
     distinct,
     fetched,
+    given_back,
     grow,
     hashes_of,
     looked_up,
@@ -46,6 +48,9 @@ from .suffix_tree import (
     modelled,
     numbered,
     numbers_of,
+    of_group,
+    of_groups,
+    of_parts,
     passed,
     read,
     rows,
@@ -120,10 +125,10 @@ def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = [merged()]
             size = len(held[0][0])
             if size > FLUSH:
-                yield from _in_spots(*held[0]).to_batches(16)
+                yield from _in_spots(*held[0]).to_batches(4)
                 held, size = [], 0
     if size:
-        yield from _in_spots(*merged()).to_batches(16)
+        yield from _in_spots(*merged()).to_batches(4)
 
 
 def _totals(part: pa.Table) -> pa.Table:
@@ -134,7 +139,7 @@ def _totals(part: pa.Table) -> pa.Table:
 def token_parts(docs: DataFrame, text: str = "text") -> DataFrame:
     """token_counts() in parts by the hashes h of the words, ascending."""
     bodies = docs.select(F.col(f"`{text}`").cast("binary"))
-    return bodies.mapInArrow(_counted, _TOKENS).groupBy("spot").applyInArrow(_totals, _TOKENS)
+    return bodies.mapInArrow(of_parts(_counted), _TOKENS).groupBy("spot").applyInArrow(of_group(_totals), _TOKENS)
 
 
 def token_counts(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -284,7 +289,7 @@ def lowest_bin(found: list, most: int) -> int | None:
 # --- scoring ---------------------------------------------------------------------------
 
 _SEQUENCE, _WORD, _TEXTS = range(3)
-_HELD = 1 << 20  # sequences and words that are asked for together
+_HELD = 1 << 19  # sequences and words that are asked for together
 _TEXT = np.dtype([
     ("key", np.int64), ("has_key", bool), ("n_tokens", np.int64), ("n_known", np.int64),
     ("base", np.float64), ("gain", np.float64),
@@ -349,11 +354,11 @@ def _asked(model, parts_of: list, bits_of: list, log_spots: int):
         yield rows(names, pa.array([_TEXTS], pa.int32()), spot, [block], [np.concatenate(texts).tobytes()], none, none)
         for what, found in enumerate(asked):
             text, h, times = (np.concatenate(c) for c in zip(*found))
-            parts = dealt(h, 1 << log_spots, h=h, text=text.astype(np.uint32), times=times.astype(np.uint32))
+            parts = dealt(h, 1 << log_spots, h=h, text=text.astype(np.uint16), times=times.astype(np.uint32))
             size = len(parts)
             parts = parts.add_column(0, "block", pa.array([block] * size, pa.int64()))
             parts = parts.add_column(0, "what", pa.array([what] * size, pa.int32()))
-            yield from parts.select(names).to_batches(16)
+            yield from parts.select(names).to_batches(4)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs, longest = model.value
@@ -391,13 +396,13 @@ def _asked(model, parts_of: list, bits_of: list, log_spots: int):
                 asked[what].append((owner + size, h, times))
                 held += len(h)
             size += len(starts)
-            if held > _HELD or size > _HELD >> 6:
+            if held > _HELD or size > _HELD >> 5:
                 yield from out(block, texts, asked)
                 texts, asked, size, held, block = [], [[], []], 0, 0, block + 1
         if size:
             yield from out(block, texts, asked)
 
-    return run
+    return of_parts(run)
 
 
 def _rare(mass: float, below: int | None, spots: int):
@@ -407,7 +412,7 @@ def _rare(mass: float, below: int | None, spots: int):
         for part in parts:
             h, c = (values_in(column, kind) for column, kind in zip(part.columns, (np.uint64, np.int64)))
             some = within(c, below, None)
-            yield from dealt(h[some], spots, h=h[some], v=np.log10((c[some] + 0.5) / mass)).to_batches(16)
+            yield from dealt(h[some], spots, h=h[some], v=np.log10((c[some] + 0.5) / mass)).to_batches(4)
 
     return run
 
@@ -460,10 +465,10 @@ def _answered(unknown: float):
         names = "what", "block", "text", "sum", "known"
         return pa.table({n: pa.array(list(c), t) for n, c, t in zip(names, columns, types)})
 
-    return run
+    return of_groups(run)
 
 
-_ASK_TYPES = np.uint64, np.uint32, np.uint32
+_ASK_TYPES = np.uint64, np.uint16, np.uint32
 
 
 def _put_together(part: pa.Table) -> pa.Table:
@@ -539,14 +544,20 @@ def score(
             distant = valued(table, below=lowest)
             number = sum(r.rows for r in by_number if lowest is None or r.bin < lowest)
             # Sent as soon as it is here, so that the driver does not hold the model.
-            bits = [sent(made(of, n)) for made, of, n in ((bitmap, table, size), (sieve, distant, number))]
+            no_bin = 1 << 20  # above all there are
+            bits = [sent(bitmap(table, size)), sent(sieve(table, number, no_bin if lowest is None else lowest))]
             if lowest is not None:
-                near = [sent(part) for part in fetched(table, log_parts, lowest)]
+                for part in fetched(table, log_parts, lowest):
+                    near.append(sent(part))
+                    del part
+                    given_back()
         batches(spark, 256, 1 << 20)
         for folder in used:
             remove_folder(spark, folder)
 
     model = sent((Values(h, np.log10((c + 0.5) / mass)), longest))
+    del h, c
+    given_back()
     asked = docs.select(F.col(f"`{key}`").cast("long").alias("key"), body.alias("body")).mapInArrow(
         _asked(model, near, bits, log_spots), _ASKED
     )
@@ -559,7 +570,7 @@ def score(
         values = values.unionByName(distant.select(F.lit(_SEQUENCE).alias("what"), spot, "h", "v"))
     unknown = float(np.log10(0.5 / mass))
     answered = asked.groupBy("spot").cogroup(values.groupBy("spot")).applyInArrow(_answered(unknown), _ANSWERED)
-    per_row = answered.groupBy("block").applyInArrow(_put_together, _SCORED)
+    per_row = answered.groupBy("block").applyInArrow(of_group(_put_together), _SCORED)
     return per_row.select(
         F.col("key").alias(key),
         "n_tokens",

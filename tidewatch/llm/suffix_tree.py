@@ -17,10 +17,15 @@ with their number) come together and grow by many lengths at a time, each time b
 with open contexts are read again. Contexts with more occurrences than one group may hold grow
 word by word by aggregation.
 
-Bitmaps of fixed size tell which places can matter. They may pass too much, which exact counts
-and joins then drop; where a corpus fills them, more rows are shuffled, with the same result.
+Counts move between tasks as parts: a row holds the sorted numbers of many sequences as bytes. Lengths 1 and 2 are
+counted by the hashes of whole sequences, so that a frequent word's do not meet in one task; what occurs
+often enough goes to its shorter form for its probability there and to its context, where it is tested.
+
+Bitmaps that grow with what they hold, to 2^30 bits, tell which places can matter. They may pass too much, which
+exact counts then drop; where a corpus fills them, more is moved, with the same result.
 """
 
+import ctypes
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -39,8 +44,9 @@ BEGIN = 0x9E3779B97F4A7C15  # the beginning of a text
 FLUSH = 400_000
 _ROWS = 1 << 19
 SENT = 1 << 14  # rows of a batch on its way back
+_AT_ONCE = 4  # such rows that hold parts
 _GLOBAL = 2
-_GATHERED = 1 << 21  # words that are counted together
+_GATHERED = 1 << 20  # words that are counted together
 _SHARE = 21  # log2 of the words whose sequences a task adds up
 _USUAL = 48  # bytes of a word
 _MAP = 26  # log2 of a bitmap's bits, at least
@@ -69,6 +75,51 @@ _JUDGED_TYPE = pa.schema([
 _MODEL = {"h": np.int64, "v": np.float64, "n": np.int64}
 
 
+def given_back() -> None:
+    """To the system, what is free: workers go on to other tasks, two beside an executor's JVM."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def of_parts(run):
+    """A function for mapInArrow whose tasks leave no free memory held."""
+
+    def one(parts):
+        try:
+            yield from run(parts)
+        finally:
+            given_back()
+
+    return one
+
+
+def of_group(run):
+    """of_parts() for applyInArrow."""
+
+    def one(part):
+        try:
+            return run(part)
+        finally:
+            given_back()
+
+    return one
+
+
+def of_groups(run):
+    """of_parts() for applyInArrow on two frames."""
+
+    def one(left, right):
+        try:
+            return run(left, right)
+        finally:
+            given_back()
+
+    return one
+
+
 def spelled(bodies: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct words of binary texts in lower case, all words as their numbers, each text's first place."""
     texts = pc.ascii_lower(pc.fill_null(bodies, b"").view(pa.string()))
@@ -118,7 +169,7 @@ def powers(n: int) -> list[np.ndarray]:
     """The first powers, at least n, of the step and of its inverse."""
     if len(_powers[0]) < n:
         for i, base in enumerate((_STEP, _BACK)):
-            steps = np.full(2 * n, base, np.uint64)
+            steps = np.full(n + (1 << 18), base, np.uint64)
             steps[0] = 1
             _powers[i] = np.cumprod(steps)
     return _powers
@@ -146,6 +197,8 @@ class Places:
     def followed(self, length: int, known: np.ndarray, width: int) -> np.ndarray:
         """Where a context of ``length`` words has ended whose last ``width`` may be known."""
         ends = np.flatnonzero(self.before >= length)
+        if width == 1 and self.codes is not None:
+            return ends[may(known, mixed(self.kinds))[self.codes[ends - 1]]]
         return ends[may(known, self.hashes(ends - 1, width))]
 
 
@@ -209,7 +262,7 @@ def _remaining(length: int, known):
         if size:
             yield _block(np.concatenate(words), np.array(starts, np.int64))
 
-    return run
+    return of_parts(run)
 
 
 def _block_rows(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -239,7 +292,7 @@ def _gathered(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
             at += len(own)
             size += len(of)
         codes = np.concatenate(codes)
-        return kinds, codes, Places(kinds[codes], np.concatenate(starts))
+        return kinds, codes, Places(kinds[codes], np.concatenate(starts), kinds, codes)
 
     held, size = [], 0
     for block in _block_rows(parts):
@@ -290,7 +343,8 @@ def stored(df: DataFrame, purpose: str, used: list[str] | None = None) -> DataFr
     """The frame as a written table; its folder joins those to remove once they are used."""
     spark: SparkSession = df.sparkSession
     folder = work_folder(spark, purpose)
-    df.write.parquet(folder)
+    # Rows that hold parts are large: pages end by their size, not after a hundred rows.
+    df.write.option("parquet.page.size.row.check.min", "1").parquet(folder)
     if used is not None:
         used.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
@@ -376,7 +430,7 @@ def modelled(tree: DataFrame) -> DataFrame:
     A sequence may be a context and another one's transition: n is the greater number, v the sum. Those
     without a value have n 0.
     """
-    return stored(tree.groupBy("spot").applyInArrow(_modelled, _named(_MODEL)), "model")
+    return stored(tree.groupBy("spot").applyInArrow(of_group(_modelled), _named(_MODEL)), "model")
 
 
 def _bins(n: np.ndarray) -> np.ndarray:
@@ -460,11 +514,12 @@ def values_in(column: pa.Array, kind: type) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).view(kind)
 
 
-def _spots(bits_of: Callable, log_bits: int):
+def _spots(bits_of: Callable, log_bits: int, below: int | None):
     """The bits of hashes by their highest bits, each once."""
 
     def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        bits = np.unique(np.concatenate(held))
+        bits = np.sort(np.concatenate(held))
+        bits = bits[_first(bits)]
         of = bits >> np.uint32(log_bits - _PIECES)
         cuts = _first(of)
         ends = np.append(cuts[1:], len(of))
@@ -473,7 +528,11 @@ def _spots(bits_of: Callable, log_bits: int):
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for part in parts:
-            bits = [b.astype(np.uint32) for b in bits_of(values_in(part.column(0), np.uint64), log_bits)]
+            hashes = values_in(part.column(0), np.uint64)
+            if below is not None:
+                n = values_in(part.column(1), np.int64)
+                hashes = hashes[(n > 0) & within(n, below, None)]
+            bits = [b.astype(np.uint32) for b in bits_of(hashes, log_bits)]
             held += bits
             size += sum(map(len, bits))
             if size > 2 * _ROWS:
@@ -482,7 +541,7 @@ def _spots(bits_of: Callable, log_bits: int):
         if size:
             yield from out(held)
 
-    return run
+    return of_parts(run)
 
 
 def _set(log_bits: int):
@@ -492,14 +551,14 @@ def _set(log_bits: int):
             one[np.frombuffer(bits.as_buffer(), np.uint32) & np.uint32((1 << log_bits - _PIECES) - 1)] = 1
         return pa.table({"spot": [spot], "bits": [np.packbits(one, bitorder="little").tobytes()]})
 
-    return run
+    return of_group(run)
 
 
-def _together(known: DataFrame, bits_of: Callable, log_bits: int) -> np.ndarray:
+def _together(known: DataFrame, bits_of: Callable, log_bits: int, below: int | None = None) -> np.ndarray:
     """Bytes with the bits of the hashes in column h set, put together by tasks."""
     found = (
-        known.select("h")
-        .mapInArrow(_spots(bits_of, log_bits), "spot long, bits binary")
+        (known.select("h") if below is None else known.select("h", "n"))
+        .mapInArrow(_spots(bits_of, log_bits, below), "spot long, bits binary")
         .groupBy("spot")
         .applyInArrow(_set(log_bits), "spot long, bits binary")
         .toArrow()
@@ -530,9 +589,9 @@ def may(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (spots >> ((hashes >> np.uint64(shift - 6)) & np.uint64(63))) & np.uint64(1) != 0
 
 
-def sieve(known: DataFrame, size: int | None = None) -> np.ndarray:
-    """Bytes with two bits set for each hash in column h."""
-    return _together(known, _bits_of, _log_bits(_size(known, size), 8, _SIEVE))
+def sieve(known: DataFrame, size: int | None = None, below: int | None = None) -> np.ndarray:
+    """Bytes with two bits set for each hash in column h; of a model's parts only those of bins below one."""
+    return _together(known, _bits_of, _log_bits(_size(known, size), 8, _SIEVE), below)
 
 
 def passed(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -569,7 +628,7 @@ def _marks(wanted: Callable[[Places], np.ndarray], least: int, log_groups: int):
             high, n = np.unique(np.concatenate(held), return_counts=True)
             yield from out(high, np.minimum(n, least))
 
-    return run
+    return of_parts(run)
 
 
 def _marked(least: int, log_groups: int):
@@ -587,7 +646,7 @@ def _marked(least: int, log_groups: int):
         bits[(often >> np.uint32(32 - _MAP)).astype(np.int64) - (spot << _MAP - log_groups)] = 1
         return pa.table({"spot": [spot], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
 
-    return run
+    return of_group(run)
 
 
 def frequent(blocks: DataFrame, wanted, least: int, places: int) -> np.ndarray:
@@ -649,7 +708,7 @@ def parted(spots: int, kinds: dict[str, type]):
 
         def out() -> Iterator[pa.RecordBatch]:
             columns = dict(zip(kinds, (np.concatenate(c) for c in zip(*held))))
-            yield from dealt(columns["h"].view(np.uint64), spots, **columns).to_batches(16)
+            yield from dealt(columns["h"].view(np.uint64), spots, **columns).to_batches(_AT_ONCE)
 
         for part in parts:
             held.append([values_in(c, kind) for c, kind in zip(part.columns, kinds.values())])
@@ -660,7 +719,7 @@ def parted(spots: int, kinds: dict[str, type]):
         if size:
             yield from out()
 
-    return run
+    return of_parts(run)
 
 
 def _named(kinds) -> str:
@@ -695,9 +754,9 @@ def _sequences(length: int, known, spots: int):
         cuts = _first(of)
         ends = np.append(cuts[1:], len(of))
         seen, numbers = np.zeros(len(kinds), bool), np.zeros(len(kinds), np.int32)
-        for at in range(0, len(cuts), 16):
+        for at in range(0, len(cuts), _AT_ONCE):
             blobs = []
-            for a, b in zip(cuts[at : at + 16].tolist(), ends[at : at + 16].tolist()):
+            for a, b in zip(cuts[at : at + _AT_ONCE].tolist(), ends[at : at + _AT_ONCE].tolist()):
                 mine = table[a:b]
                 if mine.size < len(kinds) >> 6:
                     some = np.unique(mine)
@@ -707,7 +766,7 @@ def _sequences(length: int, known, spots: int):
                     seen[some] = False
                 numbers[some] = np.arange(len(some))
                 blobs.append((kinds[some].tobytes(), numbers[mine].astype(_width(some)).tobytes(), n[a:b].tobytes()))
-            yield rows(("spot", "kinds", "codes", "n"), of[cuts[at : at + 16]], *map(list, zip(*blobs)))
+            yield rows(("spot", "kinds", "codes", "n"), of[cuts[at : at + _AT_ONCE]], *map(list, zip(*blobs)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for kinds, codes, block in _gathered(parts):
@@ -719,7 +778,7 @@ def _sequences(length: int, known, spots: int):
             del block, found, order, ends
             yield from out(kinds, of, codes[first[:, None] + np.arange(-length, 1)], n.astype(np.uint32))
 
-    return run
+    return of_parts(run)
 
 
 def _added(length: int, entry: int, spots: int):
@@ -737,7 +796,7 @@ def _added(length: int, entry: int, spots: int):
         table, n = table[order[new[stays]]], n[stays]
         return dealt(mixed(_raw(table[:, 1:])), spots, words=table, n=n)
 
-    return run
+    return of_group(run)
 
 
 def _preceded(length: int, spots: int):
@@ -751,7 +810,7 @@ def _preceded(length: int, spots: int):
         table, n, p = table[hit], n[hit], p[order[at[hit]]]
         return dealt(mixed(_raw(table[:, :-1])), spots, words=table, n=n, p=p)
 
-    return run
+    return of_groups(run)
 
 
 def _judged(length: int, least: int, more: bool, log_parts: int):
@@ -796,7 +855,7 @@ def _judged(length: int, least: int, more: bool, log_parts: int):
             add(_LONGER, n >= least, h=h, n=n, s=mixed(_raw(table[:, 1:])))
         return pa.concat_tables(out)
 
-    return run
+    return of_groups(run)
 
 
 def _level(
@@ -846,7 +905,7 @@ def _transitions(length: int, known, width: int):
             for at in range(0, len(n), SENT):
                 yield rows(("h", "c", "s", "n"), *[c[at : at + SENT].view(np.int64) for c in part])
 
-    return run
+    return of_parts(run)
 
 
 def _counted(blocks: DataFrame, length: int, known, width: int) -> DataFrame:
@@ -974,7 +1033,7 @@ def _windows(length: int, width: int, known, often, groups: int):
         if size:
             yield from out(*merged())
 
-    return run
+    return of_parts(run)
 
 
 def _group(contexts: np.ndarray, groups: int) -> np.ndarray:
@@ -1008,7 +1067,7 @@ def _of_groups(groups: int):
         if size:
             yield from out()
 
-    return run
+    return of_parts(run)
 
 
 def _nothing() -> pa.Table:
@@ -1068,7 +1127,7 @@ def _subtrees(length: int, width: int, least: int, entry: int):
                 break
         return pa.concat_tables(found) if found else _nothing()
 
-    return run
+    return of_groups(run)
 
 
 def _worth(n: np.ndarray, p: np.ndarray, least: int) -> np.ndarray:
@@ -1113,11 +1172,17 @@ def _tested(names, total, h, n, c, prior, length: int, least: int) -> tuple[dict
     }, opens
 
 
+_BASES = "h", "n", "p", "often_h", "often_n"
+
+
 # --- the whole tree ----------------------------------------------------------------------
 
 
-def _bases(mass: float, entry: int):
-    """Words (h, c) that occur ``entry`` times, with their base probabilities, and the beginning of a text."""
+def _bases(mass: float, entry: int, least: int):
+    """Words (h, c) that occur ``entry`` times, with their base probabilities, and the beginning of a text.
+
+    Beside them those that occur ``least`` times.
+    """
     end, begin = (mixed(x) for x in (word_hashes(pa.array([END], pa.binary())), np.array([BEGIN], np.uint64)))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -1129,16 +1194,8 @@ def _bases(mass: float, entry: int):
                 # As often as texts end, and certain.
                 h = np.concatenate([h[some], np.repeat(begin, len(ends))])
                 n, p = np.concatenate([n[some], n[ends]]), np.concatenate([p[some], np.ones(len(ends))])
-                yield rows(("h", "n", "p"), *[[c.tobytes()] for c in (h, n, p)])
-
-    return run
-
-
-def _at_least(least: int):
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            h, n = (values_in(c, np.int64) for c in part.columns)
-            yield rows(("h", "n"), *[[c[n >= least].tobytes()] for c in (h, n)])
+                some = n >= least
+                yield rows(_BASES, *[[c.tobytes()] for c in (h, n, p, h[some], n[some])])
 
     return run
 
@@ -1163,14 +1220,16 @@ def grow(
     spent: list[str] = []
     encoded: list[str] = []
     blocks = stored(
-        bodies.mapInArrow(_encoded, "kinds binary, codes binary, starts binary"), "encoded", encoded
+        bodies.mapInArrow(of_parts(_encoded), "kinds binary, codes binary, starts binary"), "encoded", encoded
     )
     # Whole texts came in small batches, numbers come in large ones.
     batches(spark, 1 << 16, 1 << 20)
     places = int(mass)
-    above = counts.select("h", "c").mapInArrow(_bases(mass, entry), "h binary, n binary, p binary")
+    above = counts.select("h", "c").mapInArrow(
+        of_parts(_bases(mass, entry, least)), ", ".join(f"{name} binary" for name in _BASES)
+    )
     above = stored(above, "words", spent)
-    candidates = above.select("h", "n").mapInArrow(_at_least(least), "h binary, n binary")
+    candidates = above.select(F.col("often_h").alias("h"), F.col("often_n").alias("n"))
     levels, length, last = [], 0, _GLOBAL if depth is None else min(depth, _GLOBAL)
     while length < last:
         length += 1
@@ -1209,7 +1268,7 @@ def grow(
             F.count(F.when(F.col("n") > most, 1)).alias("hot"),
         ).first()
         parts = []
-        if length > _GLOBAL:
+        if len(grown) > 1:  # before, nearly all texts have some
             known = context.broadcast(bitmap(contexts.select("h")))
             before, encoded = encoded, []
             blocks = stored(blocks.mapInArrow(_remaining(length, known), blocks.schema), "encoded", encoded)
@@ -1295,6 +1354,8 @@ def _in_groups(blocks, contexts, opened, length, width, least, entry, most, size
     )
     grown = stored(grown, "tree", used)
     known.destroy()
+    if often is not None:
+        often.destroy()
     return grown
 
 
